@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stratamart.operators.conform import drop_null_keys, evolve
 from stratamart.operators.dedupe import one_row_per_key
+from stratamart.operators.pairing import paired
 
 
 def _newer(stored: Column, incoming: Column) -> Column:
@@ -31,16 +32,17 @@ def upsert(
     on_duplicate: str = "latest",
     allow_new_columns: bool = True,
     key_range: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows of ``source`` replace or join those of ``target``; all other target rows stay.
 
-    The target is only filtered by an anti join: with a batch inside the broadcast threshold it is not
-    shuffled at all.  ``version`` makes arrival order irrelevant: an older source row is ignored.
-    ``key_range`` names a key column; target rows outside the batch's range of it bypass the join.
+    With a batch inside the broadcast threshold the target is not shuffled at all.  ``version`` makes the
+    order of arrival irrelevant: an older source row is ignored.  ``key_range`` names a key column; target
+    rows outside the batch's range of it bypass the join.  ``unique`` says that the source is `prepared`.
     """
     key = list(key)
     ranked = [version, *[c for c in order_by if c != version]] if version else list(order_by)
-    source = prepared(source, key, ranked, on_duplicate)
+    source = source if unique else prepared(source, key, ranked, on_duplicate)
     if allow_new_columns:
         target, source = evolve(target, source)
     else:
@@ -54,16 +56,12 @@ def upsert(
         inside = F.col(key_range).between(F.lit(low), F.lit(high))
         bypass, target = target.filter(~F.coalesce(inside, F.lit(False))), target.filter(inside)
 
-    if version is not None:
-        incoming = source.select(*key, F.col(version).alias("__incoming"))
-        stale = (
-            target.select(*key, F.col(version).alias("__stored"))
-            .join(incoming, key)
-            .filter(_newer(F.col("__stored"), F.col("__incoming")))
-            .select(*key)
-        )
-        source = source.join(stale, key, "left_anti")
-    merged = target.join(source.select(*key), key, "left_anti").unionByName(source)
+    if version is None:
+        merged = target.join(source.select(*key), key, "left_anti").unionByName(source)
+    else:
+        stored_wins = F.col("s").isNull() | _newer(F.col(f"t.{version}"), F.col(f"s.{version}"))
+        winner = F.when(F.col("t").isNull() | ~stored_wins, F.col("s")).otherwise(F.col("t"))
+        merged = paired(target, source, key).select(winner.alias("row")).select("row.*")
     return merged if bypass is None else bypass.unionByName(merged)
 
 

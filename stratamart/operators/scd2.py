@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from stratamart.operators.conform import conform, drop_null_keys, merged_schema
 from stratamart.operators.dedupe import one_row_per_key
-from stratamart.operators.skew import HOT_ROWS, fits_broadcast, hot_keys
+from stratamart.operators.pairing import paired
+from stratamart.operators.skew import HOT_ROWS, hot_keys, may_be_skewed
 from stratamart.spec import SCD_COLUMNS, SCD_CURRENT, SCD_END, SCD_START
 
 # Time slices a hot key's history is cut into.
@@ -36,23 +37,6 @@ def empty_history(batch: DataFrame) -> DataFrame:
     return batch.sparkSession.createDataFrame([], T.StructType(fields))
 
 
-def _pair(current: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """Key columns plus structs ``t`` (open version) and ``s`` (batch row), NULL where absent.
-
-    The structs double as presence flags: an attribute that is NULL is not an absent row.
-    """
-    t = current.select(*key, F.struct(*current.columns).alias("t"))
-    s = batch.select(*key, F.struct(*batch.columns).alias("s"))
-    if not fits_broadcast(batch):
-        return t.join(s, key, "full_outer")
-    # A small batch is broadcast, so the open versions are not shuffled; new keys are found by removing the
-    # batch keys that matched (at most as many as the batch has).
-    matched = current.join(F.broadcast(batch.select(*key)), key, "left_semi").select(*key)
-    fresh = s.join(matched, key, "left_anti")
-    known = t.join(F.broadcast(s), key, "left")
-    return known.unionByName(fresh.withColumn("t", F.lit(None).cast(t.schema["t"].dataType)))
-
-
 def _action(change: Sequence[str]) -> Column:
     same = F.struct(*[F.col(f"t.{c}") for c in change]).eqNullSafe(F.struct(*[F.col(f"s.{c}") for c in change]))
     action = F.when(F.col("t").isNull(), "insert").when(F.col("s").isNull(), "keep")
@@ -67,17 +51,19 @@ def paired_actions(
     *,
     order_by: Sequence[str] = (),
     deletes: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Open versions against a batch: ``key``, ``t``, ``s`` and ``action``.
 
     Actions: insert, change, unchanged, keep (absent from the batch), close (deleted and not in the batch).
+    ``unique`` says that the batch has one row per key already.
     """
     key = list(key)
-    batch = one_row_per_key(drop_null_keys(batch, key), key, order_by)
+    batch = batch if unique else one_row_per_key(drop_null_keys(batch, key), key, order_by)
     schema = merged_schema(current.select(*attributes(current)).schema, batch.schema)
     scd = T.StructType([current.schema[c] for c in SCD_COLUMNS])
     current = conform(current, T.StructType(schema.fields + scd.fields))
-    pairs = _pair(current, conform(batch, schema), key).withColumn("action", _action(change))
+    pairs = paired(current, conform(batch, schema), key).withColumn("action", _action(change))
     if deletes is not None:
         gone = drop_null_keys(deletes.select(*key), key).distinct().withColumn("__gone", F.lit(True))
         closing = F.col("__gone").isNotNull() & F.col("action").isin("keep")
@@ -99,13 +85,14 @@ def apply_scd2(
     order_by: Sequence[str] = (),
     overwrite: Sequence[str] = (),
     deletes: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """All open versions after the batch, plus the versions the batch closed (``scd_is_current`` tells them).
 
     ``current`` holds open versions only, so the cost follows the live keys, not the history.  A batch not
     newer than an open version it would change fails the job (StaleBatch); rebuild the history instead.
     """
-    pairs = paired_actions(current, batch, key, change, order_by=order_by, deletes=deletes)
+    pairs = paired_actions(current, batch, key, change, order_by=order_by, deletes=deletes, unique=unique)
     names = [c for c in pairs.schema["s"].dataType.names]
     ts = F.lit(batch_ts).cast("timestamp")
     ends = F.col("action").isin("change", "close")
@@ -161,8 +148,8 @@ def rebuild_scd2(
     rows = one_row_per_key(drop_null_keys(batches, [*key, ts]), [*key, ts], order_by)
     # A wrapped struct: NULL from lag() then means "no earlier row", never "all attributes NULL".
     rows = rows.withColumn("__now", F.struct(*change))
-    hot = hot_keys(batches, key, hot_rows)
-    if hot.isEmpty():
+    hot = hot_keys(batches, key, hot_rows) if may_be_skewed(batches) else None
+    if hot is None or hot.isEmpty():
         order = Window.partitionBy(*key).orderBy(ts)
         before = F.lag("__now").over(order)
         starts = rows.withColumn("__before", before).filter(_opens()).drop("__before")

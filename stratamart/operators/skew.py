@@ -19,29 +19,36 @@ SALTS = 64
 _HOT, _SALT = "__hot", "__salt"
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (an upper-bound style guess), without running anything."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:  # a Spark Connect frame has no JVM plan here
-        return None
+_SKEWED_PARTITION = "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"
+
+
+def _threshold_bytes(df: DataFrame, name: str) -> int:
+    text = df.sparkSession.conf.get(name)
+    return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)) \
+        if not text.lstrip("-").isdigit() else int(text)
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the session's own broadcast threshold admits this frame."""
-    try:
-        threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    except AttributeError:
-        return False
-    size = estimated_bytes(df)
-    return size is not None and 0 <= size <= threshold
+    """Whether Catalyst's size estimate of the frame is within the session's broadcast threshold."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= _threshold_bytes(df, "spark.sql.autoBroadcastJoinThreshold")
+
+
+def may_be_skewed(df: DataFrame) -> bool:
+    """Whether the inputs of the frame are larger than what AQE already calls a skewed partition.
+
+    Below that size not even one key holding every row is worth a pass to look for it.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return read > _threshold_bytes(df, _SKEWED_PARTITION)
 
 
 def hot_keys(df: DataFrame, key: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
     """The at most MAX_HOT_KEYS heaviest non-null keys having at least ``min_rows`` rows.
 
-    One pass over the key columns with map-side counting.  The result is a driver-made local frame of
-    bounded size, so broadcasting it is safe and a plan can be chosen on whether it is empty.
+    One pass over the key columns with map-side counting.  The result is a driver-made frame of bounded
+    size, so broadcasting it is safe and a plan can be chosen on whether it is empty.
     """
     present = df.select(*key)
     for c in key:
@@ -71,12 +78,12 @@ def spread_join(
     *,
     hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
-    force_shuffle: bool = False,
+    force_salting: bool = False,
 ) -> DataFrame:
     """Equi join on equally named columns whose left keys may be badly skewed.
 
     A right side within the session's broadcast threshold goes to Catalyst unchanged, which broadcasts it
-    (no shuffle, no skew).  Beyond it, rows of hot left keys and of NULL keys get a salt; the right rows of
+    (no shuffle, no skew), and so does a left side too small to be skewed.  Beyond that, rows of hot left keys and of NULL keys get a salt; the right rows of
     the hot keys, and only those, are repeated once per salt.  Every left row still meets every right row
     of its key, so inner, left, left_semi and left_anti joins are exact.
 
@@ -86,7 +93,7 @@ def spread_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot salt a {how} join")
     on = list(on)
-    if not force_shuffle and fits_broadcast(right):
+    if not force_salting and (fits_broadcast(right) or not may_be_skewed(left)):
         return left.join(right, on, how)
 
     hot = hot_keys(left if counted is None else counted, on, hot_rows)

@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.functions.keys import UNKNOWN_KEY
-from stratamart.operators.lookup import key_lookup, star_join
-from stratamart.operators.latest import incremental, next_sequence, stored_watermarks, watermarks
+from stratamart.operators.conform import current_only
+from stratamart.operators.latest import (
+    incremental, latest_per_key, next_sequence, stored_watermarks, watermarks,
+)
+from stratamart.operators.lookup import conformed_union, key_lookup, star_join
 from stratamart.operators.merge import prepared
+from stratamart.operators.scd2 import rebuild_scd2
 from stratamart.plans.dimensions import SOURCE_A, SOURCE_B, calendar_of, sales_dimension, station_dimension
 from stratamart.plans.facts import FACT_BIKE_STATUS, sales_fact, status_fact, status_sources
 from stratamart.plans.ingestion import clean_info_a, clean_info_b, clean_status_a, clean_status_b
-from stratamart.operators.latest import latest_per_key
-from stratamart.operators.conform import current_only
-from stratamart.operators.scd2 import rebuild_scd2
 from stratamart.registry.inputs import (
     LOADED_AT, SALES_SQL, STATIONS_SQL, info_a_raw, info_b_raw, sales_source, shown, sql_key, sql_ts, status_a_raw,
     status_b_raw, table,
@@ -71,7 +72,6 @@ statuses AS (
 def status_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sources conformed and united, as the fact takes them."""
     sources = status_sources(*clean_statuses(spark, sf_dir))
-    from stratamart.operators.lookup import conformed_union
     return shown(conformed_union(sources, "station_source", ["station_source", *sources[SOURCE_A].columns]))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from stratamart.operators.conform import conform
 from stratamart.operators.dedupe import one_row_per_key
-from stratamart.operators.skew import spread_join
+from stratamart.operators.skew import fits_broadcast, spread_join
 from stratamart.plans.ingestion import (
     CONTACTS, INFO_A_SOURCE, INFO_B_SOURCE, SALES, STATUS_A_SOURCE, STATUS_B_SOURCE,
 )
@@ -20,10 +20,16 @@ LOADED_AT = datetime(2024, 6, 1)
 EARLY, LATE = datetime(1998, 1, 1), datetime(2001, 1, 1)
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Stored timestamps have no zone; they are read as UTC.
+    """A given table; its schema is inferred once, and its zoneless timestamps are read as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_schemas[path]).parquet(path)
     zoneless = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
@@ -55,6 +61,13 @@ def ids(df: DataFrame, column: str) -> list:
     return sorted(r[0] for r in df.select(column).distinct().collect())
 
 
+def _with_region(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Nation and region names of ``n_nationkey``; two tables of a few rows each, joined one after the other
+    so that Catalyst sees how small they are."""
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey"))
+    return df.join(nations, "n_nationkey").join(table(spark, sf_dir, "region"), "r_regionkey")
+
+
 # --- sales -----------------------------------------------------------------------------------------------
 
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_returnflag"]
@@ -72,16 +85,18 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type", "p_retailprice")
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    suppliers = table(spark, sf_dir, "supplier").join(
-        nations, F.col("s_nationkey") == F.col("n_nationkey"),
-    ).select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "n_name", "r_name")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_name", F.col("s_nationkey").alias("n_nationkey"))
 
-    orders = spread_join(orders, customers, ["c_custkey"])
+    # A customer table too large to broadcast is joined to the orders first, which are fewer than the lines.
+    late = fits_broadcast(customers)
+    if not late:
+        orders = spread_join(orders, customers, ["c_custkey"])
     rows = spread_join(lines, orders, ["l_orderkey"], counted=raw)
+    if late:
+        rows = spread_join(rows, customers, ["c_custkey"])
     rows = spread_join(rows, parts, ["l_partkey"], counted=raw)
-    rows = spread_join(rows, suppliers, ["l_suppkey"], counted=raw)
+    rows = _with_region(spark, sf_dir, spread_join(rows, suppliers, ["l_suppkey"], counted=raw))
 
     renewed = F.year("o_orderdate") >= 1999
     price = F.col("p_retailprice").cast("decimal(10,2)")
@@ -153,13 +168,8 @@ def sql_key(*columns: str) -> str:
 
 def contacts_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contacts of four in five customers; one in ten customers has a second, older contact."""
-    nations = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    customers = spread_join(
-        table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 5 != 0)
-        .withColumnRenamed("c_nationkey", "n_nationkey"),
-        nations, ["n_nationkey"],
-    )
+    customers = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 5 != 0)
+    customers = _with_region(spark, sf_dir, customers.withColumnRenamed("c_nationkey", "n_nationkey"))
     n = F.col("c_custkey")
     which = F.explode(F.when(n % 10 == 3, F.array(F.lit("A"), F.lit("B"))).otherwise(F.array(F.lit("A"))))
     rows = customers.withColumn("which", which).select(

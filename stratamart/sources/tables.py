@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.operators.merge import delete_keys, upsert
+from stratamart.operators.merge import delete_keys, prepared, upsert
 from stratamart.operators.scd2 import apply_scd2, empty_history
 from stratamart.spec import SCD_COLUMNS, SCD_CURRENT
 
@@ -106,7 +106,7 @@ def staged(df: DataFrame, path: str | None = None) -> DataFrame:
     """The frame written to shared storage and read back: lineage is cut and survives lost executors."""
     path = path or scratch_dir(df.sparkSession)
     write_files(df, path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_batch(
@@ -122,6 +122,14 @@ def append_batch(
                 target_file_bytes=target_file_bytes, compression=compression)
 
 
+def _staged_batch(batch: DataFrame, key: Sequence[str], options: dict) -> DataFrame:
+    """The deduplicated batch, written once: a merge looks at it several times, and the size of its files
+    decides truthfully whether it may be broadcast."""
+    version = options.get("version")
+    order = [*([version] if version else []), *[c for c in options.pop("order_by", ()) if c != version]]
+    return staged(prepared(batch, key, order, options.pop("on_duplicate", "latest")))
+
+
 class SnapshotTable:
     """A table rewritten as a whole by every merge."""
 
@@ -157,7 +165,7 @@ class SnapshotTable:
         """Upsert a batch (and drop deleted keys) as version ``batch_id``, always from the version before it."""
         base = self.before(batch_id)
         target = self.read(base) if base is not None else empty_frame(self.spark, self.schema or batch.schema)
-        merged = upsert(target, batch, key, **options)
+        merged = upsert(target, _staged_batch(batch, key, options), key, unique=True, **options)
         if deletes is not None:
             merged = delete_keys(merged, deletes, key)
         self.write(merged, batch_id, **(layout or {}))
@@ -207,7 +215,7 @@ class Scd2Table(SnapshotTable):
         current = self.current(base) if base is not None else empty_history(
             empty_frame(self.spark, self.schema) if self.schema is not None else batch
         )
-        rows = apply_scd2(current, batch, key, change, batch_ts, **options)
+        rows = apply_scd2(current, _staged_batch(batch, key, options), key, change, batch_ts, unique=True, **options)
         write_files(rows, f"{self.path}/v={batch_id}", partition_by=[SCD_CURRENT], **(layout or {}))
 
 
@@ -264,8 +272,8 @@ class PartitionedTable:
         interrupted run leaves a complete staged copy and can be repeated.
         """
         layout = layout or {}
-        target = self.touched(batch)
-        merged = upsert(target, batch, key, **options)
+        batch = _staged_batch(batch, key, options)
+        merged = upsert(self.touched(batch), batch, key, unique=True, **options)
         if deletes is not None:
             merged = delete_keys(merged, deletes, key)
         if self.exists():
