@@ -1,2 +1,54 @@
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+"""Streams over landed files: results must equal those of the batch queries over the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from stratamart.plans.ingestion import CLEAN_STATUS_B, STATUS_B, clean_status_b
+from stratamart.registry.inputs import ids, shown, status_b_raw
+from stratamart.registry.keyed import batch_of, customer_orders
+from stratamart.registry.scd import CHANGE, KEY, ORACLES as SCD_ORACLES, _priorities
+from stratamart.registry.stations import ORACLES as STATION_ORACLES
+from stratamart.sources.tables import PartitionedTable, Scd2Table, scratch_dir, staged
+from stratamart.spec import INGEST_TS, with_ingest_ts
+from stratamart.streaming.micro_batch import into_raw, landed_stream, scd2_into, start, upsert_into
+
+
+def _land(batches: list[DataFrame], path: str) -> str:
+    """Write batches as JSON files, one after the other, so that older batches are older files."""
+    for batch in batches:
+        batch.hint("rebalance").write.mode("append").json(path)
+    return path
+
+
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed states of source B, cleaned and merged micro-batch by micro-batch into a table by day."""
+    raw = staged(status_b_raw(spark, sf_dir))
+    third = F.floor((F.dayofmonth(INGEST_TS) - 1) / 11)
+    landing = _land([raw.filter(third == i) for i in range(3)], scratch_dir(spark))
+    schema = T.StructType([*with_ingest_ts(STATUS_B).fields, T.StructField("day", T.DateType())])
+    table = PartitionedTable(spark, scratch_dir(spark), ["day"], schema)
+    handler = upsert_into(
+        table, list(CLEAN_STATUS_B.primary_key),
+        transform=lambda df: clean_status_b(df).withColumn("day", F.to_date("last_updated")),
+    )
+    stream = landed_stream(spark, landing, raw.schema, max_files=1)
+    start(stream, into_raw(scratch_dir(spark), handler), scratch_dir(spark), every=None).awaitTermination()
+    return shown(table.read().drop("day"))
+
+
+def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed order priorities folded into a type 2 table."""
+    rows = staged(_priorities(customer_orders(spark, sf_dir)))
+    landing = _land([batch_of(rows, at) for at in ids(rows, INGEST_TS)], scratch_dir(spark))
+    history = Scd2Table(spark, scratch_dir(spark))
+    stream = landed_stream(spark, landing, rows.schema, max_files=2)
+    handler = into_raw(scratch_dir(spark), scd2_into(history, KEY, CHANGE))
+    start(stream, handler, scratch_dir(spark), every=None).awaitTermination()
+    return shown(history.history())
+
+
+QUERIES = {"stream_upsert": stream_upsert, "stream_scd2": stream_scd2}
+ORACLES = {"stream_upsert": STATION_ORACLES["feed_status_merge"], "stream_scd2": SCD_ORACLES["scd2_fold"]}
