@@ -66,8 +66,8 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, root: str, batch_id: i
     save(spark, pipeline.silver, root, pipeline.transform(batch), batch_id, batch_ts, deletes)
 
 
-def run_model(spark: SparkSession, model: Model, root: str, batch_id: int, batch_ts: datetime, **inputs) -> None:
-    """Generate a gold batch and merge it."""
+def run_model(spark: SparkSession, model: Model, root: str, batch_id: int, batch_ts: datetime, /, **inputs) -> None:
+    """Generate a gold batch from ``inputs`` and merge it."""
     save(spark, model.table, root, model.generate(**inputs, batch_ts=batch_ts), batch_id, batch_ts)
 
 
