@@ -117,5 +117,8 @@ def merged_schema(stored: T.StructType, incoming: T.StructType) -> T.StructType:
 
 def evolve(stored: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both frames in their merged schema: new columns read NULL in old rows, missing ones NULL in new rows."""
-    schema = merged_schema(stored.schema, incoming.schema)
+    old, new = stored.schema, incoming.schema
+    if [(f.name, f.dataType) for f in old.fields] == [(f.name, f.dataType) for f in new.fields]:
+        return stored, incoming
+    schema = merged_schema(old, new)
     return conform(stored, schema), conform(incoming, schema)

@@ -145,11 +145,14 @@ def rebuild_scd2(
     are matched separately.
     """
     key = list(key)
-    rows = one_row_per_key(drop_null_keys(batches, [*key, ts]), [*key, ts], order_by)
-    # A wrapped struct: NULL from lag() then means "no earlier row", never "all attributes NULL".
-    rows = rows.withColumn("__now", F.struct(*change))
+    batches = drop_null_keys(batches, [*key, ts])
     hot = hot_keys(batches, key, hot_rows) if may_be_skewed(batches) else None
-    if hot is None or hot.isEmpty():
+    even = hot is None or hot.isEmpty()
+    # Without hot keys everything below needs the rows grouped by key only, so they are shuffled once.
+    rows = one_row_per_key(batches.repartition(*key) if even else batches, [*key, ts], order_by)
+    # A struct: NULL from lag() then means "no earlier row", never "all attributes NULL".
+    rows = rows.withColumn("__now", F.struct(*change))
+    if even:
         order = Window.partitionBy(*key).orderBy(ts)
         before = F.lag("__now").over(order)
         starts = rows.withColumn("__before", before).filter(_opens()).drop("__before")

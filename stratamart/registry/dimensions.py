@@ -16,7 +16,7 @@ from stratamart.registry.inputs import (
     CONTACTS_SQL, EARLY, LATE, LOADED_AT, SALES_SQL, STATIONS_SQL, contacts_source, sales_source, scd2_sql, shown,
     sql_key, sql_ts, table,
 )
-from stratamart.sources.tables import Scd2Table, scratch_dir
+from stratamart.sources.tables import Scd2Table, scratch_dir, staged
 from stratamart.spec import INGEST_TS, SOURCE_INGEST_TS
 
 
@@ -29,6 +29,11 @@ def _two_steps(spark: SparkSession, generate, key: str, change, overwrite=()) ->
     return shown(dimension.history().drop(INGEST_TS))
 
 
+def _attribute_rows(spark: SparkSession, sf_dir: str, attributes) -> DataFrame:
+    """The distinct attribute rows of every batch: all a dimension needs from the sales, written once."""
+    return staged(sales_source(spark, sf_dir).select(*attributes, INGEST_TS).distinct())
+
+
 def _as_of(sales: DataFrame, as_of) -> DataFrame:
     return sales.filter(F.col(INGEST_TS) <= F.lit(as_of))
 
@@ -37,7 +42,7 @@ def _sales_dimension(name: str):
     key, attributes, _ = SALES_DIMENSIONS[name]
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sales = sales_source(spark, sf_dir)
+        sales = _attribute_rows(spark, sf_dir, attributes)
         return _two_steps(spark, lambda at: sales_dimension(name, _as_of(sales, at), at), key, attributes)
 
     return query
@@ -45,9 +50,9 @@ def _sales_dimension(name: str):
 
 def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contact columns arrive with the second step; they are refreshed in place, without new versions."""
-    sales = sales_source(spark, sf_dir)
-    contacts = contacts_source(spark, sf_dir)
     key, attributes, _ = SALES_DIMENSIONS["dim_customer"]
+    sales = _attribute_rows(spark, sf_dir, attributes)
+    contacts = contacts_source(spark, sf_dir)
 
     def generate(at):
         return customer_dimension(_as_of(sales, at), contacts if at == LATE else None, at)

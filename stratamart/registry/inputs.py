@@ -232,8 +232,11 @@ def _geo() -> Column:
     return F.struct((F.lit(2.0) + near).alias("lon"), (F.lit(48.0) + near).alias("lat"))
 
 
-def status_a_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text flags, coordinates in a struct, some missing station codes and malformed due dates."""
+def status_a_raw(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """Text flags, coordinates in a struct, some missing station codes and malformed due dates.
+
+    ``keep`` names columns of the events to carry along.
+    """
     u, k = F.col("user_id"), F.col("k")
     rows = _events(spark, sf_dir).filter(F.col("event_type").isin(*A_EVENTS)).select(
         F.when(F.col("event_id") % 101 != 0, u.cast("string")).alias("stationcode"),
@@ -253,11 +256,12 @@ def status_a_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _hours().alias("station_opening_hours"),
         F.col("ts").alias("timestamp"),
         F.date_trunc("day", "ts").alias(INGEST_TS),
+        *(keep or []),
     )
-    return conform(rows, with_ingest_ts(STATUS_A_SOURCE))
+    return conform(rows, with_ingest_ts(STATUS_A_SOURCE), keep_extra=True)
 
 
-def status_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def status_b_raw(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """1/0 flags, epoch seconds, some report times before 1900."""
     u, k, seconds = F.col("user_id"), F.col("k"), F.unix_seconds(F.col("ts"))
     rows = _events(spark, sf_dir).filter(~F.col("event_type").isin(*A_EVENTS)).select(
@@ -267,8 +271,9 @@ def status_b_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _flag(10, 1, 0).alias("is_renting"), _flag(20, 1, 0).alias("is_returning"),
         F.when(F.col("event_id") % 97 == 0, F.lit(-3000000000)).otherwise(seconds - k).alias("last_reported"),
         F.date_trunc("day", "ts").alias(INGEST_TS),
+        *(keep or []),
     )
-    return conform(rows, with_ingest_ts(STATUS_B_SOURCE))
+    return conform(rows, with_ingest_ts(STATUS_B_SOURCE), keep_extra=True)
 
 
 def _per_week(events: DataFrame, columns: list[str]) -> DataFrame:

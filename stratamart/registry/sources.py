@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.plans.ingestion import clean_info_b, clean_status_a, clean_status_b, info_b_source, status_b_source
-from stratamart.plans.ingestion import STATUS_A_SOURCE, info_a_source
+from stratamart.plans.ingestion import (
+    STATUS_A_SOURCE, clean_info_b, clean_status_a, clean_status_b, info_a_source, info_b_source, status_b_source,
+)
 from stratamart.registry.inputs import (
-    EVENTS_SQL, LATE, LOADED_AT, STATIONS_SQL, info_a_raw, info_b_raw, shown, sql_ts, status_a_raw, status_b_raw, table,
+    LATE, LOADED_AT, STATIONS_SQL, info_a_raw, info_b_raw, shown, sql_ts, status_a_raw, status_b_raw, table,
 )
 from stratamart.sources.feeds import malformed_documents, page_of, paged_records
 from stratamart.sources.generators import (
@@ -75,20 +76,16 @@ def paged_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def paged_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station states of source A, read from pages and cleaned; malformed due dates stay text here."""
-    rows = status_a_raw(spark, sf_dir)
-    number = F.unix_seconds("timestamp") - F.unix_seconds(F.date_trunc("day", "timestamp"))
-    page = rows.withColumns({"poll": F.date_trunc("day", "timestamp"), "page": F.floor(number / 3600)})
-    documents = page.groupBy("poll", "page").agg(F.collect_list(F.struct(*STATUS_A_SOURCE.names)).alias("results"))
-    path = scratch_dir(spark)
-    documents.select("results").write.json(path)
+    rows = status_a_raw(spark, sf_dir, ["event_id"])
+    path = _land_pages(rows.select(*STATUS_A_SOURCE.names, "event_id"), F.col("event_id"), scratch_dir(spark))
     records = paged_records(spark, path, STATUS_A_SOURCE, where="stationcode is not null")
     return shown(clean_status_a(records).select("stationcode", "timestamp", "is_installed", "numbikesavailable",
                                                 "duedate", "longitude"))
 
 
-def _land_feed(rows: DataFrame, station: str, updated: str, fields: list, path: str) -> str:
-    """Write rows as feed documents of one poll and at most PAGE stations."""
-    documents = rows.withColumn("block", F.floor(F.col(station) / PAGE)).groupBy(updated, "block").agg(
+def _land_feed(rows: DataFrame, number: str, updated: str, fields: list, path: str) -> str:
+    """Write rows as feed documents of one poll and at most PAGE stations; ``number`` is unique within a poll."""
+    documents = rows.withColumn("block", F.floor(F.col(number) / PAGE)).groupBy(updated, "block").agg(
         F.collect_list(F.struct(*fields)).alias("stations"))
     documents.select(F.col(updated).cast("string").alias("last_updated"), F.struct("stations").alias("data")).write.json(
         path)
@@ -106,9 +103,9 @@ def feed_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States of source B from feed documents: one document per poll of the day and block of stations."""
-    rows = status_b_raw(spark, sf_dir).drop(INGEST_TS)
-    fields = [c for c in rows.columns if c != "last_updated"]
-    path = _land_feed(rows, "station_id", "last_updated", fields, scratch_dir(spark))
+    rows = status_b_raw(spark, sf_dir, ["event_id"]).drop(INGEST_TS)
+    fields = [c for c in rows.columns if c not in ("last_updated", "event_id")]
+    path = _land_feed(rows, "event_id", "last_updated", fields, scratch_dir(spark))
     return shown(clean_status_b(status_b_source(spark, path)))
 
 

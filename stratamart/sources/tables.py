@@ -55,9 +55,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def child_names(spark: SparkSession, path: str) -> list[str]:
-    fs, jpath = _file_system(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing paths of a glob pattern, in one listing."""
+    fs, jpath = _file_system(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(jpath) or []]
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -138,8 +139,8 @@ class SnapshotTable:
 
     def versions(self) -> list[int]:
         """Complete versions, oldest first."""
-        found = [int(n[2:]) for n in child_names(self.spark, self.path) if n.startswith("v=") and n[2:].isdigit()]
-        return [v for v in sorted(found) if path_exists(self.spark, f"{self.path}/v={v}/_SUCCESS")]
+        complete = matching_paths(self.spark, f"{self.path}/v=*/_SUCCESS")
+        return sorted(int(p.rsplit("/v=", 1)[1].split("/")[0]) for p in complete)
 
     def before(self, version: int) -> int | None:
         older = [v for v in self.versions() if v < version]
@@ -188,7 +189,8 @@ class Scd2Table(SnapshotTable):
     def history(self, version: int | None = None) -> DataFrame:
         """All versions known after the given batch."""
         usable = [v for v in self.versions() if version is None or v <= version]
-        closed = [p for p in (self._part(v, False) for v in usable) if path_exists(self.spark, p)]
+        stored = matching_paths(self.spark, f"{self.path}/v=*/{SCD_CURRENT}=false")
+        closed = [p for p in stored if int(p.rsplit("/v=", 1)[1].split("/")[0]) in usable]
         out = self.current(version)
         if closed:
             # The open versions have the latest schema; older files lack its new columns and read them as NULL.
