@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratamart.functions.keys import UNKNOWN_KEY
 from stratamart.operators.conform import current_only
 from stratamart.operators.dedupe import one_row_per_key
-from stratamart.operators.skew import HOT_ROWS, spread_join
+from stratamart.operators.skew import spread_join
 from stratamart.spec import SCD_CURRENT
 
 
@@ -20,7 +20,7 @@ def enrich_left(
     on: Sequence[str],
     *,
     dedupe_right: Sequence[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the columns of ``extra`` where its key matches.
 
@@ -39,28 +39,33 @@ def key_lookup(
     key: str,
     *,
     unknown: str = UNKNOWN_KEY,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the dimension's current surrogate key; a missing or NULL natural key gives the unknown member."""
+    """Add the dimension's current surrogate key; a missing or NULL natural key gives the unknown member.
+
+    ``counted`` as in `spread_join`: in a chain of lookups, the frame the chain starts from.
+    """
     members = current_only(dimension) if SCD_CURRENT in dimension.columns else dimension
     members = members.select(*natural_key, key)
-    found = spread_join(fact.drop(key), members, natural_key, "left", hot_rows=hot_rows)
+    found = spread_join(fact.drop(key), members, natural_key, "left", hot_rows=hot_rows, counted=counted)
     return found.withColumn(key, F.coalesce(F.col(key), F.lit(unknown)))
 
 
 def star_join(
-    fact: DataFrame, dimensions: Mapping[str, DataFrame], *, how: str = "inner", hot_rows: int = HOT_ROWS
+    fact: DataFrame, dimensions: Mapping[str, DataFrame], *, how: str = "inner", hot_rows: int | None = None
 ) -> DataFrame:
     """Join the fact to dimensions given by surrogate-key column.
 
     Only current versions take part, otherwise a dimension with history multiplies the fact.  Attributes
-    must be selected and renamed by the caller; columns already present are not brought in again.
+    must be selected and renamed by the caller; columns already present are not brought in again.  Hot keys
+    are counted on the fact itself, not on the joins so far.
     """
     out = fact
     for key, dimension in dimensions.items():
         members = current_only(dimension) if SCD_CURRENT in dimension.columns else dimension
         fresh = [c for c in members.columns if c not in out.columns and not c.startswith("scd_")]
-        out = spread_join(out, members.select(key, *fresh), [key], how, hot_rows=hot_rows)
+        out = spread_join(out, members.select(key, *fresh), [key], how, hot_rows=hot_rows, counted=fact)
     return out
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators.conform import current_only
-from stratamart.operators.skew import HOT_ROWS, spread_join
+from stratamart.operators.skew import spread_join
 from stratamart.spec import SCD_CURRENT, SaveMode, TableSpec
 
 FINDING_COLUMNS = ("table_name", "check_name", "columns", "violations", "ingest_ts")
@@ -26,7 +26,7 @@ def _any_null(columns: Sequence[str]) -> Column:
 
 
 def orphans(fact: DataFrame, dimension: DataFrame, columns: Sequence[str], ref_columns: Sequence[str],
-            *, hot_rows: int = HOT_ROWS) -> DataFrame:
+            *, hot_rows: int | None = None) -> DataFrame:
     """Fact rows whose (non-null) reference has no member.
 
     A fact has few distinct references: they are reduced before the join, and the join that fetches the

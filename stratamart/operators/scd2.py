@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from stratamart.operators.conform import conform, drop_null_keys, merged_schema
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.pairing import paired
-from stratamart.operators.skew import HOT_ROWS, hot_keys, may_be_skewed
+from stratamart.operators.skew import hot_keys, may_be_skewed
 from stratamart.spec import SCD_COLUMNS, SCD_CURRENT, SCD_END, SCD_START
 
 # Time slices a hot key's history is cut into.
@@ -136,7 +136,7 @@ def rebuild_scd2(
     ts: str,
     *,
     order_by: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The whole history from all batches at once; equal to folding them one by one in ``ts`` order.
 

@@ -10,8 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with fewer rows than this fits one task comfortably.
+# A key with fewer rows than this fits one task comfortably; the session setting overrides the default.
 HOT_ROWS = 2_000_000
+HOT_ROWS_SETTING = "stratamart.hotRows"
 # Heaviest keys considered.  Beyond rank n a key holds less than 1/n of all rows, so the list may be short.
 MAX_HOT_KEYS = 1_000
 SALTS = 64
@@ -44,12 +45,14 @@ def may_be_skewed(df: DataFrame) -> bool:
     return read > _threshold_bytes(df, _SKEWED_PARTITION)
 
 
-def hot_keys(df: DataFrame, key: Sequence[str], min_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, key: Sequence[str], min_rows: int | None = None) -> DataFrame:
     """The at most MAX_HOT_KEYS heaviest non-null keys having at least ``min_rows`` rows.
 
     One pass over the key columns with map-side counting.  The result is a driver-made frame of bounded
     size, so broadcasting it is safe and a plan can be chosen on whether it is empty.
     """
+    if min_rows is None:
+        min_rows = int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
     present = df.select(*key)
     for c in key:
         present = present.filter(F.col(c).isNotNull())
@@ -76,7 +79,7 @@ def spread_join(
     on: Sequence[str],
     how: str = "inner",
     *,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     counted: DataFrame | None = None,
     force_salting: bool = False,
 ) -> DataFrame:

@@ -108,17 +108,17 @@ def next_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def looked_up_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Surrogate keys taken from stored dimensions; products of one brand are missing from theirs."""
-    sales = sales_source(spark, sf_dir)
+    sales = staged(sales_source(spark, sf_dir))
     stores = staged(latest_per_key(sales_dimension("dim_store", sales, LOADED_AT), ["store_id"], SOURCE_INGEST_TS,
                                    unique=True))
     known = sales.filter(~F.col("brand").startswith("Brand#1"))
     products = staged(latest_per_key(sales_dimension("dim_product", known, LOADED_AT), ["product_id"],
                                      SOURCE_INGEST_TS, unique=True))
     promos = staged(sales_dimension("dim_promo", sales, LOADED_AT))
-    rows = sales.select("order_id", "order_line", "store_id", "product_id", "promo_code")
+    rows = fact = sales.select("order_id", "order_line", "store_id", "product_id", "promo_code")
     rows = key_lookup(rows, stores, ["store_id"], "store_key")
-    rows = key_lookup(rows, products, ["product_id"], "product_key")
-    rows = key_lookup(rows, promos, ["promo_code"], "promo_key")
+    rows = key_lookup(rows, products, ["product_id"], "product_key", counted=fact)
+    rows = key_lookup(rows, promos, ["promo_code"], "promo_key", counted=fact)
     return rows.select("order_id", "order_line", "store_key", "product_key", "promo_key")
 
 

@@ -94,7 +94,7 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders = spread_join(orders, customers, ["c_custkey"])
     rows = spread_join(lines, orders, ["l_orderkey"], counted=raw)
     if late:
-        rows = spread_join(rows, customers, ["c_custkey"])
+        rows = rows.join(customers, "c_custkey")
     rows = spread_join(rows, parts, ["l_partkey"], counted=raw)
     rows = _with_region(spark, sf_dir, spread_join(rows, suppliers, ["l_suppkey"], counted=raw))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.scd2 import rebuild_scd2
 from stratamart.registry.inputs import ids, scd2_sql, shown, sql_ts, table
-from stratamart.registry.keyed import NEWEST, batch_of, raw_orders
+from stratamart.registry.keyed import NEWEST, batch_of, customer_orders, raw_orders
 from stratamart.sources.tables import Scd2Table, scratch_dir
 from stratamart.spec import INGEST_TS
 
@@ -34,8 +34,8 @@ def scd2_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, _ = raw_orders(spark, sf_dir)
-    return shown(rebuild_scd2(_priorities(raw), KEY, CHANGE, INGEST_TS))
+    orders = customer_orders(spark, sf_dir).select("o_custkey", "o_orderkey", "o_orderdate", "o_orderpriority", INGEST_TS)
+    return shown(rebuild_scd2(orders, KEY, CHANGE, INGEST_TS, order_by=NEWEST).drop("o_orderdate"))
 
 
 def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
