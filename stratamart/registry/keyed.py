@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.operators.audit import audit_row
+from stratamart.operators.conform import current_only
 from stratamart.operators.merge import delete_keys, merge_actions, upsert
-from stratamart.operators.scd2 import paired_actions
+from stratamart.operators.scd2 import paired_actions, rebuild_scd2
 from stratamart.plans.ingestion import CLEAN_CONTACTS, CLEAN_SALES, RAW_SALES, contacts_pipeline, sales_pipeline
 from stratamart.plans.runs import read_table, run_pipeline
 from stratamart.registry.inputs import (
@@ -34,7 +35,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[dateti
     """The batches landed in one raw table, partitioned by batch, and the batch timestamps."""
     path = scratch_dir(spark)
     orders = customer_orders(spark, sf_dir)
-    append_batch(orders, path, [INGEST_TS])
+    append_batch(orders, path, [INGEST_TS], rebalance=True)
     raw = PartitionedTable(spark, path, [INGEST_TS], orders.schema).read()
     return raw, ids(raw, INGEST_TS)
 
@@ -47,7 +48,7 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All batches appended, the last one twice."""
     path = scratch_dir(spark)
     orders = customer_orders(spark, sf_dir)
-    append_batch(orders, path, [INGEST_TS])
+    append_batch(orders, path, [INGEST_TS], rebalance=True)
     last = orders.agg(F.max(INGEST_TS)).first()[0]
     append_batch(batch_of(orders, last), path, [INGEST_TS])
     raw = PartitionedTable(spark, path, [INGEST_TS], orders.schema).read()
@@ -98,10 +99,10 @@ def merge_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merge_key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders outside the key range of the batch bypass the merge join."""
+    """The upper half of the orders changes; those below its key range bypass the merge join."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    middle = orders.agg((F.max("o_orderkey") / 2).cast("bigint")).first()[0]
-    batch = orders.filter(F.col("o_orderkey").between(middle, middle + 999)).withColumn("o_orderstatus", F.lit("U"))
+    middle = orders.agg(F.floor(F.max("o_orderkey") / 2)).first()[0]
+    batch = orders.filter(F.col("o_orderkey") >= middle).withColumn("o_orderstatus", F.lit("U"))
     return upsert(orders, batch, ["o_orderkey"], key_range="o_orderkey")
 
 
@@ -133,21 +134,16 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the 2001 order priorities would do to the type 2 table of the 1998 ones."""
-    orders = customer_orders(spark, sf_dir)
-    per_year = ["o_custkey", "o_orderpriority", "o_orderdate", "o_orderkey"]
-    first, second = (batch_of(orders, at).select(*per_year) for at in (EARLY, LATE))
-    open_versions = staged(_opened(first))
-    actions = paired_actions(open_versions, second, ["o_custkey"], ["o_orderpriority"], order_by=NEWEST)
+    """What the 2001 order priorities would do to the type 2 table of all earlier ones."""
+    orders = customer_orders(spark, sf_dir).select("o_custkey", "o_orderpriority", *NEWEST, INGEST_TS)
+    key, change = ["o_custkey"], ["o_orderpriority"]
+    earlier = rebuild_scd2(orders.filter(F.col(INGEST_TS) < F.lit(LATE)), key, change, INGEST_TS, order_by=NEWEST)
+    last = batch_of(orders, LATE).drop(INGEST_TS)
+    actions = paired_actions(staged(current_only(earlier)), last, key, change, order_by=NEWEST)
     kinds = ("insert", "change", "unchanged", "keep")
     return shown(audit_row(actions, "priorities", LATE, kinds))
 
 
-def _opened(batch: DataFrame) -> DataFrame:
-    from stratamart.operators.scd2 import apply_scd2, empty_history
-    return apply_scd2(empty_history(batch), batch, ["o_custkey"], ["o_orderpriority"], EARLY, order_by=NEWEST)
-
-
 def ingest_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales landed and merged in two runs, the second one repeated; raw and cleaned rows per state."""
     sales, root = staged(sales_source(spark, sf_dir)), scratch_dir(spark)
@@ -215,7 +211,7 @@ WITH kept AS (
 SELECT * REPLACE ({sql_ts('o_orderdate')} AS o_orderdate), CAST(year(o_orderdate) AS INTEGER) AS order_year FROM kept""",
     "merge_key_range": """
 WITH m AS (SELECT max(o_orderkey) // 2 AS middle FROM orders)
-SELECT o_orderkey, CASE WHEN o_orderkey BETWEEN middle AND middle + 999 THEN 'U' ELSE o_orderstatus END
+SELECT o_orderkey, CASE WHEN o_orderkey >= middle THEN 'U' ELSE o_orderstatus END
          AS o_orderstatus, o_totalprice FROM orders, m""",
     "schema_evolution": """
 SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
@@ -238,9 +234,9 @@ SELECT 'newest_orders' AS table_name, {sql_ts('ingest_ts')} AS ingest_ts, ins AS
 FROM merged JOIN removed USING (ingest_ts)""",
     "scd2_audit": """
 WITH picked AS (
-  SELECT o_custkey, year(o_orderdate) AS y, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p
+  SELECT o_custkey, year(o_orderdate) = 2001 AS last, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS p
   FROM orders GROUP BY ALL),
-a AS (SELECT * FROM picked WHERE y = 1998), b AS (SELECT * FROM picked WHERE y = 2001)
+a AS (SELECT * FROM picked WHERE NOT last), b AS (SELECT * FROM picked WHERE last)
 SELECT 'priorities' AS table_name, '2001-01-01 00:00:00.000000' AS ingest_ts,
        count(*) FILTER (WHERE a.o_custkey IS NULL) AS rows_insert,
        count(*) FILTER (WHERE a.p <> b.p) AS rows_change,

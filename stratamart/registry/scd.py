@@ -56,7 +56,7 @@ def scd2_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     debtors = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 0).select(
         F.col("c_custkey").alias("o_custkey"))
     history = Scd2Table(spark, scratch_dir(spark))
-    for number, at in enumerate((batches[0], batches[-1])):
+    for number, at in enumerate(batches):
         deletes = debtors if at == batches[-1] else None
         history.apply(_priorities(batch_of(raw, at)).drop(INGEST_TS), KEY, CHANGE, number, at, deletes=deletes)
     return shown(history.history())
@@ -96,19 +96,13 @@ SELECT o_custkey, arg_max(o_orderkey, scd_start_ts) AS o_orderkey,
 FROM history WHERE scd_start_ts <= TIMESTAMP '1998-07-01' GROUP BY o_custkey""",
     "scd2_delete": f"""
 WITH {PRIORITIES_SQL},
-bounds AS (SELECT min(ingest_ts) AS t1, max(ingest_ts) AS t2 FROM batches),
-a AS (SELECT batches.* FROM batches, bounds WHERE ingest_ts = t1),
-b AS (SELECT batches.* FROM batches, bounds WHERE ingest_ts = t2),
-gone AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0),
+last AS (SELECT max(ingest_ts) AS t FROM batches),
 versions AS (
-  SELECT a.o_custkey, a.o_orderkey, a.o_orderpriority, t1 AS scd_start_ts,
-         CASE WHEN b.o_custkey IS NULL AND a.o_custkey IN (SELECT c_custkey FROM gone) THEN t2
-              WHEN b.o_orderpriority <> a.o_orderpriority THEN t2 END AS scd_end_ts
-  FROM a LEFT JOIN b USING (o_custkey), bounds
-  UNION ALL
-  SELECT b.o_custkey, b.o_orderkey, b.o_orderpriority, t2, NULL
-  FROM b LEFT JOIN a USING (o_custkey), bounds
-  WHERE a.o_custkey IS NULL OR a.o_orderpriority <> b.o_orderpriority)
+  SELECT o_custkey, o_orderkey, o_orderpriority, scd_start_ts,
+         CASE WHEN scd_end_ts IS NULL AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+                   AND o_custkey NOT IN (SELECT o_custkey FROM batches, last WHERE ingest_ts = t)
+              THEN (SELECT t FROM last) ELSE scd_end_ts END AS scd_end_ts
+  FROM history)
 SELECT o_custkey, o_orderkey, o_orderpriority, {sql_ts('scd_start_ts')} AS scd_start_ts,
        {sql_ts('scd_end_ts')} AS scd_end_ts, scd_end_ts IS NULL AS scd_is_current
 FROM versions""",

@@ -25,10 +25,11 @@ PART = T.StructType().add("p_partkey", "long").add("p_name", "string").add("p_si
     "p_retailprice", "double")
 
 
-def _land_pages(rows: DataFrame, number, path: str) -> str:
-    """Write rows as page documents of at most PAGE records; ``number`` is a unique row number."""
-    page = rows.withColumn("page", F.floor(number / PAGE)).groupBy("page").agg(
-        F.collect_list(F.struct(*rows.columns)).alias("results"))
+def _land_pages(rows: DataFrame, number, path: str, poll: list[str] | None = None) -> str:
+    """Write rows as page documents of at most PAGE records; ``number`` is a row number, unique within a poll."""
+    record = [c for c in rows.columns if c not in (poll or [])]
+    page = rows.withColumn("page", F.floor(number / PAGE)).groupBy(*(poll or []), "page").agg(
+        F.collect_list(F.struct(*record)).alias("results"))
     page.select("results").write.json(path)
     return path
 
@@ -68,8 +69,7 @@ def malformed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def paged_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station attributes of source A, read from pages: the struct of coordinates survives the round trip."""
-    rows = info_a_raw(spark, sf_dir).filter(F.col(INGEST_TS) == F.lit("2024-01-08").cast("timestamp")).drop(INGEST_TS)
-    path = _land_pages(rows, F.col("stationcode").cast("bigint"), scratch_dir(spark))
+    path = _land_pages(info_a_raw(spark, sf_dir), F.col("stationcode").cast("bigint"), scratch_dir(spark), [INGEST_TS])
     return info_a_source(spark, path).select("stationcode", "name", "capacity", "coordonnees_geo.lon",
                                              "coordonnees_geo.lat", "station_opening_hours")
 
@@ -161,7 +161,7 @@ SELECT 'quarantined', count(DISTINCT p_partkey // 100), NULL FROM part WHERE p_p
 WITH {STATIONS_SQL}
 SELECT stationcode, name, CAST(capacity AS INTEGER) AS capacity, longitude AS lon, latitude AS lat,
        station_opening_hours
-FROM info_a WHERE ingest_ts = TIMESTAMP '2024-01-08'""",
+FROM info_a""",
     "paged_states": f"""
 WITH {STATIONS_SQL}
 SELECT stationcode, {sql_ts('''date_trunc('millisecond', "timestamp")''')} AS "timestamp", is_installed,

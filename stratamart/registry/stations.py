@@ -80,10 +80,9 @@ def info_history_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attributes of source A and states of source B run through their whole pipelines; the last run twice."""
+    """Attributes of source A and states of source B run through their whole pipelines, week by week."""
     info, status, root = staged(info_a_raw(spark, sf_dir)), staged(status_b_raw(spark, sf_dir)), scratch_dir(spark)
-    weeks = ids(info, INGEST_TS)[:2]
-    for number, at in (*enumerate(weeks), (len(weeks) - 1, weeks[-1])):
+    for number, at in enumerate(ids(info, INGEST_TS)):
         week = F.date_trunc("week", INGEST_TS) == F.lit(at)
         run_pipeline(spark, info_a_pipeline(lambda _, w=week: info.filter(w).drop(INGEST_TS)), root, number, at)
         run_pipeline(spark, status_b_pipeline(lambda _, w=week: status.filter(w).drop(INGEST_TS)), root, number, at)
@@ -145,12 +144,10 @@ WITH {STATIONS_SQL}
 SELECT * EXCLUDE (scd_start_ts, scd_end_ts) REPLACE ({sql_ts('ingest_ts')} AS ingest_ts,
        {sql_ts('last_updated')} AS last_updated), {_SCD} FROM ({_B_HISTORY})""",
     "ingest_stations": f"""
-WITH {STATIONS_SQL},
-weeks AS (SELECT DISTINCT ingest_ts AS week FROM info_a ORDER BY 1 LIMIT 2),
-versions AS (SELECT * FROM ({_A_HISTORY}) WHERE scd_start_ts IN (SELECT week FROM weeks))
+WITH {STATIONS_SQL}
 SELECT 'info_a' AS table_name, stationcode AS station_id, CAST(capacity AS INTEGER) AS n,
-       {sql_ts('scd_start_ts')} AS since FROM versions
+       {sql_ts('scd_start_ts')} AS since FROM ({_A_HISTORY})
 UNION ALL
 SELECT 'status_b', CAST(station_id AS VARCHAR), num_bikes_available, {sql_ts('last_updated')}
-FROM status_b_clean WHERE date_trunc('week', ingest_ts) IN (SELECT week FROM weeks)""",
+FROM status_b_clean""",
 }

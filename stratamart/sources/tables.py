@@ -115,11 +115,16 @@ def append_batch(
     path: str,
     partition_by: Sequence[str],
     *,
+    rebalance: bool = False,
     target_file_bytes: int = TARGET_FILE_BYTES,
     compression: str = "snappy",
 ) -> None:
-    """Add a batch as its own partitions; repeating the batch replaces them instead of doubling the rows."""
-    write_files(df, path, partition_by=partition_by, rebalance=True, dynamic=True,
+    """Add a batch as its own partitions; repeating the batch replaces them instead of doubling the rows.
+
+    A batch that is one partition is written where it was read, without a shuffle; ``rebalance`` one that
+    spreads over many, or every task leaves a small file in each of them.
+    """
+    write_files(df, path, partition_by=partition_by, rebalance=rebalance, dynamic=True,
                 target_file_bytes=target_file_bytes, compression=compression)
 
 
