@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from stratamart.operators.skew import fits_broadcast
 
 
+def prefer_broadcast(stored: DataFrame, batch: DataFrame) -> bool:
+    """A small batch against a large table.  If both are small, one shuffle is cheaper than two reads."""
+    return fits_broadcast(batch) and not fits_broadcast(stored)
+
+
 def paired(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key columns plus structs ``t`` (stored row) and ``s`` (batch row), NULL where absent.
 
@@ -19,11 +24,11 @@ def paired(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame
     key = list(key)
     t = stored.select(*key, F.struct(*stored.columns).alias("t"))
     s = batch.select(*key, F.struct(*batch.columns).alias("s"))
-    if not fits_broadcast(batch):
+    if not prefer_broadcast(stored, batch):
         return t.join(s, key, "full_outer")
-    # A small batch is broadcast, so the stored rows are not shuffled; new keys are found by removing the
-    # batch keys that matched (at most as many as the batch has).
+    # The batch is broadcast, so the stored rows are not shuffled; new keys are found by removing the
+    # batch keys that matched, which are never more than the batch has.
     matched = stored.join(F.broadcast(batch.select(*key)), key, "left_semi").select(*key)
-    fresh = s.join(matched, key, "left_anti")
+    fresh = s.join(F.broadcast(matched), key, "left_anti")
     known = t.join(F.broadcast(s), key, "left")
     return known.unionByName(fresh.withColumn("t", F.lit(None).cast(t.schema["t"].dataType)))

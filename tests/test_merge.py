@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from stratamart.operators import pairing
 from stratamart.operators.audit import audit_row
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.latest import (
@@ -21,18 +22,11 @@ MERGED = [(1, "a", 1), (2, "B", 2), (3, "c", 1), (4, "d", 2)]
 COLUMNS = "k int, v string, ver int"
 
 
-@pytest.fixture(params=["memory", "files"])
-def frames(request, spark, tmp_path):
-    """Frames of unknown size (joined by shuffles) and frames from small files (broadcast)."""
-
-    def make(data, schema, name):
-        df = spark.createDataFrame(data, schema)
-        if request.param == "memory":
-            return df
-        df.write.parquet(f"{tmp_path}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}")
-
-    return make
+@pytest.fixture(params=["shuffled", "broadcast"])
+def frames(request, spark, monkeypatch):
+    """Frames whose merges shuffle both sides, or broadcast the batch."""
+    monkeypatch.setattr(pairing, "prefer_broadcast", lambda stored, batch: request.param == "broadcast")
+    return lambda data, schema, name: spark.createDataFrame(data, schema)
 
 
 def test_upsert(frames):
@@ -181,6 +175,17 @@ def test_lookup_star_and_union(spark):
     assert both.count() == 6 and both.columns == ["src", "id"]
 
 
+def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
+    spark.range(2_000_000).selectExpr("id as k", "xxhash64(id) as v", "1 as ver").write.parquet(f"{tmp_path}/t")
+    spark.range(10).selectExpr("id as k", "0L as v", "2 as ver").write.parquet(f"{tmp_path}/b")
+    target, batch = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/b")
+    for options in ({"version": "ver"}, {}):
+        merged = upsert(target, batch, ["k"], unique=True, **options)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        assert merged.count() == 2_000_000
+
+
 def test_small_dimension_is_broadcast(spark, tmp_path):
     spark.range(10).selectExpr("id as k", "id as label").write.parquet(f"{tmp_path}/d")
     fact = spark.range(100).selectExpr("id % 10 as k", "id")

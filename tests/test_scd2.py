@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from stratamart.operators import pairing
 from stratamart.operators.scd2 import apply_scd2, paired_actions, rebuild_scd2
 from stratamart.sources.tables import Scd2Table
 from stratamart.spec import SCD_CURRENT, SCD_END, SCD_START
@@ -54,7 +55,9 @@ def test_fold_and_replay(spark, tmp_path):
     assert broken(table.history(), ["k"]) == 0
 
 
-def test_fold_without_broadcast(spark, tmp_path, no_broadcast):
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_both_joins_fold_alike(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(pairing, "prefer_broadcast", lambda stored, batch: broadcast)
     assert by_text(rows(fold(spark, tmp_path / "h", BATCHES).history())) == by_text(EXPECTED)
 
 
