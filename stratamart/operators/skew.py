@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key with fewer rows than this fits one task comfortably; the session setting overrides the default.
 HOT_ROWS = 2_000_000
@@ -70,7 +71,8 @@ def hot_keys(df: DataFrame, key: Sequence[str], min_rows: int | None = None) ->
 def _spread(df: DataFrame) -> Column:
     # Stable when a task is run again (a random salt would not be), and equal rows in different input
     # partitions get different values, so copies of one row spread too.
-    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]) + F.spark_partition_id(), F.lit(SALTS)).cast("int")
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(SALTS)).cast("int")
 
 
 def spread_join(
@@ -96,6 +98,9 @@ def spread_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot salt a {how} join")
     on = list(on)
+    clash = (set(left.columns) & set(right.columns)) - set(on)
+    if clash and how in ("inner", "left"):
+        raise ValueError(f"columns on both sides that are not joined on: {sorted(clash)}")
     if not force_salting and (fits_broadcast(right) or not may_be_skewed(left)):
         return left.join(right, on, how)
 

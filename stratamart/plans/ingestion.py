@@ -16,6 +16,8 @@ from stratamart.spec import INGEST_TS, Pipeline, SaveMode, TableSpec, schema_of,
 
 RAW, CLEAN, GOLD = "bronze", "silver", "gold"
 MONEY = T.DecimalType(10, 2)
+# Order numbers grow, so a batch falls into the last blocks of the tables keyed by them.
+ORDERS_PER_BLOCK = 50_000_000
 GEO = T.StructType().add("lon", "double").add("lat", "double")
 
 # The declared columns of the sources.
@@ -138,7 +140,8 @@ RAW_INFO_B = _raw("station_info_b", INFO_B_SOURCE, ("station_id", "last_updated"
 RAW_STATUS_B = _raw("station_status_b", STATUS_B_SOURCE, ("station_id", "last_updated"), "Raw station states, source B")
 
 CLEAN_SALES = TableSpec("sales_transactions", CLEAN, with_ingest_ts(SALES), SaveMode.MERGE, ("order_id", "order_line"),
-                        version_column=INGEST_TS, description="One row per sales line")
+                        version_column=INGEST_TS, key_blocks=("order_id", ORDERS_PER_BLOCK),
+                        description="One row per sales line")
 CLEAN_CONTACTS = TableSpec("contacts", CLEAN, with_ingest_ts(CONTACTS), SaveMode.MERGE, ("contact_id",),
                            version_column=INGEST_TS, description="One row per contact")
 CLEAN_INFO_A = TableSpec(

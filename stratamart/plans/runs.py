@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from stratamart.operators.conform import conform, stamp
 from stratamart.sources.tables import PartitionedTable, Scd2Table, SnapshotTable, append_batch, empty_frame
-from stratamart.spec import INGEST_TS, Model, Pipeline, SaveMode, TableSpec
+from stratamart.spec import INGEST_TS, KEY_BLOCK, Model, Pipeline, SaveMode, TableSpec
 
 
 def _layout(spec: TableSpec) -> dict:
@@ -21,9 +21,12 @@ def store_of(spark: SparkSession, spec: TableSpec, root: str) -> SnapshotTable |
     """The stored table of a declaration."""
     if spec.save_mode is SaveMode.MERGE_SCD2:
         return Scd2Table(spark, spec.path(root), spec.schema)
+    evolving = spec.evolve and spec.save_mode is not SaveMode.APPEND
+    if spec.key_blocks:
+        schema = T.StructType([*spec.schema.fields, T.StructField(KEY_BLOCK, T.LongType())])
+        return PartitionedTable(spark, spec.path(root), [KEY_BLOCK], schema, evolving=evolving)
     if spec.partition_by:
-        return PartitionedTable(spark, spec.path(root), spec.partition_by, spec.schema,
-                                evolving=spec.evolve and spec.save_mode is not SaveMode.APPEND)
+        return PartitionedTable(spark, spec.path(root), spec.partition_by, spec.schema, evolving=evolving)
     return SnapshotTable(spark, spec.path(root), spec.schema)
 
 
@@ -45,6 +48,9 @@ def save(spark: SparkSession, spec: TableSpec, root: str, rows: DataFrame, batch
     options = {"version": spec.version_column, "allow_new_columns": spec.evolve,
                "key_range": key[0] if spec.prune_key_range else None, "layout": _layout(spec), "deletes": deletes}
     if isinstance(table, PartitionedTable):
+        if spec.key_blocks:
+            column, size = spec.key_blocks
+            rows = rows.withColumn(KEY_BLOCK, F.floor(F.col(column) / size))
         table.merge(rows, key, **options)
     else:
         table.merge(rows, key, batch_id, **options)
@@ -76,4 +82,4 @@ def read_table(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     table = store_of(spark, spec, root)
     if not table.exists():
         return empty_frame(spark, spec.schema)
-    return table.history() if isinstance(table, Scd2Table) else table.read()
+    return table.history() if isinstance(table, Scd2Table) else table.read().drop(KEY_BLOCK)

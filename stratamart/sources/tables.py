@@ -236,19 +236,20 @@ class PartitionedTable:
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str], schema: T.StructType,
                  *, evolving: bool = False):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), list(partition_by)
-        self.schema, self.evolving = schema, evolving
+        self.schema = schema
+        # Columns added since are remembered as empty snapshots: reading all footers would not scale.
+        self.evolved = SnapshotTable(spark, f"{self.path}-schema") if evolving else None
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
     def read(self) -> DataFrame:
-        """The declared columns; with ``evolving`` also those added since, at the price of reading all footers."""
-        if not self.exists():
-            return empty_frame(self.spark, self.schema)
+        """The declared columns; with ``evolving`` also those added since."""
         schema = self.schema
-        if self.evolving:
-            stored = self.spark.read.option("mergeSchema", "true").parquet(self.path).schema
-            schema = T.StructType(schema.fields + [f for f in stored.fields if f.name not in schema.names])
+        if self.evolved is not None and self.evolved.exists():
+            schema = self.evolved.read().schema
+        if not self.exists():
+            return empty_frame(self.spark, schema)
         # An explicit schema also keeps the declared type of partition columns, whose directory names are text.
         return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
 
@@ -285,6 +286,12 @@ class PartitionedTable:
             merged = delete_keys(merged, deletes, key)
         if self.exists():
             merged = staged(merged)
+        if self.evolved is not None:
+            # Remembered before the data is written: until then the new columns simply read NULL.
+            version = len(self.evolved.versions())
+            known = self.evolved.read().schema if version else self.schema
+            if {(f.name, f.dataType) for f in merged.schema.fields} != {(f.name, f.dataType) for f in known.fields}:
+                self.evolved.write(empty_frame(self.spark, merged.schema), version)
         write_files(merged, self.path, partition_by=self.partition_by, rebalance=True, dynamic=True, **layout)
 
     def moved_keys(self, batch: DataFrame, key: Sequence[str]) -> DataFrame:

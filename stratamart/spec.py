@@ -14,6 +14,9 @@ INGEST_TS = "ingest_ts"
 # What a dimension or fact calls the ingest timestamp of the row it was derived from.
 SOURCE_INGEST_TS = "source_ingest_ts"
 
+# Storage column of tables with key blocks; not part of the table as readers see it.
+KEY_BLOCK = "key_block"
+
 SCD_START = "scd_start_ts"
 SCD_END = "scd_end_ts"
 SCD_CURRENT = "scd_is_current"
@@ -49,6 +52,9 @@ class TableSpec:
     # Merge only: a source row older than the stored one is ignored.
     version_column: str | None = None
     prune_key_range: bool = False
+    # Merge only: (integer key column, keys per block).  The table is stored in blocks of that column and a
+    # merge rewrites only the blocks of its batch, which for growing keys are the newest ones.
+    key_blocks: tuple[str, int] | None = None
     evolve: bool = True
     foreign_keys: tuple[ForeignKey, ...] = field(default=())
     target_file_bytes: int = 100_000_000

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratamart.operators.conform import stamp
 from stratamart.plans.dimensions import DATE_MODEL, DIM_DATE, date_dimension, generate_dimension
-from stratamart.plans.runs import read_table, run_model, run_pipeline
+from stratamart.plans.runs import read_table, run_model, run_pipeline, save
 from stratamart.sources import tables
 from stratamart.sources.tables import PartitionedTable, SnapshotTable, append_batch, read_or_empty, scratch_dir, staged
 from stratamart.spec import INGEST_TS, Model, Pipeline, SaveMode, TableSpec, schema_of, with_ingest_ts
@@ -91,6 +91,19 @@ def test_evolving_partitioned_table(spark, tmp_path):
     table.merge(spark.createDataFrame([(1, 1), (2, 2)], schema), ["k"])
     table.merge(spark.createDataFrame([(3, 2, "n")], "k int, p int, note string"), ["k"])
     assert rows(table.read()) == [(1, 1, None), (2, 2, None), (3, 2, "n")]
+    table.merge(spark.createDataFrame([(4, 5)], "k int, p int"), ["k"])
+    assert table.read().count() == 4 and table.evolved.versions() == [0]
+
+
+def test_key_blocks(spark, tmp_path):
+    root = str(tmp_path)
+    schema = schema_of({"k": "long", "v": "string"}, required=("k",))
+    spec = TableSpec("t", "silver", schema, SaveMode.MERGE, ("k",), key_blocks=("k", 10))
+    save(spark, spec, root, spark.createDataFrame([(1, "a"), (12, "b"), (25, "c")], schema), 0, T1)
+    before = files_under(tmp_path / "silver" / "t" / "key_block=0")
+    save(spark, spec, root, spark.createDataFrame([(25, "C"), (31, "d")], schema), 1, T2)
+    assert rows(read_table(spark, spec, root)) == [(1, "a"), (12, "b"), (25, "C"), (31, "d")]
+    assert before and files_under(tmp_path / "silver" / "t" / "key_block=0") == before
 
 
 def test_file_size_and_codec(spark, tmp_path):
