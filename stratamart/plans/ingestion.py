@@ -18,6 +18,7 @@ RAW, CLEAN, GOLD = "bronze", "silver", "gold"
 MONEY = T.DecimalType(10, 2)
 # Order numbers grow, so a batch falls into the last blocks of the tables keyed by them.
 ORDERS_PER_BLOCK = 50_000_000
+DAY = 86_400
 GEO = T.StructType().add("lon", "double").add("lat", "double")
 
 # The declared columns of the sources.
@@ -150,7 +151,7 @@ CLEAN_INFO_A = TableSpec(
     description="Station attributes with history, source A",
 )
 CLEAN_STATUS_A = TableSpec("station_status_a", CLEAN, with_ingest_ts(STATUS_A), SaveMode.MERGE,
-                           ("stationcode", "timestamp"), version_column=INGEST_TS,
+                           ("stationcode", "timestamp"), version_column=INGEST_TS, key_blocks=("timestamp", DAY),
                            description="One row per station and poll, source A")
 CLEAN_INFO_B = TableSpec(
     "station_info_b", CLEAN, with_ingest_ts(INFO_B), SaveMode.MERGE_SCD2, ("station_id",),
@@ -158,7 +159,7 @@ CLEAN_INFO_B = TableSpec(
     description="Station attributes with history, source B",
 )
 CLEAN_STATUS_B = TableSpec("station_status_b", CLEAN, with_ingest_ts(STATUS_B), SaveMode.MERGE,
-                           ("station_id", "last_updated"), version_column=INGEST_TS,
+                           ("station_id", "last_updated"), version_column=INGEST_TS, key_blocks=("last_updated", DAY),
                            description="One row per station and feed document, source B")
 
 Source = Callable[[SparkSession], DataFrame]

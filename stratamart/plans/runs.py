@@ -50,7 +50,9 @@ def save(spark: SparkSession, spec: TableSpec, root: str, rows: DataFrame, batch
     if isinstance(table, PartitionedTable):
         if spec.key_blocks:
             column, size = spec.key_blocks
-            rows = rows.withColumn(KEY_BLOCK, F.floor(F.col(column) / size))
+            timed = isinstance(spec.schema[column].dataType, T.TimestampType)
+            number = F.unix_seconds(F.col(column)) if timed else F.col(column)
+            rows = rows.withColumn(KEY_BLOCK, F.floor(number / size))
         table.merge(rows, key, **options)
     else:
         table.merge(rows, key, batch_id, **options)

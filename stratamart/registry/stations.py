@@ -80,12 +80,16 @@ def info_history_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attributes of source A and states of source B run through their whole pipelines, week by week."""
+    """Attributes of source A, week by week, and states of source B, in two halves, through their pipelines."""
     info, status, root = staged(info_a_raw(spark, sf_dir)), staged(status_b_raw(spark, sf_dir)), scratch_dir(spark)
-    for number, at in enumerate(ids(info, INGEST_TS)):
-        week = F.date_trunc("week", INGEST_TS) == F.lit(at)
+    weeks = ids(info, INGEST_TS)
+    for number, at in enumerate(weeks):
+        week = F.col(INGEST_TS) == F.lit(at)
         run_pipeline(spark, info_a_pipeline(lambda _, w=week: info.filter(w).drop(INGEST_TS)), root, number, at)
-        run_pipeline(spark, status_b_pipeline(lambda _, w=week: status.filter(w).drop(INGEST_TS)), root, number, at)
+    middle = weeks[len(weeks) // 2]
+    for number, half in enumerate((F.col(INGEST_TS) < F.lit(middle), F.col(INGEST_TS) >= F.lit(middle))):
+        run_pipeline(spark, status_b_pipeline(lambda _, h=half: status.filter(h).drop(INGEST_TS)), root, number,
+                     (weeks[0], middle)[number])
     versions = read_table(spark, CLEAN_INFO_A, root).select(
         F.lit("info_a").alias("table_name"), F.col("stationcode").alias("station_id"), F.col("capacity").alias("n"),
         F.col("scd_start_ts").alias("since"))

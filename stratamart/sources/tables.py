@@ -253,11 +253,15 @@ class PartitionedTable:
         # An explicit schema also keeps the declared type of partition columns, whose directory names are text.
         return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
 
-    def touched(self, batch: DataFrame) -> DataFrame:
-        """Stored rows of the partitions present in the batch."""
-        parts = batch.select(*self.partition_by).distinct()
-        listed = parts.limit(MAX_LISTED_PARTITIONS + 1).collect()
+    def touched(self, batch: DataFrame, deletes: DataFrame | None = None, key: Sequence[str] = ()) -> DataFrame:
+        """Stored rows of the partitions present in the batch, and of those that hold deleted keys."""
         stored = self.read()
+        parts = batch.select(*self.partition_by)
+        if deletes is not None:
+            hit = stored.select(*{*key, *self.partition_by}).join(deletes.select(*key), list(key), "left_semi")
+            parts = parts.unionByName(hit.select(*self.partition_by))
+        parts = parts.distinct()
+        listed = parts.limit(MAX_LISTED_PARTITIONS + 1).collect()
         if len(listed) > MAX_LISTED_PARTITIONS:
             return stored.join(parts, self.partition_by, "left_semi")
         hit = F.lit(False)
@@ -281,11 +285,15 @@ class PartitionedTable:
         """
         layout = layout or {}
         batch = _staged_batch(batch, key, options)
-        merged = upsert(self.touched(batch), batch, key, unique=True, **options)
+        touched = self.touched(batch, deletes, key)
+        merged = upsert(touched, batch, key, unique=True, **options)
         if deletes is not None:
             merged = delete_keys(merged, deletes, key)
+        emptied: list[str] = []
         if self.exists():
             merged = staged(merged)
+            if deletes is not None:
+                emptied = self._files_without(touched, merged)
         if self.evolved is not None:
             # Remembered before the data is written: until then the new columns simply read NULL.
             version = len(self.evolved.versions())
@@ -293,6 +301,16 @@ class PartitionedTable:
             if {(f.name, f.dataType) for f in merged.schema.fields} != {(f.name, f.dataType) for f in known.fields}:
                 self.evolved.write(empty_frame(self.spark, merged.schema), version)
         write_files(merged, self.path, partition_by=self.partition_by, rebalance=True, dynamic=True, **layout)
+        for file in emptied:
+            uri = self.spark._jvm.java.net.URI.create(file)
+            fs, jpath = _file_system(self.spark, uri)
+            fs.delete(jpath, False)
+
+    def _files_without(self, touched: DataFrame, merged: DataFrame) -> list[str]:
+        """Files of partitions that lost their last row: overwriting by partition leaves those in place."""
+        files = touched.select(*self.partition_by, F.col("_metadata.file_path").alias("file"))
+        gone = files.join(merged.select(*self.partition_by).distinct(), self.partition_by, "left_anti")
+        return [r["file"] for r in gone.select("file").distinct().collect()]
 
     def moved_keys(self, batch: DataFrame, key: Sequence[str]) -> DataFrame:
         """Batch keys that are stored under another partition value: they would be duplicated by a merge."""

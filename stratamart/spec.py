@@ -52,8 +52,8 @@ class TableSpec:
     # Merge only: a source row older than the stored one is ignored.
     version_column: str | None = None
     prune_key_range: bool = False
-    # Merge only: (integer key column, keys per block).  The table is stored in blocks of that column and a
-    # merge rewrites only the blocks of its batch, which for growing keys are the newest ones.
+    # Merge only: (column that is fixed per key, width of a block in its units, seconds for timestamps).  The
+    # table is stored in such blocks and a merge rewrites only those of its batch, for growing keys the newest.
     key_blocks: tuple[str, int] | None = None
     evolve: bool = True
     foreign_keys: tuple[ForeignKey, ...] = field(default=())

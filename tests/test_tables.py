@@ -85,6 +85,18 @@ def test_two_partition_columns_and_deletes(spark, tmp_path):
     assert rows(table.read()) == [(1, "A", 1, "x"), (3, "c", 2, "y")]
 
 
+def test_deletes_reach_other_partitions(spark, tmp_path):
+    schema = schema_of({"k": "integer", "v": "string", "p": "string"})
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema)
+    table.merge(spark.createDataFrame([(1, "a", "x:1"), (2, "b", "y"), (3, "c", "y"), (4, "d", "z")], schema), ["k"])
+    untouched = files_under(tmp_path / "t" / "p=z")
+    # Key 1 is the last row of its partition, key 2 is not, and the batch is in neither partition.
+    gone = spark.createDataFrame([(1,), (2,)], "k int")
+    table.merge(spark.createDataFrame([(5, "e", "w")], schema), ["k"], deletes=gone)
+    assert rows(table.read()) == [(3, "c", "y"), (4, "d", "z"), (5, "e", "w")]
+    assert files_under(tmp_path / "t" / "p=z") == untouched
+
+
 def test_evolving_partitioned_table(spark, tmp_path):
     schema = schema_of({"k": "integer", "p": "integer"})
     table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema, evolving=True)
