@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry_points
 from compare import compare, connect
 from conftest import SMALL
+from stratamart.registry import all_oracles, all_queries
 
 
 @pytest.fixture(scope="module")
@@ -12,14 +13,15 @@ def con():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, con, name):
     verdict, _, _ = compare(spark, con, SMALL, name)
     assert verdict == "ok", verdict
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(entry_points.queries())
 
 
 def test_entry(spark):
