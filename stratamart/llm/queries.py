@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.llm.chat_format import chat_examples, loss_text, parsed_turns
+from stratamart.llm.line_dedup import MIN_CHARS, dedup_lines
 from stratamart.llm.packing import pack_documents
 from stratamart.llm.piece_codec import encode_digests
+from stratamart.llm.quality_rules import quality_rules
 from stratamart.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +42,119 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_removed_words")
+
+
+# Lines by their own text instead of hashes; repeated windows through the positions they cover.
+ORACLES["op4_quality_rules"] = """
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \\t-\\r]+'), x -> x <> '') AS words, text FROM d),
+g AS (SELECT doc_id, i, list_aggregate(words[i:i + 4], 'string_agg', ' ') AS gram
+      FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM w)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM r, generate_series(0, 4) AS s(k) GROUP BY doc_id),
+raw AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
+lines AS (SELECT *, len(list_filter(string_split_regex(line, '[ \\t-\\r]+'), x -> x <> '')) AS n_words,
+                 regexp_replace(trim(regexp_replace(lower(line), '[ \\t-\\r]+', ' ', 'g')), '[0-9]', '0', 'g') AS norm
+          FROM raw WHERE regexp_matches(line, '[^ \\t-\\r]')),
+dup AS (SELECT doc_id, sum(n - 1)::BIGINT AS n_dup_lines
+        FROM (SELECT doc_id, line, count(*) AS n FROM lines GROUP BY ALL) GROUP BY doc_id),
+sizes AS (SELECT host, count(DISTINCT text) AS size FROM d GROUP BY host),
+freq AS (SELECT host, norm, count(DISTINCT text) AS docs, min(doc_id) AS first FROM lines GROUP BY ALL),
+gone AS (SELECT l.doc_id, sum(l.n_words)::BIGINT AS n_removed_words
+         FROM lines l JOIN freq f USING (host, norm) JOIN sizes s USING (host)
+         WHERE docs > 20 AND docs > 0.01 * size AND l.doc_id <> f.first GROUP BY l.doc_id),
+base AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(n_removed_words, 0)::BIGINT AS n_removed_words
+  FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_removed_words <= 0.5 * n_words AS kept
+FROM base"""
+
+
+@_query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return kept.select("doc_id", "n_lines", "n_removed", F.char_length(text).cast("long").alias("n_chars"),
+                       F.sha2(text, 256).alias("text_sha256"))
+
+
+# Independent of the operator: births of equal lines by a window, near pairs by their shared halves and full distance.
+ORACLES["op9_line_dedup"] = f"""
+WITH raw AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS raw
+  FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT doc_id, pos, raw, trim(regexp_replace(raw, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ') AS line FROM raw),
+born AS (
+  SELECT line, doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) AS seq FROM (
+    SELECT line, doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS rn
+    FROM lines WHERE length(line) >= {MIN_CHARS}) WHERE rn = 1),
+halves AS (
+  SELECT line, seq, length(line) - less AS n, side,
+         CASE WHEN side = 0 THEN line[1:(length(line) - less) // 2]
+              ELSE line[length(line) - (length(line) - less - (length(line) - less) // 2) + 1:] END AS half
+  FROM born, (VALUES (0), (1)) AS l(less), (VALUES (0), (1)) AS s(side)),
+late AS (
+  SELECT DISTINCT b.line FROM halves a JOIN halves b USING (n, side, half)
+  WHERE a.seq < b.seq AND levenshtein(a.line, b.line) <= 1),
+judged AS (
+  SELECT l.doc_id, l.pos, l.raw,
+         length(l.line) >= {MIN_CHARS} AND (b.doc_id IS NULL OR l.line IN (SELECT line FROM late)) AS gone
+  FROM lines l LEFT JOIN born b ON l.line = b.line AND l.doc_id = b.doc_id AND l.pos = b.pos),
+kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM judged GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       length(coalesce(k.text, ''))::BIGINT AS n_chars, sha256(coalesce(k.text, '')) AS text_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)"""
+
+
+@_query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = spark.range(1, 3).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 1, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
+    read = chat_examples(turns).select(
+        "conv_id", "example", F.col("n_turns").cast("long"), "complete", F.char_length("text").cast("long").alias("chars"),
+        loss_text(F.col("text"), F.col("loss_start"), F.col("loss_end")).alias("loss"),
+        F.when(F.col("complete"), parsed_turns(F.col("text"))).alias("turns"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    by_conv = read.groupBy("conv_id").agg(
+        F.max(F.when(F.col("complete"), F.col("n_turns"))).alias("n_turns"),
+        F.max(F.when(F.col("complete"), F.sha2(said, 256))).alias("turns_sha256"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "loss"))), lambda x: x["loss"]), "").alias("loss"),
+        F.sum("chars").alias("formatted_chars"))
+    return by_conv.select("conv_id", "n_turns", "turns_sha256", F.char_length("loss").cast("long").alias("loss_chars"),
+                          F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
+
+
+ORACLES["op10_chat_format"] = """
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, n, r, '</s>[INST] ok [/INST]' FROM (VALUES (1, 'user'), (2, 'assistant')) AS v(n, r)),
+f AS (
+  SELECT *, 8 + length(role) + 1 + 8
+            + length(text) + 4 * (length(text) - length(replace(text, '&', ''))) + 3 * (length(text) - length(replace(text, '<', '')))
+            AS made,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS back
+  FROM t),
+c AS (
+  SELECT *, sum(made) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS so_far FROM f)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(so_far) FILTER (role = 'assistant' OR back = 1)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id"""
