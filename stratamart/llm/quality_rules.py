@@ -115,7 +115,7 @@ def frequent_lines(rows: DataFrame, key: str, max_docs: int, max_share: float) -
 
 
 def quality_rules(df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", min_words: int = 10,
-                  max_repeat_percent: int = 20, max_docs: int = 20, max_share: float = 0.01, max_removed: float = 0.5,
+                  max_repeat_percent: int = 20, max_docs: int = 20, max_share: float = 0.01, max_removed: float = 0.8,
                   keep_text: bool = False) -> DataFrame:
     """One row for each input row: key, host, the counts, base_failed, n_removed_words, kept.
 

@@ -54,13 +54,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Lines by their own text instead of hashes; repeated windows through the positions they cover.
 ORACLES["op4_quality_rules"] = """
 WITH d AS (SELECT doc_id, coalesce(source, '') AS host, source, coalesce(text, '') AS text FROM documents),
-w AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \\t-\\r]+'), x -> x <> '') AS words, text FROM d),
+w AS (SELECT doc_id, [x for x in string_split_regex(text, '[ \\t-\\r]+') if x <> ''] AS words, text FROM d),
 g AS (SELECT doc_id, i, list_aggregate(words[i:i + 4], 'string_agg', ' ') AS gram
       FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM w)),
 r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM r, generate_series(0, 4) AS s(k) GROUP BY doc_id),
 raw AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d),
-lines AS (SELECT *, len(list_filter(string_split_regex(line, '[ \\t-\\r]+'), x -> x <> '')) AS n_words,
+lines AS (SELECT *, len([x for x in string_split_regex(line, '[ \\t-\\r]+') if x <> '']) AS n_words,
                  regexp_replace(trim(regexp_replace(lower(line), '[ \\t-\\r]+', ' ', 'g')), '[0-9]', '0', 'g') AS norm
           FROM raw WHERE regexp_matches(line, '[^ \\t-\\r]')),
 dup AS (SELECT doc_id, sum(n - 1)::BIGINT AS n_dup_lines
@@ -71,13 +71,13 @@ gone AS (SELECT l.doc_id, sum(l.n_words)::BIGINT AS n_removed_words
          FROM lines l JOIN freq f USING (host, norm) JOIN sizes s USING (host)
          WHERE docs > 20 AND docs > 0.01 * size AND l.doc_id <> f.first GROUP BY l.doc_id),
 base AS (
-  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum([length(x) for x in words]), 0)::BIGINT AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
          coalesce(n_removed_words, 0)::BIGINT AS n_removed_words
   FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN gone USING (doc_id))
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_removed_words <= 0.5 * n_words AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_removed_words <= 0.8 * n_words AS kept
 FROM base"""
 
 
