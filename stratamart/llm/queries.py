@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.chat_format import chat_examples, loss_text, parsed_turns
 from stratamart.llm.line_dedup import MIN_CHARS, dedup_lines
+from stratamart.llm.ngram_join import ngram_components
 from stratamart.llm.packing import pack_documents
 from stratamart.llm.piece_codec import encode_digests
 from stratamart.llm.quality_rules import quality_rules
+from stratamart.llm.sharding import shard_documents
 from stratamart.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,11 +41,47 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@_query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "tokens")
+
+
 @_query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@_query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_components(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+#: Sets by their text, all pairs with a common n-gram, and reachability by a recursive query.
+def component_sql(words: int, num: int, den: int, docs: str = "documents") -> str:
+    return f"""
+w AS (SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+') if x <> ''] AS words FROM {docs}),
+s AS (SELECT DISTINCT doc_id, gram FROM (
+        SELECT doc_id, array_to_string(words, ' ') AS gram FROM w WHERE len(words) BETWEEN 1 AND {words - 1}
+        UNION ALL SELECT doc_id, array_to_string(words[i:i + {words - 1}], ' ') FROM (
+          SELECT doc_id, words, unnest(generate_series(1, len(words) - {words - 1})) AS i FROM w))),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING {den} * count(*) >= {num} * (na.n + nb.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)"""
+
+
+ORACLES["op3_ngram_join"] = f"""
+WITH RECURSIVE {component_sql(4, 85, 100)}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN component c USING (doc_id)"""
+
+
 @_query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).select(
