@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.llm.chat_format import chat_examples, loss_text, parsed_turns
+from stratamart.llm.html_extract import extract_pages
 from stratamart.llm.line_dedup import MIN_CHARS, dedup_lines
 from stratamart.llm.ngram_join import ngram_components
 from stratamart.llm.packing import pack_documents
@@ -47,6 +48,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "tokens")
 
 
+@_query
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_template", "n_slots")
+
+
 @_query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

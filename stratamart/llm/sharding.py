@@ -27,14 +27,18 @@ from stratamart.llm.common import blob_hash, staged
 BUCKET_ROWS = 100_000
 
 
-def place(demands: np.ndarray, shards: int) -> np.ndarray:
+WEIGHTS = (16.0, 1.0, 1.0)
+"""Weights of bytes, tokens and rows in the dot product; the law is about bytes."""
+
+
+def place(demands: np.ndarray, shards: int, weights: tuple[float, ...] = WEIGHTS) -> np.ndarray:
     """Shard of each item (rows of ``demands``); the items come largest first."""
     totals = np.maximum(demands.sum(axis=0), 1e-12)
     share = demands / totals
     left = np.full((shards, demands.shape[1]), 1.0 / shards)
     out = np.empty(len(share), np.int32)
     for i, item in enumerate(share):
-        shard = int(np.argmax(left @ item))
+        shard = int(np.argmax(left @ (item * weights)))
         left[shard] -= item
         out[i] = shard
     return out
@@ -45,8 +49,7 @@ def _placed(parts: DataFrame, cells: int, shards: int) -> DataFrame:
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         demands = rows[["bytes", "tokens", "rows"]].to_numpy(float)
-        weight = (demands / np.maximum(demands.sum(axis=0), 1)).sum(axis=1)
-        order = np.lexsort((rows["part"], rows["t2"], rows["t1"], -weight))
+        order = np.lexsort((rows["part"], rows["t2"], rows["t1"], -demands[:, 2], -demands[:, 0]))
         rows = rows.iloc[order]
         return rows[["t1", "t2", "part"]].assign(shard=place(demands[order], shards))
 
