@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.llm.bm25_search import bm25_topk
 from stratamart.llm.chat_format import chat_examples, loss_text, parsed_turns
 from stratamart.llm.html_extract import extract_pages
 from stratamart.llm.line_dedup import MIN_CHARS, dedup_lines
@@ -42,6 +43,27 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@_query
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bm25_topk(docs, docs.where(F.col("doc_id") % 100 == 0)).withColumnRenamed("query", "query_id")
+
+
+ORACLES["op5_topk_search"] = """
+WITH w AS (SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[ \\t-\\r]+') if x <> ''] AS words FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM w) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+t AS (SELECT count(*) AS n, avg(len(words)) AS mean FROM w),
+hit AS (
+  SELECT q.doc_id AS query_id, d.doc_id,
+         round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * len(words) / mean))), 6) AS score
+  FROM tf q JOIN tf d USING (term) JOIN df USING (term) JOIN w ON w.doc_id = d.doc_id CROSS JOIN t
+  WHERE q.doc_id % 100 = 0 GROUP BY ALL)
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM hit) WHERE rank <= 10"""
+
+
 @_query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents")).select(
