@@ -72,12 +72,13 @@ def counts_of(text: str) -> tuple[tuple[int, int, int, int, int], list[dict]]:
     return (len(words), chars, sum(map(text.count, SYMBOLS)), repeats, repeated_words(words)), lines
 
 
-def measured(df: DataFrame, key: str, text: str, host: str, keep_text: bool) -> DataFrame:
-    """Counts and line hashes of each row: row, key, host, t1, t2 (the text's hash), the counts, lines (and the text).
+def measured(df: DataFrame, key: str, text: str, host: str, carry: list[str]) -> DataFrame:
+    """Counts and line hashes of each row: row, k, host, t1, t2 (the text's hash), the counts, lines, and carried columns.
 
-    ``row`` numbers the rows of this one run; store the result before using it twice.
+    ``row`` numbers the rows of this one run; store the result before using it twice. Carried columns are named c_0, c_1...
     """
-    names = ["row", key, "host", "t1", "t2", *COUNTS, "lines", *["text"] * keep_text]
+    extra = [f"c_{i}" for i in range(len(carry))]
+    names = ["row", "k", "host", "t1", "t2", *COUNTS, "lines", *extra]
 
     def factory():
         task = TaskContext.get()
@@ -95,17 +96,19 @@ def measured(df: DataFrame, key: str, text: str, host: str, keep_text: bool) ->
                       *(pa.array([c[i] for c, _ in found], pa.int64()) for i in range(len(COUNTS))),
                       pa.array([lines for _, lines in found], pa.list_(pa.struct(
                           [("h1", pa.int64()), ("h2", pa.int64()), ("words", pa.int64()), ("line", pa.int32())])))]
-            return pa.RecordBatch.from_arrays(arrays + [batch.column(1)] * keep_text, names=names)
+            return pa.RecordBatch.from_arrays(arrays + batch.columns[3:], names=names)
         return work
 
-    schema = (f"row long, `{key}` {df.schema[key].dataType.simpleString()}, host string, t1 long, t2 long, "
-              + ", ".join(f"{c} long" for c in COUNTS) + f", lines {_LINES}" + ", text string" * keep_text)
-    return map_slices(df.select(F.col(key), F.col(text), F.col(host).cast("string")), factory, schema)
+    schema = (f"row long, k {df.schema[key].dataType.simpleString()}, host string, t1 long, t2 long, "
+              + ", ".join(f"{c} long" for c in COUNTS) + f", lines {_LINES}"
+              + "".join(f", {e} {df.schema[c].dataType.simpleString()}" for e, c in zip(extra, carry)))
+    used = [F.col(key).alias("k"), F.col(text).alias("t"), F.col(host).cast("string").alias("h")]
+    return map_slices(df.select(*used, *[F.col(c).alias(e) for e, c in zip(extra, carry)]), factory, schema)
 
 
-def frequent_lines(rows: DataFrame, key: str, max_docs: int, max_share: float) -> DataFrame:
+def frequent_lines(rows: DataFrame, max_docs: int, max_share: float) -> DataFrame:
     """host, h1, h2 and the earliest key of the lines above both limits."""
-    held = (rows.select("host", "t1", "t2", F.col(key).alias("k"), F.explode("lines").alias("l"))
+    held = (rows.select("host", "t1", "t2", "k", F.explode("lines").alias("l"))
             .groupBy("host", "l.h1", "l.h2", "t1", "t2").agg(F.min("k").alias("k")))
     lines = held.groupBy("host", "h1", "h2").agg(F.count("*").alias("docs"), F.min("k").alias("first"))
     sizes = (rows.groupBy("host", "t1", "t2").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("size"))
@@ -115,26 +118,35 @@ def frequent_lines(rows: DataFrame, key: str, max_docs: int, max_share: float) -
 
 
 def quality_rules(df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", min_words: int = 10,
-                  max_repeat_percent: int = 20, max_docs: int = 20, max_share: float = 0.01, max_removed: float = 0.8,
-                  keep_text: bool = False) -> DataFrame:
-    """One row for each input row: key, host, the counts, base_failed, n_removed_words, kept.
-
-    With ``keep_text`` also text and kept_text, the text without its boilerplate lines.
-    """
-    rows = staged(measured(df, key, text, host, keep_text), "quality")
-    frequent = frequent_lines(rows, key, max_docs, max_share).withColumnRenamed("host", "of")
-    held = rows.select("row", F.col(key).alias("k"), "host", F.explode("lines").alias("l")).select("row", "k", "host", "l.*")
+                  max_repeat_percent: int = 20, max_docs: int = 20, max_share: float = 0.01,
+                  max_removed: float = 0.8) -> DataFrame:
+    """One row for each input row: key, the counts, n_removed_words, base_failed, kept."""
+    return _judged(df, key, text, host, min_words, max_repeat_percent, max_docs, max_share, max_removed, []).select(
+        F.col("k").alias(key), *COUNTS, "n_removed_words", "base_failed", "kept")
+
+
+def quality_filter(df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", min_words: int = 10,
+                   max_repeat_percent: int = 20, max_docs: int = 20, max_share: float = 0.01,
+                   max_removed: float = 0.8) -> DataFrame:
+    """The rows that are kept, with their columns; their texts without the boilerplate lines."""
+    rows = _judged(df, key, text, host, min_words, max_repeat_percent, max_docs, max_share, max_removed, df.columns)
+    body = F.col(f"c_{df.columns.index(text)}")
+    lines = F.filter(F.split(body, "\n", -1), lambda x, i: ~F.array_contains("gone", i))
+    cleaned = F.when(F.col("gone").isNull(), body).otherwise(F.array_join(lines, "\n"))
+    return rows.where("kept").select(*[(cleaned if c == text else F.col(f"c_{i}")).alias(c) for i, c in enumerate(df.columns)])
+
+
+def _judged(df: DataFrame, key: str, text: str, host: str, min_words: int, max_repeat_percent: int, max_docs: int,
+            max_share: float, max_removed: float, carry: list[str]) -> DataFrame:
+    rows = staged(measured(df, key, text, host, carry), "quality")
+    frequent = frequent_lines(rows, max_docs, max_share).withColumnRenamed("host", "of")
+    held = rows.select("row", "k", "host", F.explode("lines").alias("l")).select("row", "k", "host", "l.*")
     removed = (held.join(frequent, ["h1", "h2"]).where(F.col("host").eqNullSafe(F.col("of")))
                .where(~F.col("k").eqNullSafe(F.col("first")))
-               .groupBy("row").agg(F.sum("words").alias("n_removed_words"), *[F.collect_list("line").alias("gone")] * keep_text))
+               .groupBy("row").agg(F.sum("words").alias("n_removed_words"), *[F.collect_list("line").alias("gone")] * bool(carry)))
     n = F.col("n_words")
     failed = (n < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * n)
-    out = (rows.drop("lines", "t1", "t2").join(removed, "row", "left")
-           .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
-           .withColumn("base_failed", failed)
-           .withColumn("kept", ~failed & (F.col("n_removed_words") <= max_removed * n)))
-    if keep_text:
-        lines, gone = F.split("text", "\n", -1), F.coalesce("gone", F.array().cast("array<int>"))
-        kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
-        out = out.withColumn("kept_text", F.when(F.size(gone) == 0, F.col("text")).otherwise(kept))
-    return out.drop("row", "gone")
+    return (rows.drop("lines", "t1", "t2").join(removed, "row", "left")
+            .withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
+            .withColumn("base_failed", failed)
+            .withColumn("kept", ~failed & (F.col("n_removed_words") <= max_removed * n)))
