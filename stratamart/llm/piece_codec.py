@@ -177,16 +177,15 @@ class PieceCodec:
 
     def decode(self, ids) -> str:
         """The text of any ids; control ids have none, and the white space put before the first word goes."""
-        return self._unprefixed(self._text(ids))
-
-    def _unprefixed(self, text: str) -> str:
-        return text[1:] if self.dummy_prefix and text[:1] == " " else text
+        first = next((i for i in ids if self.types[i] != CONTROL), None)
+        skip = self.dummy_prefix and first is not None and self.names[first].startswith(MARK)
+        return self._text(ids)[skip:]
 
     def round_trip(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian unsigned 32-bit integers, and the text decoded from them."""
         parts = list(map(self.memo.__getitem__, self._segments(text)))
         ids = b"".join([struct.pack("<I", self.begin), *[p[0] for p in parts], struct.pack("<I", self.end)])
-        return ids, self._unprefixed("".join([p[1] for p in parts]))
+        return ids, "".join([p[1] for p in parts])[self.dummy_prefix:]
 
     def check(self) -> None:
         """Hold the segments encoded since the last call against the library."""
