@@ -71,6 +71,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 200_000
+
+
+def small_or_joined(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a stored table of narrow rows for broadcast if it has at most ``rows`` of them; else Spark joins by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def blob_hash(*columns) -> list:
     """Two independent 64-bit hashes; together they identify a text (128 bits)."""
     return [F.xxhash64(*columns), F.xxhash64(F.lit(0x5DEECE66D), *columns)]

@@ -162,7 +162,7 @@ WITH raw AS (
   SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS pos, unnest(string_split(text, chr(10))) AS raw
   FROM documents WHERE text IS NOT NULL),
 lines AS (
-  SELECT doc_id, pos, raw, trim(regexp_replace(raw, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' ') AS line FROM raw),
+  SELECT doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM raw),
 born AS (
   SELECT line, doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) AS seq FROM (
     SELECT line, doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS rn

@@ -49,7 +49,7 @@ def lines_kept(docs, min_chars):
     for i, t in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)):
         kept = []
         for line in (t or "").split("\n"):
-            norm = re.sub("[ \t-\r]+", " ", line).strip(" ")
+            norm = line.strip(" \t\v\f\r")
             if len(norm) < min_chars:
                 kept.append(line)
                 continue
