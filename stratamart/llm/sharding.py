@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import blob_hash, staged
+from stratamart.llm.common import BROADCAST_ROWS, blob_hash, staged
 
 BUCKET_ROWS = 100_000
 
@@ -57,13 +57,15 @@ def _placed(parts: DataFrame, cells: int, shards: int) -> DataFrame:
     return parts.withColumn("cell", cell).groupBy("cell").applyInPandas(run, schema)
 
 
-def with_slots(rows: DataFrame, total: int, shard: str = "shard", row: str = "row") -> DataFrame:
+def with_slots(rows: DataFrame, total: int, shards: int, shard: str = "shard", row: str = "row") -> DataFrame:
     """Add ``slot``: gapless from 0 in each shard. ``row`` numbers the rows uniquely."""
     buckets = max(1, -(-total // BUCKET_ROWS))
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64(row), F.lit(buckets)).cast("int"))
     counts = dealt.groupBy(shard, "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy(shard).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(shard, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    if shards * buckets <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     inside = Window.partitionBy(shard, "bucket").orderBy(row)
     return (dealt.withColumn("at", F.row_number().over(inside) - 1).join(starts, [shard, "bucket"])
             .withColumn("slot", F.col("start") + F.col("at")).drop("bucket", "at", "start"))
@@ -86,11 +88,13 @@ def shard_documents(df: DataFrame, shards: int = 16, key: str = "doc_id", text:
     fair_rows, fair_bytes = (max(1.0, (whole[x] or 0) / (16 * shards * cells)) for x in ("rows", "bytes"))
     parts_of = F.ceil(F.greatest(F.col("copies") / fair_rows, F.col("bytes") / fair_bytes))
     split = groups.select("t1", "t2", F.least(parts_of, F.col("copies")).alias("parts")).where("parts > 1")
+    if 32 * shards * cells <= BROADCAST_ROWS:  # no more groups than that hold a fair part of rows or of bytes
+        split = F.broadcast(split)
     items = items.join(split, ["t1", "t2"], "left").withColumn(
         "part", F.when(F.col("parts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("row"), F.col("parts"))))
     parts = items.groupBy("t1", "t2", "part").agg(
         F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows"))
-    dealt = items.join(_placed(parts, cells, shards), ["t1", "t2", "part"])
-    return with_slots(dealt, whole["rows"]).select(
+    dealt = items.join(_placed(parts, cells, shards).hint("shuffle_hash"), ["t1", "t2", "part"])
+    return with_slots(dealt, whole["rows"], shards).select(
         F.col("k").alias(key), "size", "tokens", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
