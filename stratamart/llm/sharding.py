@@ -83,9 +83,10 @@ def shard_documents(df: DataFrame, shards: int = 16, key: str = "doc_id", text:
         (F.col(tokens) if tokens else estimate).cast("long").alias("tokens"), F.crc32(body).alias("crc"),
         *[c.alias(n) for c, n in zip(blob_hash(body), ("t1", "t2"))]), "items")
     groups = items.groupBy("t1", "t2").agg(F.count("*").alias("copies"), F.sum("size").alias("bytes"))
-    whole = groups.agg(F.count("*").alias("groups"), F.sum("copies").alias("rows"), F.sum("bytes").alias("bytes")).first()
+    whole = groups.agg(F.count("*").alias("groups"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
+                       F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
     cells = max(1, -(-whole["groups"] // cell_parts))
-    fair_rows, fair_bytes = (max(1.0, (whole[x] or 0) / (16 * shards * cells)) for x in ("rows", "bytes"))
+    fair_rows, fair_bytes = (max(1.0, whole[x] / (16 * shards * cells)) for x in ("rows", "bytes"))
     parts_of = F.ceil(F.greatest(F.col("copies") / fair_rows, F.col("bytes") / fair_bytes))
     split = groups.select("t1", "t2", F.least(parts_of, F.col("copies")).alias("parts")).where("parts > 1")
     if 32 * shards * cells <= BROADCAST_ROWS:  # no more groups than that hold a fair part of rows or of bytes
