@@ -3,7 +3,8 @@
 A document's set holds its distinct n-grams of ``words`` words, as 64-bit hashes; a text with fewer words is one n-gram. Two
 documents are linked when the Jaccard similarity of their sets is at least ``num / den``, compared in whole numbers.
 
-1. Documents with equal sets become one node (the 128-bit hash of the set), so copies cost one row each.
+1. Documents with equal sets (by a 128-bit hash) become one node, so copies cost one row each. Nodes are numbered by a
+   64-bit hash of that hash, with the first salt under which no two nodes have one number.
 2. N-grams are ordered rare first: by the count of their bucket in a table of fixed size that counts all n-grams of all
    documents, then by hash. Any total order gives the same links; this one keeps frequent n-grams out of the prefixes.
 3. Each node posts its first ``n - ceil(n * num / den) + 1`` n-grams with their positions. Nodes within the threshold share
@@ -95,7 +96,7 @@ def bucket_counts(df: DataFrame, text: str, words: int) -> np.ndarray:
 
 
 def sets_of(df: DataFrame, key: str, text: str, words: int, num: int, den: int, counts: np.ndarray) -> DataFrame:
-    """key, n (set size), node (null without words), prefix (rare first) and classes (n-grams in each fixed class)."""
+    """key, n (set size), mark (hash of the set, null without words), prefix (rare first), classes (n-grams in each class)."""
     shared = df.sparkSession.sparkContext.broadcast(counts)
 
     def factory():
@@ -114,25 +115,25 @@ def sets_of(df: DataFrame, key: str, text: str, words: int, num: int, den: int,
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
                  pa.array(prefixes, pa.list_(pa.int64())), pa.array(classes, pa.list_(pa.int32()))],
-                names=[key, "n", "node", "prefix", "classes"])
+                names=[key, "n", "mark", "prefix", "classes"])
         return work
 
-    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, n long, node binary, prefix array<long>, classes array<int>"
+    schema = f"`{key}` {df.schema[key].dataType.simpleString()}, n long, mark binary, prefix array<long>, classes array<int>"
     return map_slices(df.select(F.col(key), F.col(text)), factory, schema)
 
 
 def full_sets(df: DataFrame, text: str, words: int) -> DataFrame:
-    """node and grams (all hashes of its set) of each row of ``df`` (node, text) whose text has that node's set."""
+    """node and grams (all hashes of its set) of each row of ``df`` (node, mark, text) whose text has that set."""
 
     def factory():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            made = [(node, h) for node, t in zip(batch.column(0).to_pylist(), texts(batch.column(1)))
-                    if xxhash.xxh3_128_digest((h := ngram_hashes(t, words)).tobytes()) == node]
+            made = [(node, h) for node, mark, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2)))
+                    if xxhash.xxh3_128_digest((h := ngram_hashes(t, words)).tobytes()) == mark]
             return pa.RecordBatch.from_arrays(
-                [pa.array([node for node, _ in made], pa.binary()), pa.array([h.astype(np.int64) for _, h in made],
+                [pa.array([node for node, _ in made], pa.int64()), pa.array([h.astype(np.int64) for _, h in made],
                                                                              pa.list_(pa.int64()))], names=["node", "grams"])
         return work
-    return map_slices(df.select("node", F.col(text)), factory, "node binary, grams array<long>")
+    return map_slices(df.select("node", "mark", F.col(text)), factory, "node long, grams array<long>")
 
 
 def _may_link(n1: Column, room1: Column, n2: Column, room2: Column, num: int, den: int) -> Column:
@@ -220,16 +221,22 @@ def ngram_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 10
                      text: str = "text") -> DataFrame:
     """key, n (size of the document's set) and component (the smallest key reachable by links) of every row."""
     docs = staged(sets_of(df, key, text, words, num, den, bucket_counts(df, text, words)), "sets")
-    own = docs.where(F.col("node").isNotNull() & F.col(key).isNotNull())
+    linkable = F.col("mark").isNotNull() & F.col(key).isNotNull()
+    marks, salt = docs.where(linkable).select("mark").distinct(), 0
+    while not marks.groupBy(F.xxhash64(F.lit(salt), "mark")).count().where("count > 1").isEmpty():
+        salt += 1
+    docs = docs.withColumn("node", F.when(linkable, F.xxhash64(F.lit(salt), "mark")))
+    own = docs.where(F.col("node").isNotNull())
     nodes = own.groupBy("node").agg(F.min(key).alias(key), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     posted = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
     shared = posted.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
     postings = staged(posted.join(shared, "gram").select("gram", "node", "n", (F.col("n") - F.col("pos")).alias("room")), "postings")
     listed = postings.select("node").distinct()
-    chosen = own.join(listed, "node").groupBy("node").agg(F.min(key).alias(key), F.first("n").alias("n"), F.first("classes").alias("classes"))
+    chosen = own.join(listed, "node").groupBy("node").agg(
+        F.min(key).alias(key), F.first("n").alias("n"), F.first("mark").alias("mark"), F.first("classes").alias("classes"))
     chosen = staged(chosen, "listed")
     sized = chosen.select("node", "n", "classes")
-    sources = df.select(F.col(key), F.col(text)).join(chosen.select(key, "node"), key)
+    sources = df.select(F.col(key), F.col(text)).join(chosen.select(key, "node", "mark"), key)
     sets = staged(full_sets(sources, text, words), "grams")
     join = _Join(postings, sized, sets, num, den)
     for _ in range(LEADER_ROUNDS):
@@ -237,7 +244,7 @@ def ngram_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 10
             break
     else:
         join.last_round()
-    rows = docs.select(key, "n", F.when(F.col(key).isNotNull(), F.col("node")).alias("node"))
+    rows = docs.select(key, "n", "node")
     if join.labels is not None:
         rows = rows.join(join.labels, "node", "left").select(key, "n", F.coalesce("label", "node").alias("label"))
     else:
