@@ -181,12 +181,15 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
     schema = f"query {query_kind}, doc {kind}, score double"
     found = spark.createDataFrame([], schema)
     for block in range(blocks):
-        rows = pairs.where(F.col("block") == block).select("query", "term", "weight").toPandas().sort_values(["query", "term"])
-        if not len(rows):
+        rows = pairs.where(F.col("block") == block).select("query", "term", "weight").toArrow()
+        if not rows.num_rows:
             continue
-        vocabulary, term = np.unique(rows["term"].to_numpy(), return_inverse=True)
-        names, starts = np.unique(rows["query"].to_numpy(), return_index=True)
-        shared = spark.sparkContext.broadcast((vocabulary, names, np.split(term, starts[1:]), np.split(rows["weight"].to_numpy(), starts[1:])))
+        query, term, weight = (rows.column(i).to_numpy() for i in range(3))
+        order = np.lexsort((term, query))
+        vocabulary, term = np.unique(term[order], return_inverse=True)
+        names, starts = np.unique(query[order], return_index=True)
+        shared = spark.sparkContext.broadcast((vocabulary, names, starts, term.astype(np.int32), weight[order]))
+        del rows, query, term, weight, order
         found = found.unionByName(source.mapInArrow(_searching(shared, k, k1, b, mean, shard_docs), schema))
     best = Window.partitionBy("query").orderBy(F.desc("score"), "doc")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -195,7 +198,8 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
 
 def _searching(shared, k: int, k1: float, b: float, mean: float, shard_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, names, terms, weights = shared.value
+        vocabulary, names, starts, terms, weights = shared.value
+        terms, weights = np.split(terms, starts[1:]), np.split(weights, starts[1:])
         results: list = [None] * len(names)
         keys, docs, kinds = [], [], None
 
