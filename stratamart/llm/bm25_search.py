@@ -169,8 +169,8 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
     wanted = query_terms(queries, query_key, query_text)
     wanted = staged(wanted, "query-terms")
     statistics = term_statistics(docs, text)
-    needed = statistics.join(wanted.select("term").distinct(), "term", "left_semi").unionByName(statistics.where("term is null"))
-    needed = staged(needed, "term-statistics")
+    asked = wanted.select("term").distinct().withColumn("asked", F.lit(True))
+    needed = staged(statistics.join(asked, "term", "left").where("asked or term is null").drop("asked"), "term-statistics")
     total = needed.where("term is null").first()
     n, mean = (total["docs"], total["words"] / max(total["docs"], 1) or 1.0) if total else (0, 1.0)
     pairs = wanted.join(needed, "term").select("query", "term", F.log(1 + (F.lit(n) - F.col("docs") + 0.5) / (F.col("docs") + 0.5)).alias("weight"))
