@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,8 +18,26 @@ def flag(column: Column, yes: str | int) -> Column:
     return column == F.lit(yes)
 
 
+EPOCH = datetime(1970, 1, 1)
+# Seconds that Spark timestamps can hold: years 1 to 9999.
+EPOCH_SECONDS = (-62_135_596_800, 253_402_300_799)
+
+
+def utc_literal(at: datetime) -> Column:
+    """A timestamp literal.  A datetime without zone is UTC, whatever the zone of the driver's machine."""
+    if at.tzinfo is not None:
+        at = at.astimezone(timezone.utc).replace(tzinfo=None)
+    return F.timestamp_micros(F.lit((at - EPOCH) // timedelta(microseconds=1)))
+
+
+def utc_datetime(micros: int | None) -> datetime | None:
+    """The way back, for values collected as ``unix_micros``; no machine's zone takes part."""
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
+
+
 def epoch_timestamp(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+    """Epoch seconds to timestamp; numbers outside the years 1 to 9999 become NULL instead of failing the job."""
+    return F.when(seconds.between(*EPOCH_SECONDS), F.timestamp_seconds(seconds))
 
 
 def parsed_timestamp(text: Column) -> Column:

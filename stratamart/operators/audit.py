@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.functions.scalars import utc_literal
+
 ACTIONS = ("insert", "update", "ignore", "delete", "change", "unchanged", "close")
 
 
@@ -18,6 +20,6 @@ def audit_row(actions: DataFrame, table: str, batch_ts: datetime, kinds: Sequenc
     """
     counts = [F.count_if(F.col("action") == kind).alias(f"rows_{kind}") for kind in kinds]
     return actions.agg(*counts).select(
-        F.lit(table).alias("table_name"), F.lit(batch_ts).cast("timestamp").alias("ingest_ts"),
+        F.lit(table).alias("table_name"), utc_literal(batch_ts).alias("ingest_ts"),
         *[f"rows_{kind}" for kind in kinds],
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.functions.scalars import flag
+from stratamart.functions.scalars import flag, utc_literal
 from stratamart.spec import INGEST_TS, SCD_CURRENT
 
 # Nothing recorded by a sensor or a shop system is older than this.
@@ -37,8 +37,8 @@ def conform(df: DataFrame, schema: T.StructType, *, keep_extra: bool = False, le
 
 def stamp(df: DataFrame, batch_ts: datetime | Column, column: str = INGEST_TS) -> DataFrame:
     """Add the batch timestamp to every row."""
-    value = batch_ts if isinstance(batch_ts, Column) else F.lit(batch_ts)
-    return df.withColumn(column, value.cast("timestamp"))
+    value = batch_ts.cast("timestamp") if isinstance(batch_ts, Column) else utc_literal(batch_ts)
+    return df.withColumn(column, value)
 
 
 def flatten_struct(df: DataFrame, column: str, fields: Mapping[str, str], data_type: str = "double") -> DataFrame:
@@ -71,13 +71,13 @@ def current_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col(SCD_CURRENT))
 
 
-# The type changes that lose nothing, narrow type to wider ones.
+# The type changes that lose nothing and that stored files serve as they are, narrow type to wider
+# ones.  A date is no timestamp in Parquet.
 _WIDER = {
     T.ByteType: (T.ShortType, T.IntegerType, T.LongType),
     T.ShortType: (T.IntegerType, T.LongType),
     T.IntegerType: (T.LongType, T.DoubleType),
     T.FloatType: (T.DoubleType,),
-    T.DateType: (T.TimestampType, T.TimestampNTZType),
 }
 
 

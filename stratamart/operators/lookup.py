@@ -24,12 +24,15 @@ def enrich_left(
 ) -> DataFrame:
     """Add the columns of ``extra`` where its key matches.
 
-    A key that is not unique in ``extra`` multiplies rows; ``dedupe_right`` (an order) keeps its latest row.
+    A key that is not unique in ``extra`` multiplies rows; ``dedupe_right`` (an order) keeps its latest row.  Other
+    columns of the same name on both sides are an error.
     """
     if dedupe_right is not None:
         extra = one_row_per_key(extra, on, dedupe_right)
     clash = (set(df.columns) & set(extra.columns)) - set(on)
-    return spread_join(df, extra.drop(*clash), on, "left", hot_rows=hot_rows)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}; drop or rename them in one")
+    return spread_join(df, extra, on, "left", hot_rows=hot_rows)
 
 
 def key_lookup(

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.functions.scalars import utc_literal
 from stratamart.operators.conform import current_only
 from stratamart.operators.skew import spread_join
 from stratamart.spec import SCD_CURRENT, SaveMode, TableSpec
@@ -64,7 +65,7 @@ def check_table(spec: TableSpec, df: DataFrame, references: Mapping[str, DataFra
     Checks without violations are reported with 0.  ``references`` gives the frames the foreign keys name;
     those not given are skipped.
     """
-    ts = F.lit(batch_ts).cast("timestamp")
+    ts = utc_literal(batch_ts)
     key = list(spec.primary_key)
     versioned = spec.save_mode is SaveMode.MERGE_SCD2 and SCD_CURRENT in df.columns
     live = current_only(df) if versioned else df

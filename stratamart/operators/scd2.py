@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.functions.scalars import utc_literal
 from stratamart.operators.conform import conform, drop_null_keys, merged_schema
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.pairing import paired
@@ -94,7 +95,7 @@ def apply_scd2(
     """
     pairs = paired_actions(current, batch, key, change, order_by=order_by, deletes=deletes, unique=unique)
     names = [c for c in pairs.schema["s"].dataType.names]
-    ts = F.lit(batch_ts).cast("timestamp")
+    ts = utc_literal(batch_ts)
     ends = F.col("action").isin("change", "close")
     stale = F.raise_error(
         F.concat(F.lit("StaleBatch: batch of "), ts.cast("string"),

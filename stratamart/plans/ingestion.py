@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.functions.scalars import epoch_timestamp
+from stratamart.functions.scalars import epoch_timestamp, utc_literal
 from stratamart.operators.conform import conform, decode_flags, drop_null_keys, flatten_struct, not_before
 from stratamart.sources.feeds import INFO_FIELDS, STATUS_FIELDS, paged_records, station_feed
 from stratamart.spec import INGEST_TS, Pipeline, SaveMode, TableSpec, schema_of, with_ingest_ts
@@ -89,7 +89,7 @@ def info_a_source(spark: SparkSession, path: str, **options) -> DataFrame:
 def status_a_source(spark: SparkSession, path: str, batch_ts: datetime, **options) -> DataFrame:
     """Records of one poll, stamped with the time of the call."""
     rows = paged_records(spark, path, STATUS_A_SOURCE, order_by=list(STATUS_A_ORDER), **options)
-    rows = drop_null_keys(rows, ["stationcode"]).withColumn("timestamp", F.lit(batch_ts).cast("timestamp"))
+    rows = drop_null_keys(rows, ["stationcode"]).withColumn("timestamp", utc_literal(batch_ts))
     return conform(rows, STATUS_A_SOURCE)
 
 

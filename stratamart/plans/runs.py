@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.functions.scalars import utc_literal
 from stratamart.operators.conform import conform, stamp
-from stratamart.sources.tables import PartitionedTable, Scd2Table, SnapshotTable, append_batch, empty_frame
+from stratamart.sources.tables import PartitionedTable, Scd2Table, SnapshotTable, empty_frame
 from stratamart.spec import INGEST_TS, KEY_BLOCK, Model, Pipeline, SaveMode, TableSpec
 
 
@@ -21,12 +22,13 @@ def store_of(spark: SparkSession, spec: TableSpec, root: str) -> SnapshotTable |
     """The stored table of a declaration."""
     if spec.save_mode is SaveMode.MERGE_SCD2:
         return Scd2Table(spark, spec.path(root), spec.schema)
-    evolving = spec.evolve and spec.save_mode is not SaveMode.APPEND
     if spec.key_blocks:
         schema = T.StructType([*spec.schema.fields, T.StructField(KEY_BLOCK, T.LongType())])
-        return PartitionedTable(spark, spec.path(root), [KEY_BLOCK], schema, evolving=evolving)
+        return PartitionedTable(spark, spec.path(root), [KEY_BLOCK], schema, evolving=spec.evolve,
+                                follows_key=True)
     if spec.partition_by:
-        return PartitionedTable(spark, spec.path(root), spec.partition_by, spec.schema, evolving=evolving)
+        return PartitionedTable(spark, spec.path(root), spec.partition_by, spec.schema, evolving=spec.evolve,
+                                follows_key=spec.partition_follows_key)
     return SnapshotTable(spark, spec.path(root), spec.schema)
 
 
@@ -36,7 +38,7 @@ def save(spark: SparkSession, spec: TableSpec, root: str, rows: DataFrame, batch
     if not spec.evolve:
         rows = conform(rows, spec.schema)
     if spec.save_mode is SaveMode.APPEND:
-        append_batch(rows, spec.path(root), spec.partition_by, **_layout(spec))
+        store_of(spark, spec, root).append(rows, **_layout(spec))
         return
     table = store_of(spark, spec, root)
     key = list(spec.primary_key)
@@ -66,10 +68,9 @@ def run_pipeline(spark: SparkSession, pipeline: Pipeline, root: str, batch_id: i
     """
     raw = pipeline.bronze
     declared = T.StructType([f for f in raw.schema.fields if f.name != INGEST_TS])
-    landed = stamp(conform(pipeline.source(spark), declared), batch_ts)
+    landed = stamp(conform(pipeline.source(spark), declared, keep_extra=raw.evolve), batch_ts)
     save(spark, raw, root, landed, batch_id, batch_ts)
-    batch = PartitionedTable(spark, raw.path(root), raw.partition_by, raw.schema).read()
-    batch = batch.filter(F.col(INGEST_TS) == F.lit(batch_ts).cast("timestamp"))
+    batch = store_of(spark, raw, root).read().filter(F.col(INGEST_TS) == utc_literal(batch_ts))
     deletes = pipeline.deletes(spark) if pipeline.deletes else None
     save(spark, pipeline.silver, root, pipeline.transform(batch), batch_id, batch_ts, deletes)
 

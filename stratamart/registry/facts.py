@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.functions.scalars import utc_literal
 from stratamart.functions.keys import UNKNOWN_KEY
 from stratamart.operators.conform import current_only
 from stratamart.operators.latest import (
@@ -41,13 +42,14 @@ def clean_statuses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def _seen(df: DataFrame, until: datetime) -> DataFrame:
-    return df.filter(F.col(INGEST_TS) <= F.lit(until))
+    return df.filter(F.col(INGEST_TS) <= utc_literal(until))
 
 
 def fact_bike_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads: everything up to the first watermarks, then only what came in later."""
     a, b = (staged(df) for df in clean_statuses(spark, sf_dir))
-    fact = PartitionedTable(spark, scratch_dir(spark), FACT_BIKE_STATUS.partition_by, FACT_BIKE_STATUS.schema)
+    fact = PartitionedTable(spark, scratch_dir(spark), FACT_BIKE_STATUS.partition_by, FACT_BIKE_STATUS.schema,
+                            follows_key=True)
     key = list(FACT_BIKE_STATUS.primary_key)
     for seen_a, seen_b in ((_seen(a, SEEN_A), _seen(b, SEEN_B)), (a, b)):
         loaded = stored_watermarks(fact.read(), "station_source", SOURCE_INGEST_TS, SOURCES)

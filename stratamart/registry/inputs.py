@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.functions.scalars import utc_datetime, utc_literal
 from stratamart.operators.conform import conform
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.skew import fits_broadcast, spread_join
@@ -58,6 +59,8 @@ def year_start(column: str) -> Column:
 
 def ids(df: DataFrame, column: str) -> list:
     """The few distinct values of a batch column, ascending."""
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        return sorted(utc_datetime(r[0]) for r in df.select(F.unix_micros(column)).distinct().collect())
     return sorted(r[0] for r in df.select(column).distinct().collect())
 
 
@@ -167,14 +170,14 @@ def sql_key(*columns: str) -> str:
 # --- contacts --------------------------------------------------------------------------------------------
 
 def contacts_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contacts of four in five customers; one in ten customers has a second, older contact."""
-    customers = table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 5 != 0)
-    customers = _with_region(spark, sf_dir, customers.withColumnRenamed("c_nationkey", "n_nationkey"))
+    """A contact for every customer, of which one in five does not know its customer; one in ten has a second, older one."""
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "n_nationkey")
+    customers = _with_region(spark, sf_dir, customers)
     n = F.col("c_custkey")
     which = F.explode(F.when(n % 10 == 3, F.array(F.lit("A"), F.lit("B"))).otherwise(F.array(F.lit("A"))))
     rows = customers.withColumn("which", which).select(
         F.concat("which", n.cast("string")).alias("contact_id"),
-        F.concat(F.lit("CUST"), n.cast("string")).alias("customer_id"),
+        F.when(n % 5 != 0, F.concat(F.lit("CUST"), n.cast("string"))).alias("customer_id"),
         F.concat(F.lit("First"), n.cast("string")).alias("first_name"),
         F.col("c_name").alias("last_name"),
         F.concat(F.lower("which"), F.lit("."), n.cast("string"), F.lit("@example.com")).alias("email"),
@@ -185,22 +188,21 @@ def contacts_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad((n % 100000).cast("string"), 5, "0").alias("zip_code"),
         F.lit("USA").alias("country"),
         F.when(n % 2 == 0, "Manager").otherwise("Sales Rep").alias("job_title"),
-        F.lit(EARLY).alias("created_at"),
-        F.when(F.col("which") == "A", F.lit(LATE)).otherwise(F.lit(EARLY)).alias("updated_at"),
+        utc_literal(EARLY).alias("created_at"),
+        F.when(F.col("which") == "A", utc_literal(LATE)).otherwise(utc_literal(EARLY)).alias("updated_at"),
     )
     return conform(rows, CONTACTS)
 
 
 CONTACTS_SQL = """
 contacts AS (
-  SELECT which || c_custkey AS contact_id, 'CUST' || c_custkey AS customer_id, 'First' || c_custkey AS first_name,
+  SELECT which || c_custkey AS contact_id, CASE WHEN c_custkey % 5 <> 0 THEN 'CUST' || c_custkey END AS customer_id, 'First' || c_custkey AS first_name,
          c_name AS last_name, lower(which) || '.' || c_custkey || '@example.com' AS email,
          '+1-555-' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS phone, 'Street ' || (c_custkey % 100) AS address,
          n_name AS city, r_name AS state, lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS zip_code,
          'USA' AS country, CASE WHEN c_custkey % 2 = 0 THEN 'Manager' ELSE 'Sales Rep' END AS job_title,
          CASE which WHEN 'A' THEN TIMESTAMP '2001-01-01' ELSE TIMESTAMP '1998-01-01' END AS updated_at
-  FROM (SELECT 'A' AS which, * FROM customer WHERE c_custkey % 5 <> 0
-        UNION ALL SELECT 'B', * FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 10 = 3)
+  FROM (SELECT 'A' AS which, * FROM customer UNION ALL SELECT 'B', * FROM customer WHERE c_custkey % 10 = 3)
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 """
 

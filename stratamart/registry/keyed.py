@@ -7,11 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.functions.scalars import utc_datetime, utc_literal
 from stratamart.operators.audit import audit_row
 from stratamart.operators.conform import current_only
 from stratamart.operators.merge import delete_keys, merge_actions, upsert
 from stratamart.operators.scd2 import paired_actions, rebuild_scd2
-from stratamart.plans.ingestion import CLEAN_CONTACTS, CLEAN_SALES, RAW_SALES, contacts_pipeline, sales_pipeline
+from stratamart.plans.ingestion import (
+    CLEAN_CONTACTS, CLEAN_SALES, RAW_CONTACTS, RAW_SALES, contacts_pipeline, sales_pipeline,
+)
 from stratamart.plans.runs import read_table, run_pipeline
 from stratamart.registry.inputs import (
     CONTACTS_SQL, EARLY, LATE, SALES_SQL, contacts_source, ids, sales_source, shown, sql_ts, table, year_start,
@@ -41,7 +44,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[dateti
 
 
 def batch_of(raw: DataFrame, at: datetime) -> DataFrame:
-    return raw.filter(F.col(INGEST_TS) == F.lit(at))
+    return raw.filter(F.col(INGEST_TS) == utc_literal(at))
 
 
 def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +52,7 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
     orders = customer_orders(spark, sf_dir)
     append_batch(orders, path, [INGEST_TS], rebalance=True)
-    last = orders.agg(F.max(INGEST_TS)).first()[0]
+    last = utc_datetime(orders.agg(F.unix_micros(F.max(INGEST_TS))).first()[0])
     append_batch(batch_of(orders, last), path, [INGEST_TS])
     raw = PartitionedTable(spark, path, [INGEST_TS], orders.schema).read()
     return shown(raw.groupBy(INGEST_TS).agg(F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("key_sum")))
@@ -98,6 +101,22 @@ def merge_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(target.read())
 
 
+def _with_holes(df: DataFrame) -> DataFrame:
+    """The order year, unknown for every order whose key ends in 7."""
+    return df.withColumn("order_year", F.when(F.col("o_orderkey") % 10 != 7, F.year("o_orderdate")))
+
+
+def merge_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by year, some without one: a batch changes a part of those without, and orders of that part are deleted."""
+    orders = _with_holes(customer_orders(spark, sf_dir).drop(INGEST_TS))
+    target = PartitionedTable(spark, scratch_dir(spark), ["order_year"], orders.schema)
+    target.merge(orders, ["o_orderkey"])
+    changed = orders.filter(F.col("order_year").isNull() & (F.col("o_orderkey") % 3 == 0)).withColumn("o_orderstatus", F.lit("U"))
+    gone = orders.filter(F.col("o_orderkey") % 50 == 27).select("o_orderkey")
+    target.merge(changed, ["o_orderkey"], deletes=gone)
+    return shown(target.read())
+
+
 def merge_key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The upper half of the orders changes; those below its key range bypass the merge join."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
@@ -109,8 +128,8 @@ def merge_key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch brings a new column and a wider type, and lacks a stored column."""
     customers = table(spark, sf_dir, "customer")
-    stored = customers.filter(F.col("c_custkey") % 2 == 0).select("c_custkey", "c_nationkey", "c_name")
-    batch = customers.filter(F.col("c_custkey") % 3 == 0).select(
+    stored = customers.filter(F.col("c_custkey") % 3 != 1).select("c_custkey", "c_nationkey", "c_name")
+    batch = customers.filter(F.col("c_custkey") % 3 != 2).select(
         "c_custkey", F.col("c_nationkey").cast("bigint").alias("c_nationkey"), "c_mktsegment")
     target = SnapshotTable(spark, scratch_dir(spark), stored.schema)
     target.merge(stored, ["c_custkey"], 0)
@@ -125,7 +144,7 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("o_custkey"))
     out = None
     for at in ids(orders, INGEST_TS):
-        known = orders.filter(F.col(INGEST_TS) < F.lit(at)).groupBy("o_custkey").agg(F.max(INGEST_TS).alias(INGEST_TS))
+        known = orders.filter(F.col(INGEST_TS) < utc_literal(at)).groupBy("o_custkey").agg(F.max(INGEST_TS).alias(INGEST_TS))
         actions = merge_actions(known, batch_of(orders, at).select("o_custkey", INGEST_TS), ["o_custkey"],
                                 version=INGEST_TS, deletes=debtors)
         row = audit_row(actions, "newest_orders", at, AUDITED)
@@ -137,7 +156,7 @@ def scd2_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the 2001 order priorities would do to the type 2 table of all earlier ones."""
     orders = customer_orders(spark, sf_dir).select("o_custkey", "o_orderpriority", *NEWEST, INGEST_TS)
     key, change = ["o_custkey"], ["o_orderpriority"]
-    earlier = rebuild_scd2(orders.filter(F.col(INGEST_TS) < F.lit(LATE)), key, change, INGEST_TS, order_by=NEWEST)
+    earlier = rebuild_scd2(orders.filter(F.col(INGEST_TS) < utc_literal(LATE)), key, change, INGEST_TS, order_by=NEWEST)
     last = batch_of(orders, LATE).drop(INGEST_TS)
     actions = paired_actions(staged(current_only(earlier)), last, key, change, order_by=NEWEST)
     kinds = ("insert", "change", "unchanged", "keep")
@@ -149,7 +168,7 @@ def ingest_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales, root = staged(sales_source(spark, sf_dir)), scratch_dir(spark)
     for number, at in ((0, EARLY), (1, LATE), (1, LATE)):
         run_pipeline(spark, sales_pipeline(
-            lambda _, at=at: sales.filter(F.col(INGEST_TS) <= F.lit(at)).drop(INGEST_TS)), root, number, at)
+            lambda _, at=at: sales.filter(F.col(INGEST_TS) <= utc_literal(at)).drop(INGEST_TS)), root, number, at)
     raw = read_table(spark, RAW_SALES, root).withColumn("layer", F.lit("raw"))
     clean = read_table(spark, CLEAN_SALES, root).withColumn("layer", F.lit("clean"))
     counts = raw.unionByName(clean).groupBy("layer", INGEST_TS, "state").agg(
@@ -157,6 +176,18 @@ def ingest_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(counts)
 
 
+def ingest_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts in two runs; the source of the second has a column more, which both layers keep."""
+    contacts, root = contacts_source(spark, sf_dir), scratch_dir(spark)
+    run_pipeline(spark, contacts_pipeline(lambda _: contacts), root, 0, EARLY)
+    wider = contacts.filter(F.col("contact_id").startswith("A")).withColumn("channel", F.upper("job_title"))
+    run_pipeline(spark, contacts_pipeline(lambda _: wider), root, 1, LATE)
+    raw, clean = read_table(spark, RAW_CONTACTS, root), read_table(spark, CLEAN_CONTACTS, root)
+    picked = [df.select(F.lit(layer).alias("layer"), "contact_id", "job_title", "channel", INGEST_TS)
+              for layer, df in (("raw", raw), ("clean", clean))]
+    return shown(picked[0].unionByName(picked[1]))
+
+
 def ingest_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contacts landed and merged in two runs; the second one deletes those in one city."""
     contacts, root = contacts_source(spark, sf_dir), scratch_dir(spark)
@@ -175,7 +206,9 @@ QUERIES = {
     "merge_out_of_order": merge_out_of_order,
     "merge_delete": merge_delete,
     "merge_pruned": merge_pruned,
+    "merge_null_partition": merge_null_partition,
     "merge_key_range": merge_key_range,
+    "ingest_evolving": ingest_evolving,
     "schema_evolution": schema_evolution,
     "load_audit": load_audit,
     "scd2_audit": scd2_audit,
@@ -209,15 +242,20 @@ WITH kept AS (
   SELECT o_custkey, o_orderkey + 1000000000000, o_orderdate, o_orderpriority, 'N', o_totalprice
   FROM orders WHERE year(o_orderdate) = 2000 AND o_orderkey % 10 = 0)
 SELECT * REPLACE ({sql_ts('o_orderdate')} AS o_orderdate), CAST(year(o_orderdate) AS INTEGER) AS order_year FROM kept""",
+    "merge_null_partition": f"""
+SELECT o_custkey, o_orderkey, {sql_ts('o_orderdate')} AS o_orderdate, o_orderpriority,
+       CASE WHEN o_orderkey % 10 = 7 AND o_orderkey % 3 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+       CASE WHEN o_orderkey % 10 <> 7 THEN CAST(year(o_orderdate) AS INTEGER) END AS order_year
+FROM orders WHERE o_orderkey % 50 <> 27""",
     "merge_key_range": """
 WITH m AS (SELECT max(o_orderkey) // 2 AS middle FROM orders)
 SELECT o_orderkey, CASE WHEN o_orderkey >= middle THEN 'U' ELSE o_orderstatus END
          AS o_orderstatus, o_totalprice FROM orders, m""",
     "schema_evolution": """
 SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
-       CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS c_name,
-       CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS c_mktsegment
-FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0""",
+       CASE WHEN c_custkey % 3 = 2 THEN c_name END AS c_name,
+       CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS c_mktsegment
+FROM customer""",
     "load_audit": f"""
 WITH batches AS (SELECT DISTINCT o_custkey, date_trunc('year', o_orderdate) AS ingest_ts FROM orders),
 firsts AS (SELECT o_custkey, min(ingest_ts) AS first_ts FROM batches GROUP BY o_custkey),
@@ -252,6 +290,15 @@ layers AS (
   UNION ALL SELECT 'clean', TIMESTAMP '2001-01-01', state, quantity FROM sales)
 SELECT layer, {sql_ts('landed')} AS ingest_ts, state, count(*) AS rows, CAST(sum(quantity) AS BIGINT) AS quantity
 FROM layers GROUP BY ALL""",
+    "ingest_evolving": f"""
+WITH {CONTACTS_SQL},
+runs AS (
+  SELECT *, TIMESTAMP '1998-01-01' AS landed, CAST(NULL AS VARCHAR) AS channel FROM contacts
+  UNION ALL SELECT *, TIMESTAMP '2001-01-01', upper(job_title) FROM contacts WHERE contact_id LIKE 'A%'),
+layers AS (
+  SELECT 'raw' AS layer, * FROM runs
+  UNION ALL (SELECT 'clean', * FROM runs QUALIFY row_number() OVER (PARTITION BY contact_id ORDER BY landed DESC) = 1))
+SELECT layer, contact_id, job_title, channel, {sql_ts('landed')} AS ingest_ts FROM layers""",
     "ingest_contacts": f"""
 WITH {CONTACTS_SQL},
 merged AS (

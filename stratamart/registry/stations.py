@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.operators.conform import decode_flags, drop_null_keys, flatten_struct, not_before
-from stratamart.functions.scalars import epoch_timestamp
+from stratamart.functions.scalars import epoch_timestamp, utc_literal
 from stratamart.plans.ingestion import (
     CLEAN_INFO_A, CLEAN_INFO_B, CLEAN_STATUS_A, CLEAN_STATUS_B, FLAGS, GEO_COLUMNS, STATUS_A, STATUS_B, clean_info_a,
     clean_info_b, clean_status_a, clean_status_b, info_a_pipeline, status_b_pipeline,
@@ -47,7 +47,7 @@ def _days(df: DataFrame, first: int, last: int) -> DataFrame:
 def _merged_status(spark: SparkSession, raw: DataFrame, spec: TableSpec, clean, day_of: str) -> DataFrame:
     """Three overlapping loads into a table partitioned by day; the day follows from the key."""
     declared = with_ingest_ts(STATUS_A if spec is CLEAN_STATUS_A else STATUS_B)
-    table = PartitionedTable(spark, scratch_dir(spark), ["day"], declared.add("day", "date"))
+    table = PartitionedTable(spark, scratch_dir(spark), ["day"], declared.add("day", "date"), follows_key=True)
     raw = staged(raw)
     for first, last in ((1, 12), (10, 20), (18, 31)):
         rows = clean(_days(raw, first, last)).withColumn("day", F.to_date(day_of))
@@ -66,7 +66,7 @@ def status_merge_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _history(spark: SparkSession, raw: DataFrame, spec: TableSpec, clean) -> DataFrame:
     raw, table = staged(raw), Scd2Table(spark, scratch_dir(spark))
     for number, at in enumerate(ids(raw, INGEST_TS)):
-        week = clean(raw.filter(F.col(INGEST_TS) == F.lit(at)))
+        week = clean(raw.filter(F.col(INGEST_TS) == utc_literal(at)))
         table.apply(week, list(spec.primary_key), spec.change_columns, number, at)
     return shown(table.history())
 
@@ -84,10 +84,10 @@ def ingest_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     info, status, root = staged(info_a_raw(spark, sf_dir)), staged(status_b_raw(spark, sf_dir)), scratch_dir(spark)
     weeks = ids(info, INGEST_TS)
     for number, at in enumerate(weeks):
-        week = F.col(INGEST_TS) == F.lit(at)
+        week = F.col(INGEST_TS) == utc_literal(at)
         run_pipeline(spark, info_a_pipeline(lambda _, w=week: info.filter(w).drop(INGEST_TS)), root, number, at)
     middle = weeks[len(weeks) // 2]
-    for number, half in enumerate((F.col(INGEST_TS) < F.lit(middle), F.col(INGEST_TS) >= F.lit(middle))):
+    for number, half in enumerate((F.col(INGEST_TS) < utc_literal(middle), F.col(INGEST_TS) >= utc_literal(middle))):
         run_pipeline(spark, status_b_pipeline(lambda _, h=half: status.filter(h).drop(INGEST_TS)), root, number,
                      (weeks[0], middle)[number])
     versions = read_table(spark, CLEAN_INFO_A, root).select(

@@ -29,7 +29,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     third = F.floor((F.dayofmonth(INGEST_TS) - 1) / 11)
     landing = _land([raw.filter(third == i) for i in range(3)], scratch_dir(spark))
     schema = T.StructType([*with_ingest_ts(STATUS_B).fields, T.StructField("day", T.DateType())])
-    table = PartitionedTable(spark, scratch_dir(spark), ["day"], schema)
+    table = PartitionedTable(spark, scratch_dir(spark), ["day"], schema, follows_key=True)
     handler = upsert_into(
         table, list(CLEAN_STATUS_B.primary_key),
         transform=lambda df: clean_status_b(df).withColumn("day", F.to_date("last_updated")),

@@ -1,7 +1,7 @@
 """JSON sources: paged record documents and station feeds, read from the folder they were landed in.
 
-A folder that does not exist yet is an empty source.  Documents that are not valid JSON never fail a load;
-`malformed_documents` lists them for quarantine.
+A path is a folder, a file, a glob pattern or a list of those.  One that matches nothing yet is an empty source.  Documents
+that are not valid JSON never fail a load; `malformed_documents` lists them for quarantine.
 """
 
 from __future__ import annotations
@@ -12,14 +12,28 @@ from pyspark.sql import types as T
 
 from stratamart.functions.scalars import joined_text
 from stratamart.operators.conform import conform, drop_null_keys
-from stratamart.sources.tables import empty_frame, path_exists
+from stratamart.sources.tables import empty_frame, matching_paths
 
 CORRUPT = "_corrupt_record"
 
 
+def _as_text(data_type: T.DataType) -> T.DataType:
+    """The type with its numbers as text: sources quote some of them, and a quoted number read as a number is lost."""
+    if isinstance(data_type, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_text(f.dataType)) for f in data_type.fields])
+    if isinstance(data_type, T.ArrayType):
+        return T.ArrayType(_as_text(data_type.elementType))
+    return T.StringType() if isinstance(data_type, T.NumericType) else data_type
+
+
 def page_schema(record: T.StructType) -> T.StructType:
-    """One page document: ``{"results": [record, ...]}``."""
-    return T.StructType().add("results", T.ArrayType(record)).add(CORRUPT, T.StringType())
+    """One page document: ``{"results": [record, ...]}``, numbers as text."""
+    return T.StructType().add("results", T.ArrayType(_as_text(record))).add(CORRUPT, T.StringType())
+
+
+def _landed(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The given paths and patterns that match something."""
+    return [p for p in ([path] if isinstance(path, str) else path) if matching_paths(spark, p)]
 
 
 def feed_schema(station: dict[str, T.DataType]) -> T.StructType:
@@ -34,14 +48,14 @@ def feed_schema(station: dict[str, T.DataType]) -> T.StructType:
     return T.StructType().add("last_updated", T.StringType()).add("data", data).add(CORRUPT, T.StringType())
 
 
-def _documents(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+def _documents(spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool) -> DataFrame:
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     return reader.option("multiLine", multi_line).json(path)
 
 
 def paged_records(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     record: T.StructType,
     *,
     where: str | None = None,
@@ -51,10 +65,13 @@ def paged_records(
 ) -> DataFrame:
     """All records of the landed pages; filter, projection and order are ordinary Spark expressions.
 
+    A number may come quoted; text that is none becomes NULL.
+
     ``multi_line`` for one document per file, otherwise one document per line (which splits).
     """
-    if path_exists(spark, path):
-        records = _documents(spark, path, page_schema(record), multi_line).select(F.inline("results"))
+    if landed := _landed(spark, path):
+        records = _documents(spark, landed, page_schema(record), multi_line).select(F.inline("results"))
+        records = conform(records, record, lenient=True)
     else:
         records = empty_frame(spark, record)
     if where:
@@ -72,9 +89,12 @@ def page_of(df: DataFrame, order_by: list, offset: int, limit: int) -> DataFrame
     return df.orderBy(*order_by).offset(offset).limit(limit)
 
 
-def malformed_documents(spark: SparkSession, path: str, record: T.StructType, multi_line: bool = False) -> DataFrame:
+def malformed_documents(spark: SparkSession, path: str | list[str], record: T.StructType, multi_line: bool = False) -> DataFrame:
     """Text and file of every page document that is not valid JSON."""
-    pages = _documents(spark, path, page_schema(record), multi_line)
+    landed = _landed(spark, path)
+    if not landed:
+        return empty_frame(spark, T.StructType().add("document", T.StringType()).add("file", T.StringType()))
+    pages = _documents(spark, landed, page_schema(record), multi_line)
     broken = pages.filter(F.col(CORRUPT).isNotNull() & F.col("results").isNull())
     return broken.select(F.col(CORRUPT).alias("document"), F.col("_metadata.file_path").alias("file"))
 
@@ -93,15 +113,16 @@ STATUS_FIELDS = {
 
 
 def station_feed(
-    spark: SparkSession, path: str, station: dict[str, T.DataType], target: T.StructType, *, multi_line: bool = False
+    spark: SparkSession, path: str | list[str], station: dict[str, T.DataType], target: T.StructType, *, multi_line: bool = False
 ) -> DataFrame:
     """Stations of the landed feed documents, one row each, carrying their document's ``last_updated``.
 
     Text that does not fit its declared number type becomes NULL; rows without ``station_id`` are dropped.
     """
-    if not path_exists(spark, path):
+    landed = _landed(spark, path)
+    if not landed:
         return empty_frame(spark, target)
-    documents = _documents(spark, path, feed_schema(station), multi_line)
+    documents = _documents(spark, landed, feed_schema(station), multi_line)
     rows = documents.select("last_updated", F.explode("data.stations").alias("station"))
     rows = rows.select("last_updated", "station.*")
     lists = [n for n, t in station.items() if isinstance(t, T.ArrayType)]

@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.functions.scalars import cyclic_pick, decoded, trailing_digits, zero_padded
+from stratamart.functions.scalars import cyclic_pick, decoded, trailing_digits, utc_literal, zero_padded
 
 # The catalogue the generated sales draw from.
 PRODUCT_NAMES = {
@@ -43,7 +43,7 @@ def sales_rows(ids: DataFrame, order_line: int | Column, batch_ts: datetime | Co
     """One sales line per row of ``ids`` (column ``order_id``), shaped like the sales source."""
     row = F.col("order_id")
     line = order_line if isinstance(order_line, Column) else F.lit(order_line)
-    ts = batch_ts if isinstance(batch_ts, Column) else F.lit(batch_ts)
+    ts = batch_ts if isinstance(batch_ts, Column) else utc_literal(batch_ts)
 
     def numbered(prefix: str, salt: int, sides: int) -> Column:
         return F.concat(F.lit(prefix), (draw(row, seed + salt, sides) + 1).cast("string"))
@@ -99,7 +99,7 @@ def contact_rows(ids: DataFrame, batch_ts: datetime | Column) -> DataFrame:
     """One contact per row of ``ids`` (column ``id``), shaped like the contacts source."""
     n = F.col("id")
     text = n.cast("string")
-    ts = (batch_ts if isinstance(batch_ts, Column) else F.lit(batch_ts)).cast("timestamp")
+    ts = (batch_ts if isinstance(batch_ts, Column) else utc_literal(batch_ts)).cast("timestamp")
     return ids.select(
         text.alias("contact_id"),
         F.concat(F.lit("CUST"), (n + 1).cast("string")).alias("customer_id"),

@@ -16,17 +16,16 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.operators.conform import merged_schema
 from stratamart.operators.merge import delete_keys, prepared, upsert
 from stratamart.operators.scd2 import apply_scd2, empty_history
 from stratamart.spec import SCD_COLUMNS, SCD_CURRENT
 
 TARGET_FILE_BYTES = 100_000_000
-# A batch touching more partitions than this is pruned by a join instead of by a list of literals.
-MAX_LISTED_PARTITIONS = 2_000
 
 _local_scratch: dict[str, str] = {}
 
@@ -41,7 +40,9 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.conf.get("spark.app.id", "local")
-        shared = _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="run-"))
+        if app not in _local_scratch:
+            _local_scratch[app] = tempfile.mkdtemp(prefix="run-")
+        shared = _local_scratch[app]
     return f"{shared.rstrip('/')}/stratamart-{uuid.uuid4().hex}"
 
 
@@ -136,6 +137,10 @@ def _staged_batch(batch: DataFrame, key: Sequence[str], options: dict) -> DataFr
     return staged(prepared(batch, key, order, options.pop("on_duplicate", "latest")))
 
 
+class OutOfOrder(ValueError):
+    """A batch comes again although later ones are stored: its correction would not reach them."""
+
+
 class SnapshotTable:
     """A table rewritten as a whole by every merge."""
 
@@ -148,9 +153,22 @@ class SnapshotTable:
         return sorted(int(p.rsplit("/v=", 1)[1].split("/")[0]) for p in complete)
 
     def before(self, version: int) -> int | None:
-        older = [v for v in self.versions() if v < version]
+        """The version that batch ``version`` starts from.  Only the newest batch can be repeated."""
+        stored = self.versions()
+        if stored and stored[-1] > version:
+            raise OutOfOrder(f"batch {version} of {self.path} comes after batch {stored[-1]}")
+        older = [v for v in stored if v < version]
         return older[-1] if older else None
 
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` versions; with two, the newest batch can still be repeated."""
+        for version in self.versions()[:-max(1, keep)]:
+            self._delete(f"{self.path}/v={version}")
+
+    def _delete(self, path: str) -> None:
+        fs, jpath = _file_system(self.spark, path)
+        fs.delete(jpath, True)
+
     def exists(self) -> bool:
         return bool(self.versions())
 
@@ -194,8 +212,11 @@ class Scd2Table(SnapshotTable):
     def history(self, version: int | None = None) -> DataFrame:
         """All versions known after the given batch."""
         usable = [v for v in self.versions() if version is None or v <= version]
+        upto = [v for v in self._compacted() if version is None or v <= version]
+        done = upto[-1] if upto else -1
         stored = matching_paths(self.spark, f"{self.path}/v=*/{SCD_CURRENT}=false")
-        closed = [p for p in stored if int(p.rsplit("/v=", 1)[1].split("/")[0]) in usable]
+        closed = [p for p in stored if (v := int(p.rsplit("/v=", 1)[1].split("/")[0])) in usable and v > done]
+        closed += [f"{self.path}/closed/upto={done}"] if upto else []
         out = self.current(version)
         if closed:
             # The open versions have the latest schema; older files lack its new columns and read them as NULL.
@@ -204,6 +225,28 @@ class Scd2Table(SnapshotTable):
             out = out.unionByName(old)
         return out
 
+    def _compacted(self) -> list[int]:
+        complete = matching_paths(self.spark, f"{self.path}/closed/upto=*/_SUCCESS")
+        return sorted(int(p.rsplit("/upto=", 1)[1].split("/")[0]) for p in complete)
+
+    def expire(self, keep: int = 2) -> None:
+        """Delete all but the newest ``keep`` batches; the versions that the others closed go to one folder first.
+
+        A run that breaks off leaves both the folder and the batches, and readers take the folder.
+        """
+        old = self.versions()[:-max(1, keep)]
+        if not old:
+            return
+        before = self._compacted()
+        if not before or before[-1] < old[-1]:
+            history = self.history(old[-1])
+            closed = history.filter(~F.col(SCD_CURRENT)).drop(SCD_CURRENT)
+            write_files(closed, f"{self.path}/closed/upto={old[-1]}", rebalance=True)
+        for done in before[:-1] if before and before[-1] >= old[-1] else before:
+            self._delete(f"{self.path}/closed/upto={done}")
+        for version in old:
+            self._delete(f"{self.path}/v={version}")
+
     def _empty(self, usable: list[int]) -> DataFrame:
         if self.schema is not None:
             return empty_history(empty_frame(self.spark, self.schema))
@@ -226,91 +269,151 @@ class Scd2Table(SnapshotTable):
         write_files(rows, f"{self.path}/v={batch_id}", partition_by=[SCD_CURRENT], **(layout or {}))
 
 
+class MovedKeys(ValueError):
+    """A batch holds keys that are stored under another partition value."""
+
+
 class PartitionedTable:
     """A table merged partition by partition: the rest of it is neither read nor rewritten.
 
-    The partition value of a key must never change, otherwise its old row survives in the old partition;
-    see `moved_keys`.
+    The partition value of a key must never change, otherwise its old row would survive in the old partition.  A merge
+    fails on such keys (`MovedKeys`), unless ``follows_key`` declares that the partition columns are computed from
+    the key, which saves reading the stored keys.
+
+    A merge first stores the new partitions next to the table (``<path>-pending``) and then replaces the old ones.  If
+    it breaks off in between, the next merge (or `recover`) finishes from the stored copy before it reads the table.
     """
 
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str], schema: T.StructType,
-                 *, evolving: bool = False):
+                 *, evolving: bool = False, follows_key: bool = False):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), list(partition_by)
-        self.schema = schema
+        self.schema, self.follows_key = schema, follows_key
         # Columns added since are remembered as empty snapshots: reading all footers would not scale.
         self.evolved = SnapshotTable(spark, f"{self.path}-schema") if evolving else None
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
-    def read(self) -> DataFrame:
+    def known_schema(self) -> T.StructType:
         """The declared columns; with ``evolving`` also those added since."""
-        schema = self.schema
-        if self.evolved is not None and self.evolved.exists():
-            schema = self.evolved.read().schema
+        return self.evolved.read().schema if self.evolved is not None and self.evolved.exists() else self.schema
+
+    def read(self) -> DataFrame:
+        schema = self.known_schema()
         if not self.exists():
             return empty_frame(self.spark, schema)
         # An explicit schema also keeps the declared type of partition columns, whose directory names are text.
         return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
 
+    def append(self, rows: DataFrame, **layout) -> None:
+        """Add a batch as its own partitions, see `append_batch`."""
+        self._remember(rows.schema)
+        append_batch(rows, self.path, self.partition_by, **layout)
+
     def touched(self, batch: DataFrame, deletes: DataFrame | None = None, key: Sequence[str] = ()) -> DataFrame:
         """Stored rows of the partitions present in the batch, and of those that hold deleted keys."""
         stored = self.read()
+        parts = self._parts(stored, batch, deletes, key)
+        rows = stored.filter(self._listed(parts))
+        return rows if len(self.partition_by) == 1 else self._semi(rows, parts, "left_semi")
+
+    def _parts(self, stored: DataFrame, batch: DataFrame, deletes: DataFrame | None, key: Sequence[str]) -> DataFrame:
         parts = batch.select(*self.partition_by)
         if deletes is not None:
             hit = stored.select(*{*key, *self.partition_by}).join(deletes.select(*key), list(key), "left_semi")
             parts = parts.unionByName(hit.select(*self.partition_by))
-        parts = parts.distinct()
-        listed = parts.limit(MAX_LISTED_PARTITIONS + 1).collect()
-        if len(listed) > MAX_LISTED_PARTITIONS:
-            return stored.join(parts, self.partition_by, "left_semi")
-        hit = F.lit(False)
-        if len(self.partition_by) == 1:
-            (only,) = self.partition_by
-            hit = F.col(only).isin([r[0] for r in listed])
-        else:
-            for row in listed:
-                same = F.lit(True)
-                for c in self.partition_by:
-                    same = same & (F.col(c) == F.lit(row[c]))
-                hit = hit | same
-        return stored.filter(hit)
+        return parts.distinct()
 
-    def merge(self, batch: DataFrame, key: Sequence[str], *, deletes: DataFrame | None = None,
-              layout: dict | None = None, **options) -> None:
-        """Upsert a batch into the partitions it touches.
+    def _listed(self, parts: DataFrame) -> Column:
+        """Filter on literal partition values, NULL included, which prunes while the scan is planned.
 
-        The merged partitions are staged on shared storage first and then replace the stored ones, so an
-        interrupted run leaves a complete staged copy and can be repeated.
+        The values come to the driver: one for each directory that the batch writes, all of which Spark's driver
+        lists for any partitioned table.  With several columns the filter lets through combinations of their values.
         """
+        kinds = {f.name: f.dataType for f in parts.schema.fields}
+        timed = {c for c in self.partition_by if isinstance(kinds[c], T.TimestampType)}
+        rows = parts.select(*[F.unix_micros(c).alias(c) if c in timed else F.col(c) for c in self.partition_by]).collect()
+        hit = F.lit(True)
+        for c in self.partition_by:
+            values = {r[c] for r in rows}
+            present = [F.timestamp_micros(F.lit(v)) if c in timed else F.lit(v) for v in values if v is not None]
+            one = F.col(c).isin(*present) if present else F.lit(False)
+            hit = hit & (one | F.col(c).isNull() if None in values else one)
+        return hit
+
+    def _semi(self, rows: DataFrame, parts: DataFrame, how: str) -> DataFrame:
+        """``rows`` in (left_semi) or not in (left_anti) these partitions; NULL is a value like any other."""
+        other = parts.select(*[F.col(c).alias(f"__{c}") for c in self.partition_by])
+        same = F.lit(True)
+        for c in self.partition_by:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        return rows.join(other, same, how)
+
+    def merge(self, batch: DataFrame, key: Sequence[str], *, deletes: DataFrame | None = None,
+              layout: dict | None = None, **options) -> None:
+        """Upsert a batch into the partitions it touches."""
         layout = layout or {}
+        self.recover(layout)
+        for f in batch.schema.fields:
+            if f.name in self.partition_by and isinstance(f.dataType, T.StringType):
+                # A directory name cannot be empty: Parquet tables store an empty partition value as NULL.
+                batch = batch.withColumn(f.name, F.nullif(F.col(f.name), F.lit("")))
         batch = _staged_batch(batch, key, options)
+        if not self.follows_key and not set(self.partition_by) <= set(key) and self.exists():
+            moved = self.moved_keys(batch, key).take(3)
+            if moved:
+                raise MovedKeys(f"keys stored under another partition value, for example {[tuple(r) for r in moved]}")
         touched = self.touched(batch, deletes, key)
         merged = upsert(touched, batch, key, unique=True, **options)
         if deletes is not None:
             merged = delete_keys(merged, deletes, key)
-        emptied: list[str] = []
-        if self.exists():
-            merged = staged(merged)
-            if deletes is not None:
-                emptied = self._files_without(touched, merged)
-        if self.evolved is not None:
-            # Remembered before the data is written: until then the new columns simply read NULL.
-            version = len(self.evolved.versions())
-            known = self.evolved.read().schema if version else self.schema
-            if {(f.name, f.dataType) for f in merged.schema.fields} != {(f.name, f.dataType) for f in known.fields}:
-                self.evolved.write(empty_frame(self.spark, merged.schema), version)
-        write_files(merged, self.path, partition_by=self.partition_by, rebalance=True, dynamic=True, **layout)
-        for file in emptied:
-            uri = self.spark._jvm.java.net.URI.create(file)
+        # Remembered before the data is written: until then the new columns simply read NULL.
+        self._remember(merged.schema)
+        if not self.exists():
+            write_files(merged, self.path, partition_by=self.partition_by, rebalance=True, dynamic=True, **layout)
+            return
+        merged = staged(merged, f"{self._pending}/rows")
+        gone = self._emptied(batch, deletes, key, merged) if deletes is not None else \
+            empty_frame(self.spark, T.StructType().add("directory", T.StringType()))
+        # Written last: its _SUCCESS says that the copy is complete.
+        write_files(gone, f"{self._pending}/emptied")
+        self.recover(layout)
+
+    @property
+    def _pending(self) -> str:
+        return f"{self.path}-pending"
+
+    def recover(self, layout: dict | None = None) -> bool:
+        """Finish a merge that broke off after its copy was complete; repeating this is harmless."""
+        if not path_exists(self.spark, f"{self._pending}/emptied/_SUCCESS"):
+            return False
+        rows = self.spark.read.parquet(f"{self._pending}/rows")
+        write_files(rows, self.path, partition_by=self.partition_by, rebalance=True, dynamic=True, **(layout or {}))
+        for row in self.spark.read.schema("directory string").parquet(f"{self._pending}/emptied").collect():
+            uri = self.spark._jvm.java.net.URI.create(row["directory"])
             fs, jpath = _file_system(self.spark, uri)
-            fs.delete(jpath, False)
-
-    def _files_without(self, touched: DataFrame, merged: DataFrame) -> list[str]:
-        """Files of partitions that lost their last row: overwriting by partition leaves those in place."""
-        files = touched.select(*self.partition_by, F.col("_metadata.file_path").alias("file"))
-        gone = files.join(merged.select(*self.partition_by).distinct(), self.partition_by, "left_anti")
-        return [r["file"] for r in gone.select("file").distinct().collect()]
+            fs.delete(jpath, True)
+        fs, jpath = _file_system(self.spark, self._pending)
+        fs.delete(jpath, True)
+        return True
+
+    def _remember(self, schema: T.StructType) -> None:
+        if self.evolved is None:
+            return
+        version = len(self.evolved.versions())
+        known = self.known_schema()
+        merged = merged_schema(known, schema)
+        if {(f.name, f.dataType) for f in merged.fields} != {(f.name, f.dataType) for f in known.fields}:
+            self.evolved.write(empty_frame(self.spark, merged), version)
+
+    def _emptied(self, batch: DataFrame, deletes: DataFrame, key: Sequence[str], merged: DataFrame) -> DataFrame:
+        """Directories of partitions that lose their last row: overwriting by partition leaves those in place."""
+        stored = self.read()
+        parts = self._parts(stored, batch, deletes, key)
+        files = stored.filter(self._listed(parts)).select(*self.partition_by, F.col("_metadata.file_path").alias("file"))
+        directories = files.groupBy(*self.partition_by).agg(F.regexp_replace(F.max("file"), "/[^/]*$", "").alias("directory"))
+        directories = self._semi(directories, parts, "left_semi")
+        return self._semi(directories, merged.select(*self.partition_by).distinct(), "left_anti").select("directory")
 
     def moved_keys(self, batch: DataFrame, key: Sequence[str]) -> DataFrame:
         """Batch keys that are stored under another partition value: they would be duplicated by a merge."""

@@ -55,6 +55,8 @@ class TableSpec:
     # Merge only: (column that is fixed per key, width of a block in its units, seconds for timestamps).  The
     # table is stored in such blocks and a merge rewrites only those of its batch, for growing keys the newest.
     key_blocks: tuple[str, int] | None = None
+    # Merge only: the partition columns are computed from the key, so a key never moves between partitions.
+    partition_follows_key: bool = False
     evolve: bool = True
     foreign_keys: tuple[ForeignKey, ...] = field(default=())
     target_file_bytes: int = 100_000_000

@@ -1,17 +1,21 @@
 import json
-from datetime import date, datetime
+import time
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.functions.scalars import epoch_timestamp, utc_datetime, utc_literal
+from stratamart.operators.conform import stamp
 from stratamart.plans.ingestion import (
     INFO_B_SOURCE, SALES, STATUS_B_SOURCE, clean_info_b, clean_status_b, info_a_source, info_b_source, status_a_source,
     status_b_source,
 )
 from stratamart.sources.feeds import malformed_documents, page_of, paged_records
 from stratamart.sources.generators import contacts_batch, sales_batch
+from stratamart.spec import INGEST_TS, schema_of
 
 RECORD = T.StructType().add("id", "integer").add("name", "string")
 
@@ -126,3 +130,37 @@ def test_generated_contacts(spark):
     assert found[0]["phone"] == "+1-555-0101" and found[9]["zip_code"] == "10010"
     assert found[119]["phone"] == "+1-555-01120" and found[4]["city"] == "Chicago"
     assert found[1]["job_title"] == "Sales Rep" and found[2]["customer_id"] == "CUST3"
+
+
+def test_globs_lists_and_missing_paths(spark, tmp_path):
+    record = T.StructType.fromDDL("id int, at struct<lon:double,lat:double>")
+    for day, text in (("2024-01", '{"results": [{"id": "7", "at": {"lon": "1.5", "lat": 2}}, {"id": 8}]}'), ("2024-02", '{"results": [{"id": "x"}]}'), ("2023-01", "{broken")):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "page.json").write_text(text + "\n")
+    found = paged_records(spark, f"{tmp_path}/2024-*", record).select("id", "at.lon", "at.lat").collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(7, 1.5, 2.0), (8, None, None), (None, None, None)], key=str)
+    both = [f"{tmp_path}/2024-01", f"{tmp_path}/none-*", f"{tmp_path}/2024-02/page.json"]
+    assert paged_records(spark, both, record).count() == 3
+    assert paged_records(spark, f"{tmp_path}/none", record).count() == 0
+    assert malformed_documents(spark, f"{tmp_path}/*", record).count() == 1
+    assert malformed_documents(spark, f"{tmp_path}/none", record).count() == 0
+
+
+def test_impossible_epochs_are_null(spark):
+    df = spark.createDataFrame([(0,), (10**18,), (-(10**18),), (None,)], "s long").select(F.unix_seconds(epoch_timestamp(F.col("s"))).alias("s"))
+    assert [r["s"] for r in df.collect()] == [0, None, None, None]
+
+
+def test_literals_do_not_depend_on_the_machine(spark, monkeypatch):
+    at = datetime(2024, 3, 10, 2, 30)
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        zoned = at.replace(tzinfo=timezone(timedelta(hours=-5)))
+        got = spark.range(1).select(F.unix_micros(utc_literal(at)), F.unix_micros(utc_literal(zoned))).first()
+        assert utc_datetime(got[0]) == at and utc_datetime(got[1]) == at + timedelta(hours=5)
+        stamped = stamp(spark.range(1), at).select(F.date_format(INGEST_TS, "yyyy-MM-dd HH:mm")).first()[0]
+        assert stamped == "2024-03-10 02:30"
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()

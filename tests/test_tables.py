@@ -1,10 +1,13 @@
 import os
+import shutil
+from dataclasses import replace
 from datetime import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stratamart.operators.conform import stamp
+from stratamart.operators.conform import IncompatibleSchema, merged_schema, stamp
 from stratamart.plans.dimensions import DATE_MODEL, DIM_DATE, date_dimension, generate_dimension
 from stratamart.plans.runs import read_table, run_model, run_pipeline, save
 from stratamart.sources import tables
@@ -66,15 +69,122 @@ def test_pruned_merge_leaves_other_partitions_alone(spark, tmp_path):
     assert rows(table.moved_keys(moved, ["k"])) == [(3, "01", "02")]
 
 
-def test_many_partitions_are_pruned_by_a_join(spark, tmp_path, monkeypatch):
+def test_many_partitions_are_listed(spark, tmp_path):
+    """Thousands of partitions, with deletes: the filter is a list of literals at any number."""
     schema = schema_of({"k": "integer", "v": "string", "p": "integer"})
     table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema)
-    table.merge(spark.createDataFrame([(i, "a", i) for i in range(6)], schema), ["k"])
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 2)
-    batch = spark.createDataFrame([(i, "b", i) for i in range(4)], schema)
-    assert rows(table.touched(batch).select("k")) == [(0,), (1,), (2,), (3,)]
-    table.merge(batch, ["k"])
-    assert [r[1] for r in rows(table.read())] == list("bbbbaa")
+    table.merge(spark.range(2_300).selectExpr("int(id) k", "'a' v", "int(id % 2200) p").repartition(2), ["k"])
+    batch = spark.range(2_150).selectExpr("int(id) k", "'b' v", "int(id) p")
+    touched = table.touched(batch)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [p" in plan and "Join" not in plan
+    table.merge(batch, ["k"], deletes=spark.createDataFrame([(2_199,), (5,), (2_160,)], "k int"))
+    got = table.read().groupBy("v").count().collect()
+    assert {r["v"]: r["count"] for r in got} == {"b": 2_149, "a": 148}
+    assert not os.path.exists(tmp_path / "t" / "p=2199") and not os.path.exists(tmp_path / "t" / "p=2160")
+    assert os.path.exists(tmp_path / "t" / "p=5")
+
+
+def test_null_and_empty_partitions_keep_their_rows(spark, tmp_path):
+    schema = schema_of({"k": "integer", "p": "string"})
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema)
+    table.merge(spark.createDataFrame([(1, None), (2, ""), (3, "x"), (9, None)], schema), ["k"])
+    table.merge(spark.createDataFrame([(4, None)], schema), ["k"])
+    table.merge(spark.createDataFrame([(2, "")], schema), ["k"], deletes=spark.createDataFrame([(9,)], "k int"))
+    assert rows(table.read()) == [(1, None), (2, None), (3, "x"), (4, None)]
+    table.merge(spark.createDataFrame([(3, "x")], schema), ["k"], deletes=spark.createDataFrame([(1,), (2,), (4,)], "k int"))
+    assert rows(table.read()) == [(3, "x")]
+
+    pairs = schema_of({"k": "integer", "p": "integer", "q": "string"})
+    two = PartitionedTable(spark, str(tmp_path / "two"), ["p", "q"], pairs)
+    two.merge(spark.createDataFrame([(1, None, "a"), (2, 1, None), (3, 1, "a"), (4, None, None)], pairs), ["k"])
+    two.merge(spark.createDataFrame([(5, None, "a"), (6, 1, None)], pairs), ["k"], deletes=spark.createDataFrame([(4,)], "k int"))
+    assert rows(two.read()) == [(1, None, "a"), (2, 1, None), (3, 1, "a"), (5, None, "a"), (6, 1, None)]
+
+
+def test_moved_keys_are_refused(spark, tmp_path):
+    schema = schema_of({"k": "integer", "p": "string"})
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema)
+    table.merge(spark.createDataFrame([(1, "x"), (2, None)], schema), ["k"])
+    for moved in ((1, "y"), (1, None), (2, "x")):
+        with pytest.raises(tables.MovedKeys):
+            table.merge(spark.createDataFrame([moved], schema), ["k"])
+    assert rows(table.read()) == [(1, "x"), (2, None)]
+
+
+def test_a_broken_commit_is_finished_by_the_next_merge(spark, tmp_path, monkeypatch):
+    schema = schema_of({"k": "integer", "v": "string", "p": "string"})
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema)
+    table.merge(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], schema), ["k"])
+    written = tables.write_files
+
+    def broken(df, path, **options):
+        if path == table.path:  # the old partition is gone, the new one not there yet
+            shutil.rmtree(tmp_path / "t" / "p=x")
+            raise RuntimeError("lost")
+        written(df, path, **options)
+    monkeypatch.setattr(tables, "write_files", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        table.merge(spark.createDataFrame([(4, "d", "x")], schema), ["k"], deletes=spark.createDataFrame([(2,)], "k int"))
+    monkeypatch.setattr(tables, "write_files", written)
+    table.merge(spark.createDataFrame([(5, "e", "z")], schema), ["k"])
+    assert rows(table.read()) == [(1, "a", "x"), (3, "c", "z"), (4, "d", "x"), (5, "e", "z")]
+    assert not table.recover() and not os.path.exists(tmp_path / "t-pending")
+
+
+def test_an_older_batch_is_refused(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), KV)
+    for number in (0, 1):
+        table.merge(spark.createDataFrame([(1, str(number))], KV), ["k"], number)
+    with pytest.raises(tables.OutOfOrder):
+        table.merge(spark.createDataFrame([(1, "again")], KV), ["k"], 0)
+
+
+def test_versions_stay_few(spark, tmp_path):
+    snapshots, history = SnapshotTable(spark, str(tmp_path / "s"), KV), tables.Scd2Table(spark, str(tmp_path / "h"), KV)
+    for number in range(7):
+        batch = spark.createDataFrame([(1, str(number // 2)), (2, str(number))], KV)
+        at = datetime(2024, 1, 1 + number)
+        snapshots.merge(batch, ["k"], number)
+        history.apply(batch, ["k"], ["v"], number, at)
+        snapshots.expire()
+        history.expire()
+        assert len(snapshots.versions()) <= 2 and len(history.versions()) <= 2
+        assert len(os.listdir(tmp_path / "h" / "closed") if os.path.exists(tmp_path / "h" / "closed") else []) <= 1
+    assert rows(snapshots.read()) == [(1, "3"), (2, "6")]
+    closed = history.history().filter("not scd_is_current").select("k", "v").collect()
+    assert sorted(map(tuple, closed)) == [(1, str(i)) for i in range(3)] + [(2, str(i)) for i in range(6)]
+    assert history.history().filter("scd_is_current").count() == 2
+
+
+def test_new_source_columns_reach_both_layers(spark, tmp_path):
+    root = str(tmp_path)
+    raw = TableSpec("raw_t", "bronze", with_ingest_ts(KV), SaveMode.APPEND, ("k",), partition_by=(INGEST_TS,))
+    clean = TableSpec("t", "silver", with_ingest_ts(KV), SaveMode.MERGE, ("k",))
+    first = Pipeline("p", raw, clean, lambda s: s.createDataFrame([(1, "a")], KV))
+    second = Pipeline("p", raw, clean, lambda s: s.createDataFrame([(2, "b", 5)], "k int, v string, extra long"))
+    run_pipeline(spark, first, root, 0, T1)
+    run_pipeline(spark, second, root, 1, T2)
+    for spec in (raw, clean):
+        assert rows(read_table(spark, spec, root).select("k", "v", "extra")) == [(1, "a", None), (2, "b", 5)]
+    fixed = replace(raw, name="raw_f", evolve=False), replace(clean, name="f", evolve=False)
+    run_pipeline(spark, Pipeline("p", *fixed, second.source), root, 0, T1)
+    assert "extra" not in read_table(spark, fixed[0], root).columns + read_table(spark, fixed[1], root).columns
+
+
+@pytest.mark.parametrize("narrow,wide", [("byte", "short"), ("byte", "int"), ("byte", "long"), ("short", "int"), ("short", "long"),
+                                         ("int", "long"), ("int", "double"), ("float", "double"), ("decimal(5,2)", "decimal(9,3)")])
+def test_stored_files_serve_wider_types(spark, tmp_path, narrow, wide):
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], spark.range(0).selectExpr("id k", f"cast(1 as {narrow}) v", "int(1) p").schema,
+                             evolving=True)
+    table.merge(spark.range(1).selectExpr("id k", f"cast(1.5 as {narrow}) v", "int(1) p"), ["k"])
+    table.merge(spark.range(1, 2).selectExpr("id k", f"cast(2 as {wide}) v", "int(2) p"), ["k"])
+    assert [float(r["v"]) for r in table.read().orderBy("k").collect()] == [1.5 if "d" in narrow or narrow == "float" else 1.0, 2.0]
+
+
+def test_dates_do_not_become_timestamps():
+    with pytest.raises(IncompatibleSchema):
+        merged_schema(schema_of({"d": "date"}), schema_of({"d": "timestamp"}))
 
 
 def test_two_partition_columns_and_deletes(spark, tmp_path):
