@@ -39,6 +39,7 @@ def _spec(name: str, key: str, attributes: Sequence[str], overwrite: Sequence[st
                      change_columns=tuple(attributes), overwrite_columns=tuple(overwrite))
 
 
+# Keys and columns of the dimensions.
 DIM_CUSTOMER = _spec("dim_customer", *SALES_DIMENSIONS["dim_customer"][:2], overwrite=CONTACT_COLUMNS)
 DIM_PRODUCT = _spec("dim_product", *SALES_DIMENSIONS["dim_product"][:2])
 DIM_STORE = _spec("dim_store", *SALES_DIMENSIONS["dim_store"][:2])

@@ -77,8 +77,6 @@ STATUS_B = schema_of({
 })
 FLAGS = ("is_installed", "is_renting", "is_returning")
 GEO_COLUMNS = {"lon": "longitude", "lat": "latitude"}
-# Source A records the call time in text pages; order its snapshot the way the service is asked to.
-STATUS_A_ORDER = ("numbikesavailable desc",)
 
 
 def info_a_source(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -87,8 +85,11 @@ def info_a_source(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def status_a_source(spark: SparkSession, path: str, batch_ts: datetime, **options) -> DataFrame:
-    """Records of one poll, stamped with the time of the call."""
-    rows = paged_records(spark, path, STATUS_A_SOURCE, order_by=list(STATUS_A_ORDER), **options)
+    """Records of one poll, stamped with the time of the call.
+
+    Not sorted: a table has no order, and the few values of the service's sort column would be few tasks.
+    """
+    rows = paged_records(spark, path, STATUS_A_SOURCE, **options)
     rows = drop_null_keys(rows, ["stationcode"]).withColumn("timestamp", utc_literal(batch_ts))
     return conform(rows, STATUS_A_SOURCE)
 

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from stratamart.functions.scalars import utc_literal
 from stratamart.operators.conform import conform, stamp
-from stratamart.sources.tables import PartitionedTable, Scd2Table, SnapshotTable, empty_frame
+from stratamart.sources.tables import PartitionedTable, Scd2Table, SnapshotTable, append_batch, empty_frame
 from stratamart.spec import INGEST_TS, KEY_BLOCK, Model, Pipeline, SaveMode, TableSpec
 
 
@@ -86,3 +86,8 @@ def read_table(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
     if not table.exists():
         return empty_frame(spark, spec.schema)
     return table.history() if isinstance(table, Scd2Table) else table.read().drop(KEY_BLOCK)
+
+
+def log_findings(findings: DataFrame, path: str) -> None:
+    """Keep the findings of a check run next to those of earlier runs; repeating a run replaces its own."""
+    append_batch(findings, path, [INGEST_TS, "table_name"])

@@ -74,7 +74,7 @@ def content_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders of every customer's latest day, ties kept."""
+    """All orders of every customer's latest month, ties kept."""
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.date_trunc("month", "o_orderdate")
                                                    .alias("month"))
     return shown(latest_per_key(orders, ["o_custkey"], "month"))

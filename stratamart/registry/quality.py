@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from stratamart.operators.quality import check_table, duplicate_keys, null_counts, orphans
 from stratamart.plans.dimensions import calendar_of, sales_dimension
 from stratamart.plans.facts import FACT_SALES, sales_fact
+from stratamart.plans.runs import log_findings
 from stratamart.registry.inputs import LOADED_AT, SALES_SQL, sales_source, shown, table
-from stratamart.sources.tables import append_batch, read_or_empty, scratch_dir, staged
+from stratamart.sources.tables import read_or_empty, scratch_dir, staged
 
 
 def pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def quality_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     references["dim_date"] = calendar_of(sales, "order_date", LOADED_AT)
     path = scratch_dir(spark)
     found = check_table(FACT_SALES, fact, references, LOADED_AT)
-    append_batch(found, path, ["table_name"])
+    log_findings(found, path)
     return shown(read_or_empty(spark, path, found.schema).filter(F.col("violations") > 0))
 
 

@@ -1,9 +1,10 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from conftest import rows
 from pyspark.sql import functions as F
 
 from stratamart.operators.quality import check_table, duplicate_keys, null_counts, orphan_count, orphans
+from stratamart.plans.runs import log_findings
 from stratamart.spec import ForeignKey, SaveMode, TableSpec, schema_of
 
 AT = datetime(2024, 1, 1)
@@ -50,3 +51,11 @@ def test_versions_share_their_key(spark):
     df = spark.createDataFrame([(1, True), (1, False), (2, True), (2, True)], "k int, scd_is_current boolean")
     found = check_table(spec, df, {}, AT).filter(F.col("check_name") == "primary_key").first()
     assert found["violations"] == 1
+
+
+def test_findings_of_all_runs_are_kept(spark, tmp_path):
+    path, later = str(tmp_path / "findings"), AT + timedelta(days=1)
+    for at in (AT, later, later):
+        log_findings(check_table(SPEC, planted(spark), dims(spark), at), path)
+    kept = spark.read.parquet(path).filter(F.col("check_name") == "primary_key")
+    assert [r["violations"] for r in kept.orderBy("ingest_ts").collect()] == [2, 2]
