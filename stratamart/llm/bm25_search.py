@@ -162,7 +162,7 @@ def _kept(scores: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.
 
 
 def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2, b: float = 0.75, key: str = "doc_id",
-              text: str = "text", query_key: str = "doc_id", query_text: str = "text", shard_docs: int = 16_384) -> DataFrame:
+              text: str = "text", query_key: str = "doc_id", query_text: str = "text", shard_docs: int = 4_096) -> DataFrame:
     """query, rank (from 1), the document's key and its score, for the k best documents of each query."""
     spark = docs.sparkSession
     kind, query_kind = docs.schema[key].dataType.simpleString(), queries.schema[query_key].dataType.simpleString()
