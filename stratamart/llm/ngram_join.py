@@ -17,8 +17,8 @@ documents are linked when the Jaccard similarity of their sets is at least ``num
    n-grams into fixed classes and sums the differences of the class sizes, a lower bound of the sets' difference. The rest is verified on
    the full sets.
 
-Only the table of bucket counts (4 MB) reaches the driver and is broadcast. The sets of nodes in some list are made again from
-their texts, which a join by key selects, and stored; before that only hashes move.
+The table of bucket counts (4 MB) reaches the driver and is broadcast. Full sets are made again, from the texts, for the nodes of
+pairs that pass all filters, once for each node; their keys are broadcast up to ``BROADCAST_ROWS`` and joined beyond that.
 
 Defined results: a null text or one without words has an empty set and is linked with nothing; a null key keeps its count,
 is linked with nothing and has no component; rows that repeat a key count as one document with several texts; an empty
@@ -27,7 +27,7 @@ table gives an empty table; other columns are not read. Texts are processed whol
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import map_slices, staged, texts
+from stratamart.llm.common import map_slices, small_or_joined, staged, texts
 from stratamart.llm.components import component_roots
 
 BUCKET_BITS, BLOCKS, LANES = 20, 64, 256
@@ -145,10 +145,11 @@ def _may_link(n1: Column, room1: Column, n2: Column, room2: Column, num: int, de
 class _Join:
     """The rounds over the posting lists of one join."""
 
-    def __init__(self, postings: DataFrame, sizes: DataFrame, sets: DataFrame, num: int, den: int):
-        self.postings, self.sizes, self.sets, self.num, self.den = postings, sizes, sets, num, den
+    def __init__(self, postings: DataFrame, sizes: DataFrame, fetch: Callable[[DataFrame], DataFrame], num: int, den: int):
+        self.postings, self.sizes, self.fetch, self.num, self.den = postings, sizes, fetch, num, den
         self.labels: DataFrame | None = None
         self.seen: DataFrame | None = None
+        self.sets: DataFrame | None = None
 
     def _open_lists(self) -> DataFrame:
         """The postings of lists that hold more than one component, without those that can link with nothing there."""
@@ -201,6 +202,11 @@ class _Join:
         # |X and Y| = (|X| + |Y| - difference) / 2 has to reach num / (num + den) of |X| + |Y|
         pairs = pairs.join(side("x"), "x").join(side("y"), "y").where((self.num + self.den) * (both - apart) >= 2 * self.num * both)
         pairs = staged(pairs.select("x", "y", "p", "q", both.alias("both")), "pairs")
+        needed = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+        if self.sets is not None:
+            needed = needed.join(self.sets.select("node"), "node", "left_anti")
+        made = staged(self.fetch(needed), "grams")
+        self.sets = made if self.sets is None else self.sets.unionByName(made)
         grams = lambda a: self.sets.select(F.col("node").alias(a), F.col("grams").alias(f"{a}g"))
         common = F.size(F.array_intersect("xg", "yg"))
         linked = pairs.join(grams("x"), "x").join(grams("y"), "y").where((self.num + self.den) * common >= self.num * F.col("both"))
@@ -235,10 +241,13 @@ def ngram_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 10
     chosen = own.join(listed, "node").groupBy("node").agg(
         F.min(key).alias(key), F.first("n").alias("n"), F.first("mark").alias("mark"), F.first("classes").alias("classes"))
     chosen = staged(chosen, "listed")
-    sized = chosen.select("node", "n", "classes")
-    sources = df.select(F.col(key), F.col(text)).join(chosen.select(key, "node", "mark"), key)
-    sets = staged(full_sets(sources, text, words), "grams")
-    join = _Join(postings, sized, sets, num, den)
+
+    def fetch(needed: DataFrame) -> DataFrame:
+        """The sets of these nodes, from the text of one document of each."""
+        wanted = staged(chosen.select(key, "node", "mark").join(needed, "node"), "wanted")
+        return full_sets(df.select(F.col(key), F.col(text)).join(small_or_joined(wanted), key), text, words)
+
+    join = _Join(postings, chosen.select("node", "n", "classes"), fetch, num, den)
     for _ in range(LEADER_ROUNDS):
         if not join.leader_round():
             break
