@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from stratamart.functions.scalars import utc_datetime, utc_literal
 from stratamart.sources.tables import PartitionedTable, Scd2Table, SnapshotTable, write_files
 from stratamart.spec import INGEST_TS
 
@@ -79,11 +80,12 @@ def scd2_into(
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch)
         # One value per landed batch in this micro-batch, not per row.
-        times = sorted(r[0] for r in rows.select(ts).distinct().collect() if r[0] is not None)
+        found = rows.filter(F.col(ts).isNotNull()).select(F.unix_micros(ts)).distinct().collect()
+        times = sorted(utc_datetime(r[0]) for r in found)
         if len(times) > TIMES_PER_BATCH:
             raise ValueError(f"{len(times)} ingest timestamps in one micro-batch; land fewer files per trigger")
         for i, at in enumerate(times):
-            one = rows.filter(F.col(ts) == F.lit(at)).drop(ts)
+            one = rows.filter(F.col(ts) == utc_literal(at)).drop(ts)
             table.apply(one, key, change, batch_id * TIMES_PER_BATCH + i, at, order_by=order_by)
 
     return handle
