@@ -1,15 +1,18 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Pages of one host are dealt to groups of about ``group_pages`` pages. In a group, every token (a tag, or a word outside
-the article) with its path of open elements has an occurrence vector: how often it occurs on each distinct page. Tokens
+Pages of one host are dealt to groups of about ``group_pages`` pages. In a group, every token (a tag or a word, inside the
+article too) with its path of open elements has an occurrence vector: how often it occurs on each distinct page. The words
+of a text block that repeats on enough pages are told apart from the same words elsewhere on their path. Tokens
 with equal vectors form a class; a class is valid if it is large and frequent enough, if its tokens follow each other in
 the same order on every page, and if its occurrences nest in the gaps of the classes around it. The valid classes are the
 template; what lies between their tokens are the slots. The main text is what the slots hold in the page's content
 region: the article (or else main, or else a container named as content, or else the body), without navigation, headers,
-footers, sidebars, notices, adverts, forms, comments, scripts and styles.
+footers, sidebars, notices, adverts, forms, comments, scripts and styles. Text blocks of any region whose words are all
+template are left out; a block with other words stays whole.
 
-Words inside an article never join a class: copies of one article on several pages of a host would look like a template.
-Where a page has no such region, words of the template are left out of the text.
+Copies of one article on several pages of a host would look like a template, so pages count as one if their regions share
+``COPY`` of their word triples (``COPY_BODY`` where the region is the body, whose template may be longer than its text);
+of long texts the share is measured on ``SKETCH`` triples. Site text that makes up that much of a region stays.
 
 A host of any size is split into groups by page, so no group grows with the input. The table of the hosts that need
 splitting is broadcast up to ``BROADCAST_HOSTS`` rows, beyond that joined.
@@ -22,15 +25,19 @@ empty table; other columns are not read. Pages are read whole.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from html import unescape
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_HOSTS = 100_000
 MIN_PAGES, MIN_CLASS = 3, 2
+COPY, COPY_BODY, SKETCH = 0.5, 0.9, 64
 
 # Element names of the HTML standard, and names that sites give to page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,14 +64,35 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
 
+class Block(NamedTuple):
+    """A run of text between block elements; path is that of its first word."""
+    region: str
+    furniture: bool
+    path: str
+    text: str
+
+    @property
+    def key(self) -> tuple[str, str]:
+        return self.path, self.text
+
+
+class Template(set):
+    """The tokens of the valid classes; the blocks that repeat; and those of them whose words are all template."""
+
+    def __init__(self, tokens=(), repeated=frozenset(), held=frozenset()):
+        super().__init__(tokens)
+        self.repeated, self.held = repeated, held
+
+
 class Page:
-    """The tokens of a page: (kind, value, path), kind one of open, close, word; and where each word stands."""
+    """The tokens of a page: (kind, value, path), kind one of open, close, word; words also have their block and place in it."""
 
     def __init__(self, html: str):
-        self.tokens: list[tuple[str, str, str]] = []
-        self.blocks: list[tuple[str, bool, list[tuple[str, int | None]]]] = []  # region, furniture, [(text, word token or None)]
+        self.tokens: list[tuple] = []
+        self.blocks: list[Block] = []
         self._stack: list[tuple[str, str, bool, str]] = []  # name, label, furniture, region
-        self._current: list[tuple[str, int | None]] = []
+        self._current: list[str] = []
+        self._first, self._words = "", 0  # of the current block: path of the first word, number of words
         self._where = ("", False)
         self._read(html)
         self._flush()
@@ -102,25 +130,33 @@ class Page:
             self._flush()
             self._where = (region, furniture)
         text = unescape(text)
-        if region == "article" and not furniture:
-            self._current.append((text, None))
-            return
-        path = self._path()
-        for piece in re.findall(r"\s+|\S+", text):
-            if piece.isspace():
-                self._current.append((" ", None))
-            else:
-                self._current.append((piece, len(self.tokens)))
-                self.tokens.append(("word", piece, path))
+        self._current.append(text)
+        path, block = self._path(), len(self.blocks)
+        for word in text.split():
+            if not self._words:
+                self._first = path
+            self.tokens.append(("word", word, path, block, self._words))
+            self._words += 1
 
     def _flush(self) -> None:
-        if any(t and not t.isspace() for t, _ in self._current):
-            self.blocks.append((*self._where, self._current))
-        self._current = []
+        if self._words:
+            self.blocks.append(Block(*self._where, self._first, " ".join("".join(self._current).split())))
+        self._current, self._words = [], 0
+
+    @property
+    def region(self) -> str:
+        """The best content region that has text."""
+        regions = {b.region for b in self.blocks if not b.furniture}
+        return next((r for r in ("article", "main", "content") if r in regions), "")
+
+    def roles(self, repeated: set[tuple[str, str]] | frozenset) -> list[tuple]:
+        """The tokens with their roles: a word of a repeated block with the block and its place there, others by their path."""
+        keys = [b.key if b.key in repeated else None for b in self.blocks]
+        return [t if t[0] != "word" else t[:3] if (key := keys[t[3]]) is None else (*t[:3], key, t[4]) for t in self.tokens]
 
     def _open(self, name: str, attributes: str) -> None:
         if name == "br":
-            self._current.append((" ", None))
+            self._current.append(" ")
             return
         if name in BLOCK:
             self._flush()
@@ -167,36 +203,71 @@ class Page:
                 return
 
 
-def template_of(pages: list[Page]) -> set[tuple[str, str, str]]:
-    """Tokens of the valid equivalence classes of these (distinct) pages."""
+def without_copies(pages: list[Page]) -> list[Page]:
+    """The pages whose content regions are no (near) copies of that of an earlier page."""
+    leaders: list[tuple[str, frozenset, Page]] = []
+    for page in pages:
+        region = page.region
+        words = [w for b in page.blocks if b.region == region and not b.furniture for w in b.text.split()]
+        h = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words], dtype=np.uint64)
+        if len(h) >= 3:
+            h = (h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:]) * np.uint64(0xFF51AFD7ED558CCD)
+            h ^= h >> np.uint64(32)
+        sketch = frozenset(np.unique(h)[:SKETCH].tolist())
+        limit = COPY if region else COPY_BODY
+        if not any(region == r and _alike(sketch, other, limit) for r, other, _ in leaders):
+            leaders.append((region, sketch, page))
+    return [page for _, _, page in leaders]
+
+
+def _alike(a: frozenset, b: frozenset, limit: float) -> bool:
+    common = a & b
+    if len(common) < limit * max(len(a), len(b)):
+        return False
+    least = sorted(a | b)[:SKETCH]
+    return a == b or sum(x in common for x in least) > limit * len(least)
+
+
+def template_of(pages: list[Page]) -> Template:
+    """Tokens of the valid equivalence classes of these pages, copies counted once."""
+    pages = without_copies(pages)
     if len(pages) < MIN_PAGES:
-        return set()
+        return Template()
+    enough = max(MIN_PAGES, (len(pages) + 1) // 2)
+
+    def common(sets) -> set:
+        return {x for x, n in Counter(x for s in sets for x in s).items() if n >= enough}
+
+    repeated = common({b.key for b in page.blocks} for page in pages)
+    roles = [page.roles(repeated) for page in pages]
+    frequent = common(map(set, roles))
+    roles = [[t for t in tokens if t in frequent] for tokens in roles]
     vectors: dict[tuple, list[int]] = defaultdict(lambda: [0] * len(pages))
-    for i, page in enumerate(pages):
-        for token, n in Counter(page.tokens).items():
+    for i, tokens in enumerate(roles):
+        for token, n in Counter(tokens).items():
             vectors[token][i] = n
     classes: dict[tuple, list[tuple]] = defaultdict(list)
     for token, vector in vectors.items():
-        if sum(map(bool, vector)) >= max(MIN_PAGES, (len(pages) + 1) // 2):
-            classes[tuple(vector)].append(token)
+        classes[tuple(vector)].append(token)
     found = [(vector, set(tokens)) for vector, tokens in classes.items() if len(tokens) >= MIN_CLASS]
     # Frequent classes first: the others have to nest in their gaps.
     found.sort(key=lambda c: (-sum(map(bool, c[0])), sum(c[0]), -len(c[1])))
     of = {token: k for k, (_, tokens) in enumerate(found) for token in tokens}
     bad = set()
-    for page in pages:
-        bad |= _disordered([(of[t], t) for t in page.tokens if t in of], bad)
+    for tokens in roles:
+        bad |= _disordered([(of[t], t) for t in tokens if t in of], bad)
     order: dict[int, tuple] = {}
-    for page in pages:
+    for role in roles:
         seen: dict[int, list] = defaultdict(list)
-        for t in page.tokens:
+        for t in role:
             if (k := of.get(t)) is not None and k not in bad:
                 seen[k].append(t)
         for k, tokens in seen.items():
             first = tuple(tokens[:len(found[k][1])])
             if order.setdefault(k, first) != first:
                 bad.add(k)
-    return {t for k, (_, tokens) in enumerate(found) if k not in bad for t in tokens}
+    valid = {t for k, (_, tokens) in enumerate(found) if k not in bad for t in tokens}
+    return Template(valid, repeated, repeated - {t[3] for t in frequent if len(t) > 3 and t not in valid})
 
 
 def _disordered(tokens: list[tuple[int, tuple]], known: set[int]) -> set[int]:
@@ -228,24 +299,16 @@ def _disordered(tokens: list[tuple[int, tuple]], known: set[int]) -> set[int]:
     return bad
 
 
-def main_text(page: Page, template: set[tuple[str, str, str]]) -> str:
+def main_text(page: Page, template: Template) -> str:
     """The slots' text in the best content region of the page, block by block."""
-    regions = {region for region, furniture, _ in page.blocks if not furniture}
-    region = next((r for r in ("article", "main", "content") if r in regions), "")
-    out = []
-    for where, furniture, parts in page.blocks:
-        if furniture or where != region:
-            continue
-        kept = parts if region == "article" else [(t, i) for t, i in parts if i is None or page.tokens[i] not in template]
-        if text := " ".join("".join(t for t, _ in kept).split()):
-            out.append(text)
-    return "\n\n".join(out)
+    region = page.region
+    return "\n\n".join(b.text for b in page.blocks if b.region == region and not b.furniture and b.key not in template.held)
 
 
-def slots_of(page: Page, template: set[tuple[str, str, str]]) -> int:
+def slots_of(page: Page, template: Template) -> int:
     """How many gaps between template tokens hold other tokens."""
     n, before = 0, True
-    for token in page.tokens:
+    for token in page.roles(template.repeated):
         now = token in template
         n += before and not now
         before = now
@@ -268,7 +331,7 @@ def extract_pages(df: DataFrame, key: str = "page_id", url: str = "url", html: s
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         made = {h: Page(h) for h in rows["html"].unique()}
-        template = template_of(list(made.values()))
+        template = template_of([made[h] for h in sorted(made)])
         found = {h: (main_text(p, template), slots_of(p, template)) for h, p in made.items()}
         return pd.DataFrame({"k": rows["k"], "url": rows["url"], "text": [found[h][0] for h in rows["html"]],
                              "n_template": len(template), "n_slots": [found[h][1] for h in rows["html"]]})

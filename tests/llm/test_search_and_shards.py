@@ -195,3 +195,32 @@ def test_chat_query_has_the_tricky_conversation(spark):
     assert (row["n_turns"], row["loss_chars"]) == (2, len(said))
     assert row["turns_sha256"] == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
     assert row["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
+def story(seed, words=300, names=120):
+    """Paragraphs of random words out of ``names``, so that every two stories share most of their words."""
+    rng = random.Random(seed)
+    text = [f"w{rng.randrange(names)}" for _ in range(words)]
+    return [" ".join(text[i:i + 60]) for i in range(0, words, 60)]
+
+
+def extracted(pages):
+    made = [Page(p) for p in pages]
+    template = template_of(made)
+    return [main_text(p, template) for p in made]
+
+
+def test_site_text_inside_the_article_is_left_out():
+    paragraphs = [story(i) for i in range(6)]
+    pages = ["<body><nav>Home</nav><article><div class=by>By the same author</div>" + "".join(f"<p>{p}" for p in ps)
+             + "<p>Read w1 and w2 each week with <b>the w3 letter</b></p><p>w4 w5 w4</p></article></body>" for ps in paragraphs]
+    assert extracted(pages) == ["\n\n".join(ps) for ps in paragraphs]
+
+
+def test_copies_of_one_article_are_no_template():
+    one, others = story(1), [story(i) for i in (2, 3)]
+    near = [[p.replace("w7 ", f"edit{i} ", 1) if j == i % 5 else p for j, p in enumerate(one)] for i in range(5)]
+    pages = ["".join(f"<p>{p}</p>" for p in ps) for ps in [one, *near, *others]]
+    for frame in ("<nav>n{}</nav><article>{}</article>", "<nav>n{}</nav><main>{}</main>", "<nav>n{}</nav><body>{}</body>"):
+        got = extracted([frame.format(i, p) for i, p in enumerate(pages)])
+        assert got == ["\n\n".join(ps) for ps in [one, *near, *others]]
