@@ -2,10 +2,11 @@
 
 Pages of one host are dealt to groups of about ``group_pages`` pages. In a group, every token (a tag or a word, inside the
 article too) with its path of open elements has an occurrence vector: how often it occurs on each distinct page. The words
-of a text block that repeats on enough pages are told apart from the same words elsewhere on their path. Tokens
-with equal vectors form a class; a class is valid if it is large and frequent enough, if its tokens follow each other in
-the same order on every page, and if its occurrences nest in the gaps of the classes around it. The valid classes are the
-template; what lies between their tokens are the slots. The main text is what the slots hold in the page's content
+of a text block that repeats on enough pages are told apart from the same words elsewhere on their path. Tags
+with equal vectors form a class, and so do words with equal vectors that have one path and stand in one block of each page;
+a class is valid if it is large and frequent enough, if its tokens follow each other in the same order on every page, and
+if its occurrences nest in the gaps of the classes around it. A class that is not is split by path, then by order, and what
+is valid of it stays. The valid classes are the template; what lies between their tokens are the slots. The main text is what the slots hold in the page's content
 region: the article (or else main, or else a container named as content, or else the body), without navigation, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts and styles. Text blocks of any region whose words are all
 template are left out; a block with other words stays whole.
@@ -246,14 +247,66 @@ def template_of(pages: list[Page]) -> Template:
     for i, tokens in enumerate(roles):
         for token, n in Counter(tokens).items():
             vectors[token][i] = n
+    places = _places(pages, repeated, vectors)
+    element = {t[2]: vector for t, vector in vectors.items() if t[0] == "open"}
     classes: dict[tuple, list[tuple]] = defaultdict(list)
     for token, vector in vectors.items():
-        classes[tuple(vector)].append(token)
-    found = [(vector, set(tokens)) for vector, tokens in classes.items() if len(tokens) >= MIN_CLASS]
+        classes[(tuple(vector), *((token[2], places[token]) if token[0] == "word" else ()))].append(token)
+    # The words of a repeated block also count the tags of an element that holds nothing else as often.
+    found = [(key[0], tokens) for key, tokens in classes.items()
+             if len(tokens) + (2 if len(tokens[0]) > 3 and element.get(tokens[0][2]) == [*key[0]] else 0) >= MIN_CLASS]
+    for split in (_by_path, _by_order):
+        bad = _invalid(found, roles)
+        found = ([c for k, c in enumerate(found) if k not in bad]
+                 + [(found[k][0], part) for k in bad for part in split(found[k][1], roles) if len(part) >= MIN_CLASS])
+    bad = _invalid(found, roles)
+    valid = {t for k, (_, tokens) in enumerate(found) if k not in bad for t in tokens}
+    return Template(valid, repeated, repeated - {t[3] for t in frequent if len(t) > 3 and t not in valid})
+
+
+def _places(pages: list[Page], repeated: set, wanted: dict) -> dict[tuple, tuple]:
+    """For each wanted word, the block of its first occurrence on each page: words of one class stand in one block."""
+    places: dict[tuple, dict[int, int]] = defaultdict(dict)
+    for i, page in enumerate(pages):
+        for token, role in zip(page.tokens, page.roles(repeated)):
+            if token[0] == "word" and role in wanted:
+                places[role].setdefault(i, token[3])
+    return {role: tuple(at.items()) for role, at in places.items()}
+
+
+def _by_path(tokens: list[tuple], roles: list[list[tuple]]) -> list[list[tuple]]:
+    parts: dict[str, list] = defaultdict(list)
+    for t in tokens:
+        parts[t[2]].append(t)
+    return list(parts.values())
+
+
+def _by_order(tokens: list[tuple], roles: list[list[tuple]]) -> list[list[tuple]]:
+    """Parts whose tokens first occur in the same order on every page."""
+    at: dict[tuple, list[int]] = {t: [] for t in tokens}
+    for role in roles:
+        first: dict[tuple, int] = {}
+        for n, t in enumerate(role):
+            if t in at:
+                first.setdefault(t, n)
+        for t, n in first.items():
+            at[t].append(n)
+    parts: list[list[tuple]] = []
+    for t in sorted(tokens, key=at.__getitem__):
+        part = next((p for p in parts if all(x < y for x, y in zip(at[p[-1]], at[t]))), None)
+        if part is None:
+            parts.append([t])
+        else:
+            part.append(t)
+    return parts
+
+
+def _invalid(found: list[tuple[tuple, list[tuple]]], roles: list[list[tuple]]) -> set[int]:
+    """Numbers of the classes that are not in one order on all pages or do not nest; sorts the classes."""
     # Frequent classes first: the others have to nest in their gaps.
-    found.sort(key=lambda c: (-sum(map(bool, c[0])), sum(c[0]), -len(c[1])))
+    found.sort(key=lambda c: (-sum(map(bool, c[0])), sum(c[0]), -len(c[1]), min(map(str, c[1]))))
     of = {token: k for k, (_, tokens) in enumerate(found) for token in tokens}
-    bad = set()
+    bad: set[int] = set()
     for tokens in roles:
         bad |= _disordered([(of[t], t) for t in tokens if t in of], bad)
     order: dict[int, tuple] = {}
@@ -266,8 +319,7 @@ def template_of(pages: list[Page]) -> Template:
             first = tuple(tokens[:len(found[k][1])])
             if order.setdefault(k, first) != first:
                 bad.add(k)
-    valid = {t for k, (_, tokens) in enumerate(found) if k not in bad for t in tokens}
-    return Template(valid, repeated, repeated - {t[3] for t in frequent if len(t) > 3 and t not in valid})
+    return bad
 
 
 def _disordered(tokens: list[tuple[int, tuple]], known: set[int]) -> set[int]:

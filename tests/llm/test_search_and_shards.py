@@ -224,3 +224,25 @@ def test_copies_of_one_article_are_no_template():
     for frame in ("<nav>n{}</nav><article>{}</article>", "<nav>n{}</nav><main>{}</main>", "<nav>n{}</nav><body>{}</body>"):
         got = extracted([frame.format(i, p) for i, p in enumerate(pages)])
         assert got == ["\n\n".join(ps) for ps in [one, *near, *others]]
+
+
+@pytest.mark.parametrize("tag", ["main", "body", 'div id="content"'])
+def test_words_that_pages_have_in_common_stay(tag):
+    paragraphs = [story(i, names=900) for i in range(3)]
+    for i, ps in enumerate(paragraphs):  # once on each page: one in the same order everywhere, two in changing order
+        ps[1] = ps[1].replace(" ", " alone ", 1)
+        ps[2 + i % 2] += " first"
+        ps[3 - i % 2] += " second"
+    pages = [f"<html><{tag}><p>Welcome to the site of w1 and w2</p><div class=tag><i>Share</i></div>" + "".join(f"<p>{p}</p>" for p in ps)
+             + f"<p>Imprint and the contact</p></{tag.split()[0]}></html>" for ps in paragraphs]
+    assert extracted(pages) == ["\n\n".join(ps) for ps in paragraphs]
+
+
+def test_a_class_in_changing_order_loses_only_what_is_out_of_order():
+    paragraphs = [story(i, names=900) for i in range(4)]
+    boxes = ["<div class=a><b>Our shop</b></div>", "<div class=b><b>Our club</b></div>"]
+    pages = [boxes[i % 2] + boxes[1 - i % 2] + "".join(f"<p>{p}</p>" for p in ps) for i, ps in enumerate(paragraphs)]
+    made = [Page(f"<html><body>{p}</body></html>") for p in pages]
+    template = template_of(made)
+    assert {("open", "body", "/html/body"), ("open", "div", "/html/body/div.a"), ("open", "div", "/html/body/div.b")} <= template
+    assert [main_text(p, template) for p in made] == ["\n\n".join(ps) for ps in paragraphs]
