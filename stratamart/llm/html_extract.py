@@ -9,7 +9,9 @@ if its occurrences nest in the gaps of the classes around it. A class that is no
 is valid of it stays. The valid classes are the template; what lies between their tokens are the slots. The main text is what the slots hold in the page's content
 region: the article (or else main, or else a container named as content, or else the body), without navigation, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts and styles. Text blocks of any region whose words are all
-template are left out; a block with other words stays whole.
+template are left out; a block with other words stays whole. In a content region, a container whose name (class, or id unless
+it is a section) is one of page furniture is left out only if its tags are template; headings and text elements are never
+judged by name. A class that is just the word for an advert needs no such evidence, as adverts change from page to page.
 
 Copies of one article on several pages of a host would look like a template, so pages count as one if their regions share
 ``COPY`` of their word triples (``COPY_BODY`` where the region is the body, whose template may be longer than its text);
@@ -56,6 +58,9 @@ FURNITURE_NAMES = frozenset("""ad ads advert adverts advertisement advertising a
     sidenav menu nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments commentlist disqus reply replies
     respond share sharing social related recommended recommendations widget widgets toolbar pagination pager search login
     topbar skip""".split())
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense adbox".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LEAVES = frozenset("p pre blockquote li dt dd td th figcaption caption".split())
 CONTENT_NAMES = frozenset("article post entry story content main".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|"
@@ -66,9 +71,10 @@ HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)"
 
 
 class Block(NamedTuple):
-    """A run of text between block elements; path is that of its first word."""
+    """A run of text between block elements; path is that of its first word, named has the labels of containers named as furniture."""
     region: str
     furniture: bool
+    named: tuple[str, ...]
     path: str
     text: str
 
@@ -91,10 +97,10 @@ class Page:
     def __init__(self, html: str):
         self.tokens: list[tuple] = []
         self.blocks: list[Block] = []
-        self._stack: list[tuple[str, str, bool, str]] = []  # name, label, furniture, region
+        self._stack: list[tuple[str, str, bool, str, tuple[str, ...]]] = []  # name, label, furniture, region, named
         self._current: list[str] = []
         self._first, self._words = "", 0  # of the current block: path of the first word, number of words
-        self._where = ("", False)
+        self._where = ("", False, ())
         self._read(html)
         self._flush()
 
@@ -126,10 +132,10 @@ class Page:
         return self._stack[-1][1] if self._stack else ""
 
     def _text(self, text: str) -> None:
-        region, furniture = (self._stack[-1][3], self._stack[-1][2]) if self._stack else ("", False)
-        if (region, furniture) != self._where:
+        where = (self._stack[-1][3], self._stack[-1][2], self._stack[-1][4]) if self._stack else ("", False, ())
+        if where != self._where:
             self._flush()
-            self._where = (region, furniture)
+            self._where = where
         text = unescape(text)
         self._current.append(text)
         path, block = self._path(), len(self.blocks)
@@ -166,14 +172,21 @@ class Page:
         elif name in SIBLINGS:
             self._end(SIBLINGS[name], ["ul", "ol", "dl", "table", "select"])
         a = {k.lower(): x or y or z for k, x, y, z in _ATTRIBUTE.findall(attributes)}
-        outer = self._stack[-1] if self._stack else ("", "", False, "")
-        names = {w.lower() for w in _NAME.findall(f"{a.get('class', '')} {a.get('id', '')}")}
+        outer = self._stack[-1] if self._stack else ("", "", False, "", ())
+        classes = a.get("class", "")
+        names = {w.lower() for w in _NAME.findall(f"{classes} {a.get('id', '')}")}
         role = a.get("role", "").lower()
         inside = outer[3] == "article"
         furniture = outer[2] or name in FURNITURE or role in FURNITURE_ROLES or "hidden" in a or a.get("aria-hidden") == "true"
-        furniture = furniture or name not in ("html", "body", "article", "main") and bool(names & FURNITURE_NAMES)
-        furniture = furniture or name == "article" and bool(names & {"comment", "comments", "reply", "ad", "advert", "related", "promo"})
-        furniture = furniture or not inside and (name == "header" or "header" in names and name in ("div", "section"))
+        suspect = False
+        if outer[3]:  # in a content region a name is a hint only, and ids of headings and sections are made from titles
+            hints = {w.lower() for w in _NAME.findall(classes)} if name in ("section", "article") else names
+            furniture = furniture or name not in HEADINGS and bool(ADVERTS & set(classes.lower().split()))
+            suspect = name not in HEADINGS and name not in LEAVES and bool(hints & FURNITURE_NAMES or not inside and "header" in hints and name in ("div", "section"))
+        elif name not in HEADINGS:
+            furniture = furniture or name not in ("html", "body", "article", "main") and bool(names & FURNITURE_NAMES)
+            furniture = furniture or name == "article" and bool(names & {"comment", "comments", "reply", "ad", "advert", "related", "promo"})
+        furniture = furniture or not inside and (name == "header" or not outer[3] and "header" in names and name in ("div", "section"))
         region = outer[3]
         if name == "article" and not furniture:
             region = "article"
@@ -184,7 +197,7 @@ class Page:
         label = f"{outer[1]}/{name}" + (f".{'.'.join(sorted(names))}" if names else "")
         self.tokens.append(("open", name, label))
         if name not in VOID and not attributes.endswith("/"):
-            self._stack.append((name, label, furniture, region))
+            self._stack.append((name, label, furniture, region, (*outer[4], label) if suspect else outer[4]))
 
     def _close(self, name: str) -> None:
         if name in BLOCK:
@@ -354,7 +367,8 @@ def _disordered(tokens: list[tuple[int, tuple]], known: set[int]) -> set[int]:
 def main_text(page: Page, template: Template) -> str:
     """The slots' text in the best content region of the page, block by block."""
     region = page.region
-    return "\n\n".join(b.text for b in page.blocks if b.region == region and not b.furniture and b.key not in template.held)
+    return "\n\n".join(b.text for b in page.blocks if b.region == region and not b.furniture and b.key not in template.held
+                       and not any(("open", label.rsplit("/", 1)[1].split(".")[0], label) in template for label in b.named))
 
 
 def slots_of(page: Page, template: Template) -> int:

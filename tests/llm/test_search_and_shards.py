@@ -246,3 +246,18 @@ def test_a_class_in_changing_order_loses_only_what_is_out_of_order():
     template = template_of(made)
     assert {("open", "body", "/html/body"), ("open", "div", "/html/body/div.a"), ("open", "div", "/html/body/div.b")} <= template
     assert [main_text(p, template) for p in made] == ["\n\n".join(ps) for ps in paragraphs]
+
+
+def test_names_of_furniture_in_an_article_need_evidence():
+    parts = ['<h2 id="related-work">Related work</h2><p>a', '<section id="search"><h2>On search</h2><p>b</section>', '<p class="notice">c',
+             '<div class="social-policy"><p>d</p></div>', '<h3 class="banner">The banner</h3><p>e', '<div class="ad">buy</div><p>f']
+    texts = ["Related work\n\na", "On search\n\nb", "c", "d", "The banner\n\ne", "f"]
+    bodies = [(f"<{tag}>{part}{''.join(f'<p>{p}</p>' for p in story(i))}</{tag}>", "\n\n".join([text, *story(i)]))
+              for tag in ("article", "main") for i, (part, text) in enumerate(zip(parts, texts))]
+    for body, text in bodies:
+        assert extracted([body]) == [text]
+    half = len(bodies) // 2
+    assert extracted([b for b, _ in bodies[:half]]) == [t for _, t in bodies[:half]]
+    # The same container on most pages, with other links on each.
+    pages = [b.replace("</article>", f'<div class="related"><ul><li>link {i}<li>more {i + 1}</ul></div></article>') for i, (b, _) in enumerate(bodies[:half])]
+    assert extracted(pages) == [t for _, t in bodies[:half]]
