@@ -17,7 +17,8 @@ beyond.
 
 Defined results: a null text has no lines and is returned as null; a null key counts as the smallest; equal rows (key and
 text) stand or fall together, as copies of one document; an empty table gives an empty table; other columns come back
-unchanged. Lines of any length are handled whole.
+unchanged. Lines of any length are handled whole, one variant in memory at a time; the time for a line that reaches the last
+step grows with the square of its length.
 """
 
 from __future__ import annotations
@@ -85,13 +86,11 @@ def late_lines(lines: DataFrame, found: DataFrame) -> DataFrame:
     close = small_or_joined(staged(close, "close-lines"))
     near = staged(found.join(close, "born").dropDuplicates(["h1", "h2"]).withColumn("parts", part_keys(F.col("line"))), "near-lines")
     near = staged(near.join(sharing(near, "parts"), "h1", "left_semi").drop("parts"), "near-lines")
-    places = F.sequence(F.lit(1), F.char_length("line"))
-    without = F.transform(places, lambda p: F.struct(
-        p.alias("tag"), F.concat(F.substring(F.col("line"), F.lit(1), p - 1),
-                                 F.substring(F.col("line"), p + 1, F.char_length("line"))).alias("rest")))
-    rows = near.select(F.struct("born", "h1", "h2").alias("who"), F.explode(F.concat(
-        without, F.array(F.struct(F.lit(0).alias("tag"), F.col("line").alias("rest"))))).alias("v"))
-    variants = rows.select("who", "v.tag", *_both(("v1", "v2"), "v.rest"))
+    # One row for each place, then one variant at a time: a line's variants together are as long as its length squared.
+    places = near.select(F.struct("born", "h1", "h2").alias("who"), "line", F.explode(F.sequence(F.lit(0), F.char_length("line"))).alias("tag"))
+    # Place 0 is the whole line. A column of its own, so that both hashes use one string.
+    rest = F.concat(F.substring(F.col("line"), F.lit(1), F.col("tag") - 1), F.expr("substring(line, tag + 1)"))
+    variants = places.select("who", "tag", rest.alias("rest")).select("who", "tag", *_both(("v1", "v2"), "rest"))
     same, place = Window.partitionBy("v1", "v2"), Window.partitionBy("v1", "v2", "tag")
     whole = F.col("tag") == 0
     met = variants.select("who", F.array(

@@ -110,6 +110,13 @@ def test_lines_of_odd_tables(documents):
     got = sorted((r["doc_id"], r["text"]) for r in dedup_lines(documents([(2, line), (2, line), (3, line)])).collect())
     assert got == [(2, line), (2, line), (3, "")]
 
+def test_very_long_near_equal_lines(documents):
+    # All variants of one line would take 6.4 GB.
+    rng = random.Random(5)
+    line = "".join(rng.choice("abcdefgh ij") for _ in range(80_000)) + "."
+    rows = [(1, line), (2, line[:30_000] + "Z" + line[30_001:])]
+    assert {r["doc_id"]: r["text"] for r in dedup_lines(documents(rows)).collect()} == {1: line, 2: ""}
+
 
 def quality_corpus():
     rng = random.Random(4)
