@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.llm.bm25_search import bm25_topk
+from stratamart.llm.byte_codec import decode_documents, encode_documents
 from stratamart.llm.chat_format import chat_examples, loss_text, parsed_turns
+from stratamart.llm.fill_middle import fill_middle, restored
 from stratamart.llm.html_extract import extract_pages
 from stratamart.llm.line_dedup import MIN_CHARS, dedup_lines
 from stratamart.llm.ngram_join import ngram_components
 from stratamart.llm.packing import pack_documents
+from stratamart.llm.periodic_runs import periodic_runs
 from stratamart.llm.piece_codec import encode_digests
 from stratamart.llm.quality_rules import quality_rules
 from stratamart.llm.sharding import shard_documents
@@ -225,3 +228,97 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(so_far) FILTER (role = 'assistant' OR back = 1)::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id"""
+
+
+def _with_period(df: DataFrame) -> DataFrame:
+    """One text in ten made periodic from some word on, as a hash of its id says."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    made = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(tail, F.lit(1), n - a)), " ")
+    return df.select("doc_id", F.when(h % 10 == 0, F.when(n > 0, made)).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_with_period(table(spark, sf_dir, "documents")))
+
+    def stronger(x, y):
+        more, less = x["length"] * y["period"], y["length"] * x["period"]
+        return (F.when(more > less, -1).when(more < less, 1).when(x["start"] < y["start"], -1).when(x["start"] > y["start"], 1)
+                .when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0))
+
+    best = F.get(F.array_sort("runs", stronger), F.lit(0))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), listed.alias("listed"), best.alias("best"), "collapsed").select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+# Independent of the operator: equal words at a distance, joined within a text, and their streaks.
+ORACLES["op11_periodic_runs"] = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(list_reduce(list_prepend(4294967295, flatten([[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+                                                           for c in string_split(doc_id::VARCHAR, '')])),
+                         lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x)
+                                             ELSE xor(crc >> 1, CASE WHEN crc & 1 = 1 THEN 3988292384 ELSE 0 END) END),
+             4294967295) AS h
+  FROM documents),
+c AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a FROM d),
+e AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM c),
+t AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+                             THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] for i in range(n)] ELSE w END AS w FROM e),
+pos AS (SELECT doc_id, n, i, w[i + 1] AS word FROM (SELECT *, unnest(range(n)) AS i FROM t)),
+alike AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM pos x JOIN pos y
+          ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+streak AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+           FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM alike)
+           GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+run AS (SELECT doc_id, start, length, min(q) AS period FROM streak GROUP BY ALL),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) AS k,
+                               count(*) OVER (PARTITION BY doc_id) AS n_runs FROM run) WHERE k = 1),
+listed AS (SELECT doc_id, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+           FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM pos ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM t LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@_query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle(table(spark, sf_dir, "documents"), seed=7)
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+ORACLES["op12_fill_middle"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         [('0x' || sha256('7:' || doc_id)[1 + 8 * i:8 + 8 * i])::BIGINT for i in range(4)] AS h FROM documents),
+c AS (SELECT *, len(u) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+                  WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+             array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM p"""
+
+
+@_query
+def op13_byte_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = encode_documents(table(spark, sf_dir, "documents"), path, pattern=public_tokenizers.PATTERN)
+    digests = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                             F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
+    return decode_documents(digests, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_each_operator_has_one_query():
     names = [re.match(r"op(\d+)_", n)[1] for n in QUERIES]
-    assert sorted(map(int, names)) == list(range(1, 11))
+    assert sorted(map(int, names)) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
 
 
