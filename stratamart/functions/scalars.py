@@ -23,11 +23,16 @@ EPOCH = datetime(1970, 1, 1)
 EPOCH_SECONDS = (-62_135_596_800, 253_402_300_799)
 
 
-def utc_literal(at: datetime) -> Column:
-    """A timestamp literal.  A datetime without zone is UTC, whatever the zone of the driver's machine."""
+def utc_micros(at: datetime) -> int:
+    """Microseconds since 1970.  A datetime without zone is UTC, whatever the zone of the driver's machine."""
     if at.tzinfo is not None:
         at = at.astimezone(timezone.utc).replace(tzinfo=None)
-    return F.timestamp_micros(F.lit((at - EPOCH) // timedelta(microseconds=1)))
+    return (at - EPOCH) // timedelta(microseconds=1)
+
+
+def utc_literal(at: datetime) -> Column:
+    """A timestamp literal, see `utc_micros`."""
+    return F.timestamp_micros(F.lit(utc_micros(at)))
 
 
 def utc_datetime(micros: int | None) -> datetime | None:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratamart.functions.scalars import utc_literal
+from stratamart.spec import AUDIT_COUNTS
 
 ACTIONS = ("insert", "update", "ignore", "delete", "change", "unchanged", "close")
 
@@ -23,3 +25,37 @@ def audit_row(actions: DataFrame, table: str, batch_ts: datetime, kinds: Sequenc
         F.lit(table).alias("table_name"), utc_literal(batch_ts).alias("ingest_ts"),
         *[f"rows_{kind}" for kind in kinds],
     )
+
+
+class LoadCounts:
+    """Counts of one load, observed in the writes that carry it out, so that nothing is read again to be counted.
+
+    Frames are watched in the stage that writes them: its tasks count once each, also where executors are lost and other
+    stages run again.
+    """
+
+    def __init__(self) -> None:
+        self._watched: list[tuple[Observation, list[str]]] = []
+
+    def watch(self, df: DataFrame, **counts: Column) -> DataFrame:
+        """The frame, which counts as it is written; it must be written exactly once."""
+        seen = Observation(f"load-{uuid.uuid4().hex}")
+        self._watched.append((seen, list(counts)))
+        return df.observe(seen, *[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in counts.items()])
+
+    def values(self) -> dict[str, int | None]:
+        """What the writes counted, once all of them are done; None for what this kind of load does not have."""
+        out: dict[str, int | None] = dict.fromkeys(AUDIT_COUNTS)
+        for seen, names in self._watched:
+            found = seen.get  # without entries where the plan turned out to have no rows
+            for name in names:
+                out[name] = (out.get(name) or 0) + found.get(name, 0)
+        return out
+
+
+def watch_actions(counts: LoadCounts, pairs: DataFrame, kinds: Sequence[str], deleted: Column | None = None) -> DataFrame:
+    """Count an ``action`` column by kind and, if given, the rows that a deletion hits."""
+    wanted = {f"rows_{kind}": F.count_if(F.col("action") == kind) for kind in kinds}
+    if deleted is not None:
+        wanted["rows_delete"] = F.count_if(deleted)
+    return counts.watch(pairs, **wanted)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.functions.keys import UNKNOWN_KEY
-from stratamart.operators.conform import current_only
+from stratamart.operators.conform import current_only, drop_null_keys
 from stratamart.operators.dedupe import one_row_per_key
-from stratamart.operators.skew import spread_join
+from stratamart.operators.skew import heavy_keys, needs_salting, spread_join
 from stratamart.spec import SCD_CURRENT
 
 
@@ -47,10 +47,11 @@ def key_lookup(
 ) -> DataFrame:
     """Add the dimension's current surrogate key; a missing or NULL natural key gives the unknown member.
 
+    Two current members of one natural key would multiply the fact: they fail the job (DuplicateKey).
     ``counted`` as in `spread_join`: in a chain of lookups, the frame the chain starts from.
     """
     members = current_only(dimension) if SCD_CURRENT in dimension.columns else dimension
-    members = members.select(*natural_key, key)
+    members = one_row_per_key(drop_null_keys(members.select(*natural_key, key), natural_key), natural_key, on_duplicate="error")
     found = spread_join(fact.drop(key), members, natural_key, "left", hot_rows=hot_rows, counted=counted)
     return found.withColumn(key, F.coalesce(F.col(key), F.lit(unknown)))
 
@@ -62,13 +63,18 @@ def star_join(
 
     Only current versions take part, otherwise a dimension with history multiplies the fact.  Attributes
     must be selected and renamed by the caller; columns already present are not brought in again.  Hot keys
-    are counted on the fact itself, not on the joins so far.
+    of all dimensions that are too large to broadcast are found in one pass over the fact itself.
     """
-    out = fact
+    members, taken = {}, set(fact.columns)
     for key, dimension in dimensions.items():
-        members = current_only(dimension) if SCD_CURRENT in dimension.columns else dimension
-        fresh = [c for c in members.columns if c not in out.columns and not c.startswith("scd_")]
-        out = spread_join(out, members.select(key, *fresh), [key], how, hot_rows=hot_rows, counted=fact)
+        current = current_only(dimension) if SCD_CURRENT in dimension.columns else dimension
+        fresh = [c for c in current.columns if c not in taken and not c.startswith("scd_")]
+        members[key], taken = current.select(key, *fresh), taken | set(fresh)
+    large = {key: [key] for key, current in members.items() if needs_salting(fact, current)}
+    heavy = heavy_keys(fact, large, hot_rows) if large else {}
+    out = fact
+    for key, current in members.items():
+        out = spread_join(out, current, [key], how, heavy=heavy[key], force_salting=True) if key in heavy else out.join(current, key, how)
     return out
 
 

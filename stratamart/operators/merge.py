@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.operators.audit import LoadCounts, watch_actions
 from stratamart.operators.conform import drop_null_keys, evolve
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.pairing import paired
@@ -17,9 +18,21 @@ def _newer(stored: Column, incoming: Column) -> Column:
     return stored.isNotNull() & (incoming.isNull() | (stored > incoming))
 
 
-def prepared(source: DataFrame, key: Sequence[str], order_by: Sequence[str], on_duplicate: str = "latest") -> DataFrame:
-    """A batch as the merges need it: no NULL keys, one row per key."""
-    return one_row_per_key(drop_null_keys(source, key), key, order_by, on_duplicate=on_duplicate)
+def prepared(source: DataFrame, key: Sequence[str], order_by: Sequence[str], on_duplicate: str = "latest",
+             counts: LoadCounts | None = None) -> DataFrame:
+    """A batch as the merges need it: no NULL keys, one row per key.
+
+    ``counts`` gets the rows of the batch and those without key.
+    """
+    if counts is None:
+        return one_row_per_key(drop_null_keys(source, key), key, order_by, on_duplicate=on_duplicate)
+    # Rows without key are groups like any other until they have been counted.
+    chosen = one_row_per_key(source, key, order_by, on_duplicate=on_duplicate, rows="__rows")
+    keyless = F.lit(False)
+    for c in key:
+        keyless = keyless | F.col(c).isNull()
+    chosen = counts.watch(chosen, rows_read=F.sum("__rows"), rows_rejected=F.sum(F.when(keyless, F.col("__rows"))))
+    return drop_null_keys(chosen, key).drop("__rows")
 
 
 def upsert(
@@ -33,12 +46,15 @@ def upsert(
     allow_new_columns: bool = True,
     key_range: str | None = None,
     unique: bool = False,
+    deletes: DataFrame | None = None,
+    counts: LoadCounts | None = None,
 ) -> DataFrame:
-    """Rows of ``source`` replace or join those of ``target``; all other target rows stay.
+    """Rows of ``source`` replace or join those of ``target``; all other target rows stay, but for the keys of ``deletes``.
 
     With a batch inside the broadcast threshold the target is not shuffled at all.  ``version`` makes the
     order of arrival irrelevant: an older source row is ignored.  ``key_range`` names a key column; target
     rows outside the batch's range of it bypass the join.  ``unique`` says that the source is `prepared`.
+    ``counts`` watches what happens to the keys.
     """
     key = list(key)
     ranked = [version, *[c for c in order_by if c != version]] if version else list(order_by)
@@ -49,19 +65,34 @@ def upsert(
         source = source.select(*target.columns)
 
     bypass = None
-    if key_range is not None:
+    if key_range is not None and deletes is None:
         low, high = source.agg(F.min(key_range), F.max(key_range)).first()
         if low is None:
-            return target
-        inside = F.col(key_range).between(F.lit(low), F.lit(high))
-        bypass, target = target.filter(~F.coalesce(inside, F.lit(False))), target.filter(inside)
+            inside = F.lit(False)
+        else:
+            inside = F.coalesce(F.col(key_range).between(F.lit(low), F.lit(high)), F.lit(False))
+        bypass, target = target.filter(~inside), target.filter(inside)
 
-    if version is None:
+    if version is None and counts is None:
         merged = target.join(source.select(*key), key, "left_anti").unionByName(source)
     else:
-        stored_wins = F.col("s").isNull() | _newer(F.col(f"t.{version}"), F.col(f"s.{version}"))
-        winner = F.when(F.col("t").isNull() | ~stored_wins, F.col("s")).otherwise(F.col("t"))
-        merged = paired(target, source, key).select(winner.alias("row")).select("row.*")
+        pairs, older = paired(target, source, key), F.lit(False)
+        if version is not None:
+            older = _newer(F.col(f"t.{version}"), F.col(f"s.{version}"))
+        action = F.when(F.col("s").isNull(), "keep").when(F.col("t").isNull(), "insert").when(older, "ignore").otherwise("update")
+        if counts is not None:
+            pairs = pairs.withColumn("action", action)
+            if deletes is not None:
+                gone = drop_null_keys(deletes.select(*key), key).distinct().withColumn("__gone", F.lit(True))
+                pairs = pairs.join(gone, key, "left")
+            hit = None if deletes is None else F.col("__gone").isNotNull()
+            pairs = watch_actions(counts, pairs, ("insert", "update", "ignore"), hit)
+            if deletes is not None:
+                pairs, deletes = pairs.filter(F.col("__gone").isNull()), None
+        winner = F.when(action.isin("keep", "ignore"), F.col("t")).otherwise(F.col("s"))
+        merged = pairs.select(winner.alias("row")).select("row.*")
+    if deletes is not None:
+        merged = delete_keys(merged, deletes, key)
     return merged if bypass is None else bypass.unionByName(merged)
 
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.functions.keys import surrogate_key
 from stratamart.functions.scalars import utc_literal
 from stratamart.operators.conform import current_only
 from stratamart.operators.skew import spread_join
@@ -46,6 +47,26 @@ def orphan_count(fact: DataFrame, dimension: DataFrame, columns: Sequence[str],
     return refs.join(members, list(columns), "left_anti").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
 
 
+def orphan_counts(fact: DataFrame, references: Sequence[tuple[str, Sequence[str], DataFrame, Sequence[str]]]) -> DataFrame:
+    """Orphans of several references, given as (label, columns, dimension, its columns), in one pass: (label, violations).
+
+    Each fact row becomes a (label, key) pair for each reference; equal pairs are counted before they are shuffled, and one
+    join with the members of all dimensions leaves those without one.
+    """
+    pairs, members = [], None
+    for label, columns, dimension, ref_columns in references:
+        key = F.when(~_any_null(columns), surrogate_key(columns))
+        pairs.append(F.struct(F.lit(label).alias("label"), key.alias("key")))
+        as_in_fact = [F.col(r).try_cast(fact.schema[c].dataType).alias(c) for c, r in zip(columns, ref_columns)]
+        known = dimension.select(*as_in_fact).select(F.lit(label).alias("label"), surrogate_key(columns).alias("key"))
+        members = known if members is None else members.unionByName(known)
+    found = fact.select(F.inline(F.array(*pairs))).filter(F.col("key").isNotNull()).groupBy("label", "key").agg(
+        F.count(F.lit(1)).alias("rows"))
+    missing = found.join(members, ["label", "key"], "left_anti").groupBy("label").agg(F.sum("rows").alias("violations"))
+    labels = fact.sparkSession.createDataFrame([(r[0],) for r in references], "label string")
+    return labels.join(missing, "label", "left").select("label", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs of every listed column in one pass: one row per column."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
@@ -73,8 +94,11 @@ def check_table(spec: TableSpec, df: DataFrame, references: Mapping[str, DataFra
     found = [_finding(counted, spec.name, "primary_key", ",".join(key), ts)]
     required = sorted({f.name for f in spec.schema.fields if not f.nullable} | set(key))
     found.append(_finding(null_counts(df, required), spec.name, "not_null", F.col("columns"), ts))
-    for fk in spec.foreign_keys:
-        if fk.ref_table in references:
-            count = orphan_count(df, references[fk.ref_table], fk.columns, fk.ref_columns)
-            found.append(_finding(count, spec.name, f"foreign_key:{fk.ref_table}", ",".join(fk.columns), ts))
+    declared = {f"{fk.ref_table}:{','.join(fk.columns)}": fk for fk in spec.foreign_keys if fk.ref_table in references}
+    if declared:
+        counts = orphan_counts(df, [(label, fk.columns, references[fk.ref_table], fk.ref_columns) for label, fk in declared.items()])
+        label = F.split("label", ":")
+        found.append(counts.select(
+            F.lit(spec.name).alias("table_name"), F.concat(F.lit("foreign_key:"), label[0]).alias("check_name"),
+            label[1].alias("columns"), F.col("violations").cast("bigint").alias("violations"), ts.alias("ingest_ts")))
     return reduce(DataFrame.unionByName, found)

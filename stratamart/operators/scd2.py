@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamart.functions.scalars import utc_literal
-from stratamart.operators.conform import conform, drop_null_keys, merged_schema
+from stratamart.operators.audit import LoadCounts, watch_actions
+from stratamart.operators.conform import conform, drop_null_keys, evolve, merged_schema
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.pairing import paired
 from stratamart.operators.skew import hot_keys, may_be_skewed
@@ -21,6 +22,8 @@ from stratamart.spec import SCD_COLUMNS, SCD_CURRENT, SCD_END, SCD_START
 
 # Time slices a hot key's history is cut into.
 SLICES = 64
+# From when on a late row changes the history of its key.
+REVISED_FROM = "revised_from_ts"
 
 
 def attributes(df: DataFrame) -> list[str]:
@@ -87,6 +90,7 @@ def apply_scd2(
     overwrite: Sequence[str] = (),
     deletes: DataFrame | None = None,
     unique: bool = False,
+    counts: LoadCounts | None = None,
 ) -> DataFrame:
     """All open versions after the batch, plus the versions the batch closed (``scd_is_current`` tells them).
 
@@ -94,6 +98,8 @@ def apply_scd2(
     newer than an open version it would change fails the job (StaleBatch); rebuild the history instead.
     """
     pairs = paired_actions(current, batch, key, change, order_by=order_by, deletes=deletes, unique=unique)
+    if counts is not None:
+        pairs = watch_actions(counts, pairs, ("insert", "change", "unchanged", "close"))
     names = [c for c in pairs.schema["s"].dataType.names]
     ts = utc_literal(batch_ts)
     ends = F.col("action").isin("change", "close")
@@ -169,6 +175,57 @@ def rebuild_scd2(
     )
 
 
+def first_changes(rows: DataFrame, key: Sequence[str], ts: str) -> DataFrame:
+    """Keys of a batch, each with the earliest time at which the batch says something about it."""
+    return rows.groupBy(*key).agg(F.min(ts).alias(REVISED_FROM))
+
+
+def reached(history: DataFrame, firsts: DataFrame, key: Sequence[str], since: datetime) -> DataFrame:
+    """Versions that rows from ``firsts`` on may change: open, or closed at that time or later.
+
+    ``since`` is the least of these times, as a literal for the scan.  A version that ends exactly there may go on if the
+    row says the same.
+    """
+    late = F.col(SCD_END).isNull() | (F.col(SCD_END) >= utc_literal(since))
+    near = history.filter(late).join(firsts, list(key))
+    return near.filter(F.col(SCD_END).isNull() | (F.col(SCD_END) >= F.col(REVISED_FROM)))
+
+
+def splice_scd2(
+    cut: DataFrame,
+    rows: DataFrame,
+    key: Sequence[str],
+    change: Sequence[str],
+    ts: str,
+    *,
+    observed: DataFrame | None = None,
+    order_by: Sequence[str] = (),
+) -> DataFrame:
+    """The versions that take the place of ``cut`` (see `reached`) once ``rows`` are known too, whatever their order of arrival.
+
+    Versions remember the rows that opened them only.  Rows that came after a late one and changed nothing then may open a
+    version now, so ``observed`` gives all rows of these keys from the late ones on; without it the version after a late
+    row begins where the next stored one does.  Versions that ended before the first late row of their key take no part.
+    A version closed by a deletion stays closed at that time.
+    """
+    key, alive = list(key), "__alive"
+    openers = cut.withColumn(ts, F.col(SCD_START))
+    # Where no version of the key follows, a deletion closed the last one: a row that opens nothing visible.
+    ends = openers.filter(F.col(SCD_END).isNotNull()).select(*key, F.col(SCD_END).alias(ts))
+    closed = ends.join(openers.select(*key, ts), [*key, ts], "left_anti").withColumn(alive, F.lit(False))
+    known = openers.drop(*SCD_COLUMNS)
+    for more in (rows, observed):
+        if more is not None:
+            known, more = evolve(known, more)
+            known = known.unionByName(more)
+    # A row that came together with others of its key and time wins or loses by ``order_by``, as in a rebuild.
+    known = one_row_per_key(drop_null_keys(known, [*key, ts]), [*key, ts], order_by).withColumn(alive, F.lit(True))
+    events = known.unionByName(closed, allowMissingColumns=True)
+    # A key that is in a batch is not closed by that batch's deletions, so a row wins over them.
+    spliced = rebuild_scd2(events, key, [*change, alive], ts, order_by=[alive, *order_by])
+    return spliced.filter(alive).drop(alive)
+
+
 def _opens() -> Column:
     return F.col("__before").isNull() | ~F.col("__before").eqNullSafe(F.col("__now"))
 

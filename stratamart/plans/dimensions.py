@@ -97,6 +97,17 @@ def sales_dimension(name: str, sales: DataFrame, batch_ts: datetime | Column, *,
     return generate_dimension(sales, attributes, natural_key, key, batch_ts, key_of=key_of)
 
 
+# Storage column: the hash of all attributes, which tells the rows of a stored partial aggregate apart.
+MEMBER_HASH = "member_hash"
+
+
+def member_rows(name: str) -> TableSpec:
+    """The stored partial aggregate of a sales dimension: distinct attributes and when a source row had them last."""
+    key, attributes, _ = SALES_DIMENSIONS[name]
+    columns = dict.fromkeys((MEMBER_HASH, key, *attributes), "string") | {SOURCE_INGEST_TS: "timestamp", INGEST_TS: "timestamp"}
+    return TableSpec(f"{name}_members", GOLD, schema_of(columns), SaveMode.MERGE, (MEMBER_HASH,), version_column=SOURCE_INGEST_TS)
+
+
 def customer_dimension(
     sales: DataFrame,
     contacts: DataFrame | None,
@@ -163,10 +174,12 @@ def calendar_of(
     return stamp(days.select(*calendar_columns(F.col("d"), weekend_days)), batch_ts)
 
 
+SALES_DIMENSION_TABLES = {"dim_product": DIM_PRODUCT, "dim_store": DIM_STORE, "dim_promo": DIM_PROMO}
+
+
 def dimension_model(name: str, key_of: str = "natural") -> Model:
     """Model of a sales dimension; its generator takes the cleaned sales table and the batch timestamp."""
-    spec = {"dim_product": DIM_PRODUCT, "dim_store": DIM_STORE, "dim_promo": DIM_PROMO}[name]
-    return Model(spec, lambda sales, batch_ts: sales_dimension(name, sales, batch_ts, key_of=key_of))
+    return Model(SALES_DIMENSION_TABLES[name], lambda sales, batch_ts: sales_dimension(name, sales, batch_ts, key_of=key_of))
 
 
 CUSTOMER_MODEL = Model(DIM_CUSTOMER, customer_dimension)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamart.functions.scalars import epoch_timestamp, utc_literal
-from stratamart.operators.conform import conform, decode_flags, drop_null_keys, flatten_struct, not_before
+from stratamart.operators.conform import (
+    conform, decode_flags, drop_null_keys, flatten_struct, implausible, missing_keys, not_before,
+)
 from stratamart.sources.feeds import INFO_FIELDS, STATUS_FIELDS, paged_records, station_feed
 from stratamart.spec import INGEST_TS, Pipeline, SaveMode, TableSpec, schema_of, with_ingest_ts
 
@@ -87,11 +89,13 @@ def info_a_source(spark: SparkSession, path: str, **options) -> DataFrame:
 def status_a_source(spark: SparkSession, path: str, batch_ts: datetime, **options) -> DataFrame:
     """Records of one poll, stamped with the time of the call.
 
-    Not sorted: a table has no order, and the few values of the service's sort column would be few tasks.
+    Not sorted: a table has no order, and the few values of the service's sort column would be few tasks.  With ``errors``
+    records without key stay, and are left to the pipeline's checks.
     """
     rows = paged_records(spark, path, STATUS_A_SOURCE, **options)
-    rows = drop_null_keys(rows, ["stationcode"]).withColumn("timestamp", utc_literal(batch_ts))
-    return conform(rows, STATUS_A_SOURCE)
+    if not options.get("errors"):
+        rows = drop_null_keys(rows, ["stationcode"])
+    return rows.withColumn("timestamp", utc_literal(batch_ts)).select(*STATUS_A_SOURCE.names, *rows.columns[len(STATUS_A_SOURCE):])
 
 
 def info_b_source(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -166,6 +170,11 @@ CLEAN_STATUS_B = TableSpec("station_status_b", CLEAN, with_ingest_ts(STATUS_B),
 Source = Callable[[SparkSession], DataFrame]
 
 
+def _keyed(key: str, *epochs: str) -> Callable[[], list[Column]]:
+    """Rows without key are rejected; rows whose epoch seconds cleaning will drop are kept in the raw table and listed."""
+    return lambda: [*missing_keys([key]), *implausible(epochs, seconds=True)]
+
+
 def sales_pipeline(source: Source) -> Pipeline:
     return Pipeline("sales_transactions", RAW_SALES, CLEAN_SALES, source)
 
@@ -175,16 +184,17 @@ def contacts_pipeline(source: Source) -> Pipeline:
 
 
 def info_a_pipeline(source: Source) -> Pipeline:
-    return Pipeline("station_info_a", RAW_INFO_A, CLEAN_INFO_A, source, clean_info_a)
+    return Pipeline("station_info_a", RAW_INFO_A, CLEAN_INFO_A, source, clean_info_a, checks=_keyed("stationcode"))
 
 
 def status_a_pipeline(source: Source) -> Pipeline:
-    return Pipeline("station_status_a", RAW_STATUS_A, CLEAN_STATUS_A, source, clean_status_a)
+    return Pipeline("station_status_a", RAW_STATUS_A, CLEAN_STATUS_A, source, clean_status_a, checks=_keyed("stationcode"))
 
 
 def info_b_pipeline(source: Source) -> Pipeline:
-    return Pipeline("station_info_b", RAW_INFO_B, CLEAN_INFO_B, source, clean_info_b)
+    return Pipeline("station_info_b", RAW_INFO_B, CLEAN_INFO_B, source, clean_info_b, checks=_keyed("station_id", "last_updated"))
 
 
 def status_b_pipeline(source: Source) -> Pipeline:
-    return Pipeline("station_status_b", RAW_STATUS_B, CLEAN_STATUS_B, source, clean_status_b)
+    return Pipeline("station_status_b", RAW_STATUS_B, CLEAN_STATUS_B, source, clean_status_b,
+                    checks=_keyed("station_id", "last_updated", "last_reported"))

@@ -1,8 +1,8 @@
 """Every operator as a query over the given tables, next to independent SQL computing the same rows."""
 
-from stratamart.registry import dimensions, facts, keyed, quality, scd, sources, stations, streams
+from stratamart.registry import dimensions, facts, keyed, loads, quality, scd, sources, stations, streams
 
-MODULES = (facts, dimensions, keyed, scd, stations, sources, quality, streams)
+MODULES = (facts, dimensions, keyed, scd, stations, sources, quality, streams, loads)
 
 
 def all_queries() -> dict:

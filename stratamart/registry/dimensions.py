@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.functions.keys import UNKNOWN_KEY, surrogate_key
+from stratamart.functions.keys import surrogate_key
 from stratamart.operators.latest import latest_per_key
 from stratamart.operators.lookup import enrich_left
 from stratamart.plans.dimensions import (
@@ -14,7 +14,7 @@ from stratamart.plans.dimensions import (
 from stratamart.registry.facts import current_infos
 from stratamart.registry.inputs import (
     CONTACTS_SQL, EARLY, LATE, LOADED_AT, SALES_SQL, STATIONS_SQL, contacts_source, sales_source, scd2_sql, shown,
-    sql_key, sql_ts, table,
+    sql_key, sql_ts, table, two_steps_sql,
 )
 from stratamart.sources.tables import Scd2Table, scratch_dir, staged
 from stratamart.spec import INGEST_TS, SOURCE_INGEST_TS
@@ -118,57 +118,15 @@ QUERIES = {
 }
 
 
-def _two_steps_sql(name: str, extra: tuple[str, ...] = ()) -> str:
-    """The same two steps spelled out: versions that stayed, were closed, or were opened."""
-    key, attributes, (natural,) = SALES_DIMENSIONS[name]
-    shown_as = {a: f"coalesce({a}, 'unknown')" if name == "dim_promo" else a for a in attributes}
-
-    def as_of(day: str) -> str:
-        wide = ", ".join(f"{shown_as[a]} AS {a}" for a in attributes)
-        hashed = f"CASE WHEN {natural} IS NULL THEN '{UNKNOWN_KEY}' ELSE {sql_key(natural)} END"
-        order = ", ".join(f"{a} DESC" for a in attributes)
-        return f"""
-          SELECT * EXCLUDE (pick) FROM (
-            SELECT {hashed} AS {key}, {wide}, max(ingest_ts) AS source_ingest_ts,
-                   row_number() OVER (PARTITION BY {natural} ORDER BY max(ingest_ts) DESC, {order}) AS pick
-            FROM sales WHERE ingest_ts <= TIMESTAMP '{day}' GROUP BY {', '.join(attributes)}) WHERE pick = 1"""
-
-    same = " AND ".join(f"e.{a} = l.{a}" for a in attributes)
-    stored = ", ".join(f"e.{c}" for c in (key, *attributes, "source_ingest_ts"))
-    opened = ", ".join(f"l.{c}" for c in (key, *attributes, "source_ingest_ts"))
-    from_contacts = "".join(f", c.{c}" for c in extra)
-    no_contacts = "".join(", NULL" for _ in extra)
-    contact = "LEFT JOIN newest c USING (customer_id)" if extra else ""
-    columns = ", ".join((key, *attributes, *extra))
-    start, end = sql_ts("scd_start_ts"), sql_ts("scd_end_ts")
-    return f"""
-early AS ({as_of('1998-01-01')}), late AS ({as_of('2001-01-01')}),
-versions AS (
-  SELECT {stored}{from_contacts}, TIMESTAMP '1998-01-01' AS scd_start_ts, CAST(NULL AS TIMESTAMP) AS scd_end_ts,
-         true AS scd_is_current
-  FROM early e JOIN late l USING ({key}) {contact.replace('USING (customer_id)', 'ON c.customer_id = e.customer_id')}
-  WHERE {same}
-  UNION ALL
-  SELECT {stored}{no_contacts}, TIMESTAMP '1998-01-01', TIMESTAMP '2001-01-01', false
-  FROM early e JOIN late l USING ({key}) WHERE NOT ({same})
-  UNION ALL
-  SELECT {opened}{from_contacts}, TIMESTAMP '2001-01-01', NULL, true
-  FROM late l LEFT JOIN early e USING ({key}) {contact.replace('USING (customer_id)', 'ON c.customer_id = l.customer_id')}
-  WHERE e.{key} IS NULL OR NOT ({same}))
-SELECT {columns}, {sql_ts('source_ingest_ts')} AS source_ingest_ts, {start} AS scd_start_ts, {end} AS scd_end_ts,
-       scd_is_current
-FROM versions"""
-
-
 ORACLES = {
-    "dim_product": f"WITH {SALES_SQL}, {_two_steps_sql('dim_product')}",
-    "dim_store": f"WITH {SALES_SQL}, {_two_steps_sql('dim_store')}",
-    "dim_promo": f"WITH {SALES_SQL}, {_two_steps_sql('dim_promo')}",
+    "dim_product": f"WITH {SALES_SQL}, {two_steps_sql('dim_product')}",
+    "dim_store": f"WITH {SALES_SQL}, {two_steps_sql('dim_store')}",
+    "dim_promo": f"WITH {SALES_SQL}, {two_steps_sql('dim_promo')}",
     "dim_customer": f"""
 WITH {SALES_SQL}, {CONTACTS_SQL},
 newest AS (SELECT * FROM contacts QUALIFY row_number() OVER (PARTITION BY customer_id
              ORDER BY updated_at DESC, contact_id DESC) = 1),
-{_two_steps_sql('dim_customer', CONTACT_COLUMNS)}""",
+{two_steps_sql('dim_customer', CONTACT_COLUMNS)}""",
     "dim_bike_station": f"""
 WITH {STATIONS_SQL},
 a AS ({scd2_sql('info_a', 'stationcode', ['name', 'capacity', 'longitude', 'latitude', 'station_opening_hours'],

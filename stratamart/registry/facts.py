@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +16,18 @@ from stratamart.operators.latest import (
 from stratamart.operators.lookup import conformed_union, key_lookup, star_join
 from stratamart.operators.merge import prepared
 from stratamart.operators.scd2 import rebuild_scd2
-from stratamart.plans.dimensions import SOURCE_A, SOURCE_B, calendar_of, sales_dimension, station_dimension
-from stratamart.plans.facts import FACT_BIKE_STATUS, sales_fact, status_fact, status_sources
-from stratamart.plans.ingestion import clean_info_a, clean_info_b, clean_status_a, clean_status_b
+from stratamart.plans.dimensions import (
+    DIM_PRODUCT, SOURCE_A, SOURCE_B, calendar_of, sales_dimension, station_dimension,
+)
+from stratamart.plans.facts import FACT_BIKE_STATUS, FACT_SALES, sales_fact, status_fact, status_sources
+from stratamart.plans.ingestion import (
+    CLEAN_SALES, clean_info_a, clean_info_b, clean_status_a, clean_status_b, status_a_pipeline, status_b_pipeline,
+)
+from stratamart.plans.loads import load_sales_dimension, load_sales_fact, load_status_fact
+from stratamart.plans.runs import read_table, run_pipeline, save
 from stratamart.registry.inputs import (
-    LOADED_AT, SALES_SQL, STATIONS_SQL, info_a_raw, info_b_raw, sales_source, shown, sql_key, sql_ts, status_a_raw,
-    status_b_raw, table,
+    EARLY, LATE, LOADED_AT, SALES_SQL, STATIONS_SQL, THIRDS, info_a_raw, info_b_raw, sales_source, shown, sql_key, sql_ts,
+    status_a_raw, status_b_raw, table, third_of, third_sql, two_steps_sql,
 )
 from stratamart.sources.tables import PartitionedTable, scratch_dir, staged
 from stratamart.spec import INGEST_TS, SCD_CURRENT, SOURCE_INGEST_TS
@@ -29,6 +35,8 @@ from stratamart.spec import INGEST_TS, SCD_CURRENT, SOURCE_INGEST_TS
 # The first load of the status fact had seen source A until the 15th and source B until the 10th.
 SEEN_A, SEEN_B = datetime(2024, 1, 15), datetime(2024, 1, 10)
 SOURCES = (SOURCE_A, SOURCE_B)
+# The year that comes late.
+MISSED_YEAR = 1995
 
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +65,43 @@ def fact_bike_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(fact.read())
 
 
+def incremental_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of the status fact through its model; a batch of source A becomes visible after a later one was loaded."""
+    a, b, root = staged(status_a_raw(spark, sf_dir)), staged(status_b_raw(spark, sf_dir)), scratch_dir(spark)
+    pipelines = {"a": (status_a_pipeline, a), "b": (status_b_pipeline, b)}
+    arrivals = [[("a", 0), ("b", 0)], [("a", 2), ("b", 1)], [("a", 1), ("b", 2)]]
+    for number, arrived in enumerate(arrivals):
+        for source, third in arrived:
+            make, rows = pipelines[source]
+            batch = rows.filter(third_of(F.col(INGEST_TS)) == third).drop(INGEST_TS)
+            run_pipeline(spark, make(lambda _, batch=batch: batch), root, number, THIRDS[third])
+        load_status_fact(spark, root, number, LOADED_AT + timedelta(days=number))
+    return shown(read_table(spark, FACT_BIKE_STATUS, root))
+
+
+def _arriving_sales(spark: SparkSession, sf_dir: str, root: str, load) -> None:
+    """The cleaned sales in two batches, the second with one year that the first should have had; a load after each."""
+    sales = staged(sales_source(spark, sf_dir))
+    for number, at in enumerate((EARLY, LATE)):
+        first = (F.col(INGEST_TS) <= utc_literal(EARLY)) & (F.year(INGEST_TS) != MISSED_YEAR)
+        save(spark, CLEAN_SALES, root, sales.filter(first if number == 0 else ~first), number, at)
+        load(number, at)
+
+
+def fact_sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales fact loaded twice; the second load reads the lines of new ingest batches only, older ones among them."""
+    root = scratch_dir(spark)
+    _arriving_sales(spark, sf_dir, root, lambda number, at: load_sales_fact(spark, root, number, at))
+    return shown(read_table(spark, FACT_SALES, root))
+
+
+def dim_product_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products from new ingest batches and a stored partial aggregate; what comes late does not undo newer attributes."""
+    root = scratch_dir(spark)
+    _arriving_sales(spark, sf_dir, root, lambda number, at: load_sales_dimension(spark, "dim_product", root, number, at))
+    return shown(read_table(spark, DIM_PRODUCT, root).drop(INGEST_TS))
+
+
 STATUS_FACT_SQL = f"""
 {STATIONS_SQL},
 statuses AS (
@@ -176,7 +221,10 @@ def star_bikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "fact_sales": fact_sales,
+    "fact_sales_incremental": fact_sales_incremental,
+    "dim_product_incremental": dim_product_incremental,
     "fact_bike_status": fact_bike_status,
+    "incremental_late_rows": incremental_late_rows,
     "conformed_union": status_union,
     "high_watermark": high_watermark,
     "incremental_load": incremental_load,
@@ -191,28 +239,48 @@ _STORE = ("store_id", "store_name", "city", "state")
 _SEEN = """((station_source = 'source_a' AND source_ingest_ts <= TIMESTAMP '2024-01-15')
             OR (station_source = 'source_b' AND source_ingest_ts <= TIMESTAMP '2024-01-10'))"""
 
-ORACLES = {
-    "fact_sales": f"""
+
+
+def _sales_fact_sql(customer: tuple[str, ...], product: tuple[str, ...], store: tuple[str, ...], loaded: str) -> str:
+    return f"""
 WITH {SALES_SQL},
 cents AS (SELECT *, CAST(unit_price * 100 AS BIGINT) AS pc, CAST(discount * 100 AS BIGINT) AS dc FROM sales)
 SELECT {sql_key('order_id', 'order_line')} AS sales_key, strftime(order_date, '%Y%m%d') AS date_key,
-       {sql_key('customer_id', 'customer_name')} AS customer_key, {sql_key(*_PRODUCT)} AS product_key,
-       {sql_key(*_STORE)} AS store_key,
+       {sql_key(*customer)} AS customer_key, {sql_key(*product)} AS product_key,
+       {sql_key(*store)} AS store_key,
        CASE WHEN promo_code IS NULL THEN '{UNKNOWN_KEY}' ELSE {sql_key('promo_code')} END AS promo_key,
        order_id, order_line, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(discount AS DOUBLE) AS discount, CAST(cost AS DOUBLE) AS cost,
        CAST(quantity * unit_price AS DOUBLE) AS total_price,
        CAST(CAST(((20000 * dc + pc) // nullif(2 * pc, 0)) AS DECIMAL(18,0)) / 100 AS DOUBLE) AS discount_pct,
        CAST(quantity * unit_price - cost AS DOUBLE) AS profit,
-       '2024-06-01 00:00:00.000000' AS ingest_ts
-FROM cents""",
-    "fact_bike_status": f"""
+       {loaded} AS ingest_ts
+FROM cents"""
+
+
+def _status_fact_sql(seen: str, loaded: str) -> str:
+    return f"""
 WITH {STATUS_FACT_SQL}
 SELECT {sql_key('station_source', 'station_id')} AS station_key, strftime("timestamp", '%Y%m%d') AS date_key,
        station_source, station_id, {sql_ts('"timestamp"')} AS "timestamp", available_docks, available_bikes,
        mechanical_bikes, electric_bikes, is_installed, is_renting, is_returning, {sql_ts('due_date')} AS due_date,
-       {sql_ts('source_ingest_ts')} AS source_ingest_ts, '2024-06-01 00:00:00.000000' AS ingest_ts
-FROM statuses""",
+       {sql_ts(seen)} AS source_ingest_ts, {loaded} AS ingest_ts
+FROM statuses"""
+
+
+_IN_FIRST = f"ingest_ts <= TIMESTAMP '1998-01-01' AND year(ingest_ts) <> {MISSED_YEAR}"
+_THIRD = "least((day(source_ingest_ts) - 1) // 11, 2)"
+_LOAD = f"CASE WHEN station_source = 'source_a' THEN [0, 2, 1][{_THIRD} + 1] ELSE {_THIRD} END"
+
+ORACLES = {
+    "fact_sales": _sales_fact_sql(("customer_id", "customer_name"), _PRODUCT, _STORE, "'2024-06-01 00:00:00.000000'"),
+    "fact_sales_incremental": _sales_fact_sql(
+        ("customer_id",), ("product_id",), ("store_id",),
+        f"CASE WHEN {_IN_FIRST} THEN '1998-01-01 00:00:00.000000' ELSE '2001-01-01 00:00:00.000000' END"),
+    "dim_product_incremental": f"WITH {SALES_SQL}, " + two_steps_sql("dim_product", early=_IN_FIRST, late="true"),
+    "fact_bike_status": _status_fact_sql("source_ingest_ts", "'2024-06-01 00:00:00.000000'"),
+    "incremental_late_rows": _status_fact_sql(
+        third_sql("source_ingest_ts"), sql_ts(f"TIMESTAMP '2024-06-01' + to_days(CAST({_LOAD} AS INTEGER))")),
     "conformed_union": f"""
 WITH {STATUS_FACT_SQL}
 SELECT station_source, station_id, {sql_ts('"timestamp"')} AS "timestamp", available_docks, available_bikes,

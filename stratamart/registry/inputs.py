@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.functions.keys import UNKNOWN_KEY
 from stratamart.functions.scalars import utc_datetime, utc_literal
 from stratamart.operators.conform import conform
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.skew import fits_broadcast, spread_join
+from stratamart.plans.dimensions import SALES_DIMENSIONS
 from stratamart.plans.ingestion import (
     CONTACTS, INFO_A_SOURCE, INFO_B_SOURCE, SALES, STATUS_A_SOURCE, STATUS_B_SOURCE,
 )
@@ -21,6 +23,19 @@ LOADED_AT = datetime(2024, 6, 1)
 EARLY, LATE = datetime(1998, 1, 1), datetime(2001, 1, 1)
 
 
+# The events of a month arrive in three batches, by the day of the month.
+THIRDS = (datetime(2024, 3, 1), datetime(2024, 3, 2), datetime(2024, 3, 3))
+
+
+def third_of(day: Column) -> Column:
+    return F.least(F.floor((F.dayofmonth(day) - 1) / 11), F.lit(2)).cast("int")
+
+
+def third_sql(day: str) -> str:
+    """When the batch with that day's events arrives."""
+    return f"TIMESTAMP '2024-03-01' + to_days(CAST(least((day({day}) - 1) // 11, 2) AS INTEGER))"
+
+
 _schemas: dict[str, T.StructType] = {}
 
 
@@ -167,6 +182,49 @@ def sql_key(*columns: str) -> str:
     return f"sha256(concat_ws('|', {', '.join(parts)}))"
 
 
+def two_steps_sql(name: str, extra: tuple[str, ...] = (), early: str = "ingest_ts <= TIMESTAMP '1998-01-01'",
+                  late: str = "ingest_ts <= TIMESTAMP '2001-01-01'") -> str:
+    """A dimension of the sales in two steps, spelled out: versions that stayed, were closed, or were opened."""
+    key, attributes, (natural,) = SALES_DIMENSIONS[name]
+    shown_as = {a: f"coalesce({a}, 'unknown')" if name == "dim_promo" else a for a in attributes}
+
+    def as_of(seen: str) -> str:
+        wide = ", ".join(f"{shown_as[a]} AS {a}" for a in attributes)
+        hashed = f"CASE WHEN {natural} IS NULL THEN '{UNKNOWN_KEY}' ELSE {sql_key(natural)} END"
+        order = ", ".join(f"{a} DESC" for a in attributes)
+        return f"""
+          SELECT * EXCLUDE (pick) FROM (
+            SELECT {hashed} AS {key}, {wide}, max(ingest_ts) AS source_ingest_ts,
+                   row_number() OVER (PARTITION BY {natural} ORDER BY max(ingest_ts) DESC, {order}) AS pick
+            FROM sales WHERE {seen} GROUP BY {', '.join(attributes)}) WHERE pick = 1"""
+
+    same = " AND ".join(f"e.{a} = l.{a}" for a in attributes)
+    stored = ", ".join(f"e.{c}" for c in (key, *attributes, "source_ingest_ts"))
+    opened = ", ".join(f"l.{c}" for c in (key, *attributes, "source_ingest_ts"))
+    from_contacts = "".join(f", c.{c}" for c in extra)
+    no_contacts = "".join(", NULL" for _ in extra)
+    contact = "LEFT JOIN newest c USING (customer_id)" if extra else ""
+    columns = ", ".join((key, *attributes, *extra))
+    start, end = sql_ts("scd_start_ts"), sql_ts("scd_end_ts")
+    return f"""
+early AS ({as_of(early)}), late AS ({as_of(late)}),
+versions AS (
+  SELECT {stored}{from_contacts}, TIMESTAMP '1998-01-01' AS scd_start_ts, CAST(NULL AS TIMESTAMP) AS scd_end_ts,
+         true AS scd_is_current
+  FROM early e JOIN late l USING ({key}) {contact.replace('USING (customer_id)', 'ON c.customer_id = e.customer_id')}
+  WHERE {same}
+  UNION ALL
+  SELECT {stored}{no_contacts}, TIMESTAMP '1998-01-01', TIMESTAMP '2001-01-01', false
+  FROM early e JOIN late l USING ({key}) WHERE NOT ({same})
+  UNION ALL
+  SELECT {opened}{from_contacts}, TIMESTAMP '2001-01-01', NULL, true
+  FROM late l LEFT JOIN early e USING ({key}) {contact.replace('USING (customer_id)', 'ON c.customer_id = l.customer_id')}
+  WHERE e.{key} IS NULL OR NOT ({same}))
+SELECT {columns}, {sql_ts('source_ingest_ts')} AS source_ingest_ts, {start} AS scd_start_ts, {end} AS scd_end_ts,
+       scd_is_current
+FROM versions"""
+
+
 # --- contacts --------------------------------------------------------------------------------------------
 
 def contacts_source(spark: SparkSession, sf_dir: str) -> DataFrame:

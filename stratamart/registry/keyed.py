@@ -13,11 +13,12 @@ from stratamart.operators.conform import current_only
 from stratamart.operators.merge import delete_keys, merge_actions, upsert
 from stratamart.operators.scd2 import paired_actions, rebuild_scd2
 from stratamart.plans.ingestion import (
-    CLEAN_CONTACTS, CLEAN_SALES, RAW_CONTACTS, RAW_SALES, contacts_pipeline, sales_pipeline,
+    CLEAN_CONTACTS, CLEAN_SALES, RAW_CONTACTS, RAW_INFO_A, RAW_SALES, contacts_pipeline, info_a_pipeline, sales_pipeline,
 )
 from stratamart.plans.runs import read_table, run_pipeline
 from stratamart.registry.inputs import (
-    CONTACTS_SQL, EARLY, LATE, SALES_SQL, contacts_source, ids, sales_source, shown, sql_ts, table, year_start,
+    CONTACTS_SQL, EARLY, LATE, SALES_SQL, STATIONS_SQL, contacts_source, ids, info_a_raw, sales_source, shown, sql_ts, table,
+    year_start,
 )
 from stratamart.sources.tables import PartitionedTable, SnapshotTable, append_batch, scratch_dir, staged
 from stratamart.spec import INGEST_TS
@@ -137,6 +138,24 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+def nested_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run of source A brings coordinates with an altitude; the raw table and a merged one take the field in."""
+    info, root = staged(info_a_raw(spark, sf_dir)), scratch_dir(spark)
+    weeks = ids(info, INGEST_TS)
+    merged = SnapshotTable(spark, scratch_dir(spark))
+    for number, at in enumerate((weeks[0], weeks[-1])):
+        week = batch_of(info, at).drop(INGEST_TS)
+        if number:
+            high = F.struct("coordonnees_geo.*", F.col("capacity").cast("double").alias("alt"))
+            week = week.withColumn("coordonnees_geo", high)
+        run_pipeline(spark, info_a_pipeline(lambda _, week=week: week), root, number, at)
+        merged.merge(week.select("stationcode", "coordonnees_geo"), ["stationcode"], number)
+    geo = [F.col(f"coordonnees_geo.{c}").alias(c) for c in ("lon", "lat", "alt")]
+    raw = read_table(spark, RAW_INFO_A, root).select(F.lit("raw").alias("layer"), "stationcode", *geo, INGEST_TS)
+    kept = merged.read().select(F.lit("merged").alias("layer"), "stationcode", *geo, F.lit(None).cast("timestamp").alias(INGEST_TS))
+    return shown(raw.unionByName(kept))
+
+
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each yearly batch would do to the customers known before it, and what a delete would remove."""
     orders = staged(customer_orders(spark, sf_dir))
@@ -210,6 +229,7 @@ QUERIES = {
     "merge_key_range": merge_key_range,
     "ingest_evolving": ingest_evolving,
     "schema_evolution": schema_evolution,
+    "nested_evolution": nested_evolution,
     "load_audit": load_audit,
     "scd2_audit": scd2_audit,
     "ingest_sales": ingest_sales,
@@ -256,6 +276,14 @@ SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey,
        CASE WHEN c_custkey % 3 = 2 THEN c_name END AS c_name,
        CASE WHEN c_custkey % 3 <> 2 THEN c_mktsegment END AS c_mktsegment
 FROM customer""",
+    "nested_evolution": f"""
+WITH {STATIONS_SQL},
+bounds AS (SELECT min(ingest_ts) AS first, max(ingest_ts) AS last FROM info_a),
+runs AS (SELECT stationcode, longitude AS lon, latitude AS lat, CASE WHEN ingest_ts = last THEN CAST(capacity AS DOUBLE) END AS alt,
+                ingest_ts FROM info_a, bounds WHERE ingest_ts IN (first, last))
+SELECT 'raw' AS layer, * REPLACE ({sql_ts('ingest_ts')} AS ingest_ts) FROM runs
+UNION ALL
+SELECT 'merged', stationcode, arg_max(lon, ingest_ts), arg_max(lat, ingest_ts), max(alt), NULL FROM runs GROUP BY stationcode""",
     "load_audit": f"""
 WITH batches AS (SELECT DISTINCT o_custkey, date_trunc('year', o_orderdate) AS ingest_ts FROM orders),
 firsts AS (SELECT o_custkey, min(ingest_ts) AS first_ts FROM batches GROUP BY o_custkey),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.functions.scalars import utc_literal
 from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.scd2 import rebuild_scd2
 from stratamart.registry.inputs import ids, scd2_sql, shown, sql_ts, table
@@ -62,8 +63,26 @@ def scd2_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(history.history())
 
 
+def unordered(batches: list) -> list:
+    """An order of arrival in which every other batch comes late."""
+    return batches[::2] + batches[1::2][::-1]
+
+
+def scd2_late_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly batches in a mixed order of arrival; each is spliced into the history of what had come before."""
+    raw, batches = raw_orders(spark, sf_dir)
+    history, arrived = Scd2Table(spark, scratch_dir(spark)), []
+    for number, at in enumerate(unordered(batches)):
+        seen = raw.filter(F.col(INGEST_TS).isin(*map(utc_literal, arrived))) if arrived else None
+        history.splice(_priorities(batch_of(raw, at)), KEY, CHANGE, number, ts=INGEST_TS,
+                       observed=None if seen is None else _priorities(seen))
+        arrived.append(at)
+    return shown(history.history())
+
+
 QUERIES = {
     "scd2_fold": scd2_fold,
+    "scd2_late_arrival": scd2_late_arrival,
     "scd2_rebuild": scd2_rebuild,
     "scd2_current": scd2_current,
     "scd2_as_of": scd2_as_of,
@@ -87,6 +106,7 @@ FROM history"""
 
 ORACLES = {
     "scd2_fold": HISTORY_SQL,
+    "scd2_late_arrival": HISTORY_SQL,
     "scd2_rebuild": HISTORY_SQL,
     "scd2_current": f"SELECT * FROM ({HISTORY_SQL}) WHERE scd_is_current",
     "scd2_as_of": f"""

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamart.plans.ingestion import (
-    STATUS_A_SOURCE, clean_info_b, clean_status_a, clean_status_b, info_a_source, info_b_source, status_b_source,
+    CLEAN_STATUS_A, RAW_STATUS_A, STATUS_A_SOURCE, clean_info_b, clean_status_a, clean_status_b, info_a_source, info_b_source,
+    status_a_pipeline, status_a_source, status_b_source,
 )
+from stratamart.plans.runs import read_audit, read_quarantine, read_table, run_pipeline
 from stratamart.registry.inputs import (
-    LATE, LOADED_AT, STATIONS_SQL, info_a_raw, info_b_raw, shown, sql_ts, status_a_raw, status_b_raw, table,
+    EVENTS_SQL, LATE, LOADED_AT, STATIONS_SQL, info_a_raw, info_b_raw, shown, sql_ts, status_a_raw, status_b_raw, table,
 )
 from stratamart.sources.feeds import malformed_documents, page_of, paged_records
 from stratamart.sources.generators import (
@@ -51,6 +53,12 @@ def page_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_of(orders, [F.desc("o_totalprice"), "o_orderkey"], 2 * PAGE, PAGE)
 
 
+def page_offset_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page in the middle of all orders, found through the sizes of ranges of the order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return page_of(orders, [F.desc("o_totalprice"), "o_orderkey"], orders.count() // 2, PAGE, deep=PAGE)
+
+
 def malformed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth page is cut short: it is quarantined, and its records are missing from the result."""
     path = scratch_dir(spark)
@@ -83,6 +91,39 @@ def paged_states(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "duedate", "longitude"))
 
 
+def _polled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a poll of source A: all states, some without key and some with a number that is none."""
+    rows = status_a_raw(spark, sf_dir, ["event_id"])
+    docks = F.when(F.col("event_id") % 37 == 0, "n/a").otherwise(F.col("numdocksavailable").cast("string"))
+    return rows.withColumn("numdocksavailable", docks).select(*[c for c in STATUS_A_SOURCE.names if c != "timestamp"], "event_id")
+
+
+def poll_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station states of source A as one poll gives them, all with the time of the call."""
+    path = _land_pages(_polled(spark, sf_dir), F.col("event_id"), scratch_dir(spark))
+    return shown(status_a_source(spark, path, LOADED_AT).select("stationcode", "timestamp", "numdocksavailable", "is_renting", "duedate"))
+
+
+def quarantined_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A poll through its pipeline: pages that are cut short, numbers that are none and missing keys end in quarantine."""
+    path, root = scratch_dir(spark), scratch_dir(spark)
+    polled = _polled(spark, sf_dir)
+    page = polled.withColumn("page", F.floor(F.col("event_id") / PAGE)).groupBy("page").agg(
+        F.collect_list(F.struct(*[c for c in polled.columns if c != "event_id"])).alias("results"))
+    text = F.to_json(F.struct("results"))
+    page.select(F.when(F.col("page") % 10 == 3, F.substring(text, 1, 60)).otherwise(text).alias("value")).write.text(path)
+    run_pipeline(spark, status_a_pipeline(lambda s: status_a_source(s, path, LOADED_AT, errors=True)), root, 0, LOADED_AT)
+    bad = read_quarantine(spark, root).groupBy("column", "reason", "rejected").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.when(F.col("column") != "", F.col("value"))).alias("value"))
+    layers = [read_table(spark, spec, root).agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(spec.layer).alias("column"), F.lit("rows").alias("reason"), F.lit(False).alias("rejected"), "rows",
+        F.lit(None).cast("string").alias("value")) for spec in (RAW_STATUS_A, CLEAN_STATUS_A)]
+    left = read_audit(spark, root).where("layer = 'bronze'").select(
+        F.lit("audit").alias("column"), F.lit("rows_rejected").alias("reason"), F.lit(True).alias("rejected"),
+        F.col("rows_rejected").alias("rows"), F.lit(None).cast("string").alias("value"))
+    return bad.unionByName(layers[0]).unionByName(layers[1]).unionByName(left)
+
+
 def _land_feed(rows: DataFrame, number: str, updated: str, fields: list, path: str) -> str:
     """Write rows as feed documents of one poll and at most PAGE stations; ``number`` is unique within a poll."""
     documents = rows.withColumn("block", F.floor(F.col(number) / PAGE)).groupBy(updated, "block").agg(
@@ -123,9 +164,12 @@ def gen_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "paged_records": paged,
     "page_offset": page_offset,
+    "page_offset_deep": page_offset_deep,
     "malformed_pages": malformed_pages,
     "paged_stations": paged_stations,
     "paged_states": paged_states,
+    "poll_states": poll_states,
+    "quarantined_states": quarantined_states,
     "feed_info": feed_info,
     "feed_status": feed_status,
     "gen_sales": gen_sales,
@@ -152,6 +196,10 @@ ORACLES = {
 SELECT p_partkey, upper(p_name) AS p_name, p_size FROM part WHERE p_size >= 25 AND p_name IS NOT NULL""",
     "page_offset": """
 SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100 OFFSET 200""",
+    "page_offset_deep": """
+SELECT o_orderkey, o_totalprice FROM (
+  SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS n, count(*) OVER () // 2 AS middle
+  FROM orders) WHERE n > middle AND n <= middle + 100""",
     "malformed_pages": """
 SELECT 'records' AS kind, count(*) AS rows, CAST(sum(p_partkey) AS BIGINT) AS keys FROM part
 WHERE p_partkey // 100 % 10 <> 3
@@ -167,6 +215,24 @@ WITH {STATIONS_SQL}
 SELECT stationcode, {sql_ts('''date_trunc('millisecond', "timestamp")''')} AS "timestamp", is_installed,
        numbikesavailable, duedate, longitude
 FROM status_a WHERE stationcode IS NOT NULL""",
+    "poll_states": f"""
+WITH {STATIONS_SQL}
+SELECT stationcode, '2024-06-01 00:00:00.000000' AS "timestamp",
+       CASE WHEN event_id % 37 <> 0 THEN numdocksavailable END AS numdocksavailable,
+       CASE WHEN is_renting THEN 'OUI' WHEN NOT is_renting THEN 'NON' END AS is_renting, duedate
+FROM (SELECT a.*, e.event_id FROM (SELECT *, row_number() OVER () AS n FROM status_a) a
+      JOIN (SELECT event_id, row_number() OVER () AS n FROM ev WHERE is_a) e USING (n)) WHERE stationcode IS NOT NULL""",
+    "quarantined_states": f"""
+WITH {EVENTS_SQL},
+polled AS (SELECT *, event_id // 100 % 10 = 3 AS broken, event_id % 101 = 0 AS keyless FROM ev WHERE is_a)
+SELECT '' AS "column", 'malformed document' AS reason, true AS rejected, count(DISTINCT event_id // 100) AS rows,
+       CAST(NULL AS VARCHAR) AS value FROM polled WHERE broken
+UNION ALL SELECT 'stationcode', 'missing key', true, count(*), NULL FROM polled WHERE NOT broken AND keyless
+UNION ALL SELECT 'numdocksavailable', 'does not fit int', false, count(*), 'n/a' FROM polled WHERE NOT broken AND event_id % 37 = 0
+UNION ALL SELECT 'bronze', 'rows', false, count(*), NULL FROM polled WHERE NOT broken AND NOT keyless
+UNION ALL SELECT 'silver', 'rows', false, count(DISTINCT user_id), NULL FROM polled WHERE NOT broken AND NOT keyless
+UNION ALL SELECT 'audit', 'rows_rejected', true,
+                 count(DISTINCT event_id // 100) FILTER (broken) + count(*) FILTER (NOT broken AND keyless), NULL FROM polled""",
     "feed_info": f"""
 WITH {STATIONS_SQL}
 SELECT station_id, name, lat, lon, address, rental_methods, CAST(capacity AS INTEGER) AS capacity,

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.plans.ingestion import CLEAN_STATUS_B, STATUS_B, clean_status_b
-from stratamart.registry.inputs import ids, shown, status_b_raw
+from stratamart.plans.facts import FACT_BIKE_STATUS
+from stratamart.plans.ingestion import CLEAN_STATUS_B, RAW_STATUS_B, STATUS_B, STATUS_B_SOURCE, clean_status_b, status_b_pipeline
+from stratamart.plans.loads import load_status_fact
+from stratamart.plans.runs import read_table
+from stratamart.registry.inputs import STATIONS_SQL, THIRDS, ids, shown, sql_ts, status_b_raw, third_of, third_sql
 from stratamart.registry.keyed import batch_of, customer_orders
-from stratamart.registry.scd import CHANGE, KEY, ORACLES as SCD_ORACLES, _priorities
+from stratamart.registry.scd import CHANGE, KEY, ORACLES as SCD_ORACLES, _priorities, unordered
 from stratamart.registry.stations import ORACLES as STATION_ORACLES
 from stratamart.sources.tables import PartitionedTable, Scd2Table, scratch_dir, staged
-from stratamart.spec import INGEST_TS, with_ingest_ts
+from stratamart.spec import INGEST_TS, SOURCE_INGEST_TS, with_ingest_ts
+from stratamart.streaming.pipelines import pipeline_into
 from stratamart.streaming.micro_batch import into_raw, landed_stream, scd2_into, start, upsert_into
 
 
@@ -40,15 +44,47 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed order priorities folded into a type 2 table."""
+    """Landed order priorities folded into a type 2 table; some years land long after later ones."""
     rows = staged(_priorities(customer_orders(spark, sf_dir)))
-    landing = _land([batch_of(rows, at) for at in ids(rows, INGEST_TS)], scratch_dir(spark))
-    history = Scd2Table(spark, scratch_dir(spark))
+    landing = _land([batch_of(rows, at) for at in unordered(ids(rows, INGEST_TS))], scratch_dir(spark))
+    history, raw_path = Scd2Table(spark, scratch_dir(spark)), scratch_dir(spark)
     stream = landed_stream(spark, landing, rows.schema, max_files=2)
-    handler = into_raw(scratch_dir(spark), scd2_into(history, KEY, CHANGE))
+    handler = into_raw(raw_path, scd2_into(history, KEY, CHANGE, raw_path=raw_path))
     start(stream, handler, scratch_dir(spark), every=None).awaitTermination()
     return shown(history.history())
 
 
-QUERIES = {"stream_upsert": stream_upsert, "stream_scd2": stream_scd2}
-ORACLES = {"stream_upsert": STATION_ORACLES["feed_status_merge"], "stream_scd2": SCD_ORACLES["scd2_fold"]}
+def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed states of source B through the declared tables, raw, cleaned and fact, micro-batch by micro-batch."""
+    raw, root = staged(status_b_raw(spark, sf_dir)), scratch_dir(spark)
+    landing = _land([raw.filter(third_of(F.col(INGEST_TS)) == i).drop(INGEST_TS) for i in range(3)], scratch_dir(spark))
+    stream = landed_stream(spark, landing, STATUS_B_SOURCE, max_files=1)
+    pipeline, times = status_b_pipeline(lambda s: s.read.schema(STATUS_B_SOURCE).json(landing)), iter(THIRDS)
+    fact = ("fact", lambda s, batch_id, at: load_status_fact(s, root, batch_id, at, writer=pipeline.name))
+    handler = pipeline_into(pipeline, root, then=[fact], clock=lambda: next(times))
+    start(stream, handler, scratch_dir(spark), every=None).awaitTermination()
+    landed = read_table(spark, RAW_STATUS_B, root).withColumn("last_updated", F.timestamp_seconds("last_updated"))
+    layers = {
+        "raw": (landed, "last_updated", "num_bikes_available", INGEST_TS),
+        "clean": (read_table(spark, CLEAN_STATUS_B, root), "last_updated", "num_bikes_available", INGEST_TS),
+        "fact": (read_table(spark, FACT_BIKE_STATUS, root), "timestamp", "available_bikes", SOURCE_INGEST_TS),
+    }
+    parts = [df.select(F.lit(layer).alias("layer"), F.col("station_id").cast("string").alias("station_id"), F.col(at).alias("at"),
+                       F.col(bikes).alias("bikes"), F.col(seen).alias("landed"))
+             for layer, (df, at, bikes, seen) in layers.items()]
+    return shown(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+QUERIES = {"stream_pipeline": stream_pipeline, "stream_upsert": stream_upsert, "stream_scd2": stream_scd2}
+ORACLES = {
+    "stream_upsert": STATION_ORACLES["feed_status_merge"],
+    "stream_scd2": SCD_ORACLES["scd2_fold"],
+    "stream_pipeline": f"""
+WITH {STATIONS_SQL},
+layers AS (
+  SELECT 'raw' AS layer, station_id, last_updated, num_bikes_available, ingest_ts FROM status_b
+  UNION ALL SELECT 'clean', station_id, last_updated, num_bikes_available, ingest_ts FROM status_b_clean
+  UNION ALL SELECT 'fact', station_id, last_updated, num_bikes_available, ingest_ts FROM status_b_clean)
+SELECT layer, CAST(station_id AS VARCHAR) AS station_id, {sql_ts('last_updated')} AS "at", num_bikes_available AS bikes,
+       {sql_ts(third_sql('ingest_ts'))} AS landed FROM layers""",
+}

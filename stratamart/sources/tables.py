@@ -3,7 +3,8 @@
 Spark cannot overwrite what it is reading, so every merge writes somewhere new:
 
 * ``SnapshotTable``   - ``v=<n>`` directories, the newest complete one (``_SUCCESS``) is the table;
-* ``Scd2Table``       - ``v=<n>/scd_is_current=true|false``: all open versions, and those closed by batch n;
+* ``Scd2Table``       - ``v=<n>/scd_is_current=true|false``: all open versions, and those closed by batch n; and
+  ``revised/v=<n>``, the keys whose older closed versions batch n replaced from some time on;
 * ``PartitionedTable`` - one directory per partition value, replaced partition by partition.
 
 One writer per table.  Writing version n again gives the same version n, so lost runs are simply repeated.
@@ -11,19 +12,23 @@ One writer per table.  Writing version n again gives the same version n, so lost
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratamart.operators.conform import merged_schema
-from stratamart.operators.merge import delete_keys, prepared, upsert
-from stratamart.operators.scd2 import apply_scd2, empty_history
-from stratamart.spec import SCD_COLUMNS, SCD_CURRENT
+from stratamart.functions.scalars import utc_datetime, utc_literal
+from stratamart.operators.audit import LoadCounts
+from stratamart.operators.conform import evolve, merged_schema
+from stratamart.operators.merge import prepared, upsert
+from stratamart.operators.scd2 import REVISED_FROM, apply_scd2, empty_history, first_changes, reached, splice_scd2
+from stratamart.sources.files import delete_path, matching_paths, move_path, path_exists, read_note, unescaped, write_note
+from stratamart.spec import KEY_BLOCK, SCD_COLUMNS, SCD_CURRENT, SCD_END
 
 TARGET_FILE_BYTES = 100_000_000
 
@@ -46,22 +51,6 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/stratamart-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _file_system(spark, path)
-    return fs.exists(jpath)
-
-
-def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Existing paths of a glob pattern, in one listing."""
-    fs, jpath = _file_system(spark, pattern)
-    return [s.getPath().toString() for s in fs.globStatus(jpath) or []]
-
-
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -134,13 +123,22 @@ def _staged_batch(batch: DataFrame, key: Sequence[str], options: dict) -> DataFr
     decides truthfully whether it may be broadcast."""
     version = options.get("version")
     order = [*([version] if version else []), *[c for c in options.pop("order_by", ()) if c != version]]
-    return staged(prepared(batch, key, order, options.pop("on_duplicate", "latest")))
+    return staged(prepared(batch, key, order, options.pop("on_duplicate", "latest"), options.get("counts")))
 
 
 class OutOfOrder(ValueError):
     """A batch comes again although later ones are stored: its correction would not reach them."""
 
 
+# A ledger entry: the ingest batch of a source that a merge has taken in.
+CONSUMED = "source string, consumed_ts timestamp"
+
+
+def _numbers(paths: Sequence[str], name: str) -> list[int]:
+    """The numbers of ``<name>=<number>`` folders, ascending."""
+    return sorted(int(p.rsplit(f"/{name}=", 1)[1].split("/")[0]) for p in paths)
+
+
 class SnapshotTable:
     """A table rewritten as a whole by every merge."""
 
@@ -149,8 +147,7 @@ class SnapshotTable:
 
     def versions(self) -> list[int]:
         """Complete versions, oldest first."""
-        complete = matching_paths(self.spark, f"{self.path}/v=*/_SUCCESS")
-        return sorted(int(p.rsplit("/v=", 1)[1].split("/")[0]) for p in complete)
+        return _numbers(matching_paths(self.spark, f"{self.path}/v=*/_SUCCESS"), "v")
 
     def before(self, version: int) -> int | None:
         """The version that batch ``version`` starts from.  Only the newest batch can be repeated."""
@@ -166,8 +163,7 @@ class SnapshotTable:
             self._delete(f"{self.path}/v={version}")
 
     def _delete(self, path: str) -> None:
-        fs, jpath = _file_system(self.spark, path)
-        fs.delete(jpath, True)
+        delete_path(self.spark, path)
 
     def exists(self) -> bool:
         return bool(self.versions())
@@ -184,14 +180,36 @@ class SnapshotTable:
     def write(self, df: DataFrame, version: int, **layout) -> None:
         write_files(df, f"{self.path}/v={version}", **layout)
 
+    def consumed(self, before: int | None = None) -> DataFrame:
+        """The (source, consumed_ts) pairs of the complete batches, or of those before one that is about to be written."""
+        stored = self.versions()
+        upto = stored[-1] if stored else -1
+        if before is not None:
+            upto = min(upto, before - 1)
+        entries = _numbers(matching_paths(self.spark, f"{self.path}/consumed/v=*/_SUCCESS"), "v")
+        paths = [f"{self.path}/consumed/v={v}" for v in entries if v <= upto]
+        schema = T.StructType.fromDDL(CONSUMED)
+        return self.spark.read.schema(schema).parquet(*paths).distinct() if paths else empty_frame(self.spark, schema)
+
+    def _enter(self, consumed: DataFrame | None, batch_id: int) -> None:
+        """Note what a batch takes in.  It counts once the version is complete, so notes of broken-off runs go first."""
+        stored = self.versions()
+        for v in _numbers(matching_paths(self.spark, f"{self.path}/consumed/v=*"), "v"):
+            if v == batch_id or not stored or v > stored[-1]:
+                self._delete(f"{self.path}/consumed/v={v}")
+        if consumed is not None:
+            write_files(consumed.select("source", "consumed_ts").coalesce(1), f"{self.path}/consumed/v={batch_id}")
+
     def merge(self, batch: DataFrame, key: Sequence[str], batch_id: int, *, deletes: DataFrame | None = None,
-              layout: dict | None = None, **options) -> None:
-        """Upsert a batch (and drop deleted keys) as version ``batch_id``, always from the version before it."""
+              layout: dict | None = None, consumed: DataFrame | None = None, **options) -> None:
+        """Upsert a batch (and drop deleted keys) as version ``batch_id``, always from the version before it.
+
+        ``consumed`` lists what the batch took in (see `CONSUMED`).
+        """
         base = self.before(batch_id)
+        self._enter(consumed, batch_id)
         target = self.read(base) if base is not None else empty_frame(self.spark, self.schema or batch.schema)
-        merged = upsert(target, _staged_batch(batch, key, options), key, unique=True, **options)
-        if deletes is not None:
-            merged = delete_keys(merged, deletes, key)
+        merged = upsert(target, _staged_batch(batch, key, options), key, unique=True, deletes=deletes, **options)
         self.write(merged, batch_id, **(layout or {}))
 
 
@@ -221,13 +239,30 @@ class Scd2Table(SnapshotTable):
         if closed:
             # The open versions have the latest schema; older files lack its new columns and read them as NULL.
             schema = T.StructType([f for f in out.schema.fields if f.name != SCD_CURRENT])
-            old = self.spark.read.schema(schema).parquet(*closed).withColumn(SCD_CURRENT, F.lit(False))
-            out = out.unionByName(old)
+            old = self.spark.read.schema(schema).parquet(*closed)
+            revisions = [v for v in self._revisions() if v in usable and v > done]
+            if revisions:
+                old = self._unrevised(old, revisions)
+            out = out.unionByName(old.withColumn(SCD_CURRENT, F.lit(False)))
         return out
 
+    def _revisions(self) -> list[int]:
+        return _numbers(matching_paths(self.spark, f"{self.path}/revised/v=*/_SUCCESS"), "v")
+
+    def _unrevised(self, closed: DataFrame, revisions: list[int]) -> DataFrame:
+        """Closed versions without those that a later batch replaced: of its keys, and ended at its times or later."""
+        def batch_of_file(*names: str) -> Column:
+            return F.regexp_extract("_metadata.file_path", f".*/(?:{'|'.join(names)})=([0-9]+)/", 1).cast("long")
+        later = self.spark.read.parquet(*[f"{self.path}/revised/v={v}" for v in revisions])
+        key = [c for c in later.columns if c != REVISED_FROM]
+        later = later.select(*[F.col(c).alias(f"__{c}") for c in key], REVISED_FROM, batch_of_file("v").alias("__later"))
+        replaced = (F.col("__later") > F.col("__batch")) & (F.col(SCD_END) >= F.col(REVISED_FROM))
+        for c in key:
+            replaced = replaced & (F.col(c) == F.col(f"__{c}"))
+        return closed.withColumn("__batch", batch_of_file("v", "upto")).join(later, replaced, "left_anti").drop("__batch")
+
     def _compacted(self) -> list[int]:
-        complete = matching_paths(self.spark, f"{self.path}/closed/upto=*/_SUCCESS")
-        return sorted(int(p.rsplit("/upto=", 1)[1].split("/")[0]) for p in complete)
+        return _numbers(matching_paths(self.spark, f"{self.path}/closed/upto=*/_SUCCESS"), "upto")
 
     def expire(self, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` batches; the versions that the others closed go to one folder first.
@@ -246,6 +281,7 @@ class Scd2Table(SnapshotTable):
             self._delete(f"{self.path}/closed/upto={done}")
         for version in old:
             self._delete(f"{self.path}/v={version}")
+            self._delete(f"{self.path}/revised/v={version}")
 
     def _empty(self, usable: list[int]) -> DataFrame:
         if self.schema is not None:
@@ -265,10 +301,52 @@ class Scd2Table(SnapshotTable):
         current = self.current(base) if base is not None else empty_history(
             empty_frame(self.spark, self.schema) if self.schema is not None else batch
         )
-        rows = apply_scd2(current, _staged_batch(batch, key, options), key, change, batch_ts, unique=True, **options)
+        staged_batch = _staged_batch(batch, key, options)
+        self._delete(f"{self.path}/revised/v={batch_id}")  # of a late batch with this number that broke off
+        rows = apply_scd2(current, staged_batch, key, change, batch_ts, unique=True, **options)
         write_files(rows, f"{self.path}/v={batch_id}", partition_by=[SCD_CURRENT], **(layout or {}))
 
 
+    def splice(self, rows: DataFrame, key: Sequence[str], change: Sequence[str], batch_id: int, *, ts: str,
+               observed: DataFrame | None = None, order_by: Sequence[str] = (), layout: dict | None = None,
+               counts: LoadCounts | None = None) -> None:
+        """Take in rows of any times, late ones included, as version ``batch_id``; the history is that of a rebuild.
+
+        ``ts`` names the column with each row's time; it does not become an attribute.  ``observed``, with the same columns,
+        gives the rows taken in so far: only its rows of these keys, from their first late row on, are read.  Histories of
+        other keys, and versions that ended before, are neither read as closed versions nor written again: the batch stores
+        what takes their place, and a list of its keys that readers compare older closed versions with.
+        """
+        key, base = list(key), self.before(batch_id)
+        earliest = Observation(f"earliest-{uuid.uuid4().hex}")
+        late = prepared(rows, [*key, ts], order_by, counts=counts)
+        late = staged(late.observe(earliest, F.unix_micros(F.min(ts)).alias("at")))
+        since = utc_datetime(earliest.get.get("at"))
+        if base is not None:
+            known, current = self.history(base), self.current(base)
+        else:
+            first = late.drop(ts) if self.schema is None else empty_frame(self.spark, self.schema)
+            known = current = empty_history(first)
+        revised = f"{self.path}/revised/v={batch_id}"
+        self._delete(revised)  # of a run that broke off
+        out = current
+        if since is not None:
+            firsts = first_changes(late, key, ts)
+            closed_before = Observation(f"closed-{uuid.uuid4().hex}")
+            n_closed = F.count_if(F.col(SCD_END).isNotNull())
+            cut = staged(reached(known, firsts, key, since).observe(closed_before, n_closed.alias("n")))
+            if observed is not None:
+                observed = observed.filter(F.col(ts) >= utc_literal(since)).join(firsts, key)
+                observed = observed.filter(F.col(ts) >= F.col(REVISED_FROM)).drop(REVISED_FROM)
+            versions = splice_scd2(cut.drop(REVISED_FROM), late, key, change, ts, observed=observed, order_by=order_by)
+            if closed_before.get.get("n"):
+                closed = cut.filter(F.col(SCD_END).isNotNull()).select(*key, REVISED_FROM).distinct()
+                write_files(closed if counts is None else counts.watch(closed, rows_revised=F.count(F.lit(1))), revised)
+            kept, versions = evolve(current.join(firsts, key, "left_anti"), versions)
+            out = kept.unionByName(versions)
+        write_files(self._ordered(out), f"{self.path}/v={batch_id}", partition_by=[SCD_CURRENT], **(layout or {}))
+
+
 class MovedKeys(ValueError):
     """A batch holds keys that are stored under another partition value."""
 
@@ -285,9 +363,9 @@ class PartitionedTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, partition_by: Sequence[str], schema: T.StructType,
-                 *, evolving: bool = False, follows_key: bool = False):
+                 *, evolving: bool = False, follows_key: bool = False, key_blocks: tuple[str, int] | None = None):
         self.spark, self.path, self.partition_by = spark, path.rstrip("/"), list(partition_by)
-        self.schema, self.follows_key = schema, follows_key
+        self.schema, self.follows_key, self.key_blocks = schema, follows_key, key_blocks
         # Columns added since are remembered as empty snapshots: reading all footers would not scale.
         self.evolved = SnapshotTable(spark, f"{self.path}-schema") if evolving else None
 
@@ -305,9 +383,11 @@ class PartitionedTable:
         # An explicit schema also keeps the declared type of partition columns, whose directory names are text.
         return self.spark.read.schema(schema).parquet(self.path).select(*schema.names)
 
-    def append(self, rows: DataFrame, **layout) -> None:
+    def append(self, rows: DataFrame, *, counts: LoadCounts | None = None, **layout) -> None:
         """Add a batch as its own partitions, see `append_batch`."""
         self._remember(rows.schema)
+        if counts is not None:
+            rows = counts.watch(rows, rows_read=F.count(F.lit(1)), rows_insert=F.count(F.lit(1)))
         append_batch(rows, self.path, self.partition_by, **layout)
 
     def touched(self, batch: DataFrame, deletes: DataFrame | None = None, key: Sequence[str] = ()) -> DataFrame:
@@ -349,11 +429,21 @@ class PartitionedTable:
             same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
         return rows.join(other, same, how)
 
-    def merge(self, batch: DataFrame, key: Sequence[str], *, deletes: DataFrame | None = None,
-              layout: dict | None = None, **options) -> None:
-        """Upsert a batch into the partitions it touches."""
+    def merge(self, batch: DataFrame, key: Sequence[str], batch_id: int | None = None, *, deletes: DataFrame | None = None,
+              layout: dict | None = None, writer: str = "batch", consumed: DataFrame | None = None, **options) -> None:
+        """Upsert a batch into the partitions it touches.
+
+        ``batch_id`` is entered in the table's ledger, together with the rows of ``consumed`` (see `CONSUMED`), by the very
+        step that makes the batch visible.  A batch older than the writer's newest one is refused, as its rows would win over
+        later ones, unless a version column decides that.  Without ``batch_id`` the last writer wins.
+        """
         layout = layout or {}
         self.recover(layout)
+        batch = self._blocked(batch)
+        if batch_id is not None and options.get("version") is None:
+            newest = self.applied(writer)
+            if newest is not None and newest > batch_id:
+                raise OutOfOrder(f"batch {batch_id} of {self.path} comes after batch {newest}")
         for f in batch.schema.fields:
             if f.name in self.partition_by and isinstance(f.dataType, T.StringType):
                 # A directory name cannot be empty: Parquet tables store an empty partition value as NULL.
@@ -364,37 +454,66 @@ class PartitionedTable:
             if moved:
                 raise MovedKeys(f"keys stored under another partition value, for example {[tuple(r) for r in moved]}")
         touched = self.touched(batch, deletes, key)
-        merged = upsert(touched, batch, key, unique=True, **options)
-        if deletes is not None:
-            merged = delete_keys(merged, deletes, key)
+        merged = upsert(touched, batch, key, unique=True, deletes=deletes, **options)
         # Remembered before the data is written: until then the new columns simply read NULL.
         self._remember(merged.schema)
-        if not self.exists():
+        if not self.exists() and batch_id is None:
             write_files(merged, self.path, partition_by=self.partition_by, rebalance=True, dynamic=True, **layout)
             return
+        delete_path(self.spark, self._pending)  # of a merge that broke off before its copy was complete
         merged = staged(merged, f"{self._pending}/rows")
-        gone = self._emptied(batch, deletes, key, merged) if deletes is not None else \
-            empty_frame(self.spark, T.StructType().add("directory", T.StringType()))
-        # Written last: its _SUCCESS says that the copy is complete.
-        write_files(gone, f"{self._pending}/emptied")
+        emptied = []
+        if deletes is not None:
+            emptied = [r["directory"] for r in self._emptied(batch, deletes, key, merged).collect()]
+        if consumed is not None:
+            write_files(consumed.select("source", "consumed_ts").coalesce(1), f"{self._pending}/consumed")
+        # Written last: it says that the copy is complete.
+        write_note(self.spark, f"{self._pending}/commit", json.dumps({"emptied": emptied, "writer": writer, "batch_id": batch_id}))
         self.recover(layout)
 
+    def _blocked(self, rows: DataFrame) -> DataFrame:
+        """Rows with the storage column of a table that has key blocks."""
+        if self.key_blocks is None or KEY_BLOCK in rows.columns:
+            return rows
+        column, size = self.key_blocks
+        timed = isinstance(rows.schema[column].dataType, T.TimestampType)
+        number = F.unix_seconds(F.col(column)) if timed else F.col(column)
+        return rows.withColumn(KEY_BLOCK, F.floor(number / size))
+
+    @property
+    def _ledger(self) -> str:
+        return f"{self.path}-ledger"
+
+    def applied(self, writer: str = "batch") -> int | None:
+        """The newest batch of a writer that is in the table."""
+        done = _numbers(matching_paths(self.spark, f"{self._ledger}/writer={writer}/batch_id=*/_applied"), "batch_id")
+        return done[-1] if done else None
+
+    def consumed(self) -> DataFrame:
+        """The (source, consumed_ts) pairs of all batches in the table."""
+        schema = T.StructType.fromDDL(f"{CONSUMED}, writer string, batch_id long")
+        return read_or_empty(self.spark, self._ledger, schema).select("source", "consumed_ts").distinct()
+
     @property
     def _pending(self) -> str:
         return f"{self.path}-pending"
 
     def recover(self, layout: dict | None = None) -> bool:
         """Finish a merge that broke off after its copy was complete; repeating this is harmless."""
-        if not path_exists(self.spark, f"{self._pending}/emptied/_SUCCESS"):
+        commit = read_note(self.spark, f"{self._pending}/commit")
+        if commit is None:
             return False
+        commit = json.loads(commit)
         rows = self.spark.read.parquet(f"{self._pending}/rows")
         write_files(rows, self.path, partition_by=self.partition_by, rebalance=True, dynamic=True, **(layout or {}))
-        for row in self.spark.read.schema("directory string").parquet(f"{self._pending}/emptied").collect():
-            uri = self.spark._jvm.java.net.URI.create(row["directory"])
-            fs, jpath = _file_system(self.spark, uri)
-            fs.delete(jpath, True)
-        fs, jpath = _file_system(self.spark, self._pending)
-        fs.delete(jpath, True)
+        for directory in commit["emptied"]:
+            delete_path(self.spark, unescaped(self.spark, directory))
+        if commit["batch_id"] is not None:
+            entry = f"{self._ledger}/writer={commit['writer']}/batch_id={commit['batch_id']}"
+            if path_exists(self.spark, f"{self._pending}/consumed"):
+                move_path(self.spark, f"{self._pending}/consumed", entry)
+            write_note(self.spark, f"{entry}/_applied", "")
+        delete_path(self.spark, self._pending)
         return True
 
     def _remember(self, schema: T.StructType) -> None:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from enum import Enum
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # Audit column every stored row carries: the batch timestamp, passed in explicitly, never now().
@@ -23,6 +23,11 @@ SCD_CURRENT = "scd_is_current"
 SCD_COLUMNS = (SCD_START, SCD_END, SCD_CURRENT)
 
 
+# What the audit row of a load counts; NULL where the kind of load has no such rows.
+AUDIT_COUNTS = ("rows_read", "rows_rejected", "rows_insert", "rows_update", "rows_ignore", "rows_delete", "rows_change",
+                "rows_unchanged", "rows_close", "rows_revised")
+
+
 class SaveMode(Enum):
     APPEND = "append"
     MERGE = "merge"
@@ -58,6 +63,8 @@ class TableSpec:
     # Merge only: the partition columns are computed from the key, so a key never moves between partitions.
     partition_follows_key: bool = False
     evolve: bool = True
+    # Tables stored by batch: batches that stay readable, and repeatable, after a run (0: all of them).
+    keep_versions: int = 3
     foreign_keys: tuple[ForeignKey, ...] = field(default=())
     target_file_bytes: int = 100_000_000
     compression: str = "snappy"
@@ -80,6 +87,8 @@ class Pipeline:
     silver: TableSpec
     source: Callable[[SparkSession], DataFrame]
     transform: Callable[[DataFrame], DataFrame] = lambda df: df
+    # Errors to look for in every source row (see conform.row_error), besides those that the source lists itself.
+    checks: Callable[[], list[Column]] | None = None
     deletes: Callable[[SparkSession], DataFrame] | None = None
 
 

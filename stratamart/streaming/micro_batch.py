@@ -9,17 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stratamart.functions.scalars import utc_datetime, utc_literal
 from stratamart.sources.tables import PartitionedTable, Scd2Table, SnapshotTable, write_files
 from stratamart.spec import INGEST_TS
 
 STREAM_BATCH = "stream_batch"
-# Versions are numbered stream batch * this + position of the ingest timestamp within the micro-batch.
-TIMES_PER_BATCH = 1_000_000
 
 BatchHandler = Callable[[DataFrame, int], None]
 
@@ -74,19 +70,19 @@ def scd2_into(
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
     order_by: Sequence[str] = (),
     ts: str = INGEST_TS,
+    raw_path: str | None = None,
 ) -> BatchHandler:
-    """Fold micro-batches into a type 2 table, the ingest timestamps within one in ascending order."""
+    """Fold micro-batches into a type 2 table, whatever ingest times they hold and in whatever order these come.
+
+    ``raw_path`` is that of `into_raw`: a late row needs the landed rows of its key that came after it.  Without it a file
+    that is late counts against the stored versions only (see `splice_scd2`).
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch)
-        # One value per landed batch in this micro-batch, not per row.
-        found = rows.filter(F.col(ts).isNotNull()).select(F.unix_micros(ts)).distinct().collect()
-        times = sorted(utc_datetime(r[0]) for r in found)
-        if len(times) > TIMES_PER_BATCH:
-            raise ValueError(f"{len(times)} ingest timestamps in one micro-batch; land fewer files per trigger")
-        for i, at in enumerate(times):
-            one = rows.filter(F.col(ts) == utc_literal(at)).drop(ts)
-            table.apply(one, key, change, batch_id * TIMES_PER_BATCH + i, at, order_by=order_by)
+        landed = None
+        if raw_path is not None:
+            landed = transform(batch.sparkSession.read.schema(batch.schema).parquet(raw_path).select(*batch.columns))
+        table.splice(transform(batch), key, change, batch_id, ts=ts, observed=landed, order_by=order_by)
 
     return handle
 

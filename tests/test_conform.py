@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from stratamart.functions import scalars
 from stratamart.functions.keys import UNKNOWN_KEY, member_key, surrogate_key
 from stratamart.operators.conform import (
-    IncompatibleSchema, conform, decode_flags, drop_null_keys, evolve, flatten_struct, merged_schema, not_before, stamp,
+    IncompatibleSchema, conform, decode_flags, drop_null_keys, error_list, evolve, flatten_struct, implausible, merged_schema, misfits,
+    missing_keys, not_before, stamp,
 )
 from stratamart.spec import schema_of
 
@@ -107,3 +108,36 @@ def test_weekend_is_a_parameter(spark):
     assert weekend == [False, True, True]
     friday = [r["is_weekend"] for r in df.select(*scalars.calendar_columns(F.col("d"), (6, 7))).collect()]
     assert friday == [True, True, False]
+
+
+def test_structs_evolve_field_by_field(spark):
+    old = spark.sql("select 1 as id, named_struct('lon', 1D, 'lat', 2) as geo, array(named_struct('a', 1)) as items, map('x', named_struct('q', 1)) as m")
+    new = spark.sql("select 2 as id, named_struct('lat', 3L, 'alt', 9D) as geo, array(named_struct('b', 'z', 'a', 2)) as items, map('y', named_struct('r', 2)) as m")
+    schema = merged_schema(old.schema, new.schema)
+    assert schema.simpleString() == ("struct<id:int,geo:struct<lon:double,lat:bigint,alt:double>,items:array<struct<a:int,b:string>>,"
+                                     "m:map<string,struct<q:int,r:int>>>")
+    first, second = evolve(old, new)
+    both = first.unionByName(second).select("id", "geo.lon", "geo.lat", "geo.alt", F.col("items")[0]["a"].alias("a"), F.col("items")[0]["b"].alias("b"),
+                                            F.col("m")["y"]["r"].alias("r"))
+    assert rows(both) == [(1, 1.0, 2, None, 1, None, None), (2, None, 3, 9.0, 2, "z", 2)]
+    assert rows(conform(spark.sql("select cast(null as struct<lon: double>) as geo"), new.select("geo").schema)) == [(None,)]
+    with pytest.raises(IncompatibleSchema, match="geo.lat"):
+        merged_schema(old.schema, spark.sql("select named_struct('lat', 'x') as geo").schema)
+
+
+def test_undeclared_fields_stay_where_extra_columns_do(spark):
+    df = spark.sql("select named_struct('lon', '1', 'lat', 'x', 'alt', 3) as geo")
+    declared = T.StructType().add("geo", T.StructType().add("lon", "double").add("lat", "double"))
+    assert conform(df, declared, lenient=True).collect()[0].geo.asDict() == {"lon": 1.0, "lat": None}
+    assert conform(df, declared, lenient=True, keep_extra=True).collect()[0].geo.asDict() == {"lon": 1.0, "lat": None, "alt": 3}
+
+
+def test_errors_of_a_row_are_listed(spark):
+    df = spark.sql("select '7' as n, named_struct('lon', 'east') as geo, cast(null as string) as k, -3000000000L as t "
+                   "union all select 'x', null, 'k', 5L")
+    want = T.StructType().add("n", "int").add("geo", T.StructType().add("lon", "double")).add("k", "string").add("t", "long")
+    errors = error_list([*misfits(df.schema, want), *missing_keys(["k"]), *implausible(["t"], seconds=True)])
+    found = [[tuple(e) for e in r[0]] for r in df.select(errors.alias("e")).collect()]
+    assert found == [[("geo.lon", "east", "does not fit double", False), ("k", None, "missing key", True),
+                      ("t", "-3000000000", "implausible time", False)], [("n", "x", "does not fit int", False)]]
+    assert df.select(error_list([]).alias("e")).first()[0] == []

@@ -14,7 +14,8 @@ from stratamart.operators.latest import (
 )
 from stratamart.operators.lookup import conformed_union, enrich_left, key_lookup, star_join
 from stratamart.operators.merge import delete_keys, merge_actions, upsert
-from stratamart.operators.skew import SALTS, hot_keys, spread_join
+from stratamart.operators.lookup import star_join
+from stratamart.operators.skew import SALTS, heavy_keys, hot_keys, spread_join
 
 TARGET = [(1, "a", 1), (2, "b", 1), (3, "c", 1)]
 BATCH = [(2, "B", 2), (4, "d", 2), (4, "e", 1)]
@@ -119,7 +120,7 @@ def test_hot_rows_are_spread(spark, no_broadcast):
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "__salt" in plan
     from stratamart.operators.skew import _spread
-    assert left.select(_spread(left).alias("s")).distinct().count() == SALTS
+    assert left.select(F.pmod(_spread(left), F.lit(SALTS)).alias("s")).distinct().count() == SALTS
 
 
 def test_other_joins_are_refused(spark):
@@ -191,3 +192,30 @@ def test_small_dimension_is_broadcast(spark, tmp_path):
     fact = spark.range(100).selectExpr("id % 10 as k", "id")
     star = star_join(fact, {"k": spark.read.parquet(f"{tmp_path}/d")})
     assert "BroadcastHashJoin" in star._jdf.queryExecution().executedPlan().toString()
+
+
+def test_more_than_a_thousand_hot_keys(spark, no_broadcast, small_inputs_skew):
+    """Each hot key gets parts by its rows, and all keys of a star are found in one job."""
+    left = spark.range(1500).select(F.col("id").cast("int").alias("k"), (F.col("id") % 7).alias("m"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("i"))
+    left = left.unionByName(spark.range(5000).select(F.lit(3).cast("int").alias("k"), F.lit(None).cast("long").alias("m"), F.col("id").cast("int").alias("i")))
+    heavy = heavy_keys(left, {"k": ["k"], "m": ["m"], "both": ["k", "m"]}, 4)
+    sizes = {r[0]: r[1] for r in heavy["k"].collect()}
+    assert len(sizes) == 1500 and max(sizes.values()) >= 1200 and heavy["m"].count() == 7 and heavy["both"].count() == 1500
+    right = spark.range(0, 1600, 2).select("id", F.concat(F.lit("r"), F.col("id").cast("string")).alias("r")).withColumnRenamed("id", "k")
+    joined = spread_join(left, right, ["k"], "left", hot_rows=4, force_salting=True)
+    assert rows(joined) == rows(left.join(right, "k", "left").select(*joined.columns))
+    spark.sparkContext.setJobGroup("star", "star")
+    star = star_join(left, {"k": right, "m": spark.range(7).select(F.col("id").alias("m"), F.lit(1).alias("x"))}, hot_rows=4)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("star"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plain = left.join(right, "k").join(spark.range(7).select(F.col("id").alias("m"), F.lit(1).alias("x")), "m")
+    assert jobs <= 2 and rows(star) == rows(plain.select(*star.columns))
+
+
+def test_keys_of_unlike_types_and_zeros_meet(spark, no_broadcast):
+    left = spark.createDataFrame([(0.0,), (-0.0,), (1.5,), (None,)] * 30, "k double")
+    right = spark.createDataFrame([(0.0, "zero"), (1.5, "x")], "k double, r string")
+    assert spread_join(left, right, ["k"], hot_rows=5, force_salting=True).count() == 90
+    ints = spark.createDataFrame([(1,)] * 50 + [(2,)], "k int")
+    longs = spark.createDataFrame([(1, "a"), (2, "b"), (1 << 40, "c")], "k long, r string")
+    assert spread_join(ints, longs, ["k"], hot_rows=5, force_salting=True).count() == 51

@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stratamart.operators.quality import check_table, duplicate_keys, null_counts, orphan_count, orphans
+from stratamart.operators.quality import check_table, duplicate_keys, null_counts, orphan_count, orphan_counts, orphans
 from stratamart.plans.runs import log_findings
 from stratamart.spec import ForeignKey, SaveMode, TableSpec, schema_of
 
@@ -46,6 +46,16 @@ def test_offending_rows(spark):
     assert rows(null_counts(fact, ["d", "n"])) == [("d", 1), ("n", 1)]
 
 
+def test_all_references_are_counted_at_once(spark):
+    fact, d = planted(spark), dims(spark)
+    both = fact.withColumn("two", F.col("n") % 3)
+    pairs = spark.createDataFrame([(0, "d0"), (1, "d1")], "m long, q string")
+    counts = orphan_counts(both, [("d", ["d"], d["dim_d"], ["d_key"]), ("e", ["e"], d["dim_e"], ["e"]),
+                                  ("pair", ["two", "d"], pairs, ["m", "q"]), ("all", ["e"], fact, ["e"])])
+    expected = both.where("two is not null and d is not null and not (two = 0 and d = 'd0' or two = 1 and d = 'd1')").count()
+    assert rows(counts) == [("all", 0), ("d", 4), ("e", 3), ("pair", expected)]
+
+
 def test_versions_share_their_key(spark):
     spec = TableSpec("dim", "gold", schema_of({"k": "integer"}), SaveMode.MERGE_SCD2, ("k",))
     df = spark.createDataFrame([(1, True), (1, False), (2, True), (2, True)], "k int, scd_is_current boolean")

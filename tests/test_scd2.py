@@ -147,3 +147,86 @@ def test_empty_table(spark, tmp_path):
     assert not table.exists() and table.current().count() == 0 and table.history().columns[-1] == SCD_CURRENT
     with pytest.raises(FileNotFoundError):
         Scd2Table(spark, str(tmp_path / "none")).history()
+
+
+# --- late rows --------------------------------------------------------------------------------------------
+
+def spliced(spark, path, arrivals, seen=True, **options):
+    """Batches (time, rows) taken in as they arrive; ``seen``: with all rows that came before."""
+    table, past = Scd2Table(spark, str(path)), []
+    for number, (at, data) in enumerate(arrivals):
+        past.append((at, data))
+        table.splice(all_rows(spark, [(at, data)]), ["k"], ["v"], number, ts="at",
+                     observed=all_rows(spark, past) if seen else None, **options)
+    return table
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_order_of_arrival_gives_the_rebuilt_history(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    batches = [(T1 + timedelta(days=i), [(k, rng.choice([None, "a", "b"])) for k in range(6) if rng.random() < 0.7])
+               for i in range(8)]
+    arrivals = rng.sample(batches, len(batches))
+    table = spliced(spark, tmp_path / "h", arrivals)
+    expected = by_text(brute_force(batches))
+    assert by_text(rows(table.history())) == expected and broken(table.history(), ["k"]) == 0
+    assert rows(table.current()) == by_text([r for r in expected if r[4]])
+    # Earlier states stay readable, and compaction changes nothing.
+    for number in (3, 6):
+        assert by_text(rows(table.history(number))) == by_text(brute_force(sorted(arrivals[:number + 1])))
+    table.expire(2)
+    assert by_text(rows(table.history())) == expected
+    late = (T1 + timedelta(hours=36), [(0, "c"), (9, "c")])
+    table.splice(all_rows(spark, [late]), ["k"], ["v"], 8, ts="at", observed=all_rows(spark, batches))
+    assert by_text(rows(table.history())) == by_text(brute_force(sorted([*batches, late])))
+
+
+def test_one_batch_may_hold_many_times(spark, tmp_path):
+    table = Scd2Table(spark, str(tmp_path / "h"))
+    table.splice(all_rows(spark, [BATCHES[0], BATCHES[2]]), ["k"], ["v"], 0, ts="at")
+    table.splice(all_rows(spark, [BATCHES[1]]), ["k"], ["v"], 1, ts="at", observed=all_rows(spark, BATCHES))
+    assert by_text(rows(table.history())) == by_text(EXPECTED)
+    # The same batch again, and one without rows, change nothing.
+    table.splice(all_rows(spark, [BATCHES[1]]), ["k"], ["v"], 1, ts="at", observed=all_rows(spark, BATCHES))
+    table.splice(all_rows(spark, []), ["k"], ["v"], 2, ts="at")
+    assert by_text(rows(table.history())) == by_text(EXPECTED)
+
+
+def test_unchanged_rows_after_a_late_one_open_versions(spark, tmp_path):
+    arrivals = [(T1, [(1, "a")]), (T3, [(1, "a")]), (T2, [(1, "b")])]
+    history = spliced(spark, tmp_path / "h", arrivals).history()
+    assert by_text(rows(history)) == by_text([(1, "a", T1, T2, False), (1, "b", T2, T3, False), (1, "a", T3, None, True)])
+    blind = spliced(spark, tmp_path / "b", arrivals, seen=False).history()
+    assert by_text(rows(blind)) == by_text([(1, "a", T1, T2, False), (1, "b", T2, None, True)])
+
+
+def test_late_rows_keep_deletions(spark, tmp_path):
+    T4 = datetime(2024, 4, 1)
+    table = fold(spark, tmp_path / "h", [(T1, [(1, "a"), (2, "a")])])
+    table.apply(spark.createDataFrame([(2, "a")], "k int, v string"), ["k"], ["v"], 1, T3,
+                deletes=spark.createDataFrame([(1,)], "k int"))
+    past = [(T1, [(1, "a"), (2, "a")]), (T3, [(2, "a")])]
+    table.splice(all_rows(spark, [(T2, [(1, "b")])]), ["k"], ["v"], 2, ts="at", observed=all_rows(spark, past))
+    assert by_text(rows(table.history().filter("k = 1"))) == by_text([(1, "a", T1, T2, False), (1, "b", T2, T3, False)])
+    # After the deletion the same value is a version of its own.
+    table.splice(all_rows(spark, [(T4, [(1, "b")])]), ["k"], ["v"], 3, ts="at", observed=all_rows(spark, past))
+    assert by_text(rows(table.history().filter("k = 1"))) == by_text(
+        [(1, "a", T1, T2, False), (1, "b", T2, T3, False), (1, "b", T4, None, True)])
+
+
+def test_only_affected_keys_are_written_again(spark, tmp_path):
+    batches = [(T1 + timedelta(days=i), [(k, str(i)) for k in range(50)]) for i in range(4)]
+    table = spliced(spark, tmp_path / "h", batches)
+    late = (T1 + timedelta(hours=60), [(7, "x")])
+    table.splice(all_rows(spark, [late]), ["k"], ["v"], 4, ts="at", observed=all_rows(spark, batches))
+    closed = spark.read.parquet(str(tmp_path / "h" / "v=4" / "scd_is_current=false"))
+    assert sorted((r["k"], r["v"]) for r in closed.collect()) == [(7, "2"), (7, "x")]
+    assert by_text(rows(table.history())) == by_text(brute_force(sorted([*batches, late])))
+
+
+def test_late_rows_bring_new_columns(spark, tmp_path):
+    table = spliced(spark, tmp_path / "h", [BATCHES[0], BATCHES[2]])
+    wider = all_rows(spark, [BATCHES[1]]).withColumn("note", F.lit("n"))
+    table.splice(wider, ["k"], ["v"], 2, ts="at", observed=all_rows(spark, BATCHES))
+    assert by_text(rows(table.history().select("k", "v", "note", SCD_START))) == by_text([
+        (1, "x", None, T1), (1, None, "n", T2), (1, "x", None, T3), (2, None, None, T1), (2, "y", None, T3), (3, "z", None, T1)])

@@ -3,6 +3,7 @@ import time
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -164,3 +165,10 @@ def test_literals_do_not_depend_on_the_machine(spark, monkeypatch):
     finally:
         monkeypatch.delenv("TZ")
         time.tzset()
+
+
+@pytest.mark.parametrize("offset,limit", [(0, 5), (37, 10), (95, 20), (200, 5), (99, 1), (40, 0)])
+def test_deep_pages_equal_shallow_ones(spark, offset, limit):
+    df = spark.range(100).select(F.when(F.col("id") % 9 != 0, F.col("id") % 7).alias("a"), "id").repartition(6)
+    order = [F.desc("a"), "id"]
+    assert page_of(df, order, offset, limit, deep=-1).collect() == page_of(df, order, offset, limit).collect()

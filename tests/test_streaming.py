@@ -64,3 +64,13 @@ def test_upsert_transform(spark, tmp_path):
     handler = upsert_into(table, ["k"], transform=lambda df: df.select("k", F.upper("v").alias("v"), INGEST_TS))
     drain(spark, tmp_path, handler)
     assert rows(table.read().select("v")) == [(None,), ("X",), ("Z",)]
+
+
+def test_a_late_file_does_not_stop_a_type_2_stream(spark, tmp_path):
+    table, raw = Scd2Table(spark, str(tmp_path / "t")), str(tmp_path / "raw")
+    for part in ([DATA[0]], [DATA[2]], [DATA[1]]):
+        land(spark, str(tmp_path / "landing"), part)
+        drain(spark, tmp_path, scd2_into(table, ["k"], ["v"], raw_path=raw))
+    history = {(r["k"], r["v"], r["scd_start_ts"], r["scd_end_ts"]) for r in table.history().collect()}
+    assert history == {(1, "x", T1, T2), (1, None, T2, T3), (1, "x", T3, None), (2, None, T1, T3), (2, "y", T3, None),
+                       (3, "z", T1, None)}
