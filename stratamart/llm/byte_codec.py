@@ -1,17 +1,18 @@
 """Byte-level BPE over a whole corpus: every distinct word is encoded once, wherever it stands.
 
 Encoding. Texts are cut into words (the pattern's matches) and gathered, as they come, into blocks of bounded size. A block
-explodes into one row for each of its distinct words, with the positions of that word in the block as steps of variable length.
-The distinct words of the corpus are shuffled together and each is encoded once, by merging the adjacent pair of lowest rank.
-A join on the word brings the identifiers back to the exploded rows, which are shuffled to their blocks and put in order of
-position. So a word costs one row in a block however often it stands there, and a frequent word has many narrow rows, all joined
-with one row of the other side; adaptive execution may split them.
+numbers its distinct words and explodes into one row for each of them, and it keeps the positions as one sequence of these
+numbers, in chunks. The exploded rows of all blocks are shuffled by word. Sorted by it, equal words meet in one task, are encoded
+once, by merging the adjacent pair of lowest rank, and every row gets the identifiers. The rows go back to their blocks, where
+they are joined with the positions, and the texts are put together in order of position. However often a word stands in a block
+it is one narrow row, so even a word that is in all texts has only as many rows as there are blocks.
 
-Decoding works the same way on identifiers: a slice of rows explodes into its distinct identifiers with positions, these are
-joined with the table of token bytes, and the bytes are put in order. That table has one row for each entry of the vocabulary
-(50,256 here), a fixed size whatever the corpus, so it is broadcast and nothing is shuffled.
+Decoding joins every identifier, in its place, with the table of token bytes. That table has one row for each entry of the
+vocabulary (50,256 here), a fixed size whatever the corpus, and an identifier is its row number: so every task has the table,
+looks up all identifiers of some rows at once, and nothing is shuffled.
 
-The input is read twice and blocks are numbered by input partition, so it has to be a stored table, not the result of a shuffle.
+Encoding reads the input twice, once for the words and once for the positions, and numbers blocks by input partition. So the
+input has to be a stored table, not the result of a shuffle.
 
 Defined results: a null text counts as empty and has no identifiers; null keys and repeated rows are rows like any other; an empty
 table gives an empty table; other columns, whatever their names, are not read. Texts and words of any length are encoded whole
@@ -23,23 +24,30 @@ from __future__ import annotations
 
 import base64
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import staged
+READ_ROWS = 256
+
+
+class Limits(NamedTuple):
+    """What is held in memory at a time; results do not depend on it."""
+    block_chars: int = 16_000_000
+    chunk_words: int = 400_000
+    held_words: int = 200_000
+
 
-BLOCK_CHARS = 6_000_000
-SLICE_ROWS = 512
-NO_WORD, NO_TOKEN = "", -1
-"""What a block or slice without any content explodes into, so that its rows are not lost."""
 
 # Unicode's white space, the letters of Latin-1, and the published pattern of byte-level BPE.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -51,89 +59,44 @@ WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 
 # -- positions ---------------------------------------------------------------------------------------------------------
 
-def packed_steps(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers as bytes, seven bits each, the last byte of a number below 128; and the number of bytes of each."""
-    sizes = np.ones(len(steps), np.int64)
-    for bits in (7, 14, 21, 28, 35):
-        sizes += steps >= (1 << bits)
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers below 2^32, their lowest bytes first, then the next ones: small numbers leave long runs of zeros."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(n)
+
+
+def lists_of(values: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Items of a list or binary column in one array, and how many each row has."""
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks()
+    if isinstance(values, pa.ChunkedArray):
+        values = pa.concat_arrays(values.chunks)
+    if pa.types.is_list(values.type) or pa.types.is_large_list(values.type):
+        return np.asarray(values.flatten()), np.diff(np.asarray(values.offsets)).astype(np.int64)
+    wide = pa.types.is_large_binary(values.type)
+    offsets = np.frombuffer(values.buffers()[1], np.int64 if wide else np.int32)[values.offset:values.offset + len(values) + 1]
+    data = values.buffers()[2]
+    items = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.empty(0, np.uint8)
+    return items, np.diff(offsets).astype(np.int64)
+
+
+def in_sequence(numbers: np.ndarray, items: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The items of row ``numbers[0]``, then those of row ``numbers[1]`` and so on; and how many each of them has."""
+    starts, sizes = (np.cumsum(sizes) - sizes)[numbers], sizes[numbers]
     ends = np.cumsum(sizes)
-    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
-    rest, at, open_ = steps.copy(), ends - sizes, np.arange(len(steps))
-    while len(open_):
-        more = rest[open_] >= 128
-        out[at[open_]] = (rest[open_] & 127) | (more.astype(np.int64) << 7)
-        rest[open_] >>= 7
-        at[open_] += 1
-        open_ = open_[more]
-    return out, sizes
-
-
-def unpacked_steps(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers again, and where each one's bytes end."""
-    ends = np.flatnonzero(data < 128) + 1
-    starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-    steps = np.zeros(len(ends), np.int64)
-    sizes = ends - starts
-    for i in range(int(sizes.max()) if len(sizes) else 0):
-        longer = np.flatnonzero(sizes > i)
-        steps[longer] |= (data[starts[longer] + i].astype(np.int64) & 127) << (7 * i)
-    return steps, ends
-
-
-def exploded(numbers: np.ndarray) -> tuple[np.ndarray, pa.Array]:
-    """Distinct numbers of a sequence and, for each, its positions as packed steps."""
-    order = np.argsort(numbers, kind="stable")
-    ranked = numbers[order]
-    fresh = np.ones(len(ranked), bool)
-    fresh[1:] = ranked[1:] != ranked[:-1]
-    steps = order.astype(np.int64)
-    steps[1:] -= np.where(fresh[1:], 0, order[:-1])
-    data, sizes = packed_steps(steps)
-    heads = np.flatnonzero(fresh)
-    offsets = np.concatenate(([0], np.cumsum(np.add.reduceat(sizes, heads)))) if len(heads) else np.zeros(1, np.int64)
-    if offsets[-1] >= 1 << 31:
-        raise ValueError("a block's positions take more than 2 GB")
-    at = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
-    return ranked[heads], at
-
-
-def _flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list or binary column in one array, and the length of each row."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks)
-    if pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
-        lengths = np.diff(np.asarray(column.offsets)).astype(np.int64)
-        return np.asarray(column.flatten()), lengths
-    width = np.int64 if pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type) else np.int32
-    offsets = np.frombuffer(column.buffers()[1], width)[column.offset:column.offset + len(column) + 1].astype(np.int64)
-    data = column.buffers()[2]
-    values = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.empty(0, np.uint8)
-    return values, np.diff(offsets)
-
-
-def in_order(at: pa.Array | pa.ChunkedArray, values: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of (positions, values) put in order of position: all values in one array, and how many each position has."""
-    data, bytes_of = _flat(at)
-    steps, ends = unpacked_steps(data)
-    counts = np.diff(np.concatenate(([0], np.searchsorted(ends, np.cumsum(bytes_of), side="right"))))
-    row = np.repeat(np.arange(len(counts)), counts)
-    # Positions are the sums of a row's steps.
-    sums = np.cumsum(steps)
-    before = np.concatenate(([0], sums))[np.cumsum(counts) - counts]
-    position = sums - before[row]
-    flat, lengths = _flat(values)
-    source = np.full(len(position), -1, np.int64)
-    if len(position) == 0 or position.max() < len(position):
-        source[position] = row
-    if (source < 0).any():
-        raise ValueError("exploded rows are missing or repeated")
-    starts = (np.cumsum(lengths) - lengths)[source]
-    sizes = lengths[source]
-    total = np.cumsum(sizes)
-    index = np.arange(int(total[-1]) if len(total) else 0) + np.repeat(starts - (total - sizes), sizes)
-    return flat[index], sizes
+    total = int(ends[-1]) if len(ends) else 0
+    return items[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)], sizes
+
+
+def sums(counts: np.ndarray) -> np.ndarray:
+    """0 and the running totals."""
+    return np.concatenate((np.zeros(1, np.int64), np.cumsum(counts, dtype=np.int64)))
 
 
 def _as_bytes(batch: pa.RecordBatch) -> bytes:
@@ -202,185 +165,171 @@ class _Numbers(dict):
         return number
 
 
-def _block_rows(batches: Iterator[pa.RecordBatch], key: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    """One row for each distinct word of each block; the first one also carries the block's keys and word counts."""
-    cut = regex.compile(pattern).findall
-    spans = SPANS.findall if pattern == WORD_PATTERN else cut
-    part, serial = TaskContext.get().partitionId(), 0
-    span_no, numbers, counts, keys, size = _Numbers(), [], [], [], 0
+class _Block:
+    """Texts whose distinct words are numbered together, in the order in which they first come up."""
 
-    def flush() -> pa.RecordBatch:
-        word_no, inner, lengths = _Numbers(), [], []
-        for span in span_no:
-            pieces = cut(span) if spans is not cut else [span]
-            inner.extend(map(word_no.__getitem__, pieces))
-            lengths.append(len(pieces))
-        inner, lengths = np.array(inner, np.int64), np.array(lengths, np.int64)
-        flat = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
-        # Every span as its words.
-        sizes = lengths[flat]
-        ends = np.cumsum(sizes)
-        index = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat((np.cumsum(lengths) - lengths)[flat] - (ends - sizes), sizes)
-        sequence = inner[index]
-        per_text = np.diff(np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts))).astype(np.int64)])
-        found, at = exploded(sequence)
-        names = list(word_no)
-        if not names:
-            names, at = [NO_WORD], pa.array([b""], pa.binary())
-        else:
-            names = [names[i] for i in found.tolist()]
-        texts = pa.record_batch([pa.concat_arrays(keys), pa.array(per_text, pa.int64())], names=["key", "n"])
-        block = (part << 32) + serial
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(names), block)), pa.array(names, pa.string()), at,
-             pa.array([_as_bytes(texts), *[None] * (len(names) - 1)], pa.binary())], names=["block", "word", "at", "texts"])
-
-    for batch in batches:
-        first = 0
-        for i, text in enumerate(batch.column(1).to_pylist()):
-            found = spans(text) if text else []
-            numbers.append(np.fromiter(map(span_no.__getitem__, found), np.int64, len(found)))
-            counts.append(len(found))
-            size += len(text or "")
-            if size >= BLOCK_CHARS:
-                keys.append(batch.column(0).slice(first, i + 1 - first))
-                first = i + 1
-                yield flush()
-                serial += 1
-                span_no, numbers, counts, keys, size = _Numbers(), [], [], [], 0
-        keys.append(batch.column(0).slice(first))
-    if counts:
-        yield flush()
+    def __init__(self, pattern: str):
+        self.cut = regex.compile(pattern).findall
+        self.spans = SPANS.findall if pattern == WORD_PATTERN else self.cut
+        self.span_no, self.numbers, self.size = _Numbers(), [], 0
 
+    def add(self, text: str | None) -> None:
+        found = self.spans(text) if text else []
+        self.numbers.append(np.fromiter(map(self.span_no.__getitem__, found), np.int32, len(found)))
+        self.size += len(text or "")
 
-def _distinct_words(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[pa.RecordBatch]:
-    """The words of an input partition, each at least once; passed on whenever many have gathered."""
-    cut = regex.compile(pattern).findall
-    spans = SPANS.findall if pattern == WORD_PATTERN else cut
-    seen: set[str] = {NO_WORD}
+    def words(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct words, the words of all spans (by number) one after the other, and how many each span has."""
+        word_no, inner, sizes = _Numbers(), [], []
+        for span in self.span_no:
+            pieces = [span] if self.spans is self.cut else self.cut(span)
+            inner.extend(map(word_no.__getitem__, pieces))
+            sizes.append(len(pieces))
+        return list(word_no), np.array(inner, np.int32), np.array(sizes, np.int64)
 
-    def flush() -> pa.RecordBatch:
-        words = {w for span in seen for w in cut(span)} if spans is not cut else set(seen)
-        return pa.RecordBatch.from_arrays([pa.array([NO_WORD, *(words - {NO_WORD})], pa.string())], names=["word"])
 
+def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, limits: Limits) -> Iterator[tuple[int, _Block, pa.Array]]:
+    """(number of the block, block, keys of its texts); the same for the same rows."""
+    part, serial, block, keys = TaskContext.get().partitionId(), 0, _Block(pattern), []
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            if text:
-                seen.update(spans(text))
-            if len(seen) > 500_000:
-                yield flush()
-                seen = {NO_WORD}
-    yield flush()
+        for start in range(0, batch.num_rows, READ_ROWS):
+            rows, first = batch.slice(start, READ_ROWS), 0
+            for i, text in enumerate(rows.column(1).to_pylist()):
+                block.add(text)
+                if block.size >= limits.block_chars:
+                    keys.append(rows.column(0).slice(first, i + 1 - first))
+                    yield (part << 32) + serial, block, pa.concat_arrays(keys)
+                    first, serial, block, keys = i + 1, serial + 1, _Block(pattern), []
+            keys.append(rows.column(0).slice(first))
+    if block.numbers:
+        yield (part << 32) + serial, block, pa.concat_arrays(keys)
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch], pattern: str, limits: Limits) -> Iterator[pa.RecordBatch]:
+    """Every distinct word of every block, with its number there."""
+    for number, block, _ in _blocks(batches, pattern, limits):
+        block.numbers.clear()
+        words, _, _ = block.words()
+        for start in range(0, len(words), READ_ROWS * 64):
+            some = words[start:start + READ_ROWS * 64]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(some), number)), pa.array(np.arange(start, start + len(some)), pa.int32()),
+                 pa.array(some, pa.string())], names=["block", "number", "word"])
+
+
+def _position_rows(batches: Iterator[pa.RecordBatch], pattern: str, limits: Limits) -> Iterator[pa.RecordBatch]:
+    """The word numbers of every block in order of position, some texts to a row, with the texts' keys and word counts."""
+    for number, block, keys in _blocks(batches, pattern, limits):
+        words, inner, sizes = block.words()
+        spans, first, gathered = [], 0, 0
+        for i, found in enumerate(block.numbers):
+            spans.append(found)
+            gathered += len(found)
+            if gathered < limits.chunk_words and i + 1 < len(block.numbers):
+                continue
+            sequence, per_span = in_sequence(np.concatenate(spans), inner, sizes)
+            counts = np.diff(sums(per_span)[sums(np.array(list(map(len, spans)), np.int64))])
+            texts = pa.record_batch([keys.slice(first, len(spans)), pa.array(counts, pa.int64())], names=["key", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([first], pa.int32()), pa.array([packed(sequence)], pa.binary()),
+                 pa.array([_as_bytes(texts)], pa.binary())], names=["block", "chunk", "sequence", "texts"])
+            spans, first, gathered = [], i + 1, 0
 
 
-def vocabulary(df: DataFrame, path: str, text: str, pattern: str = WORD_PATTERN) -> DataFrame:
-    """Every distinct word of the corpus with its identifiers, each encoded once; stored."""
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, limits: Limits) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by word: each distinct word is encoded once, and every block gets the identifiers of those that it has.
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ranks(path)
-        for batch in batches:
-            ids = [table.encode(w.encode()) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+    What goes to one block is gathered, up to ``held_words`` rows at a time.
+    """
+    table, last, ids = ranks(path), None, []
+    held: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
+    size = 0
 
-    words = df.select(F.col(text).alias("__text")).mapInArrow(lambda b: _distinct_words(b, pattern), "word string")
-    return staged(words.distinct().mapInArrow(encoded, "word string, ids array<int>"), "byte-bpe-words")
+    def flush() -> pa.RecordBatch:
+        numbers = [packed(np.array(n)) for n, _ in held.values()]
+        sizes = [packed(np.array(list(map(len, found)))) for _, found in held.values()]
+        flat = [packed(np.fromiter(chain.from_iterable(found), np.int64)) for _, found in held.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), *[pa.array(x, pa.binary()) for x in (numbers, sizes, flat)]],
+                                          names=["block", "numbers", "sizes", "ids"])
+
+    for batch in batches:
+        for block, number, word in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if word != last:
+                last, ids = word, table.encode(word.encode())
+            mine = held[block]
+            mine[0].append(number)
+            mine[1].append(ids)
+        size += batch.num_rows
+        if size >= limits.held_words:
+            yield flush()
+            held.clear()
+            size = 0
+    if held:
+        yield flush()
 
 
-def encode_documents(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", pattern: str = WORD_PATTERN) -> DataFrame:
+def encode_documents(df: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", pattern: str = WORD_PATTERN,
+                     limits: Limits = Limits()) -> DataFrame:
     """``key`` and ids (array of int) of every row; ``path`` names the rank file on every executor."""
     kind = df.schema[key].dataType.simpleString()
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _block_rows(batches, key, pattern)
-
     def joined_up(rows: pa.Table) -> pa.Table:
-        texts = _from_bytes(next(t for t in rows.column("texts").to_pylist() if t is not None))
-        if rows.num_rows == 1 and rows.column("word")[0].as_py() == NO_WORD:
-            flat, sizes = np.empty(0, np.int32), np.empty(0, np.int64)
-        else:
-            flat, sizes = in_order(rows.column("at"), rows.column("ids"))
-        # From words to texts.
-        words = np.concatenate(([0], np.cumsum(texts.column("n").to_numpy())))
-        ids = np.concatenate(([0], np.cumsum(sizes)))
-        if words[-1] != len(sizes):
+        rows = rows.sort_by("chunk")  # chunks in order, then the words
+        chunks = rows.num_rows - rows.column("chunk").null_count
+        words = [rows.column(c).slice(chunks).to_pylist() for c in ("numbers", "sizes", "ids")]
+        number, sizes, items = (np.concatenate([np.empty(0, np.int64), *map(unpacked, x)]).astype(np.int64) for x in words)
+        # By number: where the identifiers of each word are.
+        order = np.argsort(number)
+        if not np.array_equal(number[order], np.arange(len(number))):
             raise ValueError("a block lacks words")
-        lists = pa.LargeListArray.from_arrays(ids[words], pa.array(flat, pa.int32()))
-        return pa.table({key: texts.column("key"), "ids": lists.cast(pa.list_(pa.int32()))})
-
-    words = vocabulary(df, path, text, pattern)
-    rows = df.select(F.col(key), F.col(text).alias("__text")).mapInArrow(blocks, "block long, word string, at binary, texts binary")
-    return rows.join(words, "word").groupBy("block").applyInArrow(joined_up, f"`{key}` {kind}, ids array<int>")
+        items, sizes = in_sequence(order, items, sizes)
+        out = []
+        for sequence, texts in zip(*(rows.column(c).slice(0, chunks).to_pylist() for c in ("sequence", "texts"))):
+            texts = _from_bytes(texts)
+            flat, per_word = in_sequence(unpacked(sequence), items, sizes)
+            ends = sums(per_word)[sums(texts.column("n").to_numpy())]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            out.append(pa.table({key: texts.column("key"), "ids": lists}))
+        return pa.concat_tables(out)
+
+    rows = df.select(F.col(key), F.col(text).alias("__text"))
+    words = rows.mapInArrow(lambda b: _word_rows(b, pattern, limits), "block long, number int, word string")
+    words = words.repartition("word").sortWithinPartitions("word")
+    words = words.mapInArrow(lambda b: _encoded(b, path, limits), "block long, numbers binary, sizes binary, ids binary")
+    places = rows.mapInArrow(lambda b: _position_rows(b, pattern, limits), "block long, chunk int, sequence binary, texts binary")
+    both = places.unionByName(words, allowMissingColumns=True)
+    return both.groupBy("block").applyInArrow(joined_up, f"`{key}` {kind}, ids array<int>")
 
 
 # -- decoding ----------------------------------------------------------------------------------------------------------
 
-def token_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """The table of token bytes: one row for each entry of the vocabulary, and one without bytes."""
-    rows = [(rank, token) for token, rank in ranks(path).of.items()]
-    table = pa.table({"id": pa.array([NO_TOKEN, *[r for r, _ in rows]], pa.int32()),
-                      "bytes": pa.array([b"", *[t for _, t in rows]], pa.binary())})
-    return spark.createDataFrame(table)
+def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The table of token bytes: those of all identifiers one after the other, and how many each has (-1: there is none)."""
+    of = {rank: token for token, rank in ranks(path).of.items()}
+    tokens = [of.get(i) for i in range(max(of) + 1)]
+    sizes = np.array([-1 if t is None else len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(t or b"" for t in tokens), np.uint8), sizes
 
 
 def decode_documents(df: DataFrame, path: str, *, ids: str = "ids", output: str = "decoded") -> DataFrame:
     """The frame with the bytes of its identifiers in place of them; null identifiers count as none."""
     kept = [c for c in df.columns if c != ids]
 
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, serial = TaskContext.get().partitionId(), 0
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, sizes = token_bytes(path)
         for whole in batches:
-            for start in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(start, SLICE_ROWS)
-                column = batch.column(len(kept)).fill_null([])
-                numbers, lengths = _flat(column)
-                found, at = exploded(numbers.astype(np.int64))
-                if not len(found):
-                    found, at = np.array([NO_TOKEN]), pa.array([b""], pa.binary())
-                rest = pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], pa.array(lengths)],
-                                                  names=[f"c{i}" for i in range(len(kept))] + ["n"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), (part << 32) + serial)), pa.array(found, pa.int32()), at,
-                     pa.array([_as_bytes(rest), *[None] * (len(found) - 1)], pa.binary())], names=["slice", "id", "at", "rows"])
-                serial += 1
-
-    def joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A broadcast join leaves the rows of a slice together and in order; in_order fails if it did not.
-        gathered: list[pa.RecordBatch] = []
-
-        def flush() -> pa.RecordBatch:
-            table = pa.Table.from_batches(gathered)
-            rest = _from_bytes(table.column("rows")[0].as_py())
-            if table.num_rows == 1 and table.column("id")[0].as_py() == NO_TOKEN:
-                flat, sizes = np.empty(0, np.uint8), np.empty(0, np.int64)
-            else:
-                flat, sizes = in_order(table.column("at"), table.column("bytes"))
-            rest = rest.combine_chunks().to_batches()[0]
-            tokens = np.concatenate(([0], np.cumsum(rest.column(len(kept)).to_numpy())))
-            if tokens[-1] != len(sizes):
-                raise ValueError("an identifier is not in the vocabulary, or rows of a slice are missing")
-            offsets = np.concatenate(([0], np.cumsum(sizes)))[tokens]
-            if offsets[-1] >= 1 << 31:
-                raise ValueError("a slice's bytes take more than 2 GB")
-            decoded = pa.Array.from_buffers(pa.binary(), rest.num_rows, [
-                None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
-            return pa.RecordBatch.from_arrays([*rest.columns[:len(kept)], decoded], names=[*kept, output])
-
-        for batch in batches:
-            heads = [i for i, v in enumerate(batch.column(3).is_valid().to_pylist()) if v]
-            for i, head in enumerate(heads):
-                if i == 0 and head > 0:
-                    gathered.append(batch.slice(0, head))
-                if gathered:
-                    yield flush()
-                    gathered.clear()
-                stop = heads[i + 1] if i + 1 < len(heads) else batch.num_rows
-                gathered.append(batch.slice(head, stop - head))
-            if not heads and batch.num_rows:
-                gathered.append(batch)
-        if gathered:
-            yield flush()
+            for start in range(0, whole.num_rows, READ_ROWS):
+                batch = whole.slice(start, READ_ROWS)
+                numbers, lengths = lists_of(batch.column(len(kept)).fill_null([]))
+                if len(numbers) and (numbers.min() < 0 or numbers.max() >= len(sizes) or (sizes[numbers] < 0).any()):
+                    raise ValueError("an identifier is not in the vocabulary")
+                flat, per_id = in_sequence(numbers, items, np.maximum(sizes, 0))
+                offsets = sums(per_id)[sums(lengths)]
+                if offsets[-1] >= 1 << 31:
+                    raise ValueError(f"{READ_ROWS} rows decode to more than 2 GB")
+                found = pa.Array.from_buffers(pa.binary(), batch.num_rows, [
+                    None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
+                yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], found], names=[*kept, output])
 
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
-    rows = df.select(*kept, ids).mapInArrow(slices, "slice long, id int, at binary, rows binary")
-    joined = rows.join(F.broadcast(token_bytes(df.sparkSession, path)), "id").select("slice", "id", "at", "rows", "bytes")
-    return joined.mapInArrow(joined_up, f"{kinds}{', ' if kinds else ''}`{output}` binary")
+    return df.select(*kept, ids).mapInArrow(decoded, f"{kinds}{', ' if kinds else ''}`{output}` binary")

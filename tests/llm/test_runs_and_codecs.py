@@ -109,11 +109,9 @@ def test_fill_middle_forms():
     assert 60 < parts["psm"] < 140 and parts["psm"] + parts["spm"] == 200
 
 
-def test_steps_go_back_and_forth():
-    steps = np.array([0, 1, 127, 128, 16383, 16384, 5, 1 << 33, 3], np.int64)
-    data, sizes = byte_codec.packed_steps(steps)
-    back, ends = byte_codec.unpacked_steps(data)
-    assert back.tolist() == steps.tolist() and ends.tolist() == np.cumsum(sizes).tolist()
+def test_numbers_go_back_and_forth():
+    for numbers in ([], [0], [5, 255, 256, 70_000, (1 << 32) - 1, 0]):
+        assert byte_codec.unpacked(byte_codec.packed(np.array(numbers, np.int64))).tolist() == numbers
 
 
 def library():
@@ -132,12 +130,11 @@ def test_words_are_cut_and_merged_as_by_the_library():
     assert byte_codec.ranks(RANKS).encode(word.encode()) == lib.encode_ordinary(word)
 
 
-@pytest.mark.parametrize("block", [1, 40, 6_000_000])
-def test_codec_of_odd_rows(documents, monkeypatch, block):
-    monkeypatch.setattr(byte_codec, "BLOCK_CHARS", block)
-    monkeypatch.setattr(byte_codec, "SLICE_ROWS", 3)
+@pytest.mark.parametrize("limits", [(1, 1, 1), (40, 2, 5), (10**9, 3, 10**9), byte_codec.Limits()])
+def test_codec_of_odd_rows(documents, limits):
+    limits = byte_codec.Limits(*limits)
     rows = [(1, None), (2, ""), (None, ODD), (3, "<|endoftext|> x"), (4, "the the the"), (4, "the the the"), (5, "word " * 30_000), (6, "")]
-    encoded = byte_codec.encode_documents(documents(rows), RANKS)
+    encoded = byte_codec.encode_documents(documents(rows), RANKS, limits=limits)
     lib = library()
     found = sorted((r["doc_id"] or 0, list(r["ids"])) for r in encoded.collect())
     assert found == sorted((i or 0, lib.encode_ordinary(t or "")) for i, t in rows)
