@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.functions.keys import surrogate_key
+from stratamart.functions.scalars import utc_literal
 from stratamart.operators.latest import latest_per_key
 from stratamart.operators.lookup import enrich_left
 from stratamart.plans.dimensions import (
@@ -35,7 +36,7 @@ def _attribute_rows(spark: SparkSession, sf_dir: str, attributes) -> DataFrame:
 
 
 def _as_of(sales: DataFrame, as_of) -> DataFrame:
-    return sales.filter(F.col(INGEST_TS) <= F.lit(as_of))
+    return sales.filter(F.col(INGEST_TS) <= utc_literal(as_of))
 
 
 def _sales_dimension(name: str):

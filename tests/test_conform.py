@@ -135,7 +135,7 @@ def test_undeclared_fields_stay_where_extra_columns_do(spark):
 def test_errors_of_a_row_are_listed(spark):
     df = spark.sql("select '7' as n, named_struct('lon', 'east') as geo, cast(null as string) as k, -3000000000L as t "
                    "union all select 'x', null, 'k', 5L")
-    want = T.StructType().add("n", "int").add("geo", T.StructType().add("lon", "double")).add("k", "string").add("t", "long")
+    want = T.StructType().add("n", "integer").add("geo", T.StructType().add("lon", "double")).add("k", "string").add("t", "long")
     errors = error_list([*misfits(df.schema, want), *missing_keys(["k"]), *implausible(["t"], seconds=True)])
     found = [[tuple(e) for e in r[0]] for r in df.select(errors.alias("e")).collect()]
     assert found == [[("geo.lon", "east", "does not fit double", False), ("k", None, "missing key", True),
