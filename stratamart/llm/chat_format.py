@@ -9,8 +9,8 @@ Built-in functions only. The turns of one conversation meet in one row, since an
 whole context; examples of a conversation are made one after the other.
 
 Defined results: turns are ordered by number, then role, then text, a missing number first; repeated rows are turns of
-their own; a null role or text counts as empty; rows without conversation id form one conversation; an empty table gives
-an empty table; other columns are not read.
+their own; a null role or text counts as empty; each row without conversation id is a conversation of its own, however many
+there are; an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,7 +38,9 @@ def unescaped(text: Column) -> Column:
 
 def chat_examples(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                   text: str = "text") -> DataFrame:
-    """conv, example (index of its last turn), n_turns, text, loss_start, loss_end (code points), complete.
+    """conv, lone, example (index of its last turn), n_turns, text, loss_start, loss_end (code points), complete.
+
+    ``lone`` tells conversations without id apart and is null in all others.
 
     The trainable span is [loss_start, loss_end) of ``text``, null in a closing row. ``complete`` marks the one row of a
     conversation that holds all of its turns.
@@ -46,22 +48,23 @@ def chat_examples(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role
     role_text = F.coalesce(F.col(role).cast("string"), F.lit(""))
     body = escaped(F.coalesce(F.col(text), F.lit("")))
     head = F.replace(escaped(role_text), F.lit("\n"), F.lit("&#10;"))
-    rows = df.select(F.col(conv).alias("conv"), F.struct(
+    lone = F.when(F.col(conv).isNull(), F.monotonically_increasing_id())
+    rows = df.select(F.col(conv).alias("conv"), lone.alias("lone"), F.struct(
         F.col(turn).alias("turn"), role_text.alias("role"), body.alias("body"),
         F.concat(F.lit(OPEN), head, F.lit("\n"), body, F.lit(CLOSE)).alias("made")).alias("t"))
-    talks = rows.groupBy("conv").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    talks = rows.groupBy("conv", "lone").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     last = F.size("turns") - 1
     ends = F.filter(F.sequence(F.lit(0), last),
                     lambda i: (F.get("turns", i)["role"] == TRAINED_ROLE) | (i == last))
     at = F.get("turns", F.col("example"))
-    examples = (talks.select("conv", "turns", F.explode(ends).alias("example"))
-                .select("conv", "example", (F.col("example") + 1).alias("n_turns"),
+    examples = (talks.select("conv", "lone", "turns", F.explode(ends).alias("example"))
+                .select("conv", "lone", "example", (F.col("example") + 1).alias("n_turns"),
                         (F.col("example") == last).alias("complete"),
                         F.array_join(F.transform(F.slice("turns", 1, F.col("example") + 1), lambda t: t["made"]), "")
                         .alias("text"),
                         F.when(at["role"] == TRAINED_ROLE, F.char_length(at["body"])).alias("size")))
     end = F.char_length("text") - len(CLOSE)
-    return examples.select(F.col("conv").alias(conv), "example", "n_turns", "text",
+    return examples.select(F.col("conv").alias(conv), "lone", "example", "n_turns", "text",
                            F.when(F.col("size").isNotNull(), end - F.col("size")).alias("loss_start"),
                            F.when(F.col("size").isNotNull(), end).alias("loss_end"), "complete")
 

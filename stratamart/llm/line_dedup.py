@@ -1,8 +1,8 @@
 """Near-duplicate lines within one edit, by deletion neighbourhoods.
 
-Lines are compared without the white space around them; lines of fewer than ``min_chars`` characters always stay. A line
-goes if an earlier line (by key, then line number) is at most one insertion, deletion or substitution away. Of equal lines
-the earliest stays.
+Lines are compared without the white space around them; blank lines always stay. A line goes if an earlier line (by key, then
+line number) is equal or, from ``min_chars`` characters on, at most one insertion, deletion or substitution away: one edit
+makes another word of a short line. Of equal lines the earliest stays.
 
 Equal lines are one row from the first aggregate on. A line of 4g to 4g + 4 characters that is within one edit of another
 such line shares its first or its last 2g characters with it, so only lines that share such a part go further; what is left
@@ -37,11 +37,11 @@ def _both(names: tuple[str, str], *columns) -> list[Column]:
     return [c.alias(n) for c, n in zip(blob_hash(*columns), names)]
 
 
-def occurrences(df: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """One row for each line that takes part: born = (key, text hash, line number), line, h1, h2."""
+def occurrences(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row for each line that is not blank: born = (key, text hash, line number), line, h1, h2."""
     lines = df.select(F.col(key).alias("k"), F.xxhash64(text).alias("t1"),
                       F.posexplode(F.transform(F.split(text, "\n", -1), lambda x: F.trim(x, F.lit(AROUND)))).alias("pos", "line"))
-    return (lines.where(F.char_length("line") >= min_chars)
+    return (lines.where("line != ''")
             .select(F.struct("k", "t1", "pos").alias("born"), "line", *_both(("h1", "h2"), "line")))
 
 
@@ -106,8 +106,10 @@ def late_lines(lines: DataFrame, found: DataFrame) -> DataFrame:
 
 def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """k, t1 (key and hash of the text) and gone, the numbers of the lines to remove, for documents that lose lines."""
-    found = occurrences(df, key, text, min_chars)
-    held = staged(found.select("born", "h1", "h2", half_keys(F.col("line")).alias("halves")), "line-hashes")
+    found = occurrences(df, key, text)
+    # Short lines have no keys of parts, so they meet no others than their copies.
+    halves = F.when(F.char_length("line") >= min_chars, half_keys(F.col("line")))
+    held = staged(found.select("born", "h1", "h2", halves.alias("halves")), "line-hashes")
     lines = staged(held.groupBy("h1", "h2").agg(F.min("born").alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves")), "lines")
     late = late_lines(lines.select("h1", "h2", F.col("first").alias("born"), "halves"), found).withColumn("late", F.lit(True))
     judged = staged(lines.select("h1", "h2", "first", "n").join(late, ["h1", "h2"], "left").where("n > 1 or late"), "judged-lines")
@@ -115,17 +117,19 @@ def duplicate_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_
     return gone.groupBy("born.k", "born.t1").agg(F.array_distinct(F.collect_list("born.pos")).alias("gone"))
 
 
-def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """The input with its text reduced to the lines that stay, and n_lines and n_removed.
+def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
+                counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """The input with its text reduced to the lines that stay, and n_lines and n_removed under the names of ``counts``.
 
-    Columns of the input named n_lines or n_removed are replaced.
+    Columns of the input with these names are replaced.
     """
     gone = duplicate_lines(df, key, text, min_chars).toDF("__k", "__t1", "__gone").hint("shuffle_hash")
     rows = df.withColumn("__h1", F.xxhash64(text))
     rows = rows.join(gone, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__h1") == F.col("__t1")), "left")
     lines = F.split(text, "\n", -1)
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return (rows.withColumn("n_lines", F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"))
-            .withColumn("n_removed", F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long"))
+    n_lines, n_removed = counts
+    return (rows.withColumn(n_lines, F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long"))
+            .withColumn(n_removed, F.when(F.col("__gone").isNull(), F.lit(0)).otherwise(F.size("__gone")).cast("long"))
             .withColumn(text, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept))
             .drop("__k", "__t1", "__h1", "__gone"))

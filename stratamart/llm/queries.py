@@ -169,18 +169,18 @@ lines AS (
 born AS (
   SELECT line, doc_id, pos, row_number() OVER (ORDER BY doc_id, pos) AS seq FROM (
     SELECT line, doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS rn
-    FROM lines WHERE length(line) >= {MIN_CHARS}) WHERE rn = 1),
+    FROM lines WHERE line <> '') WHERE rn = 1),
 halves AS (
   SELECT line, seq, length(line) - less AS n, side,
          CASE WHEN side = 0 THEN line[1:(length(line) - less) // 2]
               ELSE line[length(line) - (length(line) - less - (length(line) - less) // 2) + 1:] END AS half
-  FROM born, (VALUES (0), (1)) AS l(less), (VALUES (0), (1)) AS s(side)),
+  FROM born, (VALUES (0), (1)) AS l(less), (VALUES (0), (1)) AS s(side) WHERE length(line) >= {MIN_CHARS}),
 late AS (
   SELECT DISTINCT b.line FROM halves a JOIN halves b USING (n, side, half)
   WHERE a.seq < b.seq AND levenshtein(a.line, b.line) <= 1),
 judged AS (
   SELECT l.doc_id, l.pos, l.raw,
-         length(l.line) >= {MIN_CHARS} AND (b.doc_id IS NULL OR l.line IN (SELECT line FROM late)) AS gone
+         l.line <> '' AND (b.doc_id IS NULL OR l.line IN (SELECT line FROM late)) AS gone
   FROM lines l LEFT JOIN born b ON l.line = b.line AND l.doc_id = b.doc_id AND l.pos = b.pos),
 kept AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
@@ -197,11 +197,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 1, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
     read = chat_examples(turns).select(
-        "conv_id", "example", F.col("n_turns").cast("long"), "complete", F.char_length("text").cast("long").alias("chars"),
+        "conv_id", "lone", "example", F.col("n_turns").cast("long"), "complete", F.char_length("text").cast("long").alias("chars"),
         loss_text(F.col("text"), F.col("loss_start"), F.col("loss_end")).alias("loss"),
         F.when(F.col("complete"), parsed_turns(F.col("text"))).alias("turns"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    by_conv = read.groupBy("conv_id").agg(
+    by_conv = read.groupBy("conv_id", "lone").agg(
         F.max(F.when(F.col("complete"), F.col("n_turns"))).alias("n_turns"),
         F.max(F.when(F.col("complete"), F.sha2(said, 256))).alias("turns_sha256"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "loss"))), lambda x: x["loss"]), "").alias("loss"),
@@ -212,22 +212,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op10_chat_format"] = """
 WITH t AS (
-  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, n, r, '</s>[INST] ok [/INST]' FROM (VALUES (1, 'user'), (2, 'assistant')) AS v(n, r)),
+  SELECT conv_id, turn, role, coalesce(text, '') AS text, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone FROM conversations
+  UNION ALL SELECT -7, n, r, '</s>[INST] ok [/INST]', NULL FROM (VALUES (1, 'user'), (2, 'assistant')) AS v(n, r)),
 f AS (
   SELECT *, 8 + length(role) + 1 + 8
             + length(text) + 4 * (length(text) - length(replace(text, '&', ''))) + 3 * (length(text) - length(replace(text, '<', '')))
             AS made,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS back
+         row_number() OVER (PARTITION BY conv_id, lone ORDER BY turn DESC, role DESC, text DESC) AS back
   FROM t),
 c AS (
-  SELECT *, sum(made) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS so_far FROM f)
+  SELECT *, sum(made) OVER (PARTITION BY conv_id, lone ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS so_far FROM f)
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(so_far) FILTER (role = 'assistant' OR back = 1)::BIGINT AS formatted_chars
-FROM c GROUP BY conv_id"""
+FROM c GROUP BY conv_id, lone"""
 
 
 def _with_period(df: DataFrame) -> DataFrame:

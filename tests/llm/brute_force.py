@@ -44,16 +44,17 @@ def distance(a, b):
 
 
 def lines_kept(docs, min_chars):
-    """Rows (doc_id, text), ids unique -> {doc_id: text}: a line goes if an earlier one is within one edit."""
+    """Rows (doc_id, text), ids unique -> {doc_id: text}: a line goes if an earlier one is equal or, if long, within one edit."""
     seen, out = [], {}
     for i, t in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)):
         kept = []
         for line in (t or "").split("\n"):
             norm = line.strip(" \t\v\f\r")
-            if len(norm) < min_chars:
+            if not norm:
                 kept.append(line)
                 continue
-            if not any(abs(len(norm) - len(o)) <= 1 and distance(norm, o) <= 1 for o in seen):
+            if norm not in seen and not any(min(len(norm), len(o)) >= min_chars and abs(len(norm) - len(o)) <= 1
+                                            and distance(norm, o) <= 1 for o in seen):
                 kept.append(line)
             seen.append(norm)
         out[i] = None if t is None else "\n".join(kept)
