@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 256
@@ -55,18 +56,42 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+_recorders: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Note in ``paths`` where the tables lie that are staged meanwhile."""
+    _recorders.append(paths)
+    try:
+        yield
+    finally:
+        _recorders.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables; whatever was computed from them has to be stored by now."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back, so that lineage ends and executors may be lost.
 
     The folder is ``spark.checkpoint.dir`` of the session (or the one set on the context). Only a session without either,
     as in tests, gets a folder below the warehouse. One table is one new folder; the session's owner clears the shared
-    folder, as with checkpoints.
+    folder, as with checkpoints, unless the caller records what is staged and releases it.
     """
     spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -21,7 +21,8 @@ The table of bucket counts (4 MB) reaches the driver and is broadcast. Full sets
 pairs that pass all filters, once for each node; their keys are broadcast up to ``BROADCAST_ROWS`` and joined beyond that.
 
 Defined results: a null text or one without words has an empty set and is linked with nothing; a null key keeps its count,
-is linked with nothing and has no component; rows that repeat a key count as one document with several texts; an empty
+is linked with nothing and has no component; rows that repeat a key are one document with several texts, whose links are
+those of all its texts; an empty
 table gives an empty table; other columns are not read. Texts are processed whole.
 """
 
@@ -75,15 +76,17 @@ def bucket_counts(df: DataFrame, text: str, words: int) -> np.ndarray:
                 rows = texts(batch.column(0).slice(start, 256))
                 total += np.bincount(_bucket(np.concatenate([ngram_hashes(t, words) for t in rows])), minlength=len(total))
         lane = TaskContext.get().partitionId() % LANES
+        # Half as wide as they are added up: one input partition has no bucket of 2^32 n-grams.
+        narrow = total.astype(np.uint32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(BLOCKS), pa.int32()), pa.array([lane] * BLOCKS, pa.int32()),
-             pa.array([total[i * width:(i + 1) * width].tobytes() for i in range(BLOCKS)], pa.binary())],
+             pa.array([narrow[i * width:(i + 1) * width].tobytes() for i in range(BLOCKS)], pa.binary())],
             names=["block", "lane", "counts"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width, np.int64)
         for counts in rows["counts"]:
-            total += np.frombuffer(counts, np.int64)
+            total += np.frombuffer(counts, np.uint32 if len(counts) == 4 * width else np.int64)
         return rows.head(1).assign(counts=[total.tobytes()])
 
     schema = "block int, lane int, counts binary"
@@ -210,9 +213,21 @@ class _Join:
         grams = lambda a: self.sets.select(F.col("node").alias(a), F.col("grams").alias(f"{a}g"))
         common = F.size(F.array_intersect("xg", "yg"))
         linked = pairs.join(grams("x"), "x").join(grams("y"), "y").where((self.num + self.den) * common >= self.num * F.col("both"))
-        roots = component_roots(linked.select(F.col("p").alias("u"), F.col("q").alias("v")))
         done = pairs.select("x", "y")
         self.seen = done if self.seen is None else self.seen.unionByName(done)
+        self._relabel(component_roots(linked.select(F.col("p").alias("u"), F.col("q").alias("v"))))
+
+    def unite(self, links: DataFrame) -> None:
+        """Join the components of the nodes u and v of each link."""
+        if links.isEmpty():
+            return
+        if self.labels is not None:
+            for a in ("u", "v"):
+                label = self.labels.select(F.col("node").alias(a), F.col("label").alias("l"))
+                links = links.join(label, a, "left").withColumn(a, F.coalesce("l", a)).drop("l")
+        self._relabel(component_roots(links))
+
+    def _relabel(self, roots: DataFrame | None) -> None:
         if roots is None:
             return
         moved = roots.select(F.col("u").alias("node"), F.col("v").alias("label"))
@@ -233,9 +248,14 @@ def ngram_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 10
         salt += 1
     docs = docs.withColumn("node", F.when(linkable, F.xxhash64(F.lit(salt), "mark")))
     own = docs.where(F.col("node").isNotNull())
+    # The texts of one key are one document.
+    several = own.groupBy(key).agg(F.min("node").alias("u"), F.max("node").alias("w")).where("u != w")
+    several = staged(own.select(key, F.col("node").alias("v")).join(several.select(key, "u"), key).select("u", "v").distinct(), "one-key")
     nodes = own.groupBy("node").agg(F.min(key).alias(key), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    posted = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "gram"))
-    shared = posted.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
+    posted = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "gram")).repartition("gram")
+    # The counts ask for all columns, so that they and the join use one and the same shuffle.
+    asked = F.max("node").isNotNull() & F.max("n").isNotNull() & F.max("pos").isNotNull()
+    shared = posted.groupBy("gram").agg(F.count("*").alias("m"), asked.alias("asked")).where("m > 1 and asked").select("gram")
     postings = staged(posted.join(shared, "gram").select("gram", "node", "n", (F.col("n") - F.col("pos")).alias("room")), "postings")
     listed = postings.select("node").distinct()
     chosen = own.join(listed, "node").groupBy("node").agg(
@@ -253,6 +273,7 @@ def ngram_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 10
             break
     else:
         join.last_round()
+    join.unite(several)
     rows = docs.select(key, "n", "node")
     if join.labels is not None:
         rows = rows.join(join.labels, "node", "left").select(key, "n", F.coalesce("label", "node").alias("label"))

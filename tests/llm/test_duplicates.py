@@ -60,6 +60,15 @@ def test_components_of_odd_tables(documents):
     assert got == [(0, None), (4, 4), (5, 4), (5, 4), (7, 7), (8, 8), (8, 8)]
 
 
+def test_rows_of_one_key_are_one_document(documents):
+    a, b = "one text of some words that stands here", "another text with quite other words in it now"
+    rows = [(5, a), (5, b), (3, a), (4, b), (9, "something else that is linked with nothing at all")]
+    got = {(r["doc_id"], r["component"]) for r in ngram_components(documents(rows)).collect()}
+    assert got == {(5, 3), (3, 3), (4, 3), (9, 9)}
+    # Without any posting that two nodes share, too.
+    assert {(r["doc_id"], r["component"]) for r in ngram_components(documents([(5, a), (5, b)])).collect()} == {(5, 5)}
+
+
 def test_component_roots(spark):
     rng = random.Random(3)
     links = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(200, 260)] + [(rng.randint(300, 400), rng.randint(300, 400)) for _ in range(60)] + [(5, 5)]
