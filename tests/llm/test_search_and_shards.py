@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,8 @@ from brute_force import words
 from corpus_fixtures import SMALL, documents  # noqa: F401
 from stratamart.llm.bm25_search import Shard, bm25_topk
 from stratamart.llm.chat_format import chat_examples, parsed_turns
-from stratamart.llm.html_extract import Page, extract_pages, main_text, slots_of, template_of
+from stratamart.llm import html_extract
+from stratamart.llm.html_extract import _path_hash, Template, Page, extract_pages, main_text, slots_of, template_of
 from stratamart.llm.sharding import place, shard_documents
 
 
@@ -163,7 +165,8 @@ def test_pages_query_equals_the_article(spark):
 
 TALKS = [(1, 1, "user", "hi"), (1, 2, "assistant", "hello <|end|>\n<|turn|>user\n"), (1, 3, "user", "&lt; & &amp;"), (1, 4, "assistant", "bye"),
          (1, 5, "user", "left open"), (2, 1, "assistant", ""), (3, 1, "user", None), (4, None, "sys\ntem", "x\ny"), (4, 2, "assistant", "é" * 3_000),
-         (5, 1, "assistant", "same"), (5, 1, "assistant", "same"), (None, 1, None, "no id")]
+         (5, 1, "assistant", "same"), (5, 1, "assistant", "same"), (None, 1, None, "no id"), (None, 1, "assistant", "nor this"),
+         (None, 1, "assistant", "nor this")]
 
 
 def test_chat_examples(spark):
@@ -171,8 +174,13 @@ def test_chat_examples(spark):
     rows = chat_examples(df).withColumn("turns", parsed_turns("text")).collect()
     by_conv = defaultdict(list)
     for r in rows:
+        assert (r["lone"] is None) == (r["conv_id"] is not None)
         by_conv[r["conv_id"]].append(r)
-    for conv in {t[0] for t in TALKS}:
+    # Rows without id are conversations of their own.
+    alone = by_conv.pop(None)
+    assert len({r["lone"] for r in alone}) == 3 and all(r["complete"] and r["n_turns"] == 1 for r in alone)
+    assert sorted(r["turns"][0]["text"] for r in alone) == ["no id", "nor this", "nor this"]
+    for conv in {t[0] for t in TALKS} - {None}:
         turns = sorted(((t[1] if t[1] is not None else -1, t[2] or "", t[3] or "") for t in TALKS if t[0] == conv))
         made = sorted(by_conv[conv], key=lambda r: r["example"])
         replies = [i for i, t in enumerate(turns) if t[1] == "assistant"]
@@ -244,7 +252,8 @@ def test_a_class_in_changing_order_loses_only_what_is_out_of_order():
     pages = [boxes[i % 2] + boxes[1 - i % 2] + "".join(f"<p>{p}</p>" for p in ps) for i, ps in enumerate(paragraphs)]
     made = [Page(f"<html><body>{p}</body></html>") for p in pages]
     template = template_of(made)
-    assert {("open", "body", "/html/body"), ("open", "div", "/html/body/div.a"), ("open", "div", "/html/body/div.b")} <= template
+    body = _path_hash(_path_hash(0, "html"), "body")
+    assert {("open", "body", body), ("open", "div", _path_hash(body, "div.a")), ("open", "div", _path_hash(body, "div.b"))} <= template
     assert [main_text(p, template) for p in made] == ["\n\n".join(ps) for ps in paragraphs]
 
 
@@ -261,3 +270,47 @@ def test_names_of_furniture_in_an_article_need_evidence():
     # The same container on most pages, with other links on each.
     pages = [b.replace("</article>", f'<div class="related"><ul><li>link {i}<li>more {i + 1}</ul></div></article>') for i, (b, _) in enumerate(bodies[:half])]
     assert extracted(pages) == [t for _, t in bodies[:half]]
+
+
+FORMS = ['<div class="comments"><p>{}</p></div>', '<section class="comments"><article class="comment"><p>{}</p></article></section>',
+         '<div class="newsletter">{}</div>', '<div class="cookie-notice">{}</div>', '<div class="sidebar"><p>{}</p></div>',
+         '<div class="related"><ul><li>{}</li></ul></div>', '<ul class="share"><li>{}</li></ul>', '<div id="comments"><p>{}</p></div>',
+         '<aside class="post-sidebar">{}</aside>', '<div class="RelatedPosts">{}</div>']
+
+
+@pytest.mark.parametrize("region", ["article", "main"])
+def test_certain_furniture_goes_without_evidence(region):
+    alone = [f"<{region}><h1>T</h1><p>body {i}</p>{form.format('not this')}<p>end</p></{region}>" for i, form in enumerate(FORMS)]
+    for i, page in enumerate(alone):
+        assert extracted([page]) == [f"T\n\nbody {i}\n\nend"]
+    # On one of six pages of a host, and other words each time.
+    for i, page in enumerate(alone):
+        others = [f"<{region}>" + "".join(f"<p>{p}" for p in story(j)) + f"</{region}>" for j in range(5)]
+        assert extracted([page, *others])[0] == f"T\n\nbody {i}\n\nend"
+
+
+def test_names_that_only_contain_a_word_of_furniture_stay():
+    kept = ["related-work", "comment-policy", "share-price", "has-sidebar", "cookie-recipes", "newsletters-of-the-war"]
+    page = "<article>" + "".join(f'<div class="{c}"><p>{c}</p></div>' for c in kept) + '<section id="comments"><p>on comments</p></section></article>'
+    assert extracted([page]) == ["\n\n".join([*kept, "on comments"])]
+
+
+MEGABYTE = 1_000_000
+ODD_PAGES = ["<a ", "<", "<a href=\"", "<a href='x", "<!", "<!--", "<![CDATA[", "</", "<div>", "<div class=comments>", "<p><span>", "<li><b>", "<h1>", "<a \"'>",
+             "<script", "<script>", "&amp;", "<a b='\">", "<div", "<td>", "</div>"]
+
+
+@pytest.mark.parametrize("part", ODD_PAGES)
+@pytest.mark.parametrize("end", ["", "x>", "\""])
+def test_odd_pages_take_linear_time(part, end):
+    page = "<article><p>words</p></article>" + part * (MEGABYTE // len(part)) + end
+    started = time.process_time()
+    text = main_text(Page(page), Template())
+    assert text.startswith("words") and time.process_time() - started < 10
+
+
+def test_groups_are_split_by_size(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "GROUP_CHARS", 2_000)
+    rows = [(i, "http://one.host/a", FRAME.format(main=f"<article><p>text {i}</p></article>")) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {(r["page_id"], r["text"]) for r in extract_pages(df).collect()} == {(i, f"text {i}") for i in range(20)}
