@@ -7,7 +7,8 @@ piece in its input partition, so that equal rows spread as well); a group holds
 whatever the size of the input, and wastes at most part of a few bins.
 
 Texts are tokenised through their chunks: a chunk ends where the tokenizer's own rules always end a token, so that equal
-chunks have equal ids, and the library encodes each chunk once for a task (and again after it left the bounded cache).
+chunks have equal ids, and the library encodes each chunk once for a task (and again after it left the bounded cache, which
+holds chunks of up to 64 characters only).
 
 Defined results: a null or empty text is a document of the end id alone; repeated rows are packed each time; an empty table
 gives an empty table; other columns are not read. Texts are processed whole. The input has to give its rows in the same
@@ -39,26 +40,34 @@ class ChunkEncoder:
     #: White space parts chunks; Latin letters end where ASCII punctuation, digits or white space follow.
     _chunks = re.compile(rf"[{LATIN}]+{AFTER_WORD}|[^{SPACE}]+")
 
-    def __init__(self, path: str, limit: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, limit: int = 200_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.longest, self.known = Tokenizer.from_file(path), limit, longest, {}
+        self.tokenizer, self.limit, self.longest, self.known, self.old = Tokenizer.from_file(path), limit, longest, {}, {}
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
     def encode(self, rows: list[str]) -> list[bytes]:
         """For each text, its ids as little-endian unsigned 32-bit integers."""
         split = [self._chunks.findall(t) for t in rows]
-        needed = set().union(*split)
-        missing = list(needed.difference(self.known))
-        known = self.known
-        if len(known) + len(missing) > self.limit:
-            known = {c: known[c] for c in needed if c in known}
+        known, old, missing = self.known, self.old, []
+        for chunk in set().union(*split) - known.keys():
+            ids = old.get(chunk)
+            if ids is None:
+                missing.append(chunk)
+            else:
+                known[chunk] = ids
         for chunk, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-            known[chunk] = np.array(e.ids, "<u4").tobytes()
-        self.known = known if len(known) <= self.limit else {}
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+            ids = e.ids
+            known[chunk] = struct.pack(f"<{len(ids)}I", *ids)
+        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        for chunk in missing:
+            if len(chunk) > self.longest:
+                del known[chunk]
+        if len(known) >= self.limit:  # the older half of what is remembered goes
+            self.old, self.known = known, {}
+        return out
 
 
 @lru_cache(maxsize=1)
