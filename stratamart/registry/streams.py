@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,52 +19,56 @@ from stratamart.registry.stations import ORACLES as STATION_ORACLES
 from stratamart.sources.tables import PartitionedTable, Scd2Table, scratch_dir, staged
 from stratamart.spec import INGEST_TS, SOURCE_INGEST_TS, with_ingest_ts
 from stratamart.streaming.pipelines import pipeline_into
-from stratamart.streaming.micro_batch import into_raw, landed_stream, scd2_into, start, upsert_into
+from stratamart.streaming.micro_batch import BatchHandler, into_raw, landed_stream, scd2_into, start, upsert_into
+
 
+def _arrive(spark: SparkSession, landing: str, schema: T.StructType, arrivals: Iterable[Sequence[DataFrame]],
+            handler: BatchHandler) -> None:
+    """Batches that land as JSON files, some at a time; after each time a run of the stream takes in what is new.
 
-def _land(batches: list[DataFrame], path: str) -> str:
-    """Write batches as JSON files, one after the other, so that older batches are older files."""
-    for batch in batches:
-        batch.hint("rebalance").write.mode("append").json(path)
-    return path
+    What lands together is one micro-batch however many files it is, so their number, and with it how often the tables are
+    rewritten, does not grow with the data.
+    """
+    checkpoint = scratch_dir(spark)
+    for batches in arrivals:
+        for batch in batches:
+            batch.hint("rebalance").write.mode("append").json(landing)
+        start(landed_stream(spark, landing, schema), handler, checkpoint, every=None).awaitTermination()
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed states of source B, cleaned and merged micro-batch by micro-batch into a table by day."""
     raw = staged(status_b_raw(spark, sf_dir))
     third = F.floor((F.dayofmonth(INGEST_TS) - 1) / 11)
-    landing = _land([raw.filter(third == i) for i in range(3)], scratch_dir(spark))
     schema = T.StructType([*with_ingest_ts(STATUS_B).fields, T.StructField("day", T.DateType())])
     table = PartitionedTable(spark, scratch_dir(spark), ["day"], schema, follows_key=True)
     handler = upsert_into(
         table, list(CLEAN_STATUS_B.primary_key),
         transform=lambda df: clean_status_b(df).withColumn("day", F.to_date("last_updated")),
     )
-    stream = landed_stream(spark, landing, raw.schema, max_files=1)
-    start(stream, into_raw(scratch_dir(spark), handler), scratch_dir(spark), every=None).awaitTermination()
+    thirds = [[raw.filter(third == i)] for i in range(3)]
+    _arrive(spark, scratch_dir(spark), raw.schema, thirds, into_raw(scratch_dir(spark), handler))
     return shown(table.read().drop("day"))
 
 
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed order priorities folded into a type 2 table; some years land long after later ones."""
     rows = staged(_priorities(customer_orders(spark, sf_dir)))
-    landing = _land([batch_of(rows, at) for at in unordered(ids(rows, INGEST_TS))], scratch_dir(spark))
+    years = [batch_of(rows, at) for at in unordered(ids(rows, INGEST_TS))]
     history, raw_path = Scd2Table(spark, scratch_dir(spark)), scratch_dir(spark)
-    stream = landed_stream(spark, landing, rows.schema, max_files=2)
     handler = into_raw(raw_path, scd2_into(history, KEY, CHANGE, raw_path=raw_path))
-    start(stream, handler, scratch_dir(spark), every=None).awaitTermination()
+    _arrive(spark, scratch_dir(spark), rows.schema, [years[i:i + 2] for i in range(0, len(years), 2)], handler)
     return shown(history.history())
 
 
 def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed states of source B through the declared tables, raw, cleaned and fact, micro-batch by micro-batch."""
-    raw, root = staged(status_b_raw(spark, sf_dir)), scratch_dir(spark)
-    landing = _land([raw.filter(third_of(F.col(INGEST_TS)) == i).drop(INGEST_TS) for i in range(3)], scratch_dir(spark))
-    stream = landed_stream(spark, landing, STATUS_B_SOURCE, max_files=1)
+    raw, root, landing = staged(status_b_raw(spark, sf_dir)), scratch_dir(spark), scratch_dir(spark)
+    thirds = [raw.filter(third_of(F.col(INGEST_TS)) == i).drop(INGEST_TS) for i in range(3)]
     pipeline, times = status_b_pipeline(lambda s: s.read.schema(STATUS_B_SOURCE).json(landing)), iter(THIRDS)
     fact = ("fact", lambda s, batch_id, at: load_status_fact(s, root, batch_id, at, writer=pipeline.name))
     handler = pipeline_into(pipeline, root, then=[fact], clock=lambda: next(times))
-    start(stream, handler, scratch_dir(spark), every=None).awaitTermination()
+    _arrive(spark, landing, STATUS_B_SOURCE, [[third] for third in thirds], handler)
     landed = read_table(spark, RAW_STATUS_B, root).withColumn("last_updated", F.timestamp_seconds("last_updated"))
     layers = {
         "raw": (landed, "last_updated", "num_bikes_available", INGEST_TS),

@@ -74,3 +74,19 @@ def test_a_late_file_does_not_stop_a_type_2_stream(spark, tmp_path):
     history = {(r["k"], r["v"], r["scd_start_ts"], r["scd_end_ts"]) for r in table.history().collect()}
     assert history == {(1, "x", T1, T2), (1, None, T2, T3), (1, "x", T3, None), (2, None, T1, T3), (2, "y", T3, None),
                        (3, "z", T1, None)}
+
+
+def test_what_lands_together_is_one_micro_batch(spark, tmp_path):
+    """However many files it is: a micro-batch for each would rewrite the tables as often, and run out of ingest times."""
+    from stratamart.registry.streams import _arrive
+
+    batches = [spark.createDataFrame([(k, "x", at) for k in range(40)], SCHEMA).repartition(4) for at in (T1, T2)]
+    path, seen = str(tmp_path / "landing"), []
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        _arrive(spark, path, batches[0].schema, [[batches[0]], [batches[1]]],
+                lambda batch, number: seen.append((number, batch.count())))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert seen == [(0, 40), (1, 40)] and len(list((tmp_path / "landing").glob("part-*"))) > 2
