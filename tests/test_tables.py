@@ -288,3 +288,31 @@ def test_dimension_keys_by_content_or_nature(spark, tmp_path):
     run_model(spark, model, str(tmp_path), 1, T3, rows_=source)
     history = read_table(spark, spec, str(tmp_path))
     assert rows(history.filter("id = 'P1'").select("label", "scd_is_current")) == [("new", True), ("old", False)]
+
+
+def test_a_batch_that_replaces_all_or_adds_only_is_not_joined(spark, tmp_path, monkeypatch):
+    """Keys tell what a merge does; whole rows are joined only where some stored rows stay and others go."""
+    from stratamart.operators.audit import LoadCounts
+
+    def never(*args, **options):
+        raise AssertionError("whole rows joined")
+    schema = schema_of({"k": "integer", "v": "string", "at": "integer", "p": "string"})
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema, follows_key=True)
+    joined, counts = tables.upsert, []
+
+    def merge(number, data):
+        counts.append(LoadCounts())
+        table.merge(spark.createDataFrame(data, schema), ["k"], number, version="at", counts=counts[-1])
+        got = counts[-1].values()
+        return tuple(got[f"rows_{c}"] for c in ("read", "rejected", "insert", "update", "ignore"))
+    monkeypatch.setattr(tables, "upsert", never)
+    assert merge(0, [(1, "a", 1, "x"), (2, "b", 1, "y"), (None, "n", 1, "x")]) == (3, 1, 2, 0, 0)
+    assert merge(1, [(3, "c", 1, "x")]) == (1, 0, 1, 0, 0)
+    assert merge(2, [(1, "A", 2, "x"), (3, "C", 1, "x"), (4, "D", 1, "x")]) == (3, 0, 1, 2, 0)
+    assert rows(table.read()) == [(1, "A", 2, "x"), (2, "b", 1, "y"), (3, "C", 1, "x"), (4, "D", 1, "x")]
+    for data in ([(1, "old", 1, "x")], [(2, "r", 3, "y"), (2, "s", 4, "y")], [(1, "n", 5, "x"), (9, "n", 5, "x")]):
+        with pytest.raises(AssertionError, match="whole rows"):
+            merge(3, data)
+    monkeypatch.setattr(tables, "upsert", joined)
+    assert merge(3, [(1, "old", 1, "x"), (2, "r", 3, "y"), (2, "s", 4, "y"), (9, "n", 5, "x")]) == (4, 0, 1, 1, 1)
+    assert rows(table.read()) == [(1, "A", 2, "x"), (2, "s", 4, "y"), (3, "C", 1, "x"), (4, "D", 1, "x"), (9, "n", 5, "x")]
