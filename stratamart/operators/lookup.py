@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratamart.functions.keys import UNKNOWN_KEY
+from stratamart.functions.keys import UNKNOWN_KEY, packed, unpacked
 from stratamart.operators.conform import current_only, drop_null_keys
 from stratamart.operators.dedupe import one_row_per_key
-from stratamart.operators.skew import heavy_keys, needs_salting, spread_join
+from stratamart.operators.skew import fits_broadcast, heavy_keys, needs_salting, spread_join
 from stratamart.spec import SCD_CURRENT
 
 
@@ -70,12 +71,22 @@ def star_join(
         current = current_only(dimension) if SCD_CURRENT in dimension.columns else dimension
         fresh = [c for c in current.columns if c not in taken and not c.startswith("scd_")]
         members[key], taken = current.select(key, *fresh), taken | set(fresh)
-    large = {key: [key] for key, current in members.items() if needs_salting(fact, current)}
-    heavy = heavy_keys(fact, large, hot_rows) if large else {}
-    out = fact
+    large = {key: [key] for key, current in members.items() if not fits_broadcast(current)}
+    salted = {key: [key] for key in large if needs_salting(fact, members[key])}
+    # Keys that are shuffled travel packed: hex digits take twice the bytes they stand for.
+    text = [key for key in large if fact.schema[key].dataType == members[key].schema[key].dataType == T.StringType()]
+    out = fact.withColumns({key: packed(F.col(key)) for key in text}) if text else fact
+    heavy = heavy_keys(out, salted, hot_rows) if salted else {}
+    columns = list(fact.columns)
     for key, current in members.items():
+        fresh = [c for c in current.columns if c != key]
+        columns = [*columns, *fresh] if key in heavy else [key, *[c for c in columns if c != key], *fresh]
+    # Small dimensions first: their keys are not needed any more when the others are shuffled.
+    for key, current in sorted(members.items(), key=lambda m: m[0] in large):
+        if key in text:
+            current = current.withColumn(key, packed(F.col(key)))
         out = spread_join(out, current, [key], how, heavy=heavy[key], force_salting=True) if key in heavy else out.join(current, key, how)
-    return out
+    return out.select(*[unpacked(F.col(c)).alias(c) if c in text else c for c in columns])
 
 
 def conformed_union(sources: Mapping[str, DataFrame], tag: str, columns: Sequence[str]) -> DataFrame:

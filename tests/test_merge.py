@@ -219,3 +219,27 @@ def test_keys_of_unlike_types_and_zeros_meet(spark, no_broadcast):
     ints = spark.createDataFrame([(1,)] * 50 + [(2,)], "k int")
     longs = spark.createDataFrame([(1, "a"), (2, "b"), (1 << 40, "c")], "k long, r string")
     assert spread_join(ints, longs, ["k"], hot_rows=5, force_salting=True).count() == 51
+
+
+def test_packed_keys_stay_apart_and_come_back(spark):
+    from stratamart.functions.keys import packed, unpacked
+
+    digits = "0123456789abcdef" * 4
+    keys = [None, "", "-1", digits, digits.upper(), digits[:-1], digits + "\n", "41", "A", "\u00e9"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", packed(F.col("k")).alias("p"))
+    got = df.select("k", unpacked(F.col("p")).alias("back"), F.length("p").alias("n"), F.hex("p").alias("h")).collect()
+    assert all(r["k"] == r["back"] for r in got) and len({r["h"] for r in got}) == len(keys)
+    assert {r["n"] for r in got if r["k"] == digits} == {33}
+
+
+def test_a_large_dimension_is_joined_by_packed_keys_after_the_small_ones(spark, no_broadcast, small_inputs_skew, tmp_path):
+    digits = "0123456789abcdef" * 4
+    fact = spark.createDataFrame([(digits, "x", 1), ("-1", "y", 2), (None, "x", 3), ("gone", "x", 4)], "big string, small string, n int")
+    big = spark.createDataFrame([(digits, "B"), ("-1", "U")], "big string, b string")
+    small = spark.createDataFrame([("x", "X"), ("y", "Y")], "small string, s string")
+    got = star_join(fact, {"big": big, "small": small})
+    assert rows(got.select("big", "small", "n", "b", "s")) == [("-1", "y", 2, "U", "Y"), (digits, "x", 1, "B", "X")]
+    assert sorted(got.columns) == ["b", "big", "n", "s", "small"]
+    assert "unhex" in got._jdf.queryExecution().optimizedPlan().toString()
+    left = star_join(fact, {"big": big, "small": small}, how="left").select("big", "n", "b", "s")
+    assert rows(left) == [(None, 3, None, "X"), ("-1", 2, "U", "Y"), (digits, 1, "B", "X"), ("gone", 4, None, "X")]
