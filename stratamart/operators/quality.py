@@ -55,10 +55,12 @@ def orphan_counts(fact: DataFrame, references: Sequence[tuple[str, Sequence[str]
     """
     pairs, members = [], None
     for label, columns, dimension, ref_columns in references:
-        key = F.when(~_any_null(columns), surrogate_key(columns))
+        # The text of a single column tells its keys apart; hashing it would cost time for every row.
+        one = F.col(columns[0]).cast("string") if len(columns) == 1 else surrogate_key(columns)
+        key = F.when(~_any_null(columns), one)
         pairs.append(F.struct(F.lit(label).alias("label"), key.alias("key")))
         as_in_fact = [F.col(r).try_cast(fact.schema[c].dataType).alias(c) for c, r in zip(columns, ref_columns)]
-        known = dimension.select(*as_in_fact).select(F.lit(label).alias("label"), surrogate_key(columns).alias("key"))
+        known = dimension.select(*as_in_fact).select(F.lit(label).alias("label"), one.alias("key"))
         members = known if members is None else members.unionByName(known)
     found = fact.select(F.inline(F.array(*pairs))).filter(F.col("key").isNotNull()).groupBy("label", "key").agg(
         F.count(F.lit(1)).alias("rows"))
