@@ -90,11 +90,13 @@ SCD2_SLACK = 3
 _AT = "__at"
 
 
-def land(spark: SparkSession, pipeline: Pipeline, root: str, rows: DataFrame, batch_id: int, batch_ts: datetime) -> None:
+def land(spark: SparkSession, pipeline: Pipeline, root: str, rows: DataFrame, batch_id: int, batch_ts: datetime, *,
+         stored: bool = False) -> None:
     """Append source rows to the raw table, stamped with the batch time.
 
     Rows with errors, listed by the source or found by the pipeline's checks, go to the quarantine table with what is wrong
-    with them; of these the raw table gets those that are not rejected.
+    with them; of these the raw table gets those that are not rejected.  ``stored`` says that the source is read from stored
+    tables and is the same each time: then only the rows with errors are copied, and the others are written once.
     """
     raw, found = pipeline.bronze, {}
     declared = T.StructType([f for f in raw.schema.fields if f.name != INGEST_TS])
@@ -109,13 +111,15 @@ def land(spark: SparkSession, pipeline: Pipeline, root: str, rows: DataFrame, ba
         out = F.exists(known, lambda e: e["rejected"])
         errors = known if errors is None else F.when(out, known).otherwise(F.concat(known, errors))
     if errors is not None:
-        # One write; both tables are parts of what was stored, so they fit together whatever the source does meanwhile.
-        seen = LoadCounts()
-        left_out = F.exists(ROW_ERRORS, lambda e: e["rejected"])
-        rows = staged(seen.watch(rows.withColumn(ROW_ERRORS, errors), rows_with_errors=F.count_if(F.size(ROW_ERRORS) > 0),
-                                 rows_rejected=F.count_if(left_out)))
+        seen, rows = LoadCounts(), rows.withColumn(ROW_ERRORS, errors)
+        left_out, with_errors = F.exists(ROW_ERRORS, lambda e: e["rejected"]), F.size(ROW_ERRORS) > 0
+        copied = staged(seen.watch(rows.where(with_errors) if stored else rows, rows_with_errors=F.count_if(with_errors),
+                                   rows_rejected=F.count_if(left_out)))
+        if not stored:
+            # Both tables are parts of what was copied, so they fit together whatever the source does meanwhile.
+            rows = copied
         found = seen.values()
-        quarantine(rows if found["rows_with_errors"] else None, pipeline.name, root, batch_id, batch_ts, spark)
+        quarantine(copied if found["rows_with_errors"] else None, pipeline.name, root, batch_id, batch_ts, spark)
         rows = rows.where(~F.exists(ROW_ERRORS, lambda e: e["rejected"])).drop(ROW_ERRORS)
     landed = stamp(rows, batch_ts)
     counted = save(spark, raw, root, landed, batch_id, batch_ts)
@@ -165,13 +169,15 @@ def clean(spark: SparkSession, pipeline: Pipeline, root: str, batch_id: int, bat
     audit(spark, pipeline.silver, root, batch_id, batch_ts, counted)
 
 
-def run_pipeline(spark: SparkSession, pipeline: Pipeline, root: str, batch_id: int, batch_ts: datetime) -> None:
+def run_pipeline(spark: SparkSession, pipeline: Pipeline, root: str, batch_id: int, batch_ts: datetime, *,
+                 stored: bool = False) -> None:
     """Land the source, clean the landed batch, merge it.
 
     Cleaning reads the landed partition back, so the source is evaluated once and a repeated run works on
     the very rows that were landed.  ``batch_id`` counts arrivals; ``batch_ts`` may be earlier than that of former runs.
+    ``stored`` as in `land`.
     """
-    land(spark, pipeline, root, pipeline.source(spark), batch_id, batch_ts)
+    land(spark, pipeline, root, pipeline.source(spark), batch_id, batch_ts, stored=stored)
     clean(spark, pipeline, root, batch_id, batch_ts)
 
 

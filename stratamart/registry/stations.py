@@ -85,11 +85,11 @@ def ingest_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     weeks = ids(info, INGEST_TS)
     for number, at in enumerate(weeks):
         week = F.col(INGEST_TS) == utc_literal(at)
-        run_pipeline(spark, info_a_pipeline(lambda _, w=week: info.filter(w).drop(INGEST_TS)), root, number, at)
+        run_pipeline(spark, info_a_pipeline(lambda _, w=week: info.filter(w).drop(INGEST_TS)), root, number, at, stored=True)
     middle = weeks[len(weeks) // 2]
     for number, half in enumerate((F.col(INGEST_TS) < utc_literal(middle), F.col(INGEST_TS) >= utc_literal(middle))):
         run_pipeline(spark, status_b_pipeline(lambda _, h=half: status.filter(h).drop(INGEST_TS)), root, number,
-                     (weeks[0], middle)[number])
+                     (weeks[0], middle)[number], stored=True)
     versions = read_table(spark, CLEAN_INFO_A, root).select(
         F.lit("info_a").alias("table_name"), F.col("stationcode").alias("station_id"), F.col("capacity").alias("n"),
         F.col("scd_start_ts").alias("since"))

@@ -503,7 +503,8 @@ class PartitionedTable:
         Then whole rows need not be joined: the keys and versions alone, which are far narrower, tell whether that is so.
         """
         present, keyed = self.read(), drop_null_keys(batch, key)
-        parts = self._parts(present, keyed, None, key)
+        # Of all rows, without key too: then no key has to be computed to find them, and a partition more is compared at most.
+        parts = self._parts(present, batch, None, key)
         values = self._values(parts)
         touched = self._within(present, parts, values)
         if self.exists() and prefer_broadcast(touched, batch):

@@ -4,7 +4,7 @@ from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from conftest import SMALL, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -17,6 +17,7 @@ from stratamart.plans.ingestion import (
 from stratamart.plans.facts import FACT_BIKE_STATUS
 from stratamart.plans.loads import load_status_fact
 from stratamart.plans.runs import read_audit, read_quarantine, read_table, run_pipeline, save, store_of
+from stratamart.registry import facts
 from stratamart.sources import tables
 from stratamart.sources.tables import CONSUMED, PartitionedTable, SnapshotTable
 from stratamart.spec import INGEST_TS, Pipeline, SaveMode, TableSpec, schema_of, with_ingest_ts
@@ -88,6 +89,42 @@ def test_a_late_batch_of_a_pipeline_is_spliced_in(spark, tmp_path):
         run_pipeline(spark, late, root, 3, T2 + timedelta(days=1))
 
 
+def test_of_a_stored_source_only_rows_with_errors_are_copied(spark, tmp_path, monkeypatch):
+    copies, staged = [], runs.staged
+
+    def counted(df, *path):
+        out = staged(df, *path)
+        copies.append(out.count())
+        return out
+    monkeypatch.setattr(runs, "staged", counted)
+    second = 1_704_067_200
+    source = spark.createDataFrame(
+        [(s, second + (s or 0), 1, 0, 1, 0, 1, 1, 1, r) for s, r in [(1, second), (2, second), (None, second), (3, -3_000_000_000), (4, second)]],
+        STATUS_B_SOURCE)
+    found = []
+    for stored in (False, True):
+        root = str(tmp_path / str(stored))
+        for batch in (source, source, source.where("station_id in (1, 2)")):
+            run_pipeline(spark, status_b_pipeline(lambda _, b=batch: b), root, 0, T1, stored=stored)
+            found.append([rows(read_table(spark, spec, root)) for spec in (RAW_STATUS_B, CLEAN_STATUS_B)]
+                         + [rows(read_quarantine(spark, root)), rows(read_audit(spark, root))])
+    assert found[:3] == found[3:] and [len(t) for t in found[0]] == [4, 3, 2, 2] and len(found[2][2]) == 0
+    assert copies == [5, 5, 2, 2, 2, 0]
+
+
+def test_late_status_rows_are_copied_only_if_they_have_errors(spark, monkeypatch):
+    copies, staged = [], runs.staged
+
+    def counted(df, *path):
+        out = staged(df, *path)
+        copies.append(out.count())
+        return out
+    monkeypatch.setattr(runs, "staged", counted)
+    monkeypatch.setattr(facts, "staged", counted)
+    n = facts.incremental_late_rows(spark, SMALL).count()
+    assert 0 < sum(copies) < n / 10
+
+
 # --- ledgers ----------------------------------------------------------------------------------------------
 
 def test_older_batches_are_refused_where_the_last_writer_wins(spark, tmp_path):
