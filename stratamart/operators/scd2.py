@@ -24,6 +24,9 @@ from stratamart.spec import SCD_COLUMNS, SCD_CURRENT, SCD_END, SCD_START
 SLICES = 64
 # From when on a late row changes the history of its key.
 REVISED_FROM = "revised_from_ts"
+# What an event of a splice is.
+_KIND = "__kind"
+_VERSION, _END, _LATE, _OBSERVED = range(4)
 
 
 def attributes(df: DataFrame) -> list[str]:
@@ -144,19 +147,20 @@ def rebuild_scd2(
     *,
     order_by: Sequence[str] = (),
     hot_rows: int | None = None,
+    grouped: bool = False,
 ) -> DataFrame:
     """The whole history from all batches at once; equal to folding them one by one in ``ts`` order.
 
     A version carries the attributes of the row that opened it.  Each ordinary key is one window group; the
     history of a hot key is cut into time slices so that no task gets all of it, and the few slice edges
-    are matched separately.
+    are matched separately.  ``grouped`` says that the rows lie together by key and that no key is hot.
     """
     key = list(key)
     batches = drop_null_keys(batches, [*key, ts])
-    hot = hot_keys(batches, key, hot_rows) if may_be_skewed(batches) else None
+    hot = hot_keys(batches, key, hot_rows) if not grouped and may_be_skewed(batches) else None
     even = hot is None or hot.isEmpty()
     # Without hot keys everything below needs the rows grouped by key only, so they are shuffled once.
-    rows = one_row_per_key(batches.repartition(*key) if even else batches, [*key, ts], order_by)
+    rows = one_row_per_key(batches.repartition(*key) if even and not grouped else batches, [*key, ts], order_by)
     # A struct: NULL from lag() then means "no earlier row", never "all attributes NULL".
     rows = rows.withColumn("__now", F.struct(*change))
     if even:
@@ -226,6 +230,50 @@ def splice_scd2(
     return spliced.filter(alive).drop(alive)
 
 
+def splice_events(
+    history: DataFrame,
+    rows: DataFrame,
+    key: Sequence[str],
+    ts: str,
+    since: datetime,
+    observed: DataFrame | None = None,
+) -> DataFrame:
+    """All that `splice_at_once` looks at, one row each: versions, their ends, late rows, and rows observed since the first of these."""
+    near = F.col(SCD_END).isNull() | (F.col(SCD_END) >= utc_literal(since))
+    names = attributes(history)
+    kinds = F.when(F.col(SCD_END).isNull(), F.array(F.lit(_VERSION))).otherwise(F.array(F.lit(_VERSION), F.lit(_END)))
+    versions = history.filter(near).withColumn(_KIND, F.explode(kinds))
+    opens = F.col(_KIND) == _VERSION
+    events = versions.select(
+        *[F.col(c) if c in key else F.when(opens, F.col(c)).alias(c) for c in names],
+        F.when(opens, F.col(SCD_START)).otherwise(F.col(SCD_END)).alias(ts), F.col(SCD_END), F.col(_KIND),
+    )
+    more = [(rows, _LATE)]
+    if observed is not None:
+        more.append((observed.filter(F.col(ts) >= utc_literal(since)), _OBSERVED))
+    for df, kind in more:
+        events, df = evolve(events, df.withColumn(SCD_END, F.lit(None).cast("timestamp")).withColumn(_KIND, F.lit(kind)))
+        events = events.unionByName(df)
+    return drop_null_keys(events, [*key, ts])
+
+
+def splice_at_once(events: DataFrame, key: Sequence[str], change: Sequence[str], ts: str, *, order_by: Sequence[str] = ()) -> DataFrame:
+    """What `splice_scd2` makes of `splice_events`, next to the open versions of all other keys, in one shuffle by key.
+
+    For batches that are not small against the table.  All events of a key meet in one window group, so no key may be hot.
+    """
+    key, alive = list(key), "__alive"
+    of_key = Window.partitionBy(*key).orderBy(ts).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    kind, first = F.col(_KIND), F.col(REVISED_FROM)
+    # The open version of a key without late rows is its only event that stays, and comes out as it is.
+    reached = F.when(kind == _LATE, True).when(kind == _VERSION, F.col(SCD_END).isNull() | (F.col(SCD_END) >= first))
+    events = events.withColumn(REVISED_FROM, F.min(F.when(kind == _LATE, F.col(ts))).over(of_key))
+    events = events.filter(reached.otherwise(F.col(ts) >= first)).withColumn(alive, kind != _END)
+    # Of an end and a row at the same time the row wins: only ends that no version follows close anything.
+    spliced = rebuild_scd2(events.drop(SCD_END, _KIND, REVISED_FROM), key, [*change, alive], ts, order_by=[alive, *order_by], grouped=True)
+    return spliced.filter(alive).drop(alive)
+
+
 def _opens() -> Column:
     return F.col("__before").isNull() | ~F.col("__before").eqNullSafe(F.col("__now"))
 

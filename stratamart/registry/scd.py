@@ -10,7 +10,7 @@ from stratamart.operators.dedupe import one_row_per_key
 from stratamart.operators.scd2 import rebuild_scd2
 from stratamart.registry.inputs import ids, scd2_sql, shown, sql_ts, table
 from stratamart.registry.keyed import NEWEST, batch_of, customer_orders, raw_orders
-from stratamart.sources.tables import Scd2Table, scratch_dir
+from stratamart.sources.tables import PartitionedTable, Scd2Table, append_batch, scratch_dir
 from stratamart.spec import INGEST_TS
 
 KEY, CHANGE = ["o_custkey"], ["o_orderpriority"]
@@ -70,12 +70,14 @@ def unordered(batches: list) -> list:
 
 def scd2_late_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly batches in a mixed order of arrival; each is spliced into the history of what had come before."""
-    raw, batches = raw_orders(spark, sf_dir)
+    # Landed as one row per customer and batch, so that what was taken in is not reduced again for every late batch.
+    path, orders = scratch_dir(spark), _priorities(customer_orders(spark, sf_dir))
+    append_batch(orders, path, [INGEST_TS], rebalance=True)
+    landed = PartitionedTable(spark, path, [INGEST_TS], orders.schema).read()
     history, arrived = Scd2Table(spark, scratch_dir(spark)), []
-    for number, at in enumerate(unordered(batches)):
-        seen = raw.filter(F.col(INGEST_TS).isin(*map(utc_literal, arrived))) if arrived else None
-        history.splice(_priorities(batch_of(raw, at)), KEY, CHANGE, number, ts=INGEST_TS,
-                       observed=None if seen is None else _priorities(seen))
+    for number, at in enumerate(unordered(ids(landed, INGEST_TS))):
+        seen = landed.filter(F.col(INGEST_TS).isin(*map(utc_literal, arrived))) if arrived else None
+        history.splice(batch_of(landed, at), KEY, CHANGE, number, ts=INGEST_TS, observed=seen)
         arrived.append(at)
     return shown(history.history())
 

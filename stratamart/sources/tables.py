@@ -27,7 +27,10 @@ from stratamart.operators.audit import LoadCounts
 from stratamart.operators.conform import drop_null_keys, evolve, merged_schema
 from stratamart.operators.merge import compared, prepared, upsert
 from stratamart.operators.pairing import prefer_broadcast
-from stratamart.operators.scd2 import REVISED_FROM, apply_scd2, empty_history, first_changes, reached, splice_scd2
+from stratamart.operators.scd2 import (
+    REVISED_FROM, apply_scd2, empty_history, first_changes, reached, splice_at_once, splice_events, splice_scd2,
+)
+from stratamart.operators.skew import hot_keys, may_be_skewed
 from stratamart.sources.files import delete_path, matching_paths, move_path, path_exists, read_note, unescaped, write_note
 from stratamart.spec import KEY_BLOCK, SCD_COLUMNS, SCD_CURRENT, SCD_END
 
@@ -242,11 +245,14 @@ class Scd2Table(SnapshotTable):
         if closed:
             # The open versions have the latest schema; older files lack its new columns and read them as NULL.
             schema = T.StructType([f for f in out.schema.fields if f.name != SCD_CURRENT])
-            old = self.spark.read.schema(schema).parquet(*closed)
             revisions = [v for v in self._revisions() if v in usable and v > done]
-            if revisions:
-                old = self._unrevised(old, revisions)
-            out = out.unionByName(old.withColumn(SCD_CURRENT, F.lit(False)))
+            # What the newest of these batches closed itself, no batch has replaced.
+            old = [p for p in closed if "/upto=" in p or int(p.rsplit("/v=", 1)[1].split("/")[0]) < revisions[-1]] if revisions else []
+            new = [p for p in closed if p not in old]
+            for paths in filter(None, (old, new)):
+                rows = self.spark.read.schema(schema).parquet(*paths)
+                rows = self._unrevised(rows, revisions) if paths is old else rows
+                out = out.unionByName(rows.withColumn(SCD_CURRENT, F.lit(False)))
         return out
 
     def _revisions(self) -> list[int]:
@@ -330,25 +336,50 @@ class Scd2Table(SnapshotTable):
         else:
             first = late.drop(ts) if self.schema is None else empty_frame(self.spark, self.schema)
             known = current = empty_history(first)
-        revised = f"{self.path}/revised/v={batch_id}"
-        self._delete(revised)  # of a run that broke off
+        self._delete(f"{self.path}/revised/v={batch_id}")  # of a run that broke off
         out = current
         if since is not None:
-            firsts = first_changes(late, key, ts)
-            closed_before = Observation(f"closed-{uuid.uuid4().hex}")
-            n_closed = F.count_if(F.col(SCD_END).isNotNull())
-            cut = staged(reached(known, firsts, key, since).observe(closed_before, n_closed.alias("n")))
-            if observed is not None:
-                observed = observed.filter(F.col(ts) >= utc_literal(since)).join(firsts, key)
-                observed = observed.filter(F.col(ts) >= F.col(REVISED_FROM)).drop(REVISED_FROM)
-            versions = splice_scd2(cut.drop(REVISED_FROM), late, key, change, ts, observed=observed, order_by=order_by)
-            if closed_before.get.get("n"):
-                closed = cut.filter(F.col(SCD_END).isNotNull()).select(*key, REVISED_FROM).distinct()
-                write_files(closed if counts is None else counts.watch(closed, rows_revised=F.count(F.lit(1))), revised)
-            kept, versions = evolve(current.join(firsts, key, "left_anti"), versions)
-            out = kept.unionByName(versions)
+            out = None if prefer_broadcast(known, late) else self._spliced_at_once(
+                known, late, key, change, batch_id, ts, since, observed, order_by, counts)
+            if out is None:
+                out = self._spliced_by_joins(known, current, late, key, change, batch_id, ts, since, observed, order_by, counts)
         write_files(self._ordered(out), f"{self.path}/v={batch_id}", partition_by=[SCD_CURRENT], **(layout or {}))
 
+    def _spliced_at_once(self, known: DataFrame, late: DataFrame, key: list[str], change: Sequence[str], batch_id: int, ts: str,
+                         since: datetime, observed: DataFrame | None, order_by: Sequence[str], counts: LoadCounts | None) -> DataFrame | None:
+        """For batches that are not small against the table: one shuffle by key; None if there are hot keys."""
+        events = splice_events(known, late, key, ts, since, observed)
+        if may_be_skewed(events) and not hot_keys(events, key).isEmpty():
+            return None
+        closed = known.filter(F.col(SCD_END).isNotNull()).select(*key, SCD_END)
+        closed = reached(closed, first_changes(late, key, ts), key, since).select(*key, REVISED_FROM).distinct()
+        self._enter_revised(closed, batch_id, counts)
+        return splice_at_once(events, key, change, ts, order_by=order_by)
+
+    def _spliced_by_joins(self, known: DataFrame, current: DataFrame, late: DataFrame, key: list[str], change: Sequence[str],
+                          batch_id: int, ts: str, since: datetime, observed: DataFrame | None, order_by: Sequence[str],
+                          counts: LoadCounts | None) -> DataFrame:
+        """For small batches, which are broadcast, and for hot keys: the versions that the batch reaches are looked up first."""
+        firsts = first_changes(late, key, ts)
+        cut = staged(reached(known, firsts, key, since))
+        if observed is not None:
+            observed = observed.filter(F.col(ts) >= utc_literal(since)).join(firsts, key)
+            observed = observed.filter(F.col(ts) >= F.col(REVISED_FROM)).drop(REVISED_FROM)
+        versions = splice_scd2(cut.drop(REVISED_FROM), late, key, change, ts, observed=observed, order_by=order_by)
+        self._enter_revised(cut.filter(F.col(SCD_END).isNotNull()).select(*key, REVISED_FROM).distinct(), batch_id, counts)
+        kept, versions = evolve(current.join(firsts, key, "left_anti"), versions)
+        return kept.unionByName(versions)
+
+    def _enter_revised(self, closed: DataFrame, batch_id: int, counts: LoadCounts | None) -> None:
+        """Note the keys whose closed versions a batch replaces, if there are any.  They count once the batch is complete."""
+        path, seen = f"{self.path}/revised/v={batch_id}", Observation(f"revised-{uuid.uuid4().hex}")
+        write_files(closed.observe(seen, F.count(F.lit(1)).alias("n")), path)
+        n = seen.get.get("n")
+        if not n:
+            self._delete(path)
+        elif counts is not None:
+            counts.add(rows_revised=n)
+
 
 class MovedKeys(ValueError):
     """A batch holds keys that are stored under another partition value."""

@@ -8,7 +8,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratamart.operators import pairing
+from stratamart.operators.audit import LoadCounts
 from stratamart.operators.scd2 import apply_scd2, paired_actions, rebuild_scd2
+from stratamart.sources import tables
 from stratamart.sources.tables import Scd2Table
 from stratamart.spec import SCD_CURRENT, SCD_END, SCD_START
 
@@ -230,3 +232,36 @@ def test_late_rows_bring_new_columns(spark, tmp_path):
     table.splice(wider, ["k"], ["v"], 2, ts="at", observed=all_rows(spark, BATCHES))
     assert by_text(rows(table.history().select("k", "v", "note", SCD_START))) == by_text([
         (1, "x", None, T1), (1, None, "n", T2), (1, "x", None, T3), (2, None, None, T1), (2, "y", None, T3), (3, "z", None, T1)])
+
+
+@pytest.mark.parametrize("by_joins", [False, True])
+@pytest.mark.parametrize("hot", [False, True])
+def test_both_ways_of_splicing_give_the_rebuilt_history(spark, tmp_path, monkeypatch, small_inputs_skew, by_joins, hot):
+    rng, copies = random.Random(9), []
+    staged = tables.staged
+    monkeypatch.setattr(tables, "staged", lambda df, *path: copies.append(df) or staged(df, *path))
+    monkeypatch.setattr(tables, "prefer_broadcast", lambda *_: by_joins)
+    spark.conf.set("stratamart.hotRows", "2" if hot else "1000")
+    try:
+        batches = [(T1 + timedelta(days=i), [(k, rng.choice([None, "a", "b"])) for k in range(6) if rng.random() < 0.7])
+                   for i in range(6)]
+        table = spliced(spark, tmp_path / "h", rng.sample(batches, len(batches)))
+        assert by_text(rows(table.history())) == by_text(brute_force(batches))
+    finally:
+        spark.conf.unset("stratamart.hotRows")
+    # In one shuffle nothing is copied but the batches.
+    assert len(copies) == len(batches) if not by_joins and not hot else len(copies) > len(batches)
+
+
+def test_a_splice_at_once_keeps_deletions_and_replaced_versions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "prefer_broadcast", lambda *_: False)
+    table = fold(spark, tmp_path / "h", [(T1, [(1, "a"), (2, "a"), (3, "a")])])
+    table.apply(spark.createDataFrame([(2, "a")], "k int, v string"), ["k"], ["v"], 1, T3, deletes=spark.createDataFrame([(1,)], "k int"))
+    counts = LoadCounts()
+    table.splice(all_rows(spark, [(T2, [(1, "b"), (2, "a"), (None, "x")])]), ["k"], ["v"], 2, ts="at", counts=counts)
+    assert by_text(rows(table.history())) == by_text(
+        [(1, "a", T1, T2, False), (1, "b", T2, T3, False), (2, "a", T1, None, True), (3, "a", T1, None, True)])
+    assert (counts.values()["rows_read"], counts.values()["rows_rejected"], counts.values()["rows_revised"]) == (3, 1, 1)
+    # A row at the time of the deletion wins over it.
+    table.splice(all_rows(spark, [(T3, [(1, "b")])]), ["k"], ["v"], 3, ts="at")
+    assert by_text(rows(table.history().filter("k = 1"))) == by_text([(1, "a", T1, T2, False), (1, "b", T2, None, True)])
