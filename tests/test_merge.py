@@ -13,7 +13,7 @@ from stratamart.operators.latest import (
     NEVER, incremental, latest_per_key, newer_than, next_sequence, stored_watermarks,
 )
 from stratamart.operators.lookup import conformed_union, enrich_left, key_lookup, star_join
-from stratamart.operators.merge import delete_keys, merge_actions, upsert
+from stratamart.operators.merge import compared, delete_keys, merge_actions, upsert
 from stratamart.operators.lookup import star_join
 from stratamart.operators.skew import SALTS, heavy_keys, hot_keys, spread_join
 
@@ -243,3 +243,13 @@ def test_a_large_dimension_is_joined_by_packed_keys_after_the_small_ones(spark,
     assert "unhex" in got._jdf.queryExecution().optimizedPlan().toString()
     left = star_join(fact, {"big": big, "small": small}, how="left").select("big", "n", "b", "s")
     assert rows(left) == [(None, 3, None, "X"), ("-1", 2, "U", "Y"), (digits, 1, "B", "X"), ("gone", 4, None, "X")]
+
+
+def test_keys_are_compared_packed(spark):
+    digits = "0123456789abcdef" * 4
+    stored = spark.createDataFrame([(digits, 1), ("41", 1), ("", 1), ("kept", 1)], "k string, v int")
+    batch = spark.createDataFrame([(digits, 2), (digits.upper(), 2), ("A", 2), ("", 0), (None, 2), ("A", 3)], "k string, v int")
+    assert compared(stored, batch, ["k"], "v") == {
+        "read": 6, "rejected": 1, "repeated": 1, "insert": 2, "update": 1, "ignore": 1, "keep": 2}
+    numbers = spark.createDataFrame([(7,)], "k int")
+    assert compared(numbers, numbers, ["k"])["update"] == 1

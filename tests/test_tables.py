@@ -1,5 +1,6 @@
 import os
 import shutil
+import uuid
 from dataclasses import replace
 from datetime import datetime
 
@@ -11,6 +12,7 @@ from stratamart.operators.conform import IncompatibleSchema, merged_schema, stam
 from stratamart.plans.dimensions import DATE_MODEL, DIM_DATE, date_dimension, generate_dimension
 from stratamart.plans.runs import read_table, run_model, run_pipeline, save
 from stratamart.sources import tables
+from stratamart.sources.files import move_files
 from stratamart.sources.tables import PartitionedTable, SnapshotTable, append_batch, read_or_empty, scratch_dir, staged
 from stratamart.spec import INGEST_TS, Model, Pipeline, SaveMode, TableSpec, schema_of, with_ingest_ts
 
@@ -316,3 +318,70 @@ def test_a_batch_that_replaces_all_or_adds_only_is_not_joined(spark, tmp_path, m
     monkeypatch.setattr(tables, "upsert", joined)
     assert merge(3, [(1, "old", 1, "x"), (2, "r", 3, "y"), (2, "s", 4, "y"), (9, "n", 5, "x")]) == (4, 0, 1, 1, 1)
     assert rows(table.read()) == [(1, "A", 2, "x"), (2, "s", 4, "y"), (3, "C", 1, "x"), (4, "D", 1, "x"), (9, "n", 5, "x")]
+
+
+def test_new_keys_are_added_without_a_copy_of_the_stored_rows(spark, tmp_path):
+    schema = schema_of({"k": "integer", "v": "string", "p": "string"})
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema, follows_key=True)
+
+    def merge(number, data, **options):
+        table.merge(spark.createDataFrame(data, schema), ["k"], number, **options)
+        return files_under(tmp_path / "t")
+
+    first = merge(0, [(k, "a", "x") for k in range(20)] + [(100, "a", None)])
+    second = merge(1, [(k, "b", "x") for k in range(20, 25)] + [(101, "b", None), (None, "b", "x")])
+    assert first < second
+    # Repeating a batch replaces its rows, as does one with a key that is stored; a small one is written with the stored rows.
+    again = merge(1, [(k, "b", "x") for k in range(20, 25)] + [(101, "b", None)])
+    mixed = merge(2, [(0, "c", "x"), (25, "c", "x")])
+    small = merge(3, [(26, "d", "x")])
+    assert not again & {f for f in second if "p=x" in f} and not mixed & {f for f in again if "p=x" in f}
+    assert not small & {f for f in mixed if "p=x" in f}
+    expected = {k: "a" for k in [*range(1, 20), 100]} | {k: "b" for k in [*range(20, 25), 101]} | {0: "c", 25: "c", 26: "d"}
+    assert {r["k"]: r["v"] for r in table.read().collect()} == expected and table.read().count() == len(expected)
+
+
+def test_added_files_that_were_moved_in_part_are_moved_on(spark, tmp_path, monkeypatch):
+    schema = schema_of({"k": "integer", "p": "string"})
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["p"], schema, follows_key=True)
+    table.merge(spark.createDataFrame([(1, "x"), (2, "y")], schema), ["k"], 0)
+    moved = []
+
+    def breaks_off(session, source, target):
+        if moved:
+            raise RuntimeError("lost")
+        moved.append(source)
+        move_files(session, source, target)
+
+    monkeypatch.setattr(tables, "move_files", breaks_off)
+    with pytest.raises(RuntimeError, match="lost"):
+        table.merge(spark.createDataFrame([(3, "x"), (4, "y")], schema), ["k"], 1)
+    monkeypatch.undo()
+    assert table.read().count() == 3 and table.applied() == 0
+    assert table.recover() and not table.recover()
+    assert rows(table.read()) == [(1, "x"), (2, "y"), (3, "x"), (4, "y")] and table.applied() == 1
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getPath() for i in range(files.size()) if "shuffle_" in files.apply(i).getName()}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(name)
+    df = staged(spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count(), str(tmp_path / "t"))
+    assert df.count() == 1000 and not {f for f in shuffled() - before if os.path.getsize(f) > 10_000}
+    assert spark.conf.get(name) == setting and all(f.endswith(".zstd.parquet") for f in files_under(tmp_path / "t"))
+
+
+def test_what_has_arrived_is_not_kept(spark, tmp_path, monkeypatch):
+    """The copy of all sales goes before the second load of the fact."""
+    from conftest import SMALL
+
+    from stratamart.registry import facts
+
+    for module in (tables, facts):
+        monkeypatch.setattr(module, "scratch_dir", lambda spark: f"{tmp_path}/{uuid.uuid4().hex}")
+    assert facts.fact_sales_incremental(spark, SMALL).count() > 0
+    copies = {os.path.dirname(f) for f in files_under(tmp_path) if f.endswith(".zstd.parquet")}
+    assert copies and not [d for d in copies if "customer_name" in spark.read.parquet(d).columns]
