@@ -8,11 +8,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratamart.functions.keys import surrogate_key
+from stratamart.functions.keys import packed, surrogate_key
 from stratamart.functions.scalars import utc_literal
 from stratamart.operators.conform import current_only
 from stratamart.operators.skew import spread_join
+from stratamart.session import freed_shuffles
 from stratamart.spec import SCD_CURRENT, SaveMode, TableSpec
 
 FINDING_COLUMNS = ("table_name", "check_name", "columns", "violations", "ingest_ts")
@@ -56,7 +58,7 @@ def orphan_counts(fact: DataFrame, references: Sequence[tuple[str, Sequence[str]
     pairs, members = [], None
     for label, columns, dimension, ref_columns in references:
         # The text of a single column tells its keys apart; hashing it would cost time for every row.
-        one = F.col(columns[0]).cast("string") if len(columns) == 1 else surrogate_key(columns)
+        one = packed(F.col(columns[0]).cast("string") if len(columns) == 1 else surrogate_key(columns))
         key = F.when(~_any_null(columns), one)
         pairs.append(F.struct(F.lit(label).alias("label"), key.alias("key")))
         as_in_fact = [F.col(r).try_cast(fact.schema[c].dataType).alias(c) for c, r in zip(columns, ref_columns)]
@@ -82,23 +84,32 @@ def _finding(df: DataFrame, table: str, check: str, columns: str | Column, ts: C
                      F.col("violations").cast("bigint").alias("violations"), ts.alias("ingest_ts"))
 
 
+def _counted(found: DataFrame) -> DataFrame:
+    """The few rows of a check, counted now, so that its shuffle files are gone before the next one begins."""
+    with freed_shuffles(found.sparkSession):
+        rows = found.select("*").collect()
+    return found.sparkSession.createDataFrame(rows, found.schema)
+
+
 def check_table(spec: TableSpec, df: DataFrame, references: Mapping[str, DataFrame], batch_ts: datetime) -> DataFrame:
     """Findings of one table: key uniqueness, required columns, and every declared reference.
 
     Checks without violations are reported with 0.  ``references`` gives the frames the foreign keys name;
-    those not given are skipped.
+    those not given are skipped.  The checks run one after the other, and text keys are shuffled packed.
     """
     ts = utc_literal(batch_ts)
     key = list(spec.primary_key)
     versioned = spec.save_mode is SaveMode.MERGE_SCD2 and SCD_CURRENT in df.columns
     live = current_only(df) if versioned else df
-    counted = duplicate_keys(live, key).agg(F.count(F.lit(1)).alias("violations"))
-    found = [_finding(counted, spec.name, "primary_key", ",".join(key), ts)]
+    keys = live.select(*[packed(F.col(c)).alias(c) if df.schema[c].dataType == T.StringType() else c for c in key])
+    counted = duplicate_keys(keys, key).agg(F.count(F.lit(1)).alias("violations"))
+    found = [_finding(_counted(counted), spec.name, "primary_key", ",".join(key), ts)]
     required = sorted({f.name for f in spec.schema.fields if not f.nullable} | set(key))
-    found.append(_finding(null_counts(df, required), spec.name, "not_null", F.col("columns"), ts))
+    found.append(_finding(_counted(null_counts(df, required)), spec.name, "not_null", F.col("columns"), ts))
     declared = {f"{fk.ref_table}:{','.join(fk.columns)}": fk for fk in spec.foreign_keys if fk.ref_table in references}
     if declared:
-        counts = orphan_counts(df, [(label, fk.columns, references[fk.ref_table], fk.ref_columns) for label, fk in declared.items()])
+        counts = _counted(orphan_counts(
+            df, [(label, fk.columns, references[fk.ref_table], fk.ref_columns) for label, fk in declared.items()]))
         label = F.split("label", ":")
         found.append(counts.select(
             F.lit(spec.name).alias("table_name"), F.concat(F.lit("foreign_key:"), label[0]).alias("check_name"),

@@ -10,6 +10,7 @@ from stratamart.plans.dimensions import calendar_of, sales_dimension
 from stratamart.plans.facts import FACT_SALES, sales_fact
 from stratamart.plans.runs import log_findings
 from stratamart.registry.inputs import LOADED_AT, SALES_SQL, sales_source, shown, table
+from stratamart.sources.files import delete_path
 from stratamart.sources.tables import read_or_empty, scratch_dir, staged
 
 
@@ -42,7 +43,8 @@ def quality_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     Some sales keys are doubled, the stores of one region and the unknown promotion are missing, and one
     amount is NULL here and there.
     """
-    sales = staged(sales_source(spark, sf_dir))
+    source = scratch_dir(spark)
+    sales = staged(sales_source(spark, sf_dir), source)
     fact = sales_fact(sales, LOADED_AT)
     fact = fact.unionByName(fact.filter(F.col("order_id") % 100 == 0))
     fact = staged(fact.withColumn("cost", F.when(F.col("order_id") % 50 != 1, F.col("cost"))))
@@ -51,6 +53,8 @@ def quality_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
     references["dim_store"] = references["dim_store"].filter(F.col("state") != "ASIA")
     references["dim_promo"] = references["dim_promo"].filter(F.col("promo_code") != "unknown")
     references["dim_date"] = calendar_of(sales, "order_date", LOADED_AT)
+    references = {name: staged(dimension) for name, dimension in references.items()}
+    delete_path(spark, source)  # what is checked is stored by now
     path = scratch_dir(spark)
     found = check_table(FACT_SALES, fact, references, LOADED_AT)
     log_findings(found, path)

@@ -69,3 +69,18 @@ def test_findings_of_all_runs_are_kept(spark, tmp_path):
         log_findings(check_table(SPEC, planted(spark), dims(spark), at), path)
     kept = spark.read.parquet(path).filter(F.col("check_name") == "primary_key")
     assert [r["violations"] for r in kept.orderBy("ingest_ts").collect()] == [2, 2]
+
+
+def test_keys_are_packed_and_checks_leave_no_shuffle_to_run(spark):
+    digits = "0123456789abcdef" * 4
+    data = [(digits, "x"), (digits, "y"), (digits.upper(), "x"), ("41", "A"), ("A", "A"), (None, "x"), (None, "x"), ("", None)]
+    df = spark.createDataFrame(data, "k string, d string")
+    spec = TableSpec("t", "gold", schema_of({"k": "string", "d": "string"}), SaveMode.MERGE, ("k",),
+                     foreign_keys=(ForeignKey(("k",), "dim", ("k",)), ForeignKey(("d",), "dim_d", ("d",))))
+    dim, dim_d = spark.createDataFrame([(digits,), ("A",), ("",)], "k string"), spark.createDataFrame([("x",)], "d string")
+    found = check_table(spec, df, {"dim": dim, "dim_d": dim_d}, AT)
+    assert {(r["check_name"], r["columns"]): r["violations"] for r in found.collect()} == {
+        ("primary_key", "k"): 2, ("not_null", "k"): 2, ("foreign_key:dim", "k"): 2, ("foreign_key:dim_d", "d"): 3}
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    counts = orphan_counts(df, [("dim", ["k"], dim, ["k"])])
+    assert "unhex" in counts._jdf.queryExecution().optimizedPlan().toString()
