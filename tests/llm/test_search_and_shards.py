@@ -314,3 +314,49 @@ def test_groups_are_split_by_size(spark, monkeypatch):
     rows = [(i, "http://one.host/a", FRAME.format(main=f"<article><p>text {i}</p></article>")) for i in range(20)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {(r["page_id"], r["text"]) for r in extract_pages(df).collect()} == {(i, f"text {i}") for i in range(20)}
+
+
+def test_queries_in_batches_find_what_single_ones_find(monkeypatch):
+    """Whole texts of two languages, with common and rare terms, over several shards; few documents, ties and queries without hits too."""
+    from stratamart.llm import bm25_search
+    from stratamart.llm.bm25_search import Results
+
+    monkeypatch.setattr(bm25_search, "POSTINGS", 500)
+    rng = np.random.default_rng(4)
+    vocabulary = np.arange(600, dtype=np.int64) * 7
+    draw = lambda n, low: low + np.minimum(rng.pareto(0.7, n).astype(np.int64), 290) * 7
+    docs = [draw(rng.integers(1, 60), 0 if i % 3 else 2100) for i in range(900)] + [np.array([70, 4])] * 30 + [np.empty(0, np.int64)]
+    keys = rng.permutation(len(docs)).tolist()
+    queries = [np.unique(np.searchsorted(vocabulary, d)) for d in docs[:60]] + [np.array([599]), np.array([10])]
+    weights, k = rng.uniform(0.1, 8.0, len(vocabulary)), 7
+    term, query = np.concatenate(queries).astype(np.int32), np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+    found, single = Results(query, term, len(queries), k), [Results(np.zeros(len(q), int), q, 1, k) for q in queries]
+    multiplied = 0
+    for lo, hi in ((0, 400), (400, 900), (900, 903), (903, len(docs))):
+        shard = Shard(keys[lo:hi], docs[lo:hi], vocabulary, 1.2, 0.75, 20.0)
+        multiplied += len(shard.rows)
+        for r in (found, *single):
+            r.search(shard, weights)
+    assert multiplied and max(len(r.query) for r in single) == k
+    for i, r in enumerate(single):
+        mine = found.query == i
+        assert found.key[mine].tolist() == ([] if r.key is None else r.key.tolist())
+        assert np.allclose(found.score[mine], r.score, atol=2e-6)
+
+
+def test_a_shard_takes_few_steps_for_many_queries(documents, monkeypatch):
+    """Queries are held against a shard in batches; one by one only where a batch has a single query."""
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, 90, 40) for _ in range(300)]
+    shard = Shard(list(range(300)), docs, np.arange(90, dtype=np.int64), 1.2, 0.75, 40.0)
+    from stratamart.llm.bm25_search import Results, _batches
+
+    monkeypatch.setattr(Shard, "best", None)
+    terms = [np.unique(d) for d in docs]
+    starts = np.append(0, np.cumsum([len(t) for t in terms]))
+    ranges = list(_batches(starts))
+    assert len(ranges) == 3 and [lo for lo, _ in ranges[1:]] == [hi for _, hi in ranges[:-1]] and ranges[-1][1] == 300
+    for lo, hi in ranges:
+        found = Results(np.repeat(np.arange(hi - lo), np.diff(starts[lo:hi + 1])), np.concatenate(terms[lo:hi]), hi - lo, 5)
+        found.search(shard, np.ones(90))
+        assert len(found.query) == 5 * (hi - lo)
