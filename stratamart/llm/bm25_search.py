@@ -39,7 +39,7 @@ from stratamart.llm.common import map_slices, staged, texts
 BLOCK, BLOCK_TERMS, DIGITS = 64, 4_000_000, 6
 BATCH, BATCH_TERMS = 128, 100_000
 """Queries that are held against a shard together, and their terms (a longer query is a batch of its own)."""
-COMMON, MOST_COMMON = 0.02, 1_000
+COMMON, MOST_COMMON = 0.02, 500
 """Terms that at least this share of a shard's documents have are rows of a matrix, if they are not too many."""
 DENSE_GAIN = 300
 """So much cheaper is a product in a matrix than one from a posting."""
@@ -49,7 +49,7 @@ POSTINGS = 300_000
 """Postings that are added up at a time."""
 MANY = 4
 """With so many times k hits in a group of blocks, a query's k-th best is looked for first."""
-COUNTED = 2_000_000
+COUNTED = 1_000_000
 """Terms of documents, once each, that a task collects before it passes their counts on."""
 
 
